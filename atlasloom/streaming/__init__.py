@@ -1,0 +1 @@
+"""Deliberately empty: the data model is finite tables and no operator here is a stream."""
