@@ -39,6 +39,7 @@ class Settings:
     normalise: str = "force"
     families: dict[str, Column] | None = None
     mt: str = "mt"
+    percent_top: tuple[int, ...] = (20,)
 
     def __post_init__(self) -> None:
         for name in ("min_cells", "min_genes", "n_top_genes", "category_threshold"):
@@ -110,7 +111,8 @@ def preprocess(
     if accession_columns:
         cells = enrich_accessions(cells, accession_lookup, accession_columns, skip=skip_accessions, continue_on_fail=continue_on_fail)
     raw = keep_cells(atlas.counts, cells)
-    judged = quality_verdict(raw, cells, atlas.genes, families=s.families, mt=s.mt, by=groups, symbol=s.symbol)
+    judged = quality_verdict(raw, cells, atlas.genes, percent_top=s.percent_top, families=s.families, mt=s.mt, by=groups,
+                             symbol=s.symbol)
     cells = passing_cells(judged)
     out = general(atlas.with_(cells=cells, counts=keep_cells(raw, cells)), s, groups)
     if s.token_inputs:
@@ -122,11 +124,12 @@ def preprocess(
 
 def cleanup_variable_genes(
     atlas: Atlas, n_top_genes: int = 2000, batch: str | None = None, min_genes: int = 200, min_cells: int = 3,
-    families: dict[str, Column] | None = None, mt: str = "mt", symbol: str = "gene_name",
+    families: dict[str, Column] | None = None, mt: str = "mt", symbol: str = "gene_name", percent_top: Sequence[int] = (20,),
 ) -> Atlas:
     """Quality filter, general steps without rare batches, then only the variable genes."""
     n = min(n_top_genes, atlas.genes.count(), 10_000)
-    judged = quality_verdict(atlas.counts, atlas.cells, atlas.genes, families=families, mt=mt, symbol=symbol)
+    judged = quality_verdict(
+        atlas.counts, atlas.cells, atlas.genes, percent_top=percent_top, families=families, mt=mt, symbol=symbol)
     cells = passing_cells(judged)
     s = Settings(min_cells=min_cells, min_genes=min_genes, n_top_genes=n, batch=batch,
                  categories=(batch,) if batch else (), category_threshold=5)

@@ -1 +1,302 @@
-"""To come."""
+"""Embeddings, mixtures and whole plans."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from atlasloom.model import Atlas
+from atlasloom.operators import embeddings as emb
+from atlasloom.operators import mixtures, setops
+from atlasloom.operators.normalise import log_normalise
+from atlasloom.plans import components, preprocess, stable_genes
+from atlasloom.sources import star_schema as star
+from query_catalogue.registry import (
+    CELLS, CELLS_INSTR, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, outlier_ctes, qc_ctes,
+    query, rounded, scratch, with_ctes,
+)
+from query_catalogue.sources_and_lookups import by_status
+
+
+def dense_atlas(spark, d) -> Atlas:
+    return Atlas(star.dense_cells(spark, d), star.dense_genes(spark, d), star.dense_counts(spark, d))
+
+
+def exploded(vectors, places=3):
+    out = vectors.select("cell_id", F.posexplode("vector").alias("dim", "value"))
+    return rounded(out.filter(F.abs("value") > F.lit(1e-9).cast("float")), places)
+
+
+# --- embeddings -------------------------------------------------------------------
+
+AUTO = """norm AS (SELECT cell_id, gene_id, CASE WHEN (SELECT max(value) < 100 FROM counts) THEN s ELSE ln(1 + s) END AS value FROM (
+  SELECT cell_id, gene_id, CASE WHEN (SELECT stddev_pop(t) / avg(t) < 1 FROM (SELECT c.cell_id, coalesce(sum(value), 0) AS t FROM cells c LEFT JOIN counts USING (cell_id) GROUP BY 1))
+    THEN value ELSE value * 10000.0 / sum(value) OVER (PARTITION BY cell_id) END AS s FROM counts))"""
+
+
+@query("E1_variable_gene_vectors", with_ctes("""SELECT cell_id, slot AS dim, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 3) AS value FROM norm JOIN (
+    SELECT gene_id, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS slot FROM (SELECT gene_id, pos FROM scored JOIN genes USING (gene_id)
+      WHERE highly_variable ORDER BY dispersions_norm DESC NULLS LAST, pos LIMIT 10)) USING (gene_id) WHERE value > 1e-9""",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, AUTO, hvg_ctes(10)))
+def hvg_vectors(spark, d):
+    return exploded(emb.embed(dense_atlas(spark, d), "hvg", n=10))
+
+
+@query("E2_panel_vectors", with_ctes("""SELECT cell_id, slot AS dim, CAST(value AS DOUBLE) AS value FROM counts JOIN (
+    SELECT gene_id, CAST(row_number() OVER (ORDER BY gene_id) - 1 AS INTEGER) AS slot FROM (SELECT gene_id FROM genes UNION ALL SELECT r_name FROM region)) USING (gene_id)""",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS))
+def panel_vectors(spark, d):
+    """Regions are panel members no cell has; their places stay zero."""
+    a = dense_atlas(spark, d)
+    panel = a.genes.select("gene_id").unionByName(star.table(spark, d, "region").select(F.col("r_name").alias("gene_id")))
+    return exploded(emb.embed(a, "gs", panel=emb.panel_from(panel, "gene_id")))
+
+
+LOAD = """loadings AS (SELECT gene_id, label AS mean, 1 + pos / 10.0 AS scale, CAST(embedding[1] AS DOUBLE) AS center, CAST(embedding AS DOUBLE[]) AS w FROM genes JOIN embeddings ON vec_id = pos)"""
+
+
+def loadings(spark, d):
+    e = star.embeddings(spark, d)
+    g = star.dense_genes(spark, d)
+    return g.join(e, g["pos"] == e["cell_id"]).select(
+        "gene_id", F.col("label").cast("double").alias("mean"), (1 + F.col("pos") / 10.0).alias("scale"),
+        F.col("vector")[0].cast("double").alias("center"), F.col("vector").cast("array<double>").alias("components"))
+
+
+@query("E3_applied_components", with_ctes("""SELECT cell_id, dim, round(CAST(CAST(sum(((coalesce(value, 0) - mean) / scale - center) * w[dim + 1]) AS FLOAT) AS DOUBLE), 2) AS value
+  FROM cells CROSS JOIN loadings LEFT JOIN counts USING (cell_id, gene_id) CROSS JOIN (SELECT CAST(unnest(range(64)) AS INTEGER) AS dim) GROUP BY 1, 2""",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, LOAD))
+def applied_components(spark, d):
+    out = emb.embed(dense_atlas(spark, d), "pca", loadings=loadings(spark, d))
+    return rounded(out.select("cell_id", F.posexplode("vector").alias("dim", "value")), 2)
+
+
+@query("E4_fitted_components")
+def fitted_components(spark, d):
+    a = dense_atlas(spark, d)
+    load, _ = emb.fit_components(log_normalise(a.counts), a.cells, a.genes, 5)
+    return rounded(load.select("gene_id", "mean", "scale", F.size("components").alias("k")), 4)
+
+
+@query("E5_components_over_datasets")
+def components_over_datasets(spark, d):
+    a = dense_atlas(spark, d)
+    parts = []
+    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
+        c = a.cells.filter(F.col("batch") == segment)
+        parts.append(Atlas(c, a.genes, log_normalise(a.counts.join(c.select("cell_id"), "cell_id", "left_semi"))))
+    load, _ = components.fit_over_datasets(parts, 5, max_cells=None)
+    return load.select("gene_id", F.size("components").alias("k"))
+
+
+@query("E6_stored_components", with_ctes("SELECT gene_id, round(scale, 6) AS scale, CAST(len(w) AS INTEGER) AS k FROM loadings", DENSE_GENES, LOAD))
+def stored_components(spark, d):
+    path = scratch(spark)
+    emb.save_components(loadings(spark, d), spark.createDataFrame([("{}",)], "metadata string"), path)
+    back, _ = emb.load_components(spark, path)
+    return rounded(back.select("gene_id", "scale", F.size("components").alias("k")))
+
+
+@query("E7_inspection_components")
+def inspection(spark, d):
+    a = dense_atlas(spark, d)
+    norm = log_normalise(a.counts)
+    load, _ = emb.fit_components(norm, a.cells, a.genes, 2, max_cells=5000, scale=False)
+    return emb.apply_components(norm, a.cells, load).select("cell_id", F.size("vector").alias("k"))
+
+
+def _halves(batches):
+    for b in batches:
+        yield pd.DataFrame({"cell_id": b["cell_id"], "vector": [[x / 2, y] for x, y in zip(b["price"], b["donor"])]})
+
+
+@query("K11_user_method", with_ctes("SELECT cell_id, 'X_halves' AS key, round(CAST(CAST(price / 2 AS FLOAT) AS DOUBLE), 1) AS first, CAST(donor AS DOUBLE) AS second FROM cells", CELLS))
+def user_method(spark, d):
+    emb.register_vector_function("halves", _halves, ["price", "donor"])
+    out = emb.embed(Atlas(star.cells(spark, d), star.genes(spark, d), star.counts(spark, d)), "halves")
+    return rounded(out.select("cell_id", "key", F.col("vector")[0].alias("first"), F.col("vector")[1].alias("second")), 1)
+
+
+@query("E8_embedding_by_name", with_ctes("SELECT 'X_gs' AS key, count(*) AS n, (SELECT sum(value) FROM counts) AS total FROM cells", DENSE_CELLS, DENSE_COUNTS))
+def by_name(spark, d):
+    a = dense_atlas(spark, d)
+    out = emb.embed(a, "gs", panel=emb.panel_from(a.genes, "gene_id"))
+    return out.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x)).alias("total"))
+
+
+@query("E9_missing_methods", with_ctes("SELECT 'X_pca' AS key, count(*) AS n FROM cells", DENSE_CELLS))
+def missing_methods(spark, d):
+    a = dense_atlas(spark, d)
+    panel = emb.panel_from(a.genes, "gene_id")
+    a = a.with_(embeddings=emb.embed(a, "gs", panel=panel))
+    out = emb.embed_missing(a, {"gs": {"panel": panel}, "pca": {"loadings": loadings(spark, d)}})
+    return out.groupBy("key").agg(F.count("*").alias("n"))
+
+
+# --- mixtures ---------------------------------------------------------------------
+
+URGENT = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+
+
+def two_humps(spark, d):
+    """A covariate with two well separated humps; a null now and then."""
+    o = star.table(spark, d, "orders")
+    high = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    return o.select(F.col("o_orderkey").alias("cell_id"), F.col("o_orderkey").alias("ord"), F.when(
+        F.col("o_orderstatus") != "P", F.col("o_totalprice") / 100000.0 + F.when(high, 40.0).otherwise(0.0)).alias("reads"))
+
+
+LABELLED = f"lab AS (SELECT o_orderkey AS cell_id, CASE WHEN o_orderstatus <> 'P' THEN CASE WHEN {URGENT} THEN 'high_reads' ELSE 'low_reads' END END AS reads_label FROM orders)"
+
+
+@query("E10_mixture_labels", with_ctes("SELECT cell_id, reads_label FROM lab", LABELLED))
+def mixture_labels(spark, d):
+    return mixtures.fit_labels(two_humps(spark, d), "reads").select("cell_id", "reads_label")
+
+
+@query("E11_bimodality", "SELECT 'reads' AS name, true AS bimodal FROM orders GROUP BY 1, 2")
+def bimodality(spark, d):
+    ok = mixtures.is_bimodal(two_humps(spark, d), "reads")
+    return two_humps(spark, d).agg(F.lit("reads").alias("name"), F.lit(ok).alias("bimodal")).select("name", "bimodal")
+
+
+@query("E12_labels_if_bimodal", with_ctes("SELECT reads_label, count(*) AS n FROM lab GROUP BY 1", LABELLED))
+def labels_if_bimodal(spark, d):
+    out, ok = mixtures.label_if_bimodal(two_humps(spark, d), "reads")
+    assert ok
+    return out.groupBy("reads_label").agg(F.count("*").alias("n"))
+
+
+@query("E13_bimodal_split", with_ctes("SELECT cell_id, reads_label AS bimodal_split FROM lab WHERE reads_label IS NOT NULL", LABELLED))
+def bimodal_split(spark, d):
+    return mixtures.split_if_bimodal(two_humps(spark, d), "reads").select("cell_id", "bimodal_split")
+
+
+@query("A24_cluster_sizes", with_ctes("SELECT reads_label, count(*) AS n_cells FROM lab GROUP BY 1", LABELLED))
+def cluster_sizes(spark, d):
+    return mixtures.cluster_sizes(mixtures.fit_labels(two_humps(spark, d), "reads"), "reads_label")
+
+
+@query("E14_label_regression")
+def label_regression(spark, d):
+    c = star.cells_with_instrument(spark, d)
+    c = c.withColumn("label", F.when(F.col("price") > 250000, "high").otherwise("low"))
+    return rounded(mixtures.label_regression(c, "label", ["instrument", "annotation"]), 4)
+
+
+# --- plans ------------------------------------------------------------------------
+
+
+def general_ctes(src: str, cells: str, n: int, min_cells: int, min_genes: int, by: list[str] | None = None, batch: str | None = None) -> str:
+    by = by or []
+    k = "".join(f"{b}, " for b in by)
+    using = ", ".join([*by, "gene_id"])
+    carry = "".join(f", c.{b}" for b in dict.fromkeys([*by, *([batch] if batch else [])]))
+    return f"""g_src AS (SELECT e.cell_id, e.gene_id, e.value{carry} FROM {src} e JOIN {cells} c USING (cell_id)),
+g_keep AS (SELECT {k}gene_id FROM g_src WHERE value > 0 GROUP BY {k}gene_id HAVING count(*) >= {min_cells}),
+g_e AS (SELECT g_src.* FROM g_src JOIN g_keep USING ({using}) QUALIFY count(*) OVER (PARTITION BY cell_id) >= {min_genes}),
+g_cells AS (SELECT * FROM {cells} WHERE cell_id IN (SELECT cell_id FROM g_e)),
+g_genes AS (SELECT * FROM genes WHERE gene_id IN (SELECT gene_id FROM g_e)),
+g_norm AS (SELECT * REPLACE (ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_id)) AS value) FROM g_e),
+""" + hvg_ctes(n, src="g_norm", cells="g_cells", genes="g_genes", by=by, batch=batch)
+
+
+def settings(**kw):
+    return preprocess.Settings(**{"min_cells": 20, "min_genes": 3, "n_top_genes": 200, "families": families(), "percent_top": (3,), **kw})
+
+
+def star_atlas(spark, d, instrument=False) -> Atlas:
+    cells = star.cells_with_instrument(spark, d) if instrument else star.cells(spark, d)
+    return Atlas(cells, star.genes(spark, d), star.counts(spark, d))
+
+
+GENE_OUT = "gene_id, round(dispersions_norm, 6) AS dispersions_norm, highly_variable"
+
+
+@query("K2_general_genes", with_ctes(f"SELECT {GENE_OUT}, highly_variable_nbatches FROM scored", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3, batch="batch")))
+def general_genes(spark, d):
+    out = preprocess.general(star_atlas(spark, d), settings(batch="batch"))
+    return rounded(out.genes.select("gene_id", "dispersions_norm", "highly_variable", "highly_variable_nbatches"))
+
+
+@query("K2_general_entries", with_ctes("SELECT cell_id, gene_id, round(value, 6) AS value FROM g_norm", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3)))
+def general_entries(spark, d):
+    return rounded(preprocess.general(star_atlas(spark, d), settings()).counts.select("cell_id", "gene_id", "value"))
+
+
+PASSED = "passed AS (SELECT * FROM cells WHERE cell_id IN (SELECT cell_id FROM judged WHERE NOT outlier AND NOT mt_outlier))"
+
+
+@query("K1_preprocessed_cells", with_ctes("SELECT cell_id, 'This measurement was conducted with ' || instrument || '. ' || caption AS caption, count(*) AS n_genes FROM g_cells JOIN g_norm USING (cell_id) GROUP BY 1, 2",
+    CELLS_INSTR, GENES, COUNTS, qc_ctes(), outlier_ctes(), PASSED, general_ctes("counts", "passed", 200, 20, 3)))
+def preprocessed_cells(spark, d):
+    out = preprocess.preprocess(star_atlas(spark, d, True), settings(instrument="instrument", description="caption"))
+    n = out.counts.groupBy("cell_id").agg(F.count("*").alias("n_genes"))
+    return out.cells.select("cell_id", "caption").join(n, "cell_id")
+
+
+@query("K1_preprocessed_genes", with_ctes(f"SELECT {GENE_OUT} FROM scored", CELLS, GENES, COUNTS, qc_ctes(), outlier_ctes(), PASSED, general_ctes("counts", "passed", 200, 20, 3)))
+def preprocessed_genes(spark, d):
+    out = preprocess.preprocess(star_atlas(spark, d), settings())
+    return rounded(out.genes.select("gene_id", "dispersions_norm", "highly_variable"))
+
+
+@query("K4_preprocessed_by_chunk", with_ctes(f"SELECT chunk, {GENE_OUT} FROM scored", CELLS.replace("o_totalprice AS price", "o_totalprice AS price, o_orderpriority AS chunk"), GENES, COUNTS,
+    qc_ctes(carry="chunk"), outlier_ctes(by="chunk"), PASSED, general_ctes("counts", "passed", 100, 5, 2, by=["chunk"])))
+def by_chunk(spark, d):
+    a = star_atlas(spark, d)
+    a = a.with_(cells=a.cells.withColumn("chunk", F.col("annotation")))
+    out = preprocess.preprocess(a, settings(min_cells=5, min_genes=2, n_top_genes=100), by="chunk")
+    return rounded(out.genes.select("chunk", "gene_id", "dispersions_norm", "highly_variable"))
+
+
+@query("K3_token_inputs", with_ctes("""SELECT cell_id, coalesce(t, 0) AS n_counts, row_number() OVER (ORDER BY ord) - 1 AS sample_index
+  FROM cells LEFT JOIN (SELECT cell_id, sum(value) AS t FROM counts GROUP BY 1) USING (cell_id)""", CELLS, COUNTS))
+def token_inputs(spark, d):
+    a = star_atlas(spark, d)
+    out = preprocess.token_inputs(a, a.counts, star.table(spark, d, "part").select(
+        F.col("p_name").alias("gene_name"), F.concat(F.lit("ENSG"), "p_partkey").alias("ensembl_gene_id")))
+    return out.cells.select("cell_id", "n_counts", "sample_index")
+
+
+@query("K5_cleaned_variable_genes", with_ctes("SELECT cell_id, gene_id, round(value, 6) AS value FROM g_norm SEMI JOIN (SELECT gene_id FROM scored WHERE highly_variable) USING (gene_id)",
+    CELLS, GENES, COUNTS, qc_ctes(), outlier_ctes(), PASSED, general_ctes("counts", "passed", 150, 20, 3, batch="batch")))
+def cleaned(spark, d):
+    out = preprocess.cleanup_variable_genes(star_atlas(spark, d), 150, "batch", 3, 20, families(), percent_top=(3,))
+    return rounded(out.counts.select("cell_id", "gene_id", "value"))
+
+
+NORM_B = "normb AS (SELECT n.*, c.batch FROM norm n JOIN cells c USING (cell_id))"
+RANKS = """ranks AS (SELECT batch AS dataset, gene_id, highly_variable, CASE WHEN dispersions_norm IS NOT NULL THEN
+  rank() OVER (PARTITION BY batch ORDER BY dispersions_norm DESC NULLS LAST) END AS rank FROM scored),
+per AS (SELECT gene_id, count(DISTINCT dataset) AS n_datasets, avg(rank) AS mean_rank FROM ranks WHERE highly_variable GROUP BY 1),
+stable AS (SELECT *, n_datasets = 3 AS in_all FROM per ORDER BY in_all DESC, n_datasets DESC, mean_rank NULLS LAST, gene_id LIMIT 300)"""
+
+
+def stable(spark, d):
+    return stable_genes.select_stable_genes(dict(zip("FOP", by_status(spark, d))), 400, 300)
+
+
+@query("W3_dispersion_ranks", with_ctes("SELECT dataset, gene_id, highly_variable, rank FROM ranks", CELLS, COUNTS, NORM, NORM_B, hvg_ctes(400, src="normb", by=["batch"]), RANKS))
+def ranks(spark, d):
+    return stable(spark, d)[1]
+
+
+@query("U8_stable_genes", with_ctes("SELECT gene_id, n_datasets, round(mean_rank, 6) AS mean_rank, in_all FROM stable", CELLS, COUNTS, NORM, NORM_B, hvg_ctes(400, src="normb", by=["batch"]), RANKS))
+def stable_set(spark, d):
+    return rounded(stable(spark, d)[0])
+
+
+@query("K6_stable_genes_by_name", None)
+def stable_by_name(spark, d):
+    """The same over gene names; names that repeat are told apart by suffixes."""
+    parts = dict(zip("FOP", by_status(spark, d)))
+    return rounded(stable_genes.select_stable_genes(parts, 400, 300, gene_column="gene_name", batch="annotation")[0])
+
+
+@query("A23_selection_summary", with_ctes("""SELECT CAST(3 AS BIGINT) AS total_datasets, count(*) AS final_gene_count, count(*) FILTER (WHERE in_all) AS genes_from_intersection,
+  count(*) FILTER (WHERE NOT in_all) AS genes_from_candidates, (SELECT count(*) FROM per WHERE n_datasets = 3) AS intersection_size FROM stable""",
+    CELLS, COUNTS, NORM, NORM_B, hvg_ctes(400, src="normb", by=["batch"]), RANKS))
+def selection_summary(spark, d):
+    chosen, rankings = stable(spark, d)
+    return setops.selection_summary(chosen, rankings, 3)
