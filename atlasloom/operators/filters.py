@@ -55,38 +55,57 @@ def require_cells(cells: DataFrame) -> None:
         raise ValueError("no cells left after filtering")
 
 
+def _not_finite(v: Column) -> Column:
+    return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+
+
 def genes_with_nonfinite(counts: DataFrame) -> DataFrame:
-    v = F.col("value")
-    bad = v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
-    return counts.filter(bad).select("gene_id").distinct()
+    return counts.filter(_not_finite(F.col("value"))).select("gene_id").distinct()
 
 
 def drop_nonfinite_genes(counts: DataFrame) -> DataFrame:
     return counts.join(broadcast_if_small(genes_with_nonfinite(counts)), "gene_id", "left_anti")
 
 
-def gene_variances(
-    counts: DataFrame, cells: DataFrame, by: str | Sequence[str] | None = None, ddof: int = 0
+def gene_sums(counts: DataFrame, by: str | Sequence[str] | None = None, linear: bool = False) -> DataFrame:
+    """Everything gene statistics need, in one map-side combined pass over the entries.
+
+    Per (group, gene): non-zero and non-finite entries, sum and sum of squares,
+    and with ``linear`` the same of ``expm1(value)``. The result is gene-sized.
+    """
+    v = F.col("value").cast("double")
+    aggs = [F.count_if(v != 0).alias("n_seen"), F.count_if(_not_finite(v)).alias("n_bad"),
+            F.sum(v).alias("s"), F.sum(v * v).alias("q")]
+    if linear:
+        x = F.expm1(v)
+        aggs += [F.sum(x).alias("ls"), F.sum(x * x).alias("lq")]
+    return counts.groupBy(*as_list(by), "gene_id").agg(*aggs)
+
+
+def variances_from_sums(
+    sums: DataFrame, cells: DataFrame, by: str | Sequence[str] | None = None, ddof: int = 0, s: str = "s", q: str = "q"
 ) -> DataFrame:
-    """Mean and variance per (group, gene) over all cells, zeros included; ``n_seen`` counts the non-zero ones."""
+    """Mean and variance per (group, gene) over all cells of the group, zeros included."""
     by = as_list(by)
-    v = F.col("value")
-    sums = counts.groupBy(*by, "gene_id").agg(
-        F.count_if(v != 0).alias("n_seen"), F.sum(v).alias("_s"), F.sum(v * v).alias("_q")
-    )
     if by:
         sizes = broadcast_if_small(cells.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("_n")))
         cond = F.lit(True)
         for b in by:
             cond = cond & sums[b].eqNullSafe(sizes[b])
-        sums = sums.join(sizes, cond).select(*[sums[b] for b in by], "gene_id", "n_seen", "_s", "_q", "_n")
+        sums = sums.join(sizes, cond).select(*[sums[c] for c in sums.columns], "_n")
     else:
         sums = sums.withColumn("_n", cells.agg(F.count(F.lit(1)).cast("double")).scalar())
-    mean = F.col("_s") / F.col("_n")
-    var = F.greatest(F.col("_q") - F.col("_n") * mean * mean, F.lit(0.0)) / (F.col("_n") - ddof)
+    mean = F.col(s) / F.col("_n")
+    var = F.greatest(F.col(q) - F.col("_n") * mean * mean, F.lit(0.0)) / (F.col("_n") - ddof)
     return sums.select(*by, "gene_id", "n_seen", F.col("_n").alias("n_cells"), mean.alias("mean"), var.alias("variance"))
 
 
+def gene_variances(
+    counts: DataFrame, cells: DataFrame, by: str | Sequence[str] | None = None, ddof: int = 0
+) -> DataFrame:
+    return variances_from_sums(gene_sums(counts, by), cells, by, ddof)
+
+
 def constant_genes(counts: DataFrame, cells: DataFrame) -> DataFrame:
     """Genes whose value is the same in every cell.
 
@@ -108,10 +127,10 @@ def varying_genes(genes: DataFrame, counts: DataFrame, cells: DataFrame) -> Data
 
 
 def batches_with_enough_genes(
-    counts: DataFrame, cells: DataFrame, batch: str, min_genes: int, var_threshold: float = 1e-6
+    counts: DataFrame, cells: DataFrame, batch: str, min_genes: int, var_threshold: float = 1e-6, sums: DataFrame | None = None
 ) -> DataFrame:
     """Batches with at least ``min_genes`` genes of non-negligible variance, every batch checked."""
-    var = gene_variances(counts, cells, batch)
+    var = variances_from_sums(gene_sums(counts, batch) if sums is None else sums, cells, batch)
     n = var.filter(F.col("variance") > var_threshold).groupBy(batch).agg(F.count(F.lit(1)).alias("n_variable"))
     return n.filter(F.col("n_variable") >= min_genes)
 

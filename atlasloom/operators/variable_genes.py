@@ -1,7 +1,7 @@
 """Highly variable genes by binned, normalised dispersion (Satija et al. 2015).
 
-Only two passes touch the entries: sums per (group, gene), combined map-side,
-and nothing else. Everything after works on gene-sized tables.
+One pass touches the entries: sums per (group, gene), combined map-side.
+Everything after works on gene-sized tables.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from atlasloom.operators.filters import gene_variances
+from atlasloom.operators.filters import gene_sums, variances_from_sums
 from atlasloom.sizing import broadcast_if_small
 
 
@@ -54,7 +54,7 @@ def _mark_top(d: DataFrame, by: list[str], n_top: int) -> DataFrame:
 
 def variable_genes(
     counts: DataFrame, cells: DataFrame, genes: DataFrame, n_top: int, batch: str | None = None, n_bins: int = 20,
-    by: list[str] | None = None,
+    by: list[str] | None = None, sums: DataFrame | None = None,
 ) -> DataFrame:
     """Gene table with ``means, dispersions, dispersions_norm, highly_variable``.
 
@@ -62,12 +62,15 @@ def variable_genes(
     per group (columns carried by ``counts`` and ``cells``). With ``batch`` the
     genes of each batch are scored among themselves, then ordered by the number
     of batches selecting them and their mean score, a batch without the gene
-    adding a score of zero; ``highly_variable_nbatches`` is added.
+    adding a score of zero; ``highly_variable_nbatches`` is added. ``sums`` is the
+    result of ``gene_sums(..., linear=True)`` on the same keys, if already there.
     """
     by = list(by or [])
-    linear = counts.withColumn("value", F.expm1("value"))
+    keys = [*by, *([batch] if batch else [])]
+    if sums is None:
+        sums = gene_sums(counts, keys, linear=True)
+    moments = variances_from_sums(sums, cells, keys, 1, "ls", "lq")
     if batch is None:
-        moments = gene_variances(linear, cells, by, ddof=1)
         if not by:
             # genes without entries have mean and variance zero and belong to the bins
             moments = genes.select("gene_id").join(moments, "gene_id", "left").na.fill(0.0, ["mean", "variance"])
@@ -76,8 +79,7 @@ def variable_genes(
             return marked
         return genes.join(marked, "gene_id", "left")
 
-    keys = [*by, batch]
-    expressed = gene_variances(linear, cells, keys, ddof=1).filter("n_seen > 0")
+    expressed = moments.filter("n_seen > 0")
     scored = _mark_top(_binned_dispersion(expressed, keys, n_bins), keys, n_top)
     batches = cells.groupBy(*by).agg(F.count_distinct(F.coalesce(F.col(batch).cast("string"), F.lit("\0"))).alias("_nb"))
     pooled = scored.groupBy(*by, "gene_id").agg(

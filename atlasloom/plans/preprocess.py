@@ -15,7 +15,7 @@ from atlasloom.operators.mixtures import split_if_bimodal
 from atlasloom.operators.normalise import ensure_raw_counts, log_normalise
 from atlasloom.operators.quality import passing_cells, quality_verdict
 from atlasloom.operators.variable_genes import variable_genes
-from atlasloom.sizing import broadcast_if_small
+from atlasloom.sizing import broadcast_if_small, settle, settle_by_key
 
 
 @dataclass(frozen=True)
@@ -52,27 +52,35 @@ def general(atlas: Atlas, s: Settings, by: Sequence[str] = ()) -> Atlas:
 
     Cells are filtered on the genes that were kept, once. With ``by`` every
     statistic is per group, and the gene table becomes one row per (group, gene).
+
+    The entries are read three times: for the gene filter, for the cells left,
+    and for all gene statistics together (finiteness, variance per batch,
+    dispersion). What follows from those is gene- or cell-sized.
     """
     by = list(by)
-    cells, counts = atlas.cells, scoped(atlas.counts, atlas.cells, by)
-    counts = filters.keep_frequent_genes(counts, s.min_cells, by)
+    counts = filters.keep_frequent_genes(scoped(atlas.counts, atlas.cells, by), s.min_cells, by)
     counts = filters.keep_rich_cells(counts, s.min_genes)
-    cells = filters.cells_with_entries(cells, counts)
+    cells = settle(filters.cells_with_entries(atlas.cells, counts))
     if s.categories:
         cells = edits.consolidate_categories(cells, s.categories, s.category_threshold, s.remove_rare, by)
         if s.remove_rare:
+            cells = settle(cells)
             counts = keep_cells(counts, cells)
     filters.require_cells(cells)
     counts = log_normalise(counts, cells, s.normalise)
-    counts = filters.drop_nonfinite_genes(counts)
-    genes = atlas.genes.join(broadcast_if_small(counts.select("gene_id").distinct()), "gene_id", "left_semi")
     batch = s.batch if s.batch in cells.columns else None
-    if batch:
-        counts = scoped(counts, cells, [batch])
-        if not by:
-            enough = filters.batches_with_enough_genes(counts, cells, batch, s.n_top_genes)
-            cells, counts = (filters.keep_batches(df, enough, batch) for df in (cells, counts))
-    scored = variable_genes(counts, cells, genes, s.n_top_genes, batch, by=by)
+    keys = list(dict.fromkeys([*by, *([batch] if batch else [])]))
+    sums = settle(filters.gene_sums(scoped(counts, cells, keys), keys, linear=True))
+    bad = sums.filter("n_bad > 0").select("gene_id").distinct()
+    if not bad.isEmpty():
+        bad = broadcast_if_small(bad)
+        sums, counts = (df.join(bad, "gene_id", "left_anti") for df in (sums, counts))
+    genes = atlas.genes.join(broadcast_if_small(sums.select("gene_id").distinct()), "gene_id", "left_semi")
+    if batch and not by:
+        enough = filters.batches_with_enough_genes(counts, cells, batch, s.n_top_genes, sums=sums)
+        cells, sums = (filters.keep_batches(df, enough, batch) for df in (cells, sums))
+        counts = keep_cells(counts, cells)
+    scored = variable_genes(counts, cells, genes, s.n_top_genes, batch, by=by, sums=sums)
     if by:
         scored = scored.join(broadcast_if_small(genes), "gene_id")
     return Atlas(cells, scored, counts.select("cell_id", "gene_id", "value", *by), atlas.layers, atlas.embeddings, atlas.uns)
@@ -110,7 +118,8 @@ def preprocess(
     cells = atlas.cells
     if accession_columns:
         cells = enrich_accessions(cells, accession_lookup, accession_columns, skip=skip_accessions, continue_on_fail=continue_on_fail)
-    raw = keep_cells(atlas.counts, cells)
+    # every later pass groups by cell: written once by cell, no pass shuffles the entries again
+    raw = settle_by_key(keep_cells(atlas.counts, cells) if accession_columns else atlas.counts, "cell_id")
     judged = quality_verdict(raw, cells, atlas.genes, percent_top=s.percent_top, families=s.families, mt=s.mt, by=groups,
                              symbol=s.symbol)
     cells = passing_cells(judged)
@@ -128,6 +137,7 @@ def cleanup_variable_genes(
 ) -> Atlas:
     """Quality filter, general steps without rare batches, then only the variable genes."""
     n = min(n_top_genes, atlas.genes.count(), 10_000)
+    atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
     judged = quality_verdict(
         atlas.counts, atlas.cells, atlas.genes, percent_top=percent_top, families=families, mt=mt, symbol=symbol)
     cells = passing_cells(judged)

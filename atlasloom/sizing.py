@@ -9,6 +9,7 @@ sort-merge, with adaptive skew splitting.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +42,43 @@ def broadcast_if_small(df: DataFrame, keep: bool = True) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= broadcast_limit(df.sparkSession) else df
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named in ``spark.checkpoint.dir``; a temporary one for a local session without it, else none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local"):
+        return None
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="atlasloom-checkpoint-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a table once so that several later passes do not repeat its lineage.
 
-    Uses a reliable checkpoint in the folder the session names in
-    ``spark.checkpoint.dir``. Only a local session without that setting gets a
-    temporary folder; a cluster without one keeps blocks with their lineage.
+    A reliable checkpoint where there is a shared folder; otherwise blocks are
+    kept together with their lineage.
+    """
+    if shared_folder(df.sparkSession) is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True)
+
+
+def settle_by_key(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """Like ``settle``, but later grouping and joining by ``key`` needs no shuffle.
+
+    Written once as a table bucketed by ``key`` in the shared folder: a
+    checkpoint would forget how its rows are partitioned. Rows that come
+    partitioned by ``key`` are written without another shuffle, one file per bucket.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="atlasloom-checkpoint-"))
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    folder = shared_folder(spark)
+    if folder is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"atlasloom_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, key).sortBy(key).option("path", f"{folder}/{name}").format("parquet").saveAsTable(name)
+    return spark.table(name)

@@ -29,17 +29,13 @@ def exploded(vectors, places=3):
 
 # --- embeddings -------------------------------------------------------------------
 
-AUTO = """norm AS (SELECT cell_id, gene_id, CASE WHEN (SELECT max(value) < 100 FROM counts) THEN s ELSE ln(1 + s) END AS value FROM (
-  SELECT cell_id, gene_id, CASE WHEN (SELECT stddev_pop(t) / avg(t) < 1 FROM (SELECT c.cell_id, coalesce(sum(value), 0) AS t FROM cells c LEFT JOIN counts USING (cell_id) GROUP BY 1))
-    THEN value ELSE value * 10000.0 / sum(value) OVER (PARTITION BY cell_id) END AS s FROM counts))"""
-
-
 @query("E1_variable_gene_vectors", with_ctes("""SELECT cell_id, slot AS dim, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 3) AS value FROM norm JOIN (
     SELECT gene_id, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS slot FROM (SELECT gene_id, pos FROM scored JOIN genes USING (gene_id)
-      WHERE highly_variable ORDER BY dispersions_norm DESC NULLS LAST, pos LIMIT 10)) USING (gene_id) WHERE value > 1e-9""",
-    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, AUTO, hvg_ctes(10)))
+      WHERE highly_variable ORDER BY dispersions_norm DESC NULLS LAST, pos LIMIT 150)) USING (gene_id)""",
+    CELLS, GENES, COUNTS, NORM, hvg_ctes(150)))
 def hvg_vectors(spark, d):
-    return exploded(emb.embed(dense_atlas(spark, d), "hvg", n=10))
+    a = star_atlas(spark, d)
+    return exploded(emb.embed(a.with_(counts=log_normalise(a.counts)), "hvg", n=150))
 
 
 @query("E2_panel_vectors", with_ctes("""SELECT cell_id, slot AS dim, CAST(value AS DOUBLE) AS value FROM counts JOIN (
