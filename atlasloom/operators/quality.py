@@ -152,8 +152,9 @@ def _with_group_row(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame
     """Attach a per-group (or one-row) statistics table."""
     new = [c for c in stats.columns if c not in by]
     if not by:
-        return df.withColumn("_row", stats.select(F.struct(*new).alias("r")).scalar()).select(
-            *[F.col(c) for c in df.columns], *[F.col(f"_row.{c}").alias(c) for c in new])
+        # one row of numbers: as literals they cost nothing each time the flags are evaluated
+        row = stats.first()
+        return df.withColumns({c: F.lit(row[c]).cast("double") for c in new})
     s = broadcast_if_small(stats)
     s = s.select(*[F.col(k).alias(f"_k_{k}") for k in by], *new)
     cond = F.lit(True)

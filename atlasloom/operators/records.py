@@ -33,9 +33,9 @@ def check_request(fmt: str, n_negatives: int, caption: str | None) -> None:
 
 def samples(
     cells: DataFrame, sentence_keys: Sequence[str], adata_link: str | Column, caption: str | None = None,
-    batch: str | None = None, index: str = "cell_id",
+    batch: str | None = None, index: str = "cell_id", keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The columns a record needs, under fixed names."""
+    """The columns a record needs, under fixed names, and those of ``keep`` (a split, say)."""
     require_columns(cells, sentence_keys, "sentence_keys")
     require_columns(cells, [c for c in (caption, batch) if c], "cells")
     link = F.lit(adata_link) if isinstance(adata_link, str) else adata_link
@@ -44,7 +44,7 @@ def samples(
         *[F.col(k).alias(f"cell_sentence_{i}") for i, k in enumerate(sentence_keys, 1)],
         (F.col(caption) if caption else F.lit(None).cast("string")).alias("caption"),
         (F.col(batch).cast("string") if batch else F.lit(None).cast("string")).alias("batch"),
-        link.alias("adata_link"),
+        link.alias("adata_link"), *keep,
     )
 
 
@@ -77,51 +77,65 @@ def _pools(rows: DataFrame, m: int, scope: list[str]) -> tuple[DataFrame, DataFr
 
 
 def _attach(df: DataFrame, pool: DataFrame, keys: list[str]) -> DataFrame:
-    name = pool.columns[-1]
+    """Candidate list per row: by a join on the pool's keys, or the one list there is as a literal."""
+    name, ids = pool.columns[-1], dict(df.dtypes)["sample_idx"]
+    kind = f"array<struct<first:bigint,ord:bigint,sample_idx:{ids},caption:string>>"
     if not keys:
-        return df.withColumn(name, pool.select(name).scalar())
+        row = pool.first()  # at most 2m entries
+        entries = [F.struct(
+            F.lit(e["first"]).cast("bigint").alias("first"), F.lit(e["ord"]).cast("bigint").alias("ord"),
+            F.lit(e["sample_idx"]).cast(ids).alias("sample_idx"), F.lit(e["caption"]).cast("string").alias("caption"),
+        ) for e in (row[0] if row else [])]
+        return df.withColumn(name, F.array(*entries).cast(kind))
     small = broadcast_if_small(pool)
     small = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys], name)
     cond = F.lit(True)
     for k in keys:
         cond = cond & df[k].eqNullSafe(small[f"_k_{k}"])
-    return df.join(small, cond, "left").drop(*[f"_k_{k}" for k in keys])
+    joined = df.join(small, cond, "left").drop(*[f"_k_{k}" for k in keys])
+    return joined.withColumn(name, F.coalesce(F.col(name).cast(kind), F.array().cast(kind)))
 
 
 def add_negatives(
-    rows: DataFrame, n_negatives: int, scope: Sequence[str] = (), repeat_captions: str = "next"
+    rows: DataFrame, n_negatives: int, scope: Sequence[str] = (), repeat_captions: str = "next", required: bool = False
 ) -> DataFrame:
     """``negative_<i>`` structs (sample_idx, caption), null where none exists.
 
     Odd ``i``: another caption; even ``i``: any other sample. Rows of the same
     batch come first, then rows anywhere. ``repeat_captions="next"`` gives the
     third, fifth, ... negative the next unused row; ``"first"`` always looks at
-    the same row, so those stay empty.
+    the same row, so those stay empty. ``required`` drops anchors without any.
     """
     if repeat_captions not in {"next", "first"}:
         raise ValueError("repeat_captions must be 'next' or 'first'")
     scope, m = list(scope), n_negatives + 1
     near, far, anyrow = _pools(rows, m, scope)
     out = _attach(_attach(_attach(rows, near, [*scope, "batch"]), far, scope), anyrow, scope)
-    nothing = F.array().cast("array<struct<first:bigint,ord:bigint,sample_idx:%s,caption:string>>" % dict(rows.dtypes)["sample_idx"])
-    for c in ("near", "far", "any"):
-        out = out.withColumn(c, F.coalesce(F.col(c).cast(
-            "array<struct<first:bigint,ord:bigint,sample_idx:%s,caption:string>>" % dict(rows.dtypes)["sample_idx"]), nothing))
+
+    def other(x: Column) -> Column:
+        return ~x["caption"].eqNullSafe(F.col("caption"))
+
+    def another(x: Column) -> Column:
+        return x["sample_idx"] != F.col("sample_idx")
+
+    if required:
+        # asked of the lists, which stops at the first hit, not of the negatives, which would be computed twice
+        some = F.exists("near", other) | F.exists("far", other)
+        if n_negatives > 1:
+            some = some | F.exists("near", another) | F.exists("any", another)
+        out = out.filter(some)
     out = out.withColumn("_used", F.array("sample_idx"))
     for i in range(1, n_negatives + 1):
         def unused(x: Column) -> Column:
             return ~F.array_contains(F.col("_used"), x["sample_idx"])
 
-        def other(x: Column) -> Column:
-            return ~x["caption"].eqNullSafe(F.col("caption"))
-
         if i % 2 == 1:
             if repeat_captions == "next":
                 def fits(x: Column) -> Column:
                     return other(x) & unused(x)
             else:
                 def fits(x: Column) -> Column:
-                    return other(x) & (x["sample_idx"] != F.col("sample_idx"))
+                    return other(x) & another(x)
             pick = F.coalesce(F.get(F.filter("near", fits), F.lit(0)), F.get(F.filter("far", fits), F.lit(0)))
             if repeat_captions == "first":
                 pick = F.when(~F.array_contains(F.col("_used"), pick["sample_idx"]), pick)
@@ -153,14 +167,13 @@ def build_records(
     head = [*scope, "sample_idx", *sentences]
     if fmt == "single":
         return data.select(*head, "adata_link")
-    out = add_negatives(data, 1 if fmt == "pairs" else n_negatives, scope, repeat_captions)
+    out = add_negatives(data, 1 if fmt == "pairs" else n_negatives, scope, repeat_captions, required=True)
     if fmt == "pairs":
         both = F.array(
             F.struct(F.col("caption"), F.lit(1.0).alias("label")),
             F.struct(F.col("negative_1.caption").alias("caption"), F.lit(0.0).alias("label")))
-        return out.filter(F.col("negative_1").isNotNull()).select(*head, F.inline(both), "adata_link")
+        return out.select(*head, F.inline(both), "adata_link")
     names = [f"negative_{i}" for i in range(1, n_negatives + 1)]
-    out = out.filter(F.coalesce(*[F.col(n) for n in names]).isNotNull())
     resolved = []
     if resolve and len(sentences) == 1:
         out, resolved = _resolve(out, data, names, list(scope))

@@ -19,13 +19,14 @@ def gene_slots(genes: DataFrame, name: str = "gene_name") -> DataFrame:
         "gene_id", label.cast("string").alias("name"), F.row_number().over(W.orderBy("pos")).alias("slot"))
 
 
-def ranked_names(counts: DataFrame, cells: DataFrame, slots: DataFrame, length: int) -> DataFrame:
-    """``cell_id, top_genes``: names by value descending, ties by slot; then unexpressed genes in slot order.
+def with_top_genes(counts: DataFrame, cells: DataFrame, slots: DataFrame, length: int, out: str = "top_genes") -> DataFrame:
+    """Cells with gene names by value descending, ties by slot; then unexpressed genes in slot order.
 
     Entries are non-negative. A cell's list is bounded by the gene number; it is
-    ordered, cut, and filled inside the one aggregation by cell. The fill needs
-    only the first ``length`` slots: at most as many of them are expressed as
-    the sentence already holds.
+    ordered and cut inside the one aggregation by cell. The fill needs only the
+    first ``length`` slots: at most as many of them are expressed as the
+    sentence already holds. The aggregate is joined from the left, so a reader
+    that does not use the names does not compute them.
     """
     small = broadcast_if_small(slots)
     entries = counts.filter(F.col("value") > 0).join(small, "gene_id")
@@ -33,13 +34,14 @@ def ranked_names(counts: DataFrame, cells: DataFrame, slots: DataFrame, length:
         F.struct((-F.col("value")).alias("down"), "slot", "name"))), 1, length).alias("_top"))
     head = small.filter(F.col("slot") <= length).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("slot", "name"))), lambda s: s["name"])).scalar()
-    out = cells.select("cell_id").join(per_cell, "cell_id", "left").withColumn("_head", head)
-    named = F.coalesce(F.transform("_top", lambda s: s["name"]), F.array().cast("array<string>"))
-    taken = F.coalesce(F.transform("_top", lambda s: s["slot"]), F.array().cast("array<int>"))
+    no_names, no_slots = F.array().cast("array<string>"), F.array().cast("array<int>")
+    named = F.coalesce(F.transform("_top", lambda s: s["name"]), no_names)
+    taken = F.coalesce(F.transform("_top", lambda s: s["slot"]), no_slots)
     n_head = F.size("_head")
-    free = F.array_except(F.when(n_head > 0, F.sequence(F.lit(1), n_head)).otherwise(F.array().cast("array<int>")), taken)
+    free = F.array_except(F.when(n_head > 0, F.sequence(F.lit(1), n_head)).otherwise(no_slots), taken)
     fill = F.transform(F.slice(free, F.lit(1), F.lit(length) - F.size(named)), lambda i: F.element_at(F.col("_head"), i))
-    return out.select("cell_id", F.when(F.size(named) >= length, named).otherwise(F.concat(named, fill)).alias("top_genes"))
+    joined = cells.join(per_cell, "cell_id", "left").withColumn("_head", head)
+    return joined.withColumn(out, F.when(F.size(named) >= length, named).otherwise(F.concat(named, fill))).drop("_top", "_head")
 
 
 def cell_sentences(
@@ -54,8 +56,7 @@ def cell_sentences(
     if annotation is not None:
         require_columns(cells, [annotation], "cells")
     slots = gene_slots(genes.filter("highly_variable"), name)
-    top = ranked_names(counts, cells, slots, length)
-    out = cells.join(top, "cell_id").withColumn("cell_sentence", F.array_join("top_genes", " "))
+    out = with_top_genes(counts, cells, slots, length).withColumn("cell_sentence", F.array_join("top_genes", " "))
     if annotation is None:
         return out.drop("top_genes")
     out = out.withColumn("semantic_true", semantic_sentence(

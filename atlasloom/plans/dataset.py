@@ -37,8 +37,7 @@ def build_split_records(
         link = F.col("adata_link")
     else:
         link = F.col(file_key) if file_key in with_text.columns else F.lit("")
-    base = samples(with_text.withColumn("adata_link", link), keys, F.col("adata_link"), caption, batch)
-    data = base.join(cells.select(F.col("cell_id").alias("sample_idx"), split), "sample_idx")
+    data = samples(with_text.withColumn("adata_link", link), keys, F.col("adata_link"), caption, batch, keep=[split])
     return build_records(data, fmt, n_negatives, resolve, scope=[split])
 
 

@@ -107,6 +107,8 @@ def preprocess(
     """The whole chain. ``by`` names columns (chunk, split) whose groups are treated each on its own."""
     s = settings or Settings()
     groups = as_list(by)
+    # every later pass groups by cell: written once by cell, no pass shuffles the entries again
+    atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
     atlas = ensure_raw_counts(atlas, s.count_layer)
     if s.drop_layers:
         atlas = atlas.with_(layers=edits.drop_layers(atlas.layers, s.drop_layers))
@@ -118,11 +120,10 @@ def preprocess(
     cells = atlas.cells
     if accession_columns:
         cells = enrich_accessions(cells, accession_lookup, accession_columns, skip=skip_accessions, continue_on_fail=continue_on_fail)
-    # every later pass groups by cell: written once by cell, no pass shuffles the entries again
-    raw = settle_by_key(keep_cells(atlas.counts, cells) if accession_columns else atlas.counts, "cell_id")
+    raw = keep_cells(atlas.counts, cells) if accession_columns else atlas.counts
     judged = quality_verdict(raw, cells, atlas.genes, percent_top=s.percent_top, families=s.families, mt=s.mt, by=groups,
                              symbol=s.symbol)
-    cells = passing_cells(judged)
+    cells = settle(passing_cells(judged))
     out = general(atlas.with_(cells=cells, counts=keep_cells(raw, cells)), s, groups)
     if s.token_inputs:
         out = token_inputs(out, raw, symbol_lookup, s.symbol, groups)
@@ -140,7 +141,7 @@ def cleanup_variable_genes(
     atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
     judged = quality_verdict(
         atlas.counts, atlas.cells, atlas.genes, percent_top=percent_top, families=families, mt=mt, symbol=symbol)
-    cells = passing_cells(judged)
+    cells = settle(passing_cells(judged))
     s = Settings(min_cells=min_cells, min_genes=min_genes, n_top_genes=n, batch=batch,
                  categories=(batch,) if batch else (), category_threshold=5)
     out = general(atlas.with_(cells=cells, counts=keep_cells(atlas.counts, cells)), s)
