@@ -36,7 +36,8 @@ def _binned_dispersion(moments: DataFrame, by: list[str], n_bins: int) -> DataFr
     single = F.col("_dev").isNull() | F.isnan("_dev")
     centre = F.when(single, F.lit(0.0)).otherwise(F.col("_avg"))
     spread = F.when(single, F.col("_avg")).otherwise(F.col("_dev"))
-    norm = F.when(spread != 0, (F.col("dispersions") - centre) / spread)
+    # genes that are alike differ by no more than the order of summation: no spread, and equal to nine places
+    norm = F.when(F.abs(spread) > 1e-12, F.round((F.col("dispersions") - centre) / spread, 9))
     return d.select(*by, "gene_id", "means", "dispersions", "mean_bin", norm.alias("dispersions_norm"))
 
 

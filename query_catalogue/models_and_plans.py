@@ -194,7 +194,12 @@ g_e AS (SELECT g_src.* FROM g_src JOIN g_keep USING ({using}) QUALIFY count(*) O
 g_cells AS (SELECT * FROM {cells} WHERE cell_id IN (SELECT cell_id FROM g_e)),
 g_genes AS (SELECT * FROM genes WHERE gene_id IN (SELECT gene_id FROM g_e)),
 g_norm AS (SELECT * REPLACE (ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_id)) AS value) FROM g_e),
-""" + hvg_ctes(n, src="g_norm", cells="g_cells", genes="g_genes", by=by, batch=batch)
+""" + (hvg_ctes(n, src="g_norm", cells="g_cells", genes="g_genes", by=by) if not batch else f"""g_var AS (SELECT {batch}, gene_id, sum(value) AS s, sum(value * value) AS q FROM g_norm GROUP BY 1, 2),
+g_enough AS (SELECT {batch} FROM g_var JOIN (SELECT {batch}, count(*) AS n FROM g_cells GROUP BY 1) USING ({batch})
+  WHERE (q - n * (s / n) * (s / n)) / n > 1e-6 GROUP BY 1 HAVING count(*) >= {n}),
+g_norm_b AS (SELECT * FROM g_norm WHERE {batch} IN (SELECT {batch} FROM g_enough)),
+g_cells_b AS (SELECT * FROM g_cells WHERE {batch} IN (SELECT {batch} FROM g_enough)),
+""" + hvg_ctes(n, src="g_norm_b", cells="g_cells_b", genes="g_genes", by=by, batch=batch))
 
 
 def settings(**kw):
@@ -209,9 +214,9 @@ def star_atlas(spark, d, instrument=False) -> Atlas:
 GENE_OUT = "gene_id, round(dispersions_norm, 6) AS dispersions_norm, highly_variable"
 
 
-@query("K2_general_genes", with_ctes(f"SELECT {GENE_OUT}, highly_variable_nbatches FROM scored", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3, batch="batch")))
+@query("K2_general_genes", with_ctes(f"SELECT {GENE_OUT}, highly_variable_nbatches FROM scored", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 100, 20, 3, batch="batch")))
 def general_genes(spark, d):
-    out = preprocess.general(star_atlas(spark, d), settings(batch="batch"))
+    out = preprocess.general(star_atlas(spark, d), settings(batch="batch", n_top_genes=100))
     return rounded(out.genes.select("gene_id", "dispersions_norm", "highly_variable", "highly_variable_nbatches"))
 
 
@@ -255,10 +260,10 @@ def token_inputs(spark, d):
     return out.cells.select("cell_id", "n_counts", "sample_index")
 
 
-@query("K5_cleaned_variable_genes", with_ctes("SELECT cell_id, gene_id, round(value, 6) AS value FROM g_norm SEMI JOIN (SELECT gene_id FROM scored WHERE highly_variable) USING (gene_id)",
-    CELLS, GENES, COUNTS, qc_ctes(), outlier_ctes(), PASSED, general_ctes("counts", "passed", 150, 20, 3, batch="batch")))
+@query("K5_cleaned_variable_genes", with_ctes("SELECT cell_id, gene_id, round(value, 6) AS value FROM g_norm_b SEMI JOIN (SELECT gene_id FROM scored WHERE highly_variable) USING (gene_id)",
+    CELLS, GENES, COUNTS, qc_ctes(), outlier_ctes(), PASSED, general_ctes("counts", "passed", 100, 5, 3, batch="batch")))
 def cleaned(spark, d):
-    out = preprocess.cleanup_variable_genes(star_atlas(spark, d), 150, "batch", 3, 20, families(), percent_top=(3,))
+    out = preprocess.cleanup_variable_genes(star_atlas(spark, d), 100, "batch", 3, 5, families(), percent_top=(3,))
     return rounded(out.counts.select("cell_id", "gene_id", "value"))
 
 

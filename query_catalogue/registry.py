@@ -95,7 +95,7 @@ def hvg_ctes(n: int, src: str = "norm", cells: str = "cells", genes: str = "gene
   least(greatest(ceil((means - lo) / ((hi - lo) / {bins}.0)) - 1, 0), {bins - 1}) END AS mean_bin FROM {out}_r)"""
     stat = f"""{out}_t AS (SELECT *, avg(dispersions) OVER ({part_bin}) AS a, stddev_samp(dispersions) OVER ({part_bin}) AS d FROM {out}_b)"""
     norm = f"""{out}_z AS (SELECT {k}gene_id, means, dispersions, CASE WHEN d IS NULL THEN
-    CASE WHEN a <> 0 THEN dispersions / a END ELSE CASE WHEN d <> 0 THEN (dispersions - a) / d END END AS dispersions_norm FROM {out}_t)"""
+    CASE WHEN abs(a) > 1e-12 THEN round(dispersions / a, 9) END ELSE CASE WHEN d > 1e-12 THEN round((dispersions - a) / d, 9) END END AS dispersions_norm FROM {out}_t)"""
     rank = f"""{out}_k AS (SELECT *, row_number() OVER ({part} ORDER BY dispersions_norm DESC NULLS LAST) AS nth,
   count(dispersions_norm) OVER ({part}) AS known FROM {out}_z)"""
     cut = f"""{out}_c AS (SELECT *, max(CASE WHEN nth = least({n}, known) THEN dispersions_norm END) OVER ({part}) AS cut FROM {out}_k)"""
