@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -32,16 +32,22 @@ def panel_from(genes: DataFrame, order: str = "pos") -> DataFrame:
 def panel_vectors(counts: DataFrame, cells: DataFrame, panel: DataFrame, key: str) -> DataFrame:
     """Values of the panel genes as one float vector per cell, absent genes and empty cells as zeros.
 
-    One aggregation by cell; a cell's map is bounded by the panel.
+    One aggregation by cell. A cell's entries, ordered by slot, are laid out with
+    the zeros between them, so the work is the panel's length plus the entries.
     """
     dim = panel.count()
-    rows = on_panel(counts, panel).groupBy("cell_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", F.col("value").cast("float").alias("v")))).alias("_m"))
     zero = F.lit(0.0).cast("float")
-    filled = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), zero))
-    return cells.select("cell_id").join(rows, "cell_id", "left").select(
-        "cell_id", F.lit(key).alias("key"),
-        F.when(F.col("_m").isNull(), F.array_repeat(zero, dim)).otherwise(filled).alias("vector"))
+    per_cell = on_panel(counts, panel).groupBy("cell_id").agg(F.sort_array(F.collect_list(
+        F.struct("slot", F.col("value").cast("float").alias("v")))).alias("_e"))
+    e = F.col("_e")
+
+    def with_gap(x: Column, i: Column) -> Column:
+        following = F.coalesce(F.get(e, i + 1)["slot"], F.lit(dim))
+        return F.concat(F.array(x["v"]), F.array_repeat(zero, (following - x["slot"] - 1).cast("int")))
+
+    filled = F.concat(F.array_repeat(zero, F.get(e, F.lit(0))["slot"].cast("int")), F.flatten(F.transform(e, with_gap)))
+    return cells.select("cell_id").join(per_cell, "cell_id", "left").select(
+        "cell_id", F.lit(key).alias("key"), F.when(e.isNull(), F.array_repeat(zero, dim)).otherwise(filled).alias("vector"))
 
 
 def hvg_vectors(atlas: Atlas, n: int, batch: str | None = None, key: str = "X_hvg") -> DataFrame:

@@ -66,64 +66,79 @@ def gene_metrics(counts: DataFrame, cells: DataFrame, genes: DataFrame, log1p: b
     return m
 
 
-def _percentile_medians(df: DataFrame, columns: Sequence[str], by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.percentile(c, F.lit(0.5)).alias(f"med_{c}") for c in columns])
+def _percentile_quantiles(df: DataFrame, targets: dict[str, tuple[str, float]], by: list[str]) -> DataFrame:
+    return df.groupBy(*by).agg(*[F.percentile(c, F.lit(q)).alias(name) for name, (c, q) in targets.items()])
 
 
-def _bracketed_medians(df: DataFrame, columns: Sequence[str], by: list[str], half_width: float = 0.001) -> DataFrame:
-    """Exact medians without buffering all values in one place.
+def _bracketed_quantiles(
+    df: DataFrame, targets: dict[str, tuple[str, float]], by: list[str], half_width: float = 0.001
+) -> DataFrame:
+    """Exact quantiles without buffering all values in one place.
 
-    A sketch brackets the middle of each column; values under the bracket are
-    only counted, values inside are counted per distinct value, and the middle
-    positions are read off the running count. Only the bracket (about a
-    five-hundredth of the rows) is ever ordered. Should a bracket miss the
-    middle, the job fails instead of returning a wrong number.
+    A sketch brackets each wanted place; values under the bracket are only
+    counted, values inside are counted per distinct value, and the wanted places
+    are read off the running count. Only the brackets (about a five-hundredth of
+    the rows) are ever ordered. Should a bracket miss its place, the job fails
+    instead of returning a wrong number.
     """
-    accuracy = F.lit(10000)
-    ends = F.array(F.lit(0.5 - half_width), F.lit(0.5 + half_width))
+    columns = list(dict.fromkeys(c for c, _ in targets.values()))
     box = df.groupBy(*by).agg(
-        *[F.percentile_approx(c, ends, accuracy).alias(f"_box_{c}") for c in columns],
+        *[F.percentile_approx(c, F.array(F.lit(max(q - half_width, 0.0)), F.lit(min(q + half_width, 1.0))), F.lit(10000)).alias(f"_box_{n}")
+          for n, (c, q) in targets.items()],
         *[F.count(c).alias(f"_n_{c}") for c in columns],
     )
-    box = broadcast_if_small(box)
     if by:
+        box = broadcast_if_small(box)
         b = box.select(*[F.col(k).alias(f"_k_{k}") for k in by], *[c for c in box.columns if c not in by])
         cond = F.lit(True)
         for k in by:
             cond = cond & df[k].eqNullSafe(b[f"_k_{k}"])
         joined = df.join(b, cond)
     else:
-        row = box.select(F.struct("*").alias("s")).scalar()
-        joined = df.withColumn("_s", row).select(*[F.col(c) for c in columns], *[F.col(f"_s.{c}").alias(c) for c in box.columns])
+        row = box.first()
+        joined = df.select(*columns).withColumns({
+            **{f"_box_{n}": F.array(*[F.lit(x) for x in (row[f"_box_{n}"] or [None, None])]) for n in targets},
+            **{f"_n_{c}": F.lit(row[f"_n_{c}"]) for c in columns}})
     long = joined.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"), F.col(f"_box_{c}")[0].cast("double").alias("lo"),
-                 F.col(f"_box_{c}")[1].cast("double").alias("hi"), F.col(f"_n_{c}").alias("n"))
-        for c in columns])).alias("e")).select(*by, "e.*")
+        F.struct(F.lit(n).alias("name"), F.lit(q).alias("p"), F.col(c).cast("double").alias("v"),
+                 F.col(f"_box_{n}")[0].cast("double").alias("lo"), F.col(f"_box_{n}")[1].cast("double").alias("hi"),
+                 F.col(f"_n_{c}").cast("bigint").alias("n"))
+        for n, (c, q) in targets.items()])).alias("e")).select(*by, "e.*")
     held = long.filter(F.col("v").isNotNull() & (F.col("v") <= F.col("hi"))).groupBy(
-        *by, "name", "n", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")
+        *by, "name", "p", "n", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")
     ).agg(F.count(F.lit(1)).alias("c"))
     w = W.partitionBy(*by, "name").orderBy(F.col("v").asc_nulls_first())
     run = held.withColumn("upto", F.sum("c").over(w)).withColumn("before", F.col("upto") - F.col("c"))
-    left, right = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    place = (F.col("n") - 1) * F.col("p")  # between the value there and the next, by its fraction
+    left = F.floor(place) + 1
 
     def at(k: Column) -> Column:
         return F.max(F.when((F.col("before") < k) & (k <= F.col("upto")), F.col("v")))
 
-    mid = run.groupBy(*by, "name").agg(((at(left) + at(right)) / 2.0).alias("med"))
-    mid = mid.withColumn("med", F.when(F.col("med").isNotNull(), F.col("med")).otherwise(
-        F.raise_error(F.lit("median outside its bracket"))))
-    return mid.groupBy(*by).pivot("name", list(columns)).agg(F.first("med")).select(
-        *by, *[F.col(c).alias(f"med_{c}") for c in columns])
+    found = run.groupBy(*by, "name").agg(
+        at(left).alias("a"), at(F.least(left + 1, F.col("n"))).alias("b"), F.max(place - F.floor(place)).alias("f"))
+    f = F.col("f")
+    value = F.when((f == 0) | (F.col("a") == F.col("b")), F.col("a")).otherwise((1 - f) * F.col("a") + f * F.col("b"))
+    found = found.withColumn("value", F.when(value.isNotNull(), value).otherwise(
+        F.raise_error(F.lit("quantile outside its bracket"))))
+    return found.groupBy(*by).pivot("name", list(targets)).agg(F.first("value"))
 
 
-def medians(
-    df: DataFrame, columns: Sequence[str], by: str | Sequence[str] | None = None, method: str = "auto"
+def quantiles(
+    df: DataFrame, targets: dict[str, tuple[str, float]], by: str | Sequence[str] | None = None, method: str = "auto"
 ) -> DataFrame:
-    """Exact median of each column per group, as ``med_<column>``."""
+    """Exact quantiles ``{name: (column, probability)}`` per group, interpolated between neighbours."""
     by = as_list(by)
     if method == "auto":
         method = "percentile" if df.count() <= PERCENTILE_ROWS else "bracket"
-    return (_percentile_medians if method == "percentile" else _bracketed_medians)(df, columns, by)
+    return (_percentile_quantiles if method == "percentile" else _bracketed_quantiles)(df, targets, by)
+
+
+def medians(
+    df: DataFrame, columns: Sequence[str], by: str | Sequence[str] | None = None, method: str = "auto"
+) -> DataFrame:
+    """Exact median of each column per group, as ``med_<column>``."""
+    return quantiles(df, {f"med_{c}": (c, 0.5) for c in columns}, by, method)
 
 
 def outlier_flags(

@@ -3,8 +3,9 @@
 A row number over a whole table (or over a group that may hold a third of it)
 would sort everything in one task. Here rows first fall into a few thousand
 ordered buckets; bucket sizes give each bucket its offset, and rows are numbered
-inside their bucket. The join with the offsets and the numbering share one
-shuffle on (group, bucket).
+inside their bucket. The offsets are broadcast when they measure small, so the
+only shuffle of the rows is the one on (group, bucket) that numbers them; when
+only the first ranks are wanted, later buckets are dropped before it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from atlasloom.functions.ids import seeded_md5
-from atlasloom.model import as_list, same_keys
+from atlasloom.model import as_list
+from atlasloom.sizing import broadcast_if_small
 
 BUCKETS = 4096
 
@@ -38,9 +40,9 @@ def _numbered(df: DataFrame, by: list[str], order: list[str], out: str, first: i
     offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     if first is not None:
         offsets = offsets.filter(F.col("_off") < first)
-    o = offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_off")
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
+    o = broadcast_if_small(offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_off"))
+    cond = df["_bucket"] == o[f"_o_{len(by)}"]
+    for i, k in enumerate(by):
         cond = cond & df[k].eqNullSafe(o[f"_o_{i}"])
     inside = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     ranked = df.join(o, cond).withColumn(out, (inside + F.col("_off")).cast("bigint"))

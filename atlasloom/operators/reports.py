@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atlasloom.operators.quality import quantiles
+
 
 def histogram(df: DataFrame, metric: str, auto_bins: int | None = None) -> DataFrame:
     """``bin, lower, upper, n`` of the finite values; no rows for a constant metric.
@@ -18,11 +20,13 @@ def histogram(df: DataFrame, metric: str, auto_bins: int | None = None) -> DataF
     v = F.col(metric).cast("double")
     data = df.select(v.alias("v")).filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     s = data.agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct("v").alias("about")).first()
     schema = "bin int, lower double, upper double, n bigint"
     if s["n"] == 0 or s["lo"] == s["hi"]:
         return df.sparkSession.createDataFrame([], schema)
-    n_unique = data.distinct().limit(11).count()
+    # the sketch is only trusted to say "far more than ten"; near ten the values are counted
+    n_unique = s["about"] if s["about"] > 100 else data.distinct().count()
     lo, span = s["lo"], s["hi"] - s["lo"]
     if n_unique <= 10:
         bins = n_unique
@@ -44,14 +48,14 @@ def _auto_bins(data: DataFrame, n: int, span: float) -> int:
     return max(1, math.ceil(span / width))
 
 
-def distribution_by_category(df: DataFrame, metric: str, category: str) -> DataFrame:
+def distribution_by_category(df: DataFrame, metric: str, category: str, method: str = "auto") -> DataFrame:
     """Exact quartiles and size of a metric per category."""
     v = F.col(metric).cast("double")
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(category).agg(
-        F.count(v).alias("n"), F.min(v).alias("minimum"), q.alias("_q"), F.max(v).alias("maximum"))
-    return out.select(category, "n", "minimum", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q3"), "maximum")
+    data = df.select(category, v.alias("v"))
+    size = data.groupBy(category).agg(F.count("v").alias("n"), F.min("v").alias("minimum"), F.max("v").alias("maximum"))
+    parts = quantiles(data, {"q1": ("v", 0.25), "median": ("v", 0.5), "q3": ("v", 0.75)}, category, method)
+    return size.join(parts, size[category].eqNullSafe(parts[category])).select(
+        size[category], "n", "minimum", "q1", "median", "q3", "maximum")
 
 
 def contingency(df: DataFrame, rows: str, columns: str, values: Sequence[str] | None = None) -> DataFrame:

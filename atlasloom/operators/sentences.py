@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from atlasloom.functions.phrases import semantic_sentence
 from atlasloom.model import require_columns
 from atlasloom.operators.ranking import next_in_group
-from atlasloom.sizing import broadcast_if_small
+from atlasloom.sizing import broadcast_if_small, settle
 
 
 def gene_slots(genes: DataFrame, name: str = "gene_name") -> DataFrame:
@@ -61,7 +61,8 @@ def cell_sentences(
         return out.drop("top_genes")
     out = out.withColumn("semantic_true", semantic_sentence(
         F.col("top_genes"), F.col(annotation), F.col("cell_id"), cells.count(), label_prob, seed)).drop("top_genes")
-    return next_in_group(out, "semantic_true", annotation, "ord", "semantic_similar")
+    # the sentences are wanted twice, for their own cell and for the one before it
+    return next_in_group(settle(out), "semantic_true", annotation, "ord", "semantic_similar")
 
 
 def rank_tokens(

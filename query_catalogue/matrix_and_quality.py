@@ -8,7 +8,7 @@ from atlasloom.model import Atlas, scoped
 from atlasloom.operators import edits, filters, normalise, predicates, quality, reports, variable_genes
 from atlasloom.sources import star_schema as star
 from query_catalogue.registry import (
-    CELLS, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, outlier_ctes, qc_ctes, query,
+    CELLS, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, ORACLE, families, hvg_ctes, outlier_ctes, qc_ctes, query,
     rounded, with_ctes,
 )
 
@@ -261,6 +261,12 @@ def distribution(spark, d):
     return rounded(reports.distribution_by_category(star.cells(spark, d), "price", "annotation"))
 
 
+@query("A19_distribution_bracketed", ORACLE["A19_distribution_by_category"])
+def distribution_bracketed(spark, d):
+    """The same rows by the quantiles meant for very large tables."""
+    return rounded(reports.distribution_by_category(star.cells(spark, d), "price", "annotation", method="bracket"))
+
+
 @query("A20_contingency", with_ctes("""SELECT annotation, count(*) FILTER (WHERE batch = 'F') AS F, count(*) FILTER (WHERE batch = 'O') AS O,
   count(*) FILTER (WHERE batch = 'P') AS P FROM cells GROUP BY 1""", CELLS))
 def contingency(spark, d):
