@@ -18,7 +18,7 @@ from atlasloom.operators.normalise import log_normalise
 from atlasloom.operators.predicates import scaled_check
 from atlasloom.operators.subsets import random_subset
 from atlasloom.operators.variable_genes import exact_top_genes, variable_genes
-from atlasloom.sizing import broadcast_if_small
+from atlasloom.sizing import broadcast_if_small, settle
 
 # The covariance of a fit is a (genes x genes) matrix in one place.
 MAX_FIT_GENES = 5000
@@ -102,13 +102,14 @@ def fit_components(
     if dim > MAX_FIT_GENES:
         raise ValueError(f"{dim} genes; fit on at most {MAX_FIT_GENES}")
     some = random_subset(cells.select("cell_id"), max_cells, seed) if max_cells else cells.select("cell_id")
-    k = max(1, min(n_components, min(some.count(), dim) - 1))
+    # scaler and components each read the vectors: built once, with one pass over the entries
+    dense = settle(panel_vectors(counts, settle(some), panel, "fit").select(array_to_vector("vector").alias("x")))
+    n = float(dense.count())
+    k = max(1, min(n_components, min(int(n), dim) - 1))
     if scale is None:
         scale = not scaled_check(counts, cells, genes).first()["is_scaled"]
-    dense = panel_vectors(counts, some, panel, "fit").select(array_to_vector("vector").alias("x"))
     scaler = StandardScaler(inputCol="x", outputCol="y", withMean=True, withStd=True).fit(dense)
     mean, std = scaler.mean.toArray(), scaler.std.toArray()
-    n = float(some.count())
     if scale:
         std_pop = std * ((n - 1) / n) ** 0.5  # deviation over n, as in the usual scaler
         fitted_on = scaler.transform(dense).select(F.col("y").alias("x"))

@@ -21,6 +21,12 @@ from atlasloom.model import as_list
 from atlasloom.sizing import broadcast_if_small
 
 BUCKETS = 4096
+ROWS_PER_BUCKET = 50_000
+
+
+def _bucket_number(df: DataFrame, buckets: int | None) -> int:
+    """As many buckets as keep one of them small, so small tables and small groups are not cut up."""
+    return buckets or min(BUCKETS, 1 + df.count() // ROWS_PER_BUCKET)
 
 
 def _position_bucket(df: DataFrame, order: str, buckets: int) -> Column:
@@ -51,30 +57,45 @@ def _numbered(df: DataFrame, by: list[str], order: list[str], out: str, first: i
     return ranked.drop("_bucket", "_off", *[f"_o_{i}" for i in range(len(keys))])
 
 
+def _numbered_whole(df: DataFrame, by: list[str], order: list[str], out: str, first: int | None = None) -> DataFrame:
+    """The same for a table that is one bucket."""
+    rank = F.row_number().over((W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(*order))
+    ranked = df.withColumn(out, rank.cast("bigint"))
+    return ranked if first is None else ranked.filter(F.col(out) <= first)
+
+
 def row_index(
-    df: DataFrame, order: str, out: str = "sample_index", by: str | Sequence[str] | None = None, buckets: int = BUCKETS
+    df: DataFrame, order: str, out: str = "sample_index", by: str | Sequence[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """``0..n-1`` in the order of a unique numeric column, per group."""
+    buckets = _bucket_number(df, buckets)
+    if buckets == 1:
+        return _numbered_whole(df, as_list(by), [order], out).withColumn(out, F.col(out) - 1)
     work = df.withColumn("_bucket", _position_bucket(df, order, buckets))
     return _numbered(work, as_list(by), [order], out).withColumn(out, F.col(out) - 1)
 
 
 def hash_rank(
     df: DataFrame, key: str, seed: int | str, out: str = "rank", by: str | Sequence[str] | None = None,
-    first: int | None = None,
+    first: int | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Rank from 1 in the seeded random order of ``key``, per group; ``first`` keeps only ranks up to it."""
-    work = df.withColumn("_hash", seeded_md5(seed, key)).withColumn("_bucket", F.substring("_hash", 1, 3))
+    buckets = _bucket_number(df, buckets)
+    work = df.withColumn("_hash", seeded_md5(seed, key))
+    if buckets == 1:
+        return _numbered_whole(work, as_list(by), ["_hash", key], out, first).drop("_hash")
+    lead = F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int")
+    work = work.withColumn("_bucket", F.floor(lead * buckets / 4096).cast("int"))
     return _numbered(work, as_list(by), ["_hash", key], out, first).drop("_hash")
 
 
-def next_in_group(df: DataFrame, value: str, group: str, order: str, out: str, buckets: int = BUCKETS) -> DataFrame:
+def next_in_group(df: DataFrame, value: str, group: str, order: str, out: str, buckets: int | None = None) -> DataFrame:
     """Value of the next row of the same group, the last row taking the first one's.
 
     A group is cut into position buckets; only the first value of each bucket
     crosses bucket borders, so a hot group is spread over many tasks.
     """
-    work = df.withColumn("_bucket", _position_bucket(df, order, buckets))
+    work = df.withColumn("_bucket", _position_bucket(df, order, _bucket_number(df, buckets)))
     heads = work.groupBy(group, "_bucket").agg(F.min_by(value, order).alias("_head"))
     seq = W.partitionBy(group).orderBy("_bucket")
     borders = heads.select(

@@ -23,7 +23,7 @@ def dataset_ranking(atlas: Atlas, name: str, n_genes: int, gene_column: str | No
     """``dataset, gene_id, highly_variable, rank`` of one dataset, under its gene names."""
     genes, counts, cells = atlas.genes, atlas.counts, atlas.cells
     if gene_column is not None:
-        genes = gene_id_from_column(named_genes(genes, gene_column), gene_column)
+        genes = settle(gene_id_from_column(named_genes(genes, gene_column), gene_column))
         counts = relabel_genes(counts, genes)
     counts = log_normalise(counts, cells, normalise)
     batch = batch if batch in cells.columns else None

@@ -44,10 +44,11 @@ def broadcast_if_small(df: DataFrame, keep: bool = True) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named in ``spark.checkpoint.dir``; a temporary one for a local session without it, else none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if folder:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(folder)
         return folder.rstrip("/")
-    sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):

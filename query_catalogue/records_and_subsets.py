@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from atlasloom.functions.phrases import WITH_LABEL, WITHOUT_LABEL
 from atlasloom.model import Atlas
 from atlasloom.operators import chunks, records, sentences, setops, subsets
+from atlasloom.operators.embeddings import panel_from
 from atlasloom.operators.lookups import panel_genes
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.operators.variable_genes import variable_genes
@@ -292,8 +292,9 @@ def variants(spark, d):
     return out.select("cs_length", "caption_key", "sample_idx", "cell_sentence_1", "positive")
 
 
-@query("J12_panel_gene_rows", "SELECT p_partkey AS gene_id, CAST(slot AS INTEGER) AS slot FROM part JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS slot FROM customer) ON c_custkey = p_partkey")
+@query("J12_panel_gene_rows", """SELECT p_partkey AS gene_id, p_name AS gene_name, CAST(row_number() OVER (ORDER BY p_partkey DESC) - 1 AS INTEGER) AS slot
+  FROM part WHERE p_type IN ('ECONOMY', 'PROMO')""")
 def panel_rows(spark, d):
-    c = star.table(spark, d, "customer")
-    panel = c.select(F.col("c_custkey").alias("gene_id"), F.row_number().over(W.orderBy(F.desc("c_acctbal"), "c_custkey")).alias("slot"))
-    return panel_genes(star.genes(spark, d), panel).select("gene_id", "slot")
+    g = star.genes(spark, d)
+    panel = panel_from(g.filter(F.col("biotype").isin("ECONOMY", "PROMO")).withColumn("down", -F.col("pos")), "down")
+    return panel_genes(g, panel).select("gene_id", "gene_name", "slot")

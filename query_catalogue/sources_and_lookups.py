@@ -41,9 +41,8 @@ def replace_key(spark, d):
 @query("S7_missing_keys", "SELECT * FROM (SELECT unnest(['X_0', 'X_5', 'X_99', 'X_100']) AS key) WHERE key NOT IN (SELECT 'X_' || label FROM embeddings)")
 def missing_keys(spark, d):
     e = star.embeddings(spark, d).withColumn("key", F.concat(F.lit("X_"), "label"))
-    one = e.limit(1).select(F.lit(0).alias("chunk_id"))
     present = emb.embedding_keys(e).withColumn("chunk_id", F.lit(0))
-    return lookups.missing_keys(present, one, ["X_0", "X_5", "X_99", "X_100"]).select("key")
+    return lookups.missing_keys(present, e.withColumn("chunk_id", F.lit(0)), ["X_0", "X_5", "X_99", "X_100"]).select("key")
 
 
 @query("F22_keys_per_chunk", "SELECT chunk_id, key FROM (SELECT DISTINCT vec_id % 7 AS chunk_id FROM embeddings) CROSS JOIN (SELECT unnest(['X_0', 'X_1', 'X_2']) AS key) WHERE (chunk_id, key) NOT IN (SELECT (vec_id % 7, 'X_' || label) FROM embeddings WHERE label < 3 AND embedding[1] > 0.1)")

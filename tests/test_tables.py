@@ -43,10 +43,15 @@ def test_positions_in_skewed_groups(spark):
     rng = np.random.default_rng(0)
     ords = [int(v) for v in np.unique(rng.lognormal(5, 4, 500).astype("int64"))]
     df = spark.createDataFrame([(o, "hot" if k % 3 else f"g{k}") for k, o in enumerate(ords)], "ord long, g string").repartition(6)
-    got = {r.ord: r.sample_index for r in ranking.row_index(df, "ord").collect()}
+    got = {r.ord: r.sample_index for r in ranking.row_index(df, "ord", buckets=16).collect()}
     assert got == {o: i for i, o in enumerate(ords)}
-    by = {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g").collect()}
+    by = {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g", buckets=16).collect()}
     assert len(by) == len(ords)
+    assert by == {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g").collect()}
+    for first in (None, 40):
+        for keys in ([], ["g"]):
+            cut = sorted(ranking.hash_rank(df, "ord", 7, by=keys, first=first, buckets=64).collect())
+            assert cut == sorted(ranking.hash_rank(df, "ord", 7, by=keys, first=first).collect())
     nxt = {r.ord: r.nxt for r in ranking.next_in_group(df.withColumn("s", F.col("ord").cast("string")), "s", "g", "ord", "nxt", buckets=16).collect()}
     hot = [o for k, o in enumerate(ords) if k % 3]
     assert all(nxt[o] == str(hot[(i + 1) % len(hot)]) for i, o in enumerate(hot)) and nxt[ords[0]] == str(ords[0])
