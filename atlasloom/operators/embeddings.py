@@ -78,14 +78,13 @@ def apply_components(counts: DataFrame, cells: DataFrame, loadings: DataFrame, k
         "gene_id", "mean", F.when(F.col("scale") == 0, 1.0).otherwise(F.col("scale")).alias("scale"), "center", "components"))
     k = int(small.agg(F.max(F.size("components"))).first()[0])
     # the all-zero cell: sum over genes of ((0 - mean)/scale - center) * w
-    at_zero = small.agg(*[
-        F.sum((-F.col("mean") / F.col("scale") - F.col("center")) * F.col("components")[j]).alias(f"c{j}") for j in range(k)])
-    constant = at_zero.select(F.array(*[F.col(f"c{j}") for j in range(k)]).alias("c")).scalar()
+    at_zero = small.agg(*[F.expr(f"sum((-mean / scale - center) * components[{j}]) AS c{j}") for j in range(k)])
+    constant = at_zero.select(F.expr(f"array({', '.join(f'c{j}' for j in range(k))}) AS c")).scalar()
     part = counts.join(small, "gene_id").groupBy("cell_id").agg(*[
-        F.sum(F.col("value") / F.col("scale") * F.col("components")[j]).alias(f"s{j}") for j in range(k)])
+        F.expr(f"sum(value / scale * components[{j}]) AS s{j}") for j in range(k)])
     out = cells.select("cell_id").join(part, "cell_id", "left").withColumn("_c", constant)
-    return out.select("cell_id", F.lit(key).alias("key"), F.array(*[
-        (F.coalesce(F.col(f"s{j}"), F.lit(0.0)) + F.col("_c")[j]).cast("float") for j in range(k)]).alias("vector"))
+    vector = ", ".join(f"CAST(coalesce(s{j}, 0.0D) + _c[{j}] AS FLOAT)" for j in range(k))
+    return out.select("cell_id", F.lit(key).alias("key"), F.expr(f"array({vector})").alias("vector"))
 
 
 def fit_components(

@@ -37,31 +37,40 @@ def _position_bucket(df: DataFrame, order: str, buckets: int) -> Column:
     return F.floor(share * F.lit(float(buckets))).cast("int")
 
 
-def _numbered(df: DataFrame, by: list[str], order: list[str], out: str, first: int | None = None) -> DataFrame:
-    """Number rows from 1 within ``by``; ``df`` carries an ordered ``_bucket`` consistent with ``order``."""
+def _numbered(df: DataFrame, by: list[str], order: list[str], out: str, first: int | str | None = None) -> DataFrame:
+    """Number rows from 1 within ``by``; ``df`` carries an ordered ``_bucket`` consistent with ``order``.
+
+    ``first`` (a number, or a column of ``df`` with a limit per row) drops buckets
+    wholly beyond the limit before the shuffle.
+    """
     keys = [*by, "_bucket"]
     before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     # one row per (group, bucket): at most BUCKETS rows per group, whatever the table size
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if first is not None:
+    if isinstance(first, int):
         offsets = offsets.filter(F.col("_off") < first)
     o = broadcast_if_small(offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_off"))
     cond = df["_bucket"] == o[f"_o_{len(by)}"]
     for i, k in enumerate(by):
         cond = cond & df[k].eqNullSafe(o[f"_o_{i}"])
     inside = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    ranked = df.join(o, cond).withColumn(out, (inside + F.col("_off")).cast("bigint"))
+    placed = df.join(o, cond)
+    if isinstance(first, str):
+        placed = placed.filter(F.col("_off") < F.col(first))
+    ranked = placed.withColumn(out, (inside + F.col("_off")).cast("bigint"))
     if first is not None:
-        ranked = ranked.filter(F.col(out) <= first)
+        ranked = ranked.filter(F.col(out) <= (F.col(first) if isinstance(first, str) else F.lit(first)))
     return ranked.drop("_bucket", "_off", *[f"_o_{i}" for i in range(len(keys))])
 
 
-def _numbered_whole(df: DataFrame, by: list[str], order: list[str], out: str, first: int | None = None) -> DataFrame:
+def _numbered_whole(df: DataFrame, by: list[str], order: list[str], out: str, first: int | str | None = None) -> DataFrame:
     """The same for a table that is one bucket."""
     rank = F.row_number().over((W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(*order))
     ranked = df.withColumn(out, rank.cast("bigint"))
-    return ranked if first is None else ranked.filter(F.col(out) <= first)
+    if first is None:
+        return ranked
+    return ranked.filter(F.col(out) <= (F.col(first) if isinstance(first, str) else F.lit(first)))
 
 
 def row_index(
@@ -77,9 +86,9 @@ def row_index(
 
 def hash_rank(
     df: DataFrame, key: str, seed: int | str, out: str = "rank", by: str | Sequence[str] | None = None,
-    first: int | None = None, buckets: int | None = None,
+    first: int | str | None = None, buckets: int | None = None,
 ) -> DataFrame:
-    """Rank from 1 in the seeded random order of ``key``, per group; ``first`` keeps only ranks up to it."""
+    """Rank from 1 in the seeded random order of ``key``, per group; ``first`` keeps only ranks up to it (or up to that column)."""
     buckets = _bucket_number(df, buckets)
     work = df.withColumn("_hash", seeded_md5(seed, key))
     if buckets == 1:

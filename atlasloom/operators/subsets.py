@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlasloom.operators.ranking import hash_rank
-from atlasloom.sizing import broadcast_if_small
+from atlasloom.sizing import broadcast_if_small, settle
 
 
 def random_subset(cells: DataFrame, size: int, seed: int = 42, key: str = "cell_id") -> DataFrame:
@@ -30,20 +30,21 @@ def stratified_subset(
         raise ValueError("subset size must be positive")
     if any(s not in cells.columns for s in strata):
         return random_subset(cells, size, seed, key)
-    total = cells.agg(F.count(F.lit(1))).scalar()
     strata = list(strata)
+    total = cells.agg(F.count(F.lit(1))).scalar()
     quota = cells.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n")).withColumn("_t", total)
-    want = F.least(F.col("_t"), F.lit(size))
+    share = F.bround(F.col("_n") / F.col("_t") * F.least(F.col("_t"), F.lit(size))).cast("bigint")
     quota = quota.select(
-        *[F.col(s).alias(f"_s_{s}") for s in strata],
-        F.greatest(F.lit(1), F.bround(F.col("_n") / F.col("_t") * want).cast("bigint")).alias("_quota"))
+        *[F.col(s).alias(f"_s_{s}") for s in strata], F.least(F.col("_n"), F.greatest(F.lit(1), share)).alias("_quota"))
     quota = broadcast_if_small(quota)
-    ranked = hash_rank(cells, key, seed, "_rank", by=strata)
     cond = F.lit(True)
     for s in strata:
-        cond = cond & ranked[s].eqNullSafe(quota[f"_s_{s}"])
-    chosen = ranked.join(quota, cond).filter(F.col("_rank") <= F.col("_quota")).select(*[ranked[c] for c in cells.columns])
-    return hash_rank(chosen, key, f"{seed}:trim", "_rank", first=size).drop("_rank")
+        cond = cond & cells[s].eqNullSafe(quota[f"_s_{s}"])
+    wanted = cells.join(quota, cond).drop(*[f"_s_{s}" for s in strata])
+    chosen = hash_rank(wanted, key, seed, "_rank", by=strata, first="_quota").drop("_rank", "_quota")
+    if quota.agg(F.sum("_quota")).first()[0] <= size:
+        return chosen
+    return hash_rank(settle(chosen), key, f"{seed}:trim", "_rank", first=size).drop("_rank")
 
 
 def first_rows(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
