@@ -82,9 +82,14 @@ def _bracketed_quantiles(
     instead of returning a wrong number.
     """
     columns = list(dict.fromkeys(c for c, _ in targets.values()))
+
+    def bracket(c: str, q: float) -> Column:
+        # a small group is its own bracket: there a thousandth may be less than one place
+        ends = F.percentile_approx(c, F.array(F.lit(max(q - half_width, 0.0)), F.lit(min(q + half_width, 1.0))), F.lit(10000))
+        return F.when(F.count(c) <= 10_000, F.array(F.min(c), F.max(c))).otherwise(ends)
+
     box = df.groupBy(*by).agg(
-        *[F.percentile_approx(c, F.array(F.lit(max(q - half_width, 0.0)), F.lit(min(q + half_width, 1.0))), F.lit(10000)).alias(f"_box_{n}")
-          for n, (c, q) in targets.items()],
+        *[bracket(c, q).alias(f"_box_{n}") for n, (c, q) in targets.items()],
         *[F.count(c).alias(f"_n_{c}") for c in columns],
     )
     if by:
