@@ -28,13 +28,35 @@ from atlasloom.llm.common import documents, texts
 
 ROW_GROUP_BYTES = 64 << 20
 PAGE_ROWS = 2_000
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 500_000
+KEPT_CHARS = 9
 END_ID = 0
 
-_NEAR_SPACES = re.compile(r"\s\s|^\s|\s$")
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
+#: Words of Latin letters, which any version of Unicode knows, and a stop: one or two pre-tokens.
+_WORD_AND_STOP = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([,.]?)")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level tokenizers write for each byte: printable ones stay, the others follow from U+0100 on."""
+    stay = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xAD)}
+    moved = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in stay else chr(next(moved)) for b in range(256)}
+
+
+_BYTE_CHARS = _byte_characters()
+_SPACE_CHAR, _LINE_FEED_CHAR = _BYTE_CHARS[0x20], _BYTE_CHARS[0x0A]
+
+
+def _plain(text: str) -> bool:
+    """Only single spaces and line feeds, none at an end."""
+    return not (text[:1].isspace() or text[-1:].isspace() or any(p in text for p in _PAIRS) or _OTHER_SPACE.search(text))
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, with a bounded memory of encoded pieces.
 
@@ -48,6 +70,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer(self.tokenizer.model)
         self.memo: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.entries = memo_entries
@@ -57,33 +80,70 @@ class Encoder:
     def _one(self, piece: str) -> bytes:
         return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _lines(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without line feeds or white space at their ends: encoded as the lines of one text."""
-        ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+    def _split(self, ids: np.ndarray) -> list[bytes]:
         ends = np.append(np.flatnonzero(ids == self.line_feed_id), len(ids)) * 4
         data, begins = ids.tobytes(), np.concatenate([[0], ends[:-1] + 4])
         return [data[i:j] for i, j in zip(begins.tolist(), ends.tolist(), strict=True)]
 
-    def _learn(self, memo: dict[str, bytes], keys: set[str], prefix: str) -> None:
-        missing = [prefix + k for k in keys if k not in memo]
-        plain = [k for k in missing if k and "\n" not in k and not k[-1].isspace() and not k[len(prefix):len(prefix) + 1].isspace()]
-        for at in range(0, len(plain), 4096):
-            part = plain[at:at + 4096]
-            memo.update(zip((k[len(prefix):] for k in part), self._lines(part), strict=True))
+    def _words(self, words: list[re.Match]) -> list[bytes]:
+        """Ids of words with a space before and perhaps a stop behind, given to the model as the pre-tokens that they are."""
+        parts: list[str] = []
+        for word in words:
+            letters, stop = word.groups()
+            parts.append(_SPACE_CHAR + (letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_CHARS)))
+            if stop:
+                parts.append(stop)
+            parts.append(_LINE_FEED_CHAR)
+        found = self.model.encode_batch_fast([parts[:-1]], is_pretokenized=True, add_special_tokens=False)
+        return self._split(np.asarray(found[0].ids, "<u4"))
+
+    def _lines(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without line feeds or white space at their ends: encoded as the lines of one text."""
+        return self._split(np.asarray(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, "<u4"))
+
+    def _learn(self, keys: set[str]) -> None:
+        """Pieces of text that no space begins."""
+        memo = self.memo
+        missing = [k for k in keys if k not in memo]
+        lines = [k for k in missing if k and "\n" not in k and not k[0].isspace() and not k[-1].isspace()]
+        for at in range(0, len(lines), 4096):
+            memo.update(zip(lines[at:at + 4096], self._lines(lines[at:at + 4096]), strict=True))
         for k in missing:
-            if k[len(prefix):] not in memo:
-                memo[k[len(prefix):]] = self._one(k)
+            if k not in memo:
+                memo[k] = self._one(k)
+
+    def _learn_spaced(self, keys: set[str]) -> None:
+        """Pieces without white space at their ends, encoded with a space before."""
+        memo, words, others = self.spaced, [], []
+        for k in keys:
+            if k not in memo:
+                if word := _WORD_AND_STOP.fullmatch(k):
+                    words.append(word)
+                else:
+                    others.append(k)
+        for at in range(0, len(words), 4096):
+            part = words[at:at + 4096]
+            memo.update(zip((w.string for w in part), self._words(part), strict=True))
+        for at in range(0, len(others), 4096):
+            part = others[at:at + 4096]
+            memo.update(zip(part, self._lines([" " + k for k in part]), strict=True))
+
+    def _forget(self) -> None:
+        """Beyond its limit the memory keeps short pieces, the frequent ones, and gives them up too if they are too many."""
+        for memo in (self.memo, self.spaced):
+            if len(memo) > self.entries:
+                kept = {k: v for k, v in memo.items() if len(k) <= KEPT_CHARS}
+                memo.clear()
+                memo.update(kept if len(kept) < self.entries // 2 else {})
 
     def encode_all(self, batch: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.memo) + len(self.spaced) > self.entries:
-            self.memo.clear()
-            self.spaced.clear()
+        self._forget()
         cut: list[tuple[bool, list]] = []
         bare: set[str] = set()
         spaced: set[str] = set()
         for text in batch:
-            if _NEAR_SPACES.search(text):
+            if not _plain(text):
                 pieces = _BEFORE_WORD.split(text)
                 bare.update(pieces)
                 cut.append((False, pieces))
@@ -93,8 +153,8 @@ class Encoder:
                     bare.add(line[0])
                     spaced.update(line[1:])
                 cut.append((True, lines))
-        self._learn(self.memo, bare, "")
-        self._learn(self.spaced, spaced, " ")
+        self._learn(bare)
+        self._learn_spaced(spaced)
         memo, after_space, out = self.memo, self.spaced, []
         for plain, pieces in cut:
             if plain:
@@ -105,9 +165,19 @@ class Encoder:
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each file in a worker, so that what one task learned serves the next."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
     """The ids of each document, their lists and their numbers, some hundred documents at a time."""
-    encoder, end = Encoder(vocabulary), np.asarray([end_id], "<u4").tobytes()
+    encoder, end = encoder_of(vocabulary), np.asarray([end_id], "<u4").tobytes()
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
