@@ -6,9 +6,9 @@ registers of two texts agree with the probability Jaccard similarity of their we
 they are later than every register, so most shingles are left after their first. Registers are banded; texts that share
 a band are candidates, and the similarity of candidates is computed from their words.
 
-Rows with the same words are one text from the start. Within a band's bucket every text is compared with the bucket's first;
-links are joined into classes, and whatever still stands in a bucket with other classes is compared with all of them. So
-no candidate of two classes is left untested, and a bucket of copies costs as many comparisons as it has texts.
+Rows with the same words are one text from the start. Texts are compared with the first texts of their buckets and links are
+joined into classes; whatever then still stands in a bucket with other classes is compared with all of them. So no
+candidate of two classes is left untested, and a bucket of copies costs as many comparisons as it has texts.
 """
 
 from __future__ import annotations
@@ -195,10 +195,8 @@ def _word_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(keys), "words_key").dropDuplicates(["words_key"])
 
 
-def verify(pairs: DataFrame, docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs (``a``, ``b``) of word keys whose texts are at least so similar, with ``similarity``."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("words_key")).distinct()
-    found = written(_word_texts(docs, keys), "texts")
+def verify(pairs: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (``a``, ``b``) of word keys whose texts in ``found`` are at least so similar, with ``similarity``."""
     left = found.select(F.col("words_key").alias("a"), F.col("words").alias("words_a"))
     right = found.select(F.col("words_key").alias("b"), F.col("words").alias("words_b"))
 
@@ -237,49 +235,66 @@ def classes(links: DataFrame) -> DataFrame:
             return labels
 
 
-def linked_texts(docs: DataFrame, signatures_of: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """All verified links between candidate texts that are needed for the classes, and the classes."""
+def _named(rows: DataFrame, key: str, name: str, found: DataFrame) -> DataFrame:
+    """``rows`` with the class of the text in column ``key``; a text without links is its own class."""
+    label = found.select(F.col("words_key").alias(key), F.col("class_key").alias(name))
+    return rows.join(label, key, "left").withColumn(name, F.coalesce(name, key))
+
+
+def class_of_texts(docs: DataFrame, signatures_of: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``words_key, class_key`` of all texts that are linked to another one, directly or through others.
+
+    Three rounds of comparisons, each only between texts of different classes: every text with the smallest of its
+    buckets' first texts; with the other first texts; and what is still apart in a bucket with all it stands apart from.
+    """
     slots = written(signatures_of.filter("bands IS NOT NULL").dropDuplicates(["words_key"]).select("words_key", F.explode("bands").alias("slot")), "slots")
     shared = slots.groupBy("slot").agg(F.min("words_key").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("slot", "b")
     bucketed = written(slots.join(shared, "slot"), "buckets")
-    first = written(bucketed.select(F.col("words_key").alias("a"), "b").filter("a <> b").distinct(), "pairs")
-    links = written(verify(first, docs, least), "verified")
+    words = written(_word_texts(docs, bucketed.select("words_key").distinct()), "texts")
+    behind = bucketed.select(F.col("words_key").alias("a"), "b").filter("a <> b")
+
+    first = behind.groupBy("a").agg(F.min("b").alias("b"))
+    links = written(verify(first, words, least), "links")
     found = classes(links)
 
-    # what stands in a bucket with texts of other classes meets all of them
-    named = bucketed.join(found, "words_key", "left").withColumn("class_key", F.coalesce("class_key", "words_key"))
-    named = written(named.select("slot", "words_key", "class_key"), "named")
+    def joined_by(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        more = written(verify(pairs, words, least), "links")
+        if not more.limit(1).count():
+            return links, found
+        both = links.unionByName(more)
+        return both, classes(both)
+
+    apart = _named(_named(behind.distinct(), "a", "class_a", found), "b", "class_b", found).filter("class_a <> class_b")
+    second = written(apart.select("a", "b").join(first, ["a", "b"], "left_anti"), "pairs")
+    links, found = joined_by(second)
+
+    named = written(_named(bucketed.select("slot", "words_key"), "words_key", "class_key", found), "named")
     mixed = named.groupBy("slot").agg(F.min("class_key").alias("low"), F.max("class_key").alias("high")).filter("low <> high")
-    apart = named.join(mixed.select("slot", "low"), "slot")
-    stray = apart.filter("class_key <> low").select("slot", F.col("words_key").alias("x"), F.col("class_key").alias("class_x"))
-    facing = apart.select("slot", F.col("words_key").alias("y"), F.col("class_key").alias("class_y"))
-    met = stray.join(facing, "slot").filter("class_x <> class_y")
-    more = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    added = written(verify(written(more, "pairs"), docs, least), "verified")
-    if added.limit(1).count():
-        links = links.unionByName(added)
-        found = classes(links)
-    return links, found
+    standing = named.join(mixed.select("slot", "low"), "slot")
+    stray = standing.filter("class_key <> low").select("slot", F.col("words_key").alias("x"), F.col("class_key").alias("class_x"))
+    facing = standing.select("slot", F.col("words_key").alias("y"), F.col("class_key").alias("class_y"))
+    met = stray.join(facing, "slot").filter("class_x <> class_y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    third = met.join(behind.distinct(), ["a", "b"], "left_anti")
+    return joined_by(written(third, "pairs"))[1]
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row for every row of ``docs``: ``doc_id, class_id, class_size, kept, n_links, text_key, words_key``.
+    """One row for every row of ``docs``: ``doc_id, class_id, class_size, kept, text_key, words_key``.
 
     ``class_id`` is the smallest ``doc_id`` of texts linked directly or through others (null only if all are null),
-    ``class_size`` their number of rows, ``n_links`` the number of links verified for the row's text. Texts with the same
-    words are one class; texts without words only if they are equal. An empty table gives no rows.
+    ``class_size`` their number of rows. Texts with the same words are one class; texts without words only if they are
+    equal. ``kept`` is the class's row with the smallest ``doc_id`` (of several texts with that id, the smallest digest; of
+    repeated rows, each). An empty table gives no rows.
     """
     signatures_of = written(signed(docs), "signatures")
-    links, found = linked_texts(docs, signatures_of, least)
-    degree = links.select(F.explode(F.array("a", "b")).alias("words_key")).groupBy("words_key").agg(F.count(F.lit(1)).alias("n_links"))
     row = signatures_of.select("doc_id", "text_key", "words_key")
-    named = row.join(found.join(degree, "words_key"), "words_key", "left").withColumn("class_key", F.coalesce("class_key", "words_key"))
+    named = _named(row, "words_key", "class_key", class_of_texts(docs, signatures_of, least))
     size = named.groupBy("class_key").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("stays"))
     out = named.join(size, "class_key")
     kept = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_key") == F.col("stays.text_key"))
-    return out.select("doc_id", "class_id", "class_size", kept.alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_key", "words_key")
+    return out.select("doc_id", "class_id", "class_size", kept.alias("kept"), "text_key", "words_key")
 
 
 def drop_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -66,7 +66,7 @@ def op7_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_copies.near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept", "n_links")
+    return near_copies.near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
