@@ -6,8 +6,9 @@ registers of two texts agree with the probability Jaccard similarity of their we
 they are later than every register, so most shingles are left after their first. Registers are banded; texts that share
 a band are candidates, and the similarity of candidates is computed from their words.
 
-Rows with the same words are one text from the start. Texts are compared with the first texts of their buckets and links are
-joined into classes; whatever then still stands in a bucket with other classes is compared with all of them. So no
+Rows with the same words are one text from the start. Texts are compared with the leaders of their buckets and links are
+joined into classes; whatever then still stands in a bucket with other classes is compared with all texts that share one of its
+rarest shingles, which any similar text does. So no
 candidate of two classes is left untested, and a bucket of copies costs as many comparisons as it has texts.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasloom.llm.common import documents, keep_listed, raw_texts, words_of, written
@@ -241,19 +242,58 @@ def _named(rows: DataFrame, key: str, name: str, found: DataFrame) -> DataFrame:
     return rows.join(label, key, "left").withColumn(name, F.coalesce(name, key))
 
 
+def _may_be_similar(left: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """Pairs of texts of different classes that can be similar enough: those that share a shingle among their rarest.
+
+    The similarity is at most the share of either text's weight that lies on shared shingles. So the rarest
+    shared shingle of a similar pair comes, rarest first, before more than ``1 - least`` of either text's weight is passed: shingles
+    up to there are enough to meet on, and a passage that many texts have in common is not among them unless it is
+    nearly all they have. If shares ``x`` and ``y`` of two texts are passed before their first common shingle, neither is shared and
+    the similarity is at most ``(1 - x)(1 - y) / (1 - xy)``, by concavity of the similarity's terms. Later common
+    shingles have larger ``x`` and ``y``, so a row that stays within the bound is there for every similar pair.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _WordKeys()
+        for batch in batches:
+            for key, label, text in zip(batch.column("words_key"), batch.column("class_key"), batch.column("words"), strict=True):
+                keys, counts = _shingle_keys(text.as_py().split(b" "), seen)
+                weights = 1.0 + np.log(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key.as_py()] * len(keys), pa.binary()), pa.array([label.as_py()] * len(keys), pa.binary()),
+                     pa.array(keys.view("int64")), pa.array(weights / weights.sum())], names=["words_key", "class_key", "shingle", "part"])
+
+    rows = written(left.join(words, "words_key").select("words_key", "class_key", "words").mapInArrow(
+        run, "words_key binary, class_key binary, shingle long, part double"), "shingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    rarest = Window.partitionBy("words_key").orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    passed = F.coalesce(F.sum("part").over(rarest), F.lit(0.0))
+    first = rows.join(often, "shingle").withColumn("passed", passed).filter((F.col("passed") <= 1 - least + 1e-9) & (F.col("texts") > 1))
+    meeting = written(first.select("shingle", "words_key", "class_key", "passed"), "meeting")
+    one, other = (meeting.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("words_key", "class_key", "passed")]) for side in "ab")
+    bound = (1 - F.col("passed_a")) * (1 - F.col("passed_b")) / (1 - F.col("passed_a") * F.col("passed_b"))
+    met = one.join(other, "shingle").filter("words_key_a > words_key_b AND class_key_a <> class_key_b").filter(bound >= least - 1e-9)
+    return met.select(F.col("words_key_a").alias("a"), F.col("words_key_b").alias("b")).distinct()
+
+
 def class_of_texts(docs: DataFrame, signatures_of: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``words_key, class_key`` of all texts that are linked to another one, directly or through others.
 
-    Three rounds of comparisons, each only between texts of different classes: every text with the smallest of its
-    buckets' first texts; with the other first texts; and what is still apart in a bucket with all it stands apart from.
+    Three rounds of comparisons, each only between texts of different classes: every text with one
+    leader of its buckets; with the other leaders; and what is still apart in a bucket with all it can be similar to (see ``_may_be_similar``).
     """
     slots = written(signatures_of.filter("bands IS NOT NULL").dropDuplicates(["words_key"]).select("words_key", F.explode("bands").alias("slot")), "slots")
-    shared = slots.groupBy("slot").agg(F.min("words_key").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("slot", "b")
-    bucketed = written(slots.join(shared, "slot"), "buckets")
-    words = written(_word_texts(docs, bucketed.select("words_key").distinct()), "texts")
-    behind = bucketed.select(F.col("words_key").alias("a"), "b").filter("a <> b")
-
-    first = behind.groupBy("a").agg(F.min("b").alias("b"))
+    shared = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sized = written(slots.join(shared, "slot"), "sized")
+    # an original stands in more and larger buckets with its copies than they do with each other: it is to lead them
+    weights = sized.groupBy("words_key").agg(F.sum("n").alias("company"))
+    rated = written(sized.join(weights, "words_key").select("slot", "words_key", "company"), "rated")
+    leader = rated.groupBy("slot").agg(F.max(F.struct("company", "words_key")).alias("leader"))
+    bucketed = written(rated.join(leader, "slot").select("slot", "words_key", "leader"), "buckets")
+    words = written(_word_texts(docs, weights.select("words_key")), "texts")
+    behind = bucketed.filter("words_key <> leader.words_key").select(F.col("words_key").alias("a"), "leader")
+
+    first = behind.groupBy("a").agg(F.max("leader").alias("leader")).select("a", F.col("leader.words_key").alias("b"))
+    behind = behind.select("a", F.col("leader.words_key").alias("b")).distinct()
     links = written(verify(first, words, least), "links")
     found = classes(links)
 
@@ -264,17 +304,16 @@ def class_of_texts(docs: DataFrame, signatures_of: DataFrame, least: float = SIM
         both = links.unionByName(more)
         return both, classes(both)
 
-    apart = _named(_named(behind.distinct(), "a", "class_a", found), "b", "class_b", found).filter("class_a <> class_b")
+    apart = _named(_named(behind, "a", "class_a", found), "b", "class_b", found).filter("class_a <> class_b")
     second = written(apart.select("a", "b").join(first, ["a", "b"], "left_anti"), "pairs")
     links, found = joined_by(second)
 
     named = written(_named(bucketed.select("slot", "words_key"), "words_key", "class_key", found), "named")
     mixed = named.groupBy("slot").agg(F.min("class_key").alias("low"), F.max("class_key").alias("high")).filter("low <> high")
     standing = named.join(mixed.select("slot", "low"), "slot")
-    stray = standing.filter("class_key <> low").select("slot", F.col("words_key").alias("x"), F.col("class_key").alias("class_x"))
-    facing = standing.select("slot", F.col("words_key").alias("y"), F.col("class_key").alias("class_y"))
-    met = stray.join(facing, "slot").filter("class_x <> class_y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    third = met.join(behind.distinct(), ["a", "b"], "left_anti")
+    left = written(standing.select("words_key", "class_key").distinct(), "standing")
+    tested = behind.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    third = _may_be_similar(left, words, least).join(tested, ["a", "b"], "left_anti")
     return joined_by(written(third, "pairs"))[1]
 
 
