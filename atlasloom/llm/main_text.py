@@ -90,6 +90,11 @@ class _Builder(HTMLParser):
             if self.open[i].tag in stop:
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """What begins with ``<![`` is a comment up to the next ``>``; the parser would refuse unknown sections."""
+        end = self.rawdata.find(">", i + 3)
+        return len(self.rawdata) if end < 0 else end + 1
+
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
