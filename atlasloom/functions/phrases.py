@@ -75,23 +75,14 @@ WITHOUT_LABEL = (
     "The active transcriptional program includes: {genes}.",
 )
 
-# Wordings in use (with label, without) below each number of cells, and above the last.
-WORDINGS_BY_SIZE = ((10_000, 10, 5), (100_000, 20, 10))
-WORDINGS_ALL = (40, 20)
-
-
-def wordings_in_use(n_cells: int) -> tuple[int, int]:
-    for below, labelled, plain in WORDINGS_BY_SIZE:
-        if n_cells < below:
-            return labelled, plain
-    return WORDINGS_ALL
-
-
 def semantic_sentence(
-    genes: Column, label: Column, key: Column, n_cells: int, label_prob: float = 0.7, seed: int | str = 42
+    genes: Column, label: Column, key: Column, label_prob: float = 0.7, seed: int | str = 42,
+    n_with: int = len(WITH_LABEL), n_without: int = len(WITHOUT_LABEL),
 ) -> Column:
-    """A wording chosen by the seeded hash of ``key``; ``genes`` is the gene-name array."""
-    n_with, n_without = wordings_in_use(n_cells)
+    """A wording chosen by the seeded hash of ``key``; ``genes`` is the gene-name array.
+
+    The first ``n_with`` wordings with a label and ``n_without`` without are in use, whatever the size of the table.
+    """
     labelled = F.array(*[F.lit(t) for t in WITH_LABEL[:n_with]])
     plain = F.array(*[F.lit(t) for t in WITHOUT_LABEL[:n_without]])
     use_label = F.coalesce(label != "", F.lit(False)) & (hash_fraction(f"{seed}:label", key) < label_prob)

@@ -5,9 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -16,13 +15,9 @@ from atlasloom.model import Atlas, require_columns
 from atlasloom.operators.lookups import on_panel
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.operators.predicates import scaled_check
-from atlasloom.operators.subsets import random_subset
 from atlasloom.operators.variable_genes import exact_top_genes, variable_genes
 from atlasloom.sizing import broadcast_if_small, settle
 
-# The covariance of a fit is a (genes x genes) matrix in one place.
-MAX_FIT_GENES = 5000
-
 
 def panel_from(genes: DataFrame, order: str = "pos") -> DataFrame:
     """``gene_id, slot`` from 0 in the given order (gene-sized)."""
@@ -87,44 +82,103 @@ def apply_components(counts: DataFrame, cells: DataFrame, loadings: DataFrame, k
     return out.select("cell_id", F.lit(key).alias("key"), F.expr(f"array({vector})").alias("vector"))
 
 
+def _sums_of_arrays(values: Column, factor: Column, k: int) -> Column:
+    return F.array(*[F.sum(factor * F.get(values, F.lit(j))) for j in range(k)])
+
+
+def _gram(df: DataFrame, left: str, right: str, k: int) -> np.ndarray:
+    """The k x k matrix of sums of products of two array columns: one small matrix per task, added up by Spark."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        total = np.zeros((k, k))
+        for f in frames:
+            if len(f):
+                total += np.stack(f[left]).T @ np.stack(f[right])
+        yield pd.DataFrame({"place": np.arange(k * k), "value": total.ravel()})
+
+    names = [F.col(c) for c in dict.fromkeys([left, right])]
+    sums = df.select(*names).mapInPandas(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
+    out = np.zeros(k * k)
+    for r in sums.collect():
+        out[r["place"]] = r["value"]
+    return out.reshape(k, k)
+
+
+def _times(df: DataFrame, column: str, matrix: np.ndarray) -> DataFrame:
+    """``df`` with its array column multiplied from the right by a small matrix."""
+    terms = [" + ".join(f"{column}[{i}] * {float(v)!r}D" for i, v in enumerate(row)) for row in matrix.T]
+    return df.withColumn(column, F.expr(f"array({', '.join(terms)})"))
+
+
+def _whiten(gram: np.ndarray) -> np.ndarray:
+    """A matrix that makes the columns behind ``gram`` orthonormal; directions of no length are left out."""
+    values, vectors = np.linalg.eigh(gram)
+    held = values > max(values.max(), 0.0) * 1e-14
+    return vectors[:, held] / np.sqrt(values[held])
+
+
 def fit_components(
-    counts: DataFrame, cells: DataFrame, genes: DataFrame, n_components: int, max_cells: int | None = 10_000,
-    scale: bool | None = None, seed: int = 42,
+    counts: DataFrame, cells: DataFrame, genes: DataFrame, n_components: int, scale: bool | None = None, seed: int = 42,
+    tolerance: float = 1e-9, max_rounds: int = 60,
 ) -> tuple[DataFrame, DataFrame]:
-    """Loadings for ``apply_components`` and one row of metadata, fitted with Spark ML.
+    """Loadings for ``apply_components`` and one row of metadata, fitted on all cells and genes.
 
-    Fits on at most ``max_cells`` cells (a sampling limit of the method; None for
-    all). ``scale=None`` scales unless the values look scaled already.
+    Randomised subspace iteration on the non-zero entries: a genes x k table is carried to the cells and back, scaling and
+    centring being added in closed form. Only k x k matrices and sums of length k reach the driver. Rounds end when the
+    variances of the wanted components no longer change by more than ``tolerance`` of the largest. Each component's sign makes its
+    largest loading positive. ``scale=None`` scales unless the values look scaled already.
     """
-    panel = broadcast_if_small(panel_from(genes))
-    dim = panel.count()
-    if dim > MAX_FIT_GENES:
-        raise ValueError(f"{dim} genes; fit on at most {MAX_FIT_GENES}")
-    some = random_subset(cells.select("cell_id"), max_cells, seed) if max_cells else cells.select("cell_id")
-    # scaler and components each read the vectors: built once, with one pass over the entries
-    dense = settle(panel_vectors(counts, settle(some), panel, "fit").select(array_to_vector("vector").alias("x")))
-    n = float(dense.count())
-    k = max(1, min(n_components, min(int(n), dim) - 1))
+    panel = genes.select("gene_id").distinct()
+    chosen = cells.select("cell_id").distinct()
+    entries = settle(counts.select("cell_id", "gene_id", F.col("value").cast("double").alias("value")).join(
+        panel, "gene_id", "left_semi").join(chosen, "cell_id", "left_semi"))
+    dim, n = panel.count(), chosen.count()
     if scale is None:
         scale = not scaled_check(counts, cells, genes).first()["is_scaled"]
-    scaler = StandardScaler(inputCol="x", outputCol="y", withMean=True, withStd=True).fit(dense)
-    mean, std = scaler.mean.toArray(), scaler.std.toArray()
-    if scale:
-        std_pop = std * ((n - 1) / n) ** 0.5  # deviation over n, as in the usual scaler
-        fitted_on = scaler.transform(dense).select(F.col("y").alias("x"))
-    else:
-        std_pop, fitted_on = std * 0 + 1.0, dense
-    pca = PCA(k=k, inputCol="x", outputCol="pc").fit(fitted_on)
-    w = pca.pc.toArray()
-    ids = [r["gene_id"] for r in panel.orderBy("slot").collect()]
-    rows = [(g, float(mean[i]) if scale else 0.0, float(std_pop[i]), 0.0 if scale else float(mean[i]), [float(x) for x in w[i]])
-            for i, g in enumerate(ids)]
-    gene_type = dict(genes.dtypes)["gene_id"]
-    spark = counts.sparkSession
-    loadings = spark.createDataFrame(rows, f"gene_id {gene_type}, mean double, scale double, center double, components array<double>")
-    meta = {"n_components": k, "n_genes": dim, "n_cells": int(n), "scaled": bool(scale),
-            "explained_variance_ratio": [float(x) for x in pca.explainedVariance.toArray()]}
-    return loadings, spark.createDataFrame([(json.dumps(meta),)], "metadata string")
+    k = max(1, min(n_components, min(n, dim) - 1))
+    width = min(dim, max(2 * k, k + 20))
+    sums = entries.groupBy("gene_id").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
+    mean = F.coalesce(F.col("s"), F.lit(0.0)) / n
+    var = F.greatest(F.coalesce(F.col("q"), F.lit(0.0)) / n - mean * mean, F.lit(0.0))
+    start = F.array(*[F.pmod(F.xxhash64(F.lit(seed), F.lit(j), F.col("gene_id").cast("string")), F.lit(2_000_003)) / 1_000_001.5 - 1
+                      for j in range(width)])
+    stats = panel.join(sums, "gene_id", "left").select("gene_id", mean.alias("m"), F.sqrt(var).alias("sd"), start.alias("w"))
+    factor = F.when(F.col("sd") > 0, 1 / F.col("sd")).otherwise(1.0) if scale else F.lit(1.0)
+    table = settle(stats.withColumn("f", factor))
+    table = _times(table, "w", _whiten(_gram(table, "w", "w", width)))
+    spread = float(table.agg(F.sum((F.col("sd") * F.col("f")) ** 2)).first()[0] or 0.0) * n / max(1, n - 1)
+    before, values, turn = None, np.zeros(k), np.eye(width)
+    for _ in range(max_rounds):
+        table = settle(table)
+        width = int(table.agg(F.max(F.size("w"))).first()[0])
+        # a cell without entries stands at -sum(mean * factor * w); the others add their entries to it
+        base = np.array(table.agg(_sums_of_arrays(F.col("w"), -F.col("m") * F.col("f"), width).alias("c")).first()[0])
+        base_column = F.array(*[F.lit(float(x)) for x in base])
+        joined = entries.join(broadcast_if_small(table.select("gene_id", "f", "w")), "gene_id")
+        places = settle(joined.groupBy("cell_id").agg(_sums_of_arrays(F.col("w"), F.col("value") * F.col("f"), width).alias("p")).withColumn(
+            "p", F.transform("p", lambda x, i: x + F.get(base_column, i))))
+        held = places.agg(F.count(F.lit(1)).alias("n"), _sums_of_arrays(F.col("p"), F.lit(1.0), width).alias("t")).first()
+        total = F.array(*[F.lit(float((t or 0.0) + (n - held["n"]) * b)) for t, b in zip(held["t"], base, strict=True)])
+        back = entries.join(places, "cell_id").groupBy("gene_id").agg(_sums_of_arrays(F.col("p"), F.col("value"), width).alias("b"))
+        zero = F.array(*[F.lit(0.0)] * width)
+        moved = settle(table.join(back, "gene_id", "left").withColumn("b", F.zip_with(
+            F.coalesce("b", zero), total, lambda x, t: F.col("f") * (x - F.col("m") * t))))
+        found, turn = np.linalg.eigh(_gram(moved, "w", "b", width))
+        values, turn = found[::-1][:k] / max(1, n - 1), turn[:, ::-1][:, :k]
+        done = before is not None and np.abs(values - before).max() <= tolerance * max(values.max(), 1e-300)
+        if width >= dim or done:
+            break
+        before = values
+        table = _times(moved.select("gene_id", "m", "sd", "f", F.col("b").alias("w")), "w", _whiten(_gram(moved, "b", "b", width)))
+    fitted = _times(table, "w", turn)
+    largest = fitted.agg(*[F.max_by(F.get("w", F.lit(j)), F.struct(F.abs(F.get("w", F.lit(j))), "gene_id")).alias(f"c{j}") for j in range(len(values))]).first()
+    fitted = _times(fitted, "w", np.diag([-1.0 if (x or 0.0) < 0 else 1.0 for x in largest]))
+    zeros = F.lit(0.0)
+    loadings = fitted.select(
+        "gene_id", (F.col("m") if scale else zeros).alias("mean"), (F.col("sd") if scale else F.lit(1.0)).alias("scale"),
+        (zeros if scale else F.col("m")).alias("center"), F.col("w").alias("components"))
+    meta = {"n_components": len(values), "n_genes": dim, "n_cells": n, "scaled": bool(scale),
+            "explained_variance_ratio": [float(v / spread) if spread else 0.0 for v in values]}
+    return settle(loadings), counts.sparkSession.createDataFrame([(json.dumps(meta),)], "metadata string")
 
 
 def save_components(loadings: DataFrame, metadata: DataFrame, path: str) -> None:
@@ -164,15 +218,18 @@ def embed(atlas: Atlas, method: str, key: str | None = None, **kw) -> DataFrame:
 
 
 def embed_missing(atlas: Atlas, methods: dict[str, dict], overwrite: bool = False) -> DataFrame | None:
-    """Vectors of the methods whose key some cell table lacks; each method is one job over all cells."""
-    have = set()
-    if atlas.embeddings is not None and not overwrite:
-        have = {r[0] for r in atlas.embeddings.select("key").distinct().collect()}
+    """Vectors of each method for the cells that do not have its key yet; None when nothing is missing.
+
+    A method is fitted on all cells as always; what is there already is not returned again.
+    """
     out = None
     for name, kw in methods.items():
-        if f"X_{name}" in have:
+        missing = atlas.cells.select("cell_id")
+        if atlas.embeddings is not None and not overwrite:
+            missing = settle(missing.join(atlas.embeddings.filter(F.col("key") == f"X_{name}"), "cell_id", "left_anti"))
+        if missing.isEmpty():
             continue
-        part = embed(atlas, name, **kw)
+        part = embed(atlas, name, **kw).join(missing, "cell_id", "left_semi")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -127,17 +127,23 @@ def varying_genes(genes: DataFrame, counts: DataFrame, cells: DataFrame) -> Data
 
 
 def batches_with_enough_genes(
-    counts: DataFrame, cells: DataFrame, batch: str, min_genes: int, var_threshold: float = 1e-6, sums: DataFrame | None = None
+    counts: DataFrame, cells: DataFrame, batch: str, min_genes: int, var_threshold: float = 1e-6, sums: DataFrame | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Batches with at least ``min_genes`` genes of non-negligible variance, every batch checked."""
-    var = variances_from_sums(gene_sums(counts, batch) if sums is None else sums, cells, batch)
-    n = var.filter(F.col("variance") > var_threshold).groupBy(batch).agg(F.count(F.lit(1)).alias("n_variable"))
+    """Batches with at least ``min_genes`` genes of non-negligible variance, every batch (of every group) checked."""
+    keys = [*by, *([] if batch in by else [batch])]
+    var = variances_from_sums(gene_sums(counts, keys) if sums is None else sums, cells, keys)
+    n = var.filter(F.col("variance") > var_threshold).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_variable"))
     return n.filter(F.col("n_variable") >= min_genes)
 
 
-def keep_batches(df: DataFrame, batches: DataFrame, batch: str) -> DataFrame:
-    small = broadcast_if_small(batches.select(F.col(batch).alias("_b")))
-    return df.join(small, df[batch].eqNullSafe(small["_b"]), "left_semi")
+def keep_batches(df: DataFrame, batches: DataFrame, batch: str, by: Sequence[str] = ()) -> DataFrame:
+    keys = [*by, *([] if batch in by else [batch])]
+    small = broadcast_if_small(batches.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(small[f"_{k}"])
+    return df.join(small, same, "left_semi")
 
 
 def named_genes(genes: DataFrame, column: str) -> DataFrame:

@@ -65,22 +65,24 @@ def normalised_check(counts: DataFrame, cells: DataFrame, var_threshold: float =
 
 
 def scaled_check(
-    counts: DataFrame, cells: DataFrame, genes: DataFrame, sample_genes: int = 1000, sample_cells: int = 1000,
+    counts: DataFrame, cells: DataFrame, genes: DataFrame, sample_genes: int | None = None, sample_cells: int | None = None,
     mean_tol: float = 0.2, std_tol: float = 0.2, fraction_thresh: float = 0.8, seed: int = 42,
 ) -> DataFrame:
-    """One row: looks z-scaled when enough of the sampled genes have mean near 0 and deviation near 1.
+    """One row: looks z-scaled when enough of the genes have mean near 0 and deviation near 1.
 
-    The sample is part of the question. Its ids are the first in seeded hash
-    order and are bounded by the arguments, so both sides broadcast.
+    All cells and genes are asked. A caller may ask for a sample instead, the first ids in seeded hash order.
     """
-    some_cells = hash_rank(cells.select("cell_id"), "cell_id", seed, first=sample_cells).select("cell_id")
-    some_genes = hash_rank(genes.select("gene_id"), "gene_id", seed, first=sample_genes).select("gene_id")
-    some_cells, some_genes = broadcast_if_small(some_cells), broadcast_if_small(some_genes)
+    some_cells, some_genes, entries = cells.select("cell_id"), genes.select("gene_id"), counts
+    if sample_cells is not None:
+        some_cells = hash_rank(some_cells, "cell_id", seed, first=sample_cells).select("cell_id")
+        entries = entries.join(broadcast_if_small(some_cells), "cell_id", "left_semi")
+    if sample_genes is not None:
+        some_genes = hash_rank(some_genes, "gene_id", seed, first=sample_genes).select("gene_id")
+        entries = entries.join(broadcast_if_small(some_genes), "gene_id", "left_semi")
     n = some_cells.agg(F.count(F.lit(1)).cast("double")).scalar()
-    entries = counts.join(some_cells, "cell_id", "left_semi").join(some_genes, "gene_id", "left_semi")
     per_gene = entries.groupBy("gene_id").agg(
         F.sum("value").alias("_s"), F.sum(F.col("value") * F.col("value")).alias("_q"))
-    # a sampled gene without entries has mean 0 and deviation 0: it counts, as not scaled
+    # a gene without entries has mean 0 and deviation 0: it counts, as not scaled
     stats = some_genes.join(per_gene, "gene_id", "left").na.fill(0.0, ["_s", "_q"]).withColumn("_n", n)
     mean = F.col("_s") / F.col("_n")
     std = F.sqrt(F.greatest((F.col("_q") - F.col("_n") * mean * mean) / (F.col("_n") - 1), F.lit(0.0)))

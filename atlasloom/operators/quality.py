@@ -13,7 +13,6 @@ from atlasloom.model import as_list
 from atlasloom.sizing import broadcast_if_small, settle
 
 # Up to this many rows one exact percentile aggregate is the cheaper plan.
-PERCENTILE_ROWS = 2_000_000
 
 
 def cell_metrics(
@@ -126,7 +125,15 @@ def _bracketed_quantiles(
     value = F.when((f == 0) | (F.col("a") == F.col("b")), F.col("a")).otherwise((1 - f) * F.col("a") + f * F.col("b"))
     found = found.withColumn("value", F.when(value.isNotNull(), value).otherwise(
         F.raise_error(F.lit("quantile outside its bracket"))))
-    return found.groupBy(*by).pivot("name", list(targets)).agg(F.first("value"))
+    wide = found.groupBy(*by).pivot("name", list(targets)).agg(F.first("value"))
+    if not by:
+        return wide
+    # a group of nulls alone has no place to look up, and no quantile
+    groups = box.select(*[F.col(k).alias(f"_k_{k}") for k in by])
+    same = F.lit(True)
+    for k in by:
+        same = same & wide[k].eqNullSafe(groups[f"_k_{k}"])
+    return groups.join(wide, same, "left").select(*[F.col(f"_k_{k}").alias(k) for k in by], *targets)
 
 
 def quantiles(
@@ -135,7 +142,7 @@ def quantiles(
     """Exact quantiles ``{name: (column, probability)}`` per group, interpolated between neighbours."""
     by = as_list(by)
     if method == "auto":
-        method = "percentile" if df.count() <= PERCENTILE_ROWS else "bracket"
+        method = "bracket"
     return (_percentile_quantiles if method == "percentile" else _bracketed_quantiles)(df, targets, by)
 
 

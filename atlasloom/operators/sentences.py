@@ -46,7 +46,7 @@ def with_top_genes(counts: DataFrame, cells: DataFrame, slots: DataFrame, length
 
 def cell_sentences(
     counts: DataFrame, cells: DataFrame, genes: DataFrame, length: int, annotation: str | None = None,
-    name: str = "gene_name", label_prob: float = 0.7, seed: int | str = 42,
+    name: str = "gene_name", label_prob: float = 0.7, seed: int | str = 42, wordings: tuple[int, int] = (40, 20),
 ) -> DataFrame:
     """Cells with ``cell_sentence``, and with ``semantic_true`` and ``semantic_similar`` given an annotation.
 
@@ -60,7 +60,7 @@ def cell_sentences(
     if annotation is None:
         return out.drop("top_genes")
     out = out.withColumn("semantic_true", semantic_sentence(
-        F.col("top_genes"), F.col(annotation), F.col("cell_id"), cells.count(), label_prob, seed)).drop("top_genes")
+        F.col("top_genes"), F.col(annotation), F.col("cell_id"), label_prob, seed, *wordings)).drop("top_genes")
     # the sentences are wanted twice, for their own cell and for the one before it
     return next_in_group(settle(out), "semantic_true", annotation, "ord", "semantic_similar")
 

@@ -12,8 +12,6 @@ from pyspark.sql.window import Window as W
 from atlasloom.operators.ranking import first_per_key
 from atlasloom.sizing import broadcast_if_small
 
-SOURCE_STRIDE = 1 << 40
-
 
 def _stack(parts: Sequence[DataFrame], tag: str, labels: Sequence | None = None, missing: bool = True) -> DataFrame:
     tagged = [p.withColumn(tag, F.lit(i if labels is None else labels[i])) for i, p in enumerate(parts)]
@@ -21,13 +19,23 @@ def _stack(parts: Sequence[DataFrame], tag: str, labels: Sequence | None = None,
 
 
 def pool_samples(sources: Sequence[DataFrame], sentence_counts: Sequence[int] | None = None) -> DataFrame:
-    """Rows of several inputs in input order; a repeated index keeps its first place and its last content."""
+    """Rows of several inputs in input order; a repeated index keeps its first place and its last content.
+
+    Positions of an input follow on the largest of the one before, so any positions keep the order of the inputs.
+    """
     if sentence_counts is not None and len(set(sentence_counts)) > 1:
         raise ValueError(f"all inputs need the same number of sentence columns, got {list(sentence_counts)}")
-    pooled = _stack(sources, "_src").withColumn(
-        "ord", F.col("_src").cast("bigint") * F.lit(SOURCE_STRIDE) + F.col("ord").cast("bigint"))
     if len(sources) == 1:
-        return pooled.drop("_src")
+        return sources[0]
+    ends = _stack([p.select(F.col("ord").cast("bigint").alias("ord")) for p in sources], "_src").groupBy("_src").agg(F.min("ord"), F.max("ord"))
+    found = {r[0]: (r[1] or 0, r[2] or 0) for r in ends.collect()}  # one row per input
+    starts, after = [], 0
+    for i in range(len(sources)):
+        low, high = found.get(i, (0, -1))
+        starts.append(after - low)
+        after += high - low + 1
+    moved = [p.withColumn("ord", F.col("ord").cast("bigint") + F.lit(start).cast("bigint")) for p, start in zip(sources, starts, strict=True)]
+    pooled = _stack(moved, "_src")
     place = F.min("ord").over(W.partitionBy("sample_idx"))
     return first_per_key(pooled.withColumn("_place", place), "sample_idx", F.desc("ord")).withColumn(
         "ord", F.col("_place")).drop("_place", "_src")

@@ -71,14 +71,14 @@ def general(atlas: Atlas, s: Settings, by: Sequence[str] = ()) -> Atlas:
     batch = s.batch if s.batch in cells.columns else None
     keys = list(dict.fromkeys([*by, *([batch] if batch else [])]))
     sums = settle(filters.gene_sums(scoped(counts, cells, keys), keys, linear=True))
-    bad = sums.filter("n_bad > 0").select("gene_id").distinct()
+    # a gene that isn't finite in one group goes from that group alone
+    bad = sums.filter("n_bad > 0").select(*by, "gene_id").distinct()
     if not bad.isEmpty():
-        bad = broadcast_if_small(bad)
-        sums, counts = (df.join(bad, "gene_id", "left_anti") for df in (sums, counts))
+        sums, counts = (_without_pairs(df, bad, [*by, "gene_id"]) for df in (sums, counts))
     genes = atlas.genes.join(broadcast_if_small(sums.select("gene_id").distinct()), "gene_id", "left_semi")
-    if batch and not by:
-        enough = filters.batches_with_enough_genes(counts, cells, batch, s.n_top_genes, sums=sums)
-        cells, sums = (filters.keep_batches(df, enough, batch) for df in (cells, sums))
+    if batch:
+        enough = filters.batches_with_enough_genes(counts, cells, batch, s.n_top_genes, sums=sums, by=by)
+        cells, sums = (filters.keep_batches(df, enough, batch, by) for df in (cells, sums))
         counts = keep_cells(counts, cells)
         filters.require_cells(cells)
     scored = variable_genes(counts, cells, genes, s.n_top_genes, batch, by=by, sums=sums)
@@ -87,6 +87,15 @@ def general(atlas: Atlas, s: Settings, by: Sequence[str] = ()) -> Atlas:
     return Atlas(cells, scored, counts.select("cell_id", "gene_id", "value", *by), atlas.layers, atlas.embeddings, atlas.uns)
 
 
+def _without_pairs(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys, null equal to null, are not listed."""
+    small = broadcast_if_small(listed.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(small[f"_{k}"])
+    return df.join(small, same, "left_anti")
+
+
 def token_inputs(atlas: Atlas, raw: DataFrame, lookup: DataFrame | None = None, symbol: str = "gene_name",
                  by: Sequence[str] = ()) -> Atlas:
     """``ensembl_id`` on genes; ``n_counts`` and ``sample_index`` on cells."""
@@ -138,7 +147,7 @@ def cleanup_variable_genes(
     families: dict[str, Column] | None = None, mt: str = "mt", symbol: str = "gene_name", percent_top: Sequence[int] = (20,),
 ) -> Atlas:
     """Quality filter, general steps without rare batches, then only the variable genes."""
-    n = min(n_top_genes, atlas.genes.count(), 10_000)
+    n = min(n_top_genes, atlas.genes.count())
     atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
     judged = quality_verdict(
         atlas.counts, atlas.cells, atlas.genes, percent_top=percent_top, families=families, mt=mt, symbol=symbol)

@@ -67,22 +67,29 @@ def applied_components(spark, d):
     return rounded(out.select("cell_id", F.posexplode("vector").alias("dim", "value")), 2)
 
 
-@query("E4_fitted_components")
+FIT_STATS = """fit_stats AS (SELECT g.gene_id, coalesce(sum(value), 0) / n AS mean,
+  sqrt(greatest(coalesce(sum(value * value), 0) / n - (coalesce(sum(value), 0) / n) * (coalesce(sum(value), 0) / n), 0)) AS sd
+  FROM genes g LEFT JOIN norm USING (gene_id) CROSS JOIN (SELECT count(*) AS n FROM cells) GROUP BY g.gene_id, n)"""
+
+
+@query("E4_fitted_components", with_ctes("SELECT gene_id, round(mean, 4) AS mean, round(sd, 4) AS scale, CAST(5 AS INTEGER) AS k FROM fit_stats",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS))
 def fitted_components(spark, d):
     a = dense_atlas(spark, d)
     load, _ = emb.fit_components(log_normalise(a.counts), a.cells, a.genes, 5)
     return rounded(load.select("gene_id", "mean", "scale", F.size("components").alias("k")), 4)
 
 
-@query("E5_components_over_datasets")
+@query("E5_components_over_datasets", with_ctes("SELECT gene_id, round(mean, 4) AS mean, round(sd, 4) AS scale, CAST(5 AS INTEGER) AS k FROM fit_stats",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS))
 def components_over_datasets(spark, d):
     a = dense_atlas(spark, d)
     parts = []
     for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
         c = a.cells.filter(F.col("batch") == segment)
         parts.append(Atlas(c, a.genes, log_normalise(a.counts.join(c.select("cell_id"), "cell_id", "left_semi"))))
-    load, _ = components.fit_over_datasets(parts, 5, max_cells=None)
-    return load.select("gene_id", F.size("components").alias("k"))
+    load, _ = components.fit_over_datasets(parts, 5)
+    return rounded(load.select("gene_id", "mean", "scale", F.size("components").alias("k")), 4)
 
 
 @query("E6_stored_components", with_ctes("SELECT gene_id, round(scale, 6) AS scale, CAST(len(w) AS INTEGER) AS k FROM loadings", DENSE_GENES, LOAD))
@@ -93,11 +100,11 @@ def stored_components(spark, d):
     return rounded(back.select("gene_id", "scale", F.size("components").alias("k")))
 
 
-@query("E7_inspection_components")
+@query("E7_inspection_components", with_ctes("SELECT cell_id, CAST(2 AS INTEGER) AS k FROM cells", DENSE_CELLS))
 def inspection(spark, d):
     a = dense_atlas(spark, d)
     norm = log_normalise(a.counts)
-    load, _ = emb.fit_components(norm, a.cells, a.genes, 2, max_cells=5000, scale=False)
+    load, _ = emb.fit_components(norm, a.cells, a.genes, 2, scale=False)
     return emb.apply_components(norm, a.cells, load).select("cell_id", F.size("vector").alias("k"))
 
 
@@ -120,13 +127,16 @@ def by_name(spark, d):
     return out.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x)).alias("total"))
 
 
-@query("E9_missing_methods", with_ctes("SELECT 'X_pca' AS key, count(*) AS n FROM cells", DENSE_CELLS))
+@query("E9_missing_methods", with_ctes("""SELECT 'X_pca' AS key, count(*) AS n, min(cell_id) AS first FROM cells
+  UNION ALL SELECT 'X_gs', count(*), min(cell_id) FROM cells WHERE batch <> 'BUILDING'""", DENSE_CELLS))
 def missing_methods(spark, d):
     a = dense_atlas(spark, d)
     panel = emb.panel_from(a.genes, "gene_id")
-    a = a.with_(embeddings=emb.embed(a, "gs", panel=panel))
+    # one batch has its panel vectors already
+    done = a.cells.filter("batch = 'BUILDING'").select("cell_id")
+    a = a.with_(embeddings=emb.embed(a, "gs", panel=panel).join(done, "cell_id", "left_semi"))
     out = emb.embed_missing(a, {"gs": {"panel": panel}, "pca": {"loadings": loadings(spark, d)}})
-    return out.groupBy("key").agg(F.count("*").alias("n"))
+    return out.groupBy("key").agg(F.count("*").alias("n"), F.min("cell_id").alias("first"))
 
 
 # --- mixtures ---------------------------------------------------------------------

@@ -139,8 +139,7 @@ def _hex(seed: str, start: int) -> str:
 
 
 SEMANTIC = f"""words AS (SELECT [{', '.join(_lit(t) for t in WITH_LABEL)}] AS w, [{', '.join(_lit(t) for t in WITHOUT_LABEL)}] AS p,
-  CASE WHEN count(*) < 10000 THEN 10 WHEN count(*) < 100000 THEN 20 ELSE 40 END AS nw,
-  CASE WHEN count(*) < 10000 THEN 5 WHEN count(*) < 100000 THEN 10 ELSE 20 END AS np FROM cells),
+  40 AS nw, 20 AS np),
 sem AS (SELECT cell_id, ord, annotation, replace(replace(CASE WHEN {_hex('42:label', 1)} / 4294967296.0 < 0.7
     THEN w[1 + {_hex('42:with', 25)} % nw] ELSE p[1 + {_hex('42:without', 25)} % np] END,
     '{{label}}', annotation), '{{genes}}', listed) AS semantic_true FROM cells JOIN sent USING (cell_id) CROSS JOIN words)"""
@@ -255,13 +254,13 @@ def checked(spark, d):
     return records.build_records(sample_rows(spark, d)).agg(F.count("*").alias("n"))
 
 
-@query("U1_pooled_samples", with_ctes("""SELECT sample_idx, caption FROM (SELECT o_custkey AS sample_idx, o_orderpriority AS caption FROM orders WHERE o_orderstatus = 'F'
-    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1) WHERE sample_idx NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
-  UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0""", CELLS))
+@query("U1_pooled_samples", with_ctes("""SELECT sample_idx, caption FROM (SELECT o_custkey AS sample_idx, o_orderpriority AS caption FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1) WHERE sample_idx NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT c_custkey, c_mktsegment FROM customer""", CELLS))
 def pooled(spark, d):
-    o = star.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(
+    o = star.table(spark, d, "orders").select(
         F.col("o_custkey").alias("sample_idx"), F.col("o_orderkey").alias("ord"), F.col("o_orderpriority").alias("caption"))
-    c = star.table(spark, d, "customer").filter("c_acctbal > 0").select(
+    c = star.table(spark, d, "customer").select(
         F.col("c_custkey").alias("sample_idx"), F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("caption"))
     return setops.pool_samples([o, c]).select("sample_idx", "caption")
 

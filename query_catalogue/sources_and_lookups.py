@@ -118,18 +118,18 @@ def enriched(spark, d):
 
 
 @query("J1_first_lookup_row", with_ctes("""SELECT cell_id, coalesce(p, 'unknown') AS priority FROM cells LEFT JOIN (SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS p
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON donor = o_custkey""", CELLS))
+  FROM orders GROUP BY 1) ON donor = o_custkey""", CELLS))
 def first_lookup(spark, d):
-    o = star.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(
+    o = star.table(spark, d, "orders").select(
         F.col("o_custkey").alias("donor"), F.col("o_orderpriority").alias("priority"), "o_orderkey")
     return lookups.enrich(star.cells(spark, d), o, "donor", "priority", order=["o_orderkey"]).select("cell_id", "priority")
 
 
-LIB = """lib AS (SELECT 'SRX' || l_orderkey AS experiment_accession, min(l_returnflag) AS library FROM lineitem WHERE l_linenumber > 1 GROUP BY 1)"""
+LIB = """lib AS (SELECT 'SRX' || l_orderkey AS experiment_accession, min(l_returnflag) AS library FROM lineitem GROUP BY 1)"""
 
 
 def library(spark, d):
-    l = star.table(spark, d, "lineitem").filter("l_linenumber > 1")
+    l = star.table(spark, d, "lineitem")
     return l.groupBy(F.concat(F.lit("SRX"), "l_orderkey").alias("experiment_accession")).agg(F.min("l_returnflag").alias("library"))
 
 

@@ -241,3 +241,35 @@ def test_results_do_not_depend_on_partitions(spark):
         runs.append(sorted(map(tuple, preprocess.general(b, preprocess.Settings(min_cells=5, min_genes=3, n_top_genes=10)).genes.select(
             "gene_id", "highly_variable").collect())))
     assert runs[0] == runs[1]
+
+
+def test_components_converge_below_full_width(spark):
+    """A panel wider than the iterated subspace: components agree with a full decomposition."""
+    rng = np.random.default_rng(5)
+    x = np.maximum(0, rng.normal(size=(400, 4)) @ (rng.normal(size=(4, 120)) * np.array([8, 5, 3, 2])[:, None]) + rng.normal(size=(400, 120)) * 0.3)
+    a = atlas_of(spark, x)
+    load, meta = embeddings.fit_components(a.counts, a.cells, a.genes, 3, scale=False)
+    w = np.array([r.components for r in load.join(a.genes, "gene_id").orderBy("pos").collect()])
+    s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)[1:]
+    assert np.allclose(w.T @ w, np.eye(3), atol=1e-8)
+    assert np.allclose(np.abs(w.T @ vt[:3].T), np.eye(3), atol=1e-4)
+    import json
+
+    got = json.loads(meta.first()[0])["explained_variance_ratio"]
+    assert np.allclose(got, (s**2 / (s**2).sum())[:3], atol=1e-6)
+
+
+def test_a_gene_goes_only_where_it_is_not_finite(spark):
+    from atlasloom.plans.preprocess import _without_pairs
+
+    df = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0), (None, 1, 3.0), ("a", 2, 4.0)], "part string, gene_id long, value double")
+    bad = spark.createDataFrame([("a", 1), (None, 1)], "part string, gene_id long")
+    assert sorted(r.value for r in _without_pairs(df, bad, ["part", "gene_id"]).collect()) == [2.0, 4.0]
+
+
+def test_quantiles_keep_groups_of_nulls(spark):
+    from atlasloom.operators.quality import quantiles
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None), (None, 5.0)], "g string, v double")
+    got = {r.g: r.m for r in quantiles(df, {"m": ("v", 0.5)}, "g").collect()}
+    assert got == {"a": 2.0, "b": None, None: 5.0}
