@@ -18,10 +18,12 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasloom.llm.common import documents, keep_listed, raw_texts, words_of, written
@@ -33,6 +35,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 26, 5
 REGISTERS = BANDS * BAND_ROWS
 SHINGLES_AT_ONCE = 200_000
+#: 64-bit words of the bitmap that tells how many shingles of a text another one lacks at least.
+BITMAP_WORDS = 16
 
 _GOLDEN, _64_BITS = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
@@ -183,6 +187,19 @@ def words_key(text: bytes, words: list[bytes]) -> bytes:
 # --- candidates and verification ---------------------------------------------
 
 
+def bitmap(keys: np.ndarray) -> np.ndarray:
+    """``BITMAP_WORDS`` numbers with a bit for each shingle. Bits that only one of two texts has are shingles only it has."""
+    places = _draw(keys, 11) % np.uint64(64 * BITMAP_WORDS)
+    out = np.zeros(BITMAP_WORDS, "uint64")
+    np.bitwise_or.at(out, (places >> np.uint64(6)).astype("int64"), np.uint64(1) << (places & np.uint64(63)))
+    return out.view("int64")
+
+
+def _lacking(one: str, other: str) -> Column:
+    """At least how many shingles of the text with bitmap ``one`` are not in the text with bitmap ``other``."""
+    return reduce(add, [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(BITMAP_WORDS)])
+
+
 def _word_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``words_key, words``: the words of each text in ``keys``, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +267,9 @@ def _may_be_similar(left: DataFrame, words: DataFrame, least: float) -> DataFram
     up to there are enough to meet on, and a passage that many texts have in common is not among them unless it is
     nearly all they have. If shares ``x`` and ``y`` of two texts are passed before their first common shingle, neither is shared and
     the similarity is at most ``(1 - x)(1 - y) / (1 - xy)``, by concavity of the similarity's terms. Later common
-    shingles have larger ``x`` and ``y``, so a row that stays within the bound is there for every similar pair.
+    shingles have larger ``x`` and ``y``, so a row that stays within the bound is there for every similar pair. A second lower
+    bound of ``x`` and ``y`` comes from bitmaps of all shingles: each bit that only one text has is a shingle that the other
+    lacks, of weight 1 or more. Long texts fill the bitmap; it then excludes less, never more.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _WordKeys()
@@ -258,20 +277,29 @@ def _may_be_similar(left: DataFrame, words: DataFrame, least: float) -> DataFram
             for key, label, text in zip(batch.column("words_key"), batch.column("class_key"), batch.column("words"), strict=True):
                 keys, counts = _shingle_keys(text.as_py().split(b" "), seen)
                 weights = 1.0 + np.log(counts)
+                bits, blank = bitmap(keys).tolist(), [None] * (len(keys) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key.as_py()] * len(keys), pa.binary()), pa.array([label.as_py()] * len(keys), pa.binary()),
-                     pa.array(keys.view("int64")), pa.array(weights / weights.sum())], names=["words_key", "class_key", "shingle", "part"])
+                     pa.array(keys.view("int64")), pa.array(weights / weights.sum()),
+                     pa.array([bits, *blank], pa.list_(pa.int64())), pa.array([weights.sum()] * len(keys))],
+                    names=["words_key", "class_key", "shingle", "part", "bits", "total"])
 
     rows = written(left.join(words, "words_key").select("words_key", "class_key", "words").mapInArrow(
-        run, "words_key binary, class_key binary, shingle long, part double"), "shingles")
+        run, "words_key binary, class_key binary, shingle long, part double, bits array<bigint>, total double"), "shingles")
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
-    rarest = Window.partitionBy("words_key").orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    text = Window.partitionBy("words_key")
+    rarest = text.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, -1)
     passed = F.coalesce(F.sum("part").over(rarest), F.lit(0.0))
-    first = rows.join(often, "shingle").withColumn("passed", passed).filter((F.col("passed") <= 1 - least + 1e-9) & (F.col("texts") > 1))
-    meeting = written(first.select("shingle", "words_key", "class_key", "passed"), "meeting")
-    one, other = (meeting.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("words_key", "class_key", "passed")]) for side in "ab")
-    bound = (1 - F.col("passed_a")) * (1 - F.col("passed_b")) / (1 - F.col("passed_a") * F.col("passed_b"))
-    met = one.join(other, "shingle").filter("words_key_a > words_key_b AND class_key_a <> class_key_b").filter(bound >= least - 1e-9)
+    # one row of each text brings its bitmap
+    ranked = rows.join(often, "shingle").withColumn("passed", passed).withColumn("bits", F.max("bits").over(text))
+    first = ranked.filter((F.col("passed") <= 1 - least + 1e-9) & (F.col("texts") > 1))
+    columns = ["words_key", "class_key", "passed", "bits", "total"]
+    meeting = written(first.select("shingle", *columns), "meeting")
+    one, other = (meeting.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+    x = F.greatest("passed_a", _lacking("bits_a", "bits_b") / F.col("total_a"))
+    y = F.greatest("passed_b", _lacking("bits_b", "bits_a") / F.col("total_b"))
+    within = (1 - x) * (1 - y) >= (least - 1e-9) * (1 - x * y)
+    met = one.join(other, "shingle").filter("words_key_a > words_key_b AND class_key_a <> class_key_b").filter(within)
     return met.select(F.col("words_key_a").alias("a"), F.col("words_key_b").alias("b")).distinct()
 
 

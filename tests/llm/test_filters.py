@@ -100,6 +100,17 @@ def test_near_copies_equal_brute_force(spark):
     assert got == want
 
 
+def test_bitmaps_bound_what_a_text_lacks(spark):
+    rng = np.random.default_rng(4)
+    for shared, of_a, of_b in [(0, 1, 1), (140, 10, 30), (900, 400, 0), (5000, 800, 700)]:
+        keys = rng.integers(0, 1 << 63, shared + of_a + of_b).astype("uint64")
+        a, b = keys[:shared + of_a], np.concatenate([keys[:shared], keys[shared + of_a:]])
+        rows = spark.createDataFrame([(near_copies.bitmap(a).tolist(), near_copies.bitmap(b).tolist())], "a array<bigint>, b array<bigint>")
+        lacks_a, lacks_b = rows.select(near_copies._lacking("a", "b"), near_copies._lacking("b", "a")).first()
+        assert lacks_a <= of_a and lacks_b <= of_b
+        assert shared > 200 or lacks_a >= 0.7 * of_a and lacks_b >= 0.7 * of_b
+
+
 def test_probability_jaccard():
     a, b = near_copies.shingles(words_of(b"a b c d e f g h")), near_copies.shingles(words_of(b"b c d e f g h i"))
     assert near_copies.similarity(a, b) == pytest.approx(len(a.keys() & b.keys()) / len(a.keys() | b.keys()))
