@@ -134,7 +134,7 @@ def _shingle_keys(words: list[bytes], seen: dict[bytes, int]) -> tuple[np.ndarra
 
 class _WordKeys(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -204,10 +204,13 @@ def _word_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``words_key, words``: the words of each text in ``keys``, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [(t, words_of(t)) for t in raw_texts(batch.column("text"))]
+            keys, joined = [], []
+            for text in raw_texts(batch.column("text")):
+                words = words_of(text)
+                keys.append(words_key(text, words))
+                joined.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([words_key(t, w) for t, w in split], pa.binary()), pa.array([b" ".join(w) for _, w in split], pa.binary())],
-                names=["words_key", "words"])
+                [pa.array(keys, pa.binary()), pa.array(joined, pa.binary())], names=["words_key", "words"])
 
     rows = docs.select("text").mapInArrow(run, "words_key binary, words binary")
     return rows.join(broadcast_if_small(keys), "words_key").dropDuplicates(["words_key"])
