@@ -6,11 +6,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas
+from atlasloom.operators import chunks, lookups, mixtures, records, sentences, setops, subsets
 from atlasloom.operators import embeddings as emb
-from atlasloom.operators import mixtures, setops
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.plans import components, preprocess, stable_genes
+from atlasloom.sizing import settle_by_key
 from atlasloom.sources import star_schema as star
+from query_catalogue.records_and_subsets import HV, NEG, RANKED
 from query_catalogue.registry import (
     CELLS, CELLS_INSTR, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, outlier_ctes, qc_ctes,
     query, rounded, scratch, with_ctes,
@@ -72,24 +74,51 @@ FIT_STATS = """fit_stats AS (SELECT g.gene_id, coalesce(sum(value), 0) / n AS me
   FROM genes g LEFT JOIN norm USING (gene_id) CROSS JOIN (SELECT count(*) AS n FROM cells) GROUP BY g.gene_id, n)"""
 
 
-@query("E4_fitted_components", with_ctes("SELECT gene_id, round(mean, 4) AS mean, round(sd, 4) AS scale, CAST(5 AS INTEGER) AS k FROM fit_stats",
-    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS))
+def pca_ctes(scaled: bool, n: int) -> list[str]:
+    """The first ``n`` components of all cells: each from its covariance matrix squared 30 times, which leaves one direction.
+
+    ``c<i>`` holds a component's variance and its loadings in the order of ``gene_id``, the largest of them positive.
+    """
+    unit = "(f.sd * g.sd)" if scaled else "1.0"
+    ctes = ["""crossed AS (SELECT a.gene_id AS i, b.gene_id AS j, sum(a.value * b.value) AS q FROM norm a JOIN norm b USING (cell_id) GROUP BY 1, 2)""",
+            f"""covariance AS (SELECT f.gene_id AS i, g.gene_id AS j, (coalesce(q, 0) / n - f.mean * g.mean) / {unit} AS c
+  FROM fit_stats f CROSS JOIN fit_stats g LEFT JOIN crossed x ON x.i = f.gene_id AND x.j = g.gene_id CROSS JOIN (SELECT count(*) AS n FROM cells))""",
+            "m1 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM covariance GROUP BY i))"]
+    for i in range(1, n + 1):
+        ctes += [f"""p{i} AS (SELECT m, 0 AS t FROM m{i} UNION ALL
+  SELECT list_transform(m, lambda r: list_transform(m, lambda s: list_dot_product(r, s) / k)), t + 1
+  FROM (SELECT m, t, list_sum(list_transform(m, lambda u: list_dot_product(u, u))) AS k FROM p{i} WHERE t < 30))""",
+                 f"u{i} AS (SELECT arg_max(r, list_dot_product(r, r)) AS r FROM (SELECT unnest(m) AS r FROM p{i} WHERE t = 30))",
+                 f"""v{i} AS (SELECT list_transform(r, lambda x: x * CASE WHEN list_max(r) >= -list_min(r) THEN 1 ELSE -1 END / sqrt(list_dot_product(r, r))) AS v FROM u{i})""",
+                 f"c{i} AS (SELECT list_sum(list_transform(m, lambda r, k: list_dot_product(r, v) * v[k])) AS variance, v FROM m{i} CROSS JOIN v{i})",
+                 f"""m{i + 1} AS (SELECT list_transform(m, lambda r, a: list_transform(r, lambda x, b: x - variance * v[a] * v[b])) AS m FROM m{i} CROSS JOIN c{i})"""]
+    return ctes
+
+
+FITTED = with_ctes("""SELECT gene_id, round(mean, 4) AS mean, round(sd, 4) AS scale, CAST(5 AS INTEGER) AS k, round(c1.v[place], 4) AS first, round(c2.v[place], 4) AS second
+  FROM (SELECT *, row_number() OVER (ORDER BY gene_id) AS place FROM fit_stats) CROSS JOIN c1 CROSS JOIN c2""",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS, *pca_ctes(True, 2), recursive=True)
+
+
+def fitted(load):
+    w = F.col("components")
+    return rounded(load.select("gene_id", "mean", "scale", F.size(w).alias("k"), w[0].alias("first"), w[1].alias("second")), 4)
+
+
+@query("E4_fitted_components", FITTED)
 def fitted_components(spark, d):
     a = dense_atlas(spark, d)
-    load, _ = emb.fit_components(log_normalise(a.counts), a.cells, a.genes, 5)
-    return rounded(load.select("gene_id", "mean", "scale", F.size("components").alias("k")), 4)
+    return fitted(emb.fit_components(log_normalise(a.counts), a.cells, a.genes, 5)[0])
 
 
-@query("E5_components_over_datasets", with_ctes("SELECT gene_id, round(mean, 4) AS mean, round(sd, 4) AS scale, CAST(5 AS INTEGER) AS k FROM fit_stats",
-    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS))
+@query("E5_components_over_datasets", FITTED)
 def components_over_datasets(spark, d):
     a = dense_atlas(spark, d)
     parts = []
     for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
         c = a.cells.filter(F.col("batch") == segment)
         parts.append(Atlas(c, a.genes, log_normalise(a.counts.join(c.select("cell_id"), "cell_id", "left_semi"))))
-    load, _ = components.fit_over_datasets(parts, 5)
-    return rounded(load.select("gene_id", "mean", "scale", F.size("components").alias("k")), 4)
+    return fitted(components.fit_over_datasets(parts, 5)[0])
 
 
 @query("E6_stored_components", with_ctes("SELECT gene_id, round(scale, 6) AS scale, CAST(len(w) AS INTEGER) AS k FROM loadings", DENSE_GENES, LOAD))
@@ -100,12 +129,16 @@ def stored_components(spark, d):
     return rounded(back.select("gene_id", "scale", F.size("components").alias("k")))
 
 
-@query("E7_inspection_components", with_ctes("SELECT cell_id, CAST(2 AS INTEGER) AS k FROM cells", DENSE_CELLS))
+@query("E7_inspection_components", with_ctes("""SELECT dim, n_cells, round(sqrt(variance), 3) AS spread FROM (
+    SELECT CAST(0 AS INTEGER) AS dim, variance FROM c1 UNION ALL SELECT CAST(1 AS INTEGER), variance FROM c2) CROSS JOIN (SELECT count(*) AS n_cells FROM cells)""",
+    DENSE_CELLS, DENSE_GENES, DENSE_COUNTS, NORM, FIT_STATS, *pca_ctes(False, 2), recursive=True))
 def inspection(spark, d):
+    """How far all cells spread along each component; it is largest along the first components and smaller along any others."""
     a = dense_atlas(spark, d)
     norm = log_normalise(a.counts)
     load, _ = emb.fit_components(norm, a.cells, a.genes, 2, scale=False)
-    return emb.apply_components(norm, a.cells, load).select("cell_id", F.size("vector").alias("k"))
+    places = emb.apply_components(norm, a.cells, load).select(F.posexplode("vector").alias("dim", "value"))
+    return rounded(places.groupBy("dim").agg(F.count("*").alias("n_cells"), F.stddev_pop(F.col("value").cast("double")).alias("spread")), 3)
 
 
 def _halves(batches):
@@ -183,11 +216,33 @@ def cluster_sizes(spark, d):
     return mixtures.cluster_sizes(mixtures.fit_labels(two_humps(spark, d), "reads"), "reads_label")
 
 
-@query("E14_label_regression")
+def priced(spark, d):
+    return star.cells_with_instrument(spark, d).withColumn("label", F.when(F.col("price") > 250000, "high").otherwise("low"))
+
+
+@query("E14_label_regression", with_ctes("""SELECT 'instrument=' || instrument AS term, count(*) AS n, round(count(*) FILTER (NOT price > 250000), 1) * 1.0::DOUBLE AS expected_low FROM cells GROUP BY 1
+  UNION ALL SELECT 'annotation=' || annotation, count(*), round(count(*) FILTER (NOT price > 250000), 1) * 1.0::DOUBLE FROM cells GROUP BY 1""", CELLS_INSTR))
 def label_regression(spark, d):
-    c = star.cells_with_instrument(spark, d)
-    c = c.withColumn("label", F.when(F.col("price") > 250000, "high").otherwise("low"))
-    return rounded(mixtures.label_regression(c, "label", ["instrument", "annotation"]), 4)
+    """A fitted regression expects as many cells of each label in every category as there are."""
+    c = priced(spark, d)
+    names = ["instrument", "annotation"]
+    found = mixtures.label_regression(c, "label", names)
+    start = found.filter("term = 'intercept'").select("coefficient").scalar()
+    for name in names:
+        part = found.select(F.col("term").alias(f"_{name}"), F.col("coefficient").alias(f"b_{name}"))
+        c = c.withColumn(f"_{name}", F.concat(F.lit(f"{name}="), name)).join(part, f"_{name}", "left")
+    z = sum((F.coalesce(f"b_{name}", F.lit(0.0)) for name in names), start)
+    c = c.withColumn("p", 1 / (1 + F.exp(-z))).withColumn("term", F.explode(F.array(*[f"_{name}" for name in names])))
+    return rounded(c.groupBy("term").agg(F.count("*").alias("n"), F.sum("p").alias("expected_low")), 1)
+
+
+@query("E14_one_covariate", with_ctes("""SELECT CASE WHEN instrument = base THEN 'intercept' ELSE 'instrument=' || instrument END AS term,
+    round(z - CASE WHEN instrument = base THEN 0 ELSE arg_min(z, instrument) OVER () END, 3) AS coefficient
+  FROM (SELECT instrument, min(instrument) OVER () AS base, ln(low * 1.0 / (n - low)) AS z FROM (
+    SELECT instrument, count(*) AS n, count(*) FILTER (NOT price > 250000) AS low FROM cells GROUP BY 1))""", CELLS_INSTR))
+def one_covariate(spark, d):
+    """With one covariate the coefficients are differences of log odds."""
+    return rounded(mixtures.label_regression(priced(spark, d), "label", ["instrument"]), 3)
 
 
 # --- plans ------------------------------------------------------------------------
@@ -235,6 +290,61 @@ def general_entries(spark, d):
     return rounded(preprocess.general(star_atlas(spark, d), settings()).counts.select("cell_id", "gene_id", "value"))
 
 
+def flagship_sql() -> str:
+    """Negatives of sentences over what the general steps leave."""
+    ranked = RANKED.replace("FROM cells c", "FROM g_cells c").replace("JOIN norm n", "JOIN g_norm n")
+    rows = """s AS (SELECT cell_id AS sample_idx, ord, cell_sentence AS cell_sentence_1, caption, batch, 'links/' || batch AS adata_link FROM g_cells JOIN sent USING (cell_id))"""
+    return with_ctes("""SELECT sample_idx, cell_sentence_1, caption AS positive, neg1 AS negative_1_idx, neg2 AS negative_2_idx, adata_link
+  FROM n2 WHERE coalesce(neg1, neg2) IS NOT NULL""", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3), HV, ranked, rows, NEG)
+
+
+@query("flagship_sentence_records", flagship_sql())
+def sentence_records(spark, d, n_negatives=2):
+    """From counts: every surviving cell with its sentence of top genes and negatives of its own batch."""
+    atlas = star_atlas(spark, d)
+    atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
+    kept = preprocess.general(atlas, preprocess.Settings(min_cells=20, min_genes=3, n_top_genes=200))
+    text = sentences.cell_sentences(kept.counts, kept.cells, kept.genes, length=5)
+    rows = records.samples(text, ["cell_sentence"], F.concat(F.lit("links/"), "batch"), caption="caption", batch="batch")
+    return records.build_records(rows, "multiplets", n_negatives)
+
+
+@query("K12_ids_by_own_lookup", with_ctes("""SELECT 'ENSG' || min(p_partkey) AS gene_id, p_name AS previous_index FROM part WHERE p_size > 10 GROUP BY p_name""",
+    GENES))
+def ids_by_own_lookup(spark, d):
+    """Any table with symbols and accessions serves as the lookup; genes it lacks are dropped."""
+    key = F.when(F.col("p_size") > 10, F.col("p_name")).otherwise(F.concat(F.lit("absent "), "p_name"))
+    own = star.table(spark, d, "part").select(key.alias("name"), F.concat(F.lit("ENSG"), "p_partkey").alias("accession"), F.col("p_partkey").alias("place"))
+    g = star.genes(spark, d).select(F.col("gene_name").alias("gene_id")).distinct()
+    out = lookups.ensure_accession_ids(g, lookup=own, lookup_symbol="name", lookup_id="accession", order="place")
+    return out.select("gene_id", "previous_index")
+
+
+CHECKED = ("min_cells", "min_genes", "n_top_genes", "category_threshold")
+
+
+@query("K13_refused_parameters", f"""SELECT parameter, CAST(r_regionkey AS BIGINT) AS given,
+    CASE parameter WHEN 'train_quarters' THEN r_regionkey NOT BETWEEN 1 AND 3 ELSE r_regionkey < 1 END AS refused
+  FROM region CROSS JOIN (SELECT unnest({[*CHECKED, 'subset_size', 'train_quarters']}) AS parameter)""")
+def refused_parameters(spark, d):
+    """Which values the checks refuse, tried on the keys of the smallest table."""
+    cells = star.cells(spark, d)
+    checks = {name: lambda v, name=name: preprocess.Settings(**{name: v}) for name in CHECKED}
+    checks["subset_size"] = lambda v: subsets.random_subset(cells, v)
+    checks["train_quarters"] = lambda v: chunks.split_at_random(cells, v / 4, by=None)
+
+    def refuses(check, value) -> bool:
+        try:
+            check(value)
+        except ValueError:
+            return True
+        return False
+
+    given = [r[0] for r in star.table(spark, d, "region").select("r_regionkey").collect()]
+    rows = [(name, int(v), refuses(check, v)) for name, check in checks.items() for v in given]
+    return spark.createDataFrame(rows, "parameter string, given long, refused boolean")
+
+
 PASSED = "passed AS (SELECT * FROM cells WHERE cell_id IN (SELECT cell_id FROM judged WHERE NOT outlier AND NOT mt_outlier))"
 
 

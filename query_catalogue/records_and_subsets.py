@@ -183,7 +183,8 @@ cap_batch AS (SELECT batch, caption, min(ord) AS first FROM s GROUP BY 1, 2),
 n1 AS (SELECT s.*, coalesce(
     (SELECT min(first) FROM cap_batch b WHERE b.batch = s.batch AND b.caption <> s.caption),
     (SELECT min(first) FROM cap_all a WHERE a.caption <> s.caption)) AS neg1 FROM s),
-pool AS (SELECT s.batch, s.sample_idx, s.ord, b.first FROM s JOIN cap_batch b USING (batch, caption)),
+pool AS (SELECT s.batch, s.sample_idx, s.ord, b.first FROM s JOIN cap_batch b USING (batch, caption)
+    QUALIFY row_number() OVER (PARTITION BY s.batch ORDER BY b.first, s.ord) <= 3),
 near2 AS (SELECT n1.sample_idx, arg_min(p.sample_idx, (p.first, p.ord)) AS neg2 FROM n1 JOIN pool p ON p.batch = n1.batch
     WHERE p.sample_idx <> n1.sample_idx AND (n1.neg1 IS NULL OR p.sample_idx <> n1.neg1) GROUP BY 1),
 n2 AS (SELECT n1.*, coalesce(near2.neg2, (SELECT min(ord) FROM (SELECT ord FROM s ORDER BY ord LIMIT 3) t WHERE t.ord <> n1.sample_idx AND t.ord <> coalesce(n1.neg1, -1))) AS neg2
