@@ -135,7 +135,8 @@ def fit_components(
     if scale is None:
         scale = not scaled_check(counts, cells, genes).first()["is_scaled"]
     k = max(1, min(n_components, min(n, dim) - 1))
-    width = min(dim, max(2 * k, k + 20))
+    width = max(2 * k, k + 20)
+    width = dim if dim <= 2 * width else width  # a panel hardly wider than the subspace is taken whole, in one round
     sums = entries.groupBy("gene_id").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
     mean = F.coalesce(F.col("s"), F.lit(0.0)) / n
     var = F.greatest(F.coalesce(F.col("q"), F.lit(0.0)) / n - mean * mean, F.lit(0.0))

@@ -408,7 +408,26 @@ def stable_set(spark, d):
     return rounded(stable(spark, d)[0])
 
 
-@query("K6_stable_genes_by_name", None)
+def by_name_ctes() -> list[str]:
+    """Scores per dataset under its gene names, over the annotations of each dataset that have enough varying genes."""
+    scores = hvg_ctes(400, src="k_norm", cells="k_cells", genes="k_genes", by=["batch"], batch="annotation")
+    # a dataset's genes are its own: all of them have a place, also without any entry in the annotations left
+    scores = scores.replace("JOIN k_genes USING (gene_id)", "JOIN k_genes USING (batch, gene_id)").replace(
+        "FROM scored_p JOIN scored_nb USING (batch)", "FROM (SELECT batch, gene_id FROM k_genes) LEFT JOIN scored_p USING (batch, gene_id) LEFT JOIN scored_nb USING (batch)")
+    return ["""k_names AS (SELECT batch, gene_id AS part, pos, CASE WHEN nth > 1 THEN gene_name || '_' || (nth - 1) ELSE gene_name END AS gene_id FROM (
+    SELECT batch, g.*, row_number() OVER (PARTITION BY batch, gene_name ORDER BY pos) AS nth
+    FROM (SELECT DISTINCT batch, gene_id FROM counts JOIN cells USING (cell_id)) JOIN genes g USING (gene_id)))""",
+            "k_genes AS (SELECT batch, gene_id, pos FROM k_names)",
+            "k_all AS (SELECT n.cell_id, k.gene_id, n.value, c.batch, c.annotation FROM norm n JOIN cells c USING (cell_id) JOIN k_names k ON k.batch = c.batch AND k.part = n.gene_id)",
+            "k_var AS (SELECT batch, annotation, gene_id, sum(value) AS s, sum(value * value) AS q FROM k_all GROUP BY 1, 2, 3)",
+            """k_enough AS (SELECT batch, annotation FROM k_var JOIN (SELECT batch, annotation, count(*) AS n FROM cells GROUP BY 1, 2) USING (batch, annotation)
+  WHERE (q - n * (s / n) * (s / n)) / n > 1e-6 GROUP BY 1, 2 HAVING count(*) >= 400)""",
+            "k_norm AS (SELECT * FROM k_all SEMI JOIN k_enough USING (batch, annotation))",
+            "k_cells AS (SELECT * FROM cells SEMI JOIN k_enough USING (batch, annotation))", scores]
+
+
+@query("K6_stable_genes_by_name", with_ctes("SELECT gene_id, n_datasets, round(mean_rank, 6) AS mean_rank, in_all FROM stable",
+    CELLS, GENES, COUNTS, NORM, *by_name_ctes(), RANKS))
 def stable_by_name(spark, d):
     """The same over gene names; names that repeat are told apart by suffixes."""
     parts = dict(zip("FOP", by_status(spark, d)))

@@ -9,6 +9,8 @@ import __spark_entry__ as contract
 from query_catalogue import ORACLE, QUERIES
 
 PATH = "/root/testdata/sf0.001"
+#: No category is rare, and no name is in both tables, in the smallest tables; larger ones give rows.
+EMPTY_HERE = {"A6_consolidated_categories", "U7_names_in_both"}
 
 
 @pytest.fixture(scope="module")
@@ -19,10 +21,10 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     verdict, _ = compare(spark, con, name, PATH)
-    assert verdict in ("ok", "rows only", "EMPTY"), verdict
+    assert verdict == ("EMPTY" if name in EMPTY_HERE else "ok"), verdict
 
 
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert len(ORACLE) >= 0.9 * len(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
     assert contract.entry(spark).count() > 0
