@@ -22,7 +22,10 @@ def as_list(value: str | Sequence[str] | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Atlas:
-    """Aligned tables of one dataset; ``layers`` has a ``layer`` column, ``embeddings`` a ``key`` column."""
+    """Aligned tables of one dataset; ``layers`` has a ``layer`` column, ``embeddings`` a ``key`` column.
+
+    ``genes`` has one row per gene; what groups of cells make of their genes, one row per (group, gene), is in ``group_genes``.
+    """
 
     cells: DataFrame
     genes: DataFrame
@@ -30,6 +33,7 @@ class Atlas:
     layers: DataFrame | None = None
     embeddings: DataFrame | None = None
     uns: DataFrame | None = None
+    group_genes: DataFrame | None = None
 
     def __post_init__(self) -> None:
         require_columns(self.cells, ["cell_id", "ord"], "cells")

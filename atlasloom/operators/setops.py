@@ -72,6 +72,13 @@ def merge_gene_tables(genes: Sequence[DataFrame]) -> DataFrame:
     return rows.withColumn("pos", place.cast("bigint")).drop("_at")
 
 
+def merge_group_genes(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per gene of a table with one per (group, gene): per column the value of the last group that has one."""
+    last = F.struct(*by)
+    columns = [c for c in rows.columns if c not in ("gene_id", *by)]
+    return rows.groupBy("gene_id").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), last)).alias(c) for c in columns])
+
+
 def require_same_genes(genes: Sequence[DataFrame]) -> None:
     n = len(genes)
     if not _stack([g.select("gene_id") for g in genes], "_src").groupBy("gene_id").agg(

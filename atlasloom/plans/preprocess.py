@@ -14,6 +14,7 @@ from atlasloom.operators.lookups import enrich_accessions, map_symbols
 from atlasloom.operators.mixtures import split_if_bimodal
 from atlasloom.operators.normalise import ensure_raw_counts, log_normalise
 from atlasloom.operators.quality import passing_cells, quality_verdict
+from atlasloom.operators.setops import merge_group_genes
 from atlasloom.operators.variable_genes import variable_genes
 from atlasloom.sizing import broadcast_if_small, settle, settle_by_key
 
@@ -114,7 +115,11 @@ def preprocess(
     accession_lookup: DataFrame | None = None, accession_columns: Sequence[str] = (), symbol_lookup: DataFrame | None = None,
     skip_accessions: bool = False, continue_on_fail: bool = False,
 ) -> Atlas:
-    """The whole chain. ``by`` names columns (chunk, split) whose groups are treated each on its own."""
+    """The whole chain. ``by`` names columns (chunk, split) whose groups are treated each on its own.
+
+    Groups are one dataset again at the end: ``genes`` has one row per gene, with the values of the last group that has any, and
+    ``group_genes`` keeps every group's own.
+    """
     s = settings or Settings()
     groups = as_list(by)
     # every later pass groups by cell: written once by cell, no pass shuffles the entries again
@@ -135,6 +140,9 @@ def preprocess(
                              symbol=s.symbol)
     cells = settle(passing_cells(judged))
     out = general(atlas.with_(cells=cells, counts=keep_cells(raw, cells)), s, groups)
+    if groups:
+        own = settle(out.genes)
+        out = out.with_(genes=merge_group_genes(own, groups), group_genes=own)
     if s.token_inputs:
         out = token_inputs(out, raw, symbol_lookup, s.symbol, groups)
     if s.instrument and s.description:

@@ -290,12 +290,15 @@ def general_entries(spark, d):
     return rounded(preprocess.general(star_atlas(spark, d), settings()).counts.select("cell_id", "gene_id", "value"))
 
 
+def over_what_is_left(ranked: str) -> str:
+    return ranked.replace("FROM cells c", "FROM g_cells c").replace("JOIN norm n", "JOIN g_norm n")
+
+
 def flagship_sql() -> str:
     """Negatives of sentences over what the general steps leave."""
-    ranked = RANKED.replace("FROM cells c", "FROM g_cells c").replace("JOIN norm n", "JOIN g_norm n")
     rows = """s AS (SELECT cell_id AS sample_idx, ord, cell_sentence AS cell_sentence_1, caption, batch, 'links/' || batch AS adata_link FROM g_cells JOIN sent USING (cell_id))"""
     return with_ctes("""SELECT sample_idx, cell_sentence_1, caption AS positive, neg1 AS negative_1_idx, neg2 AS negative_2_idx, adata_link
-  FROM n2 WHERE coalesce(neg1, neg2) IS NOT NULL""", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3), HV, ranked, rows, NEG)
+  FROM n2 WHERE coalesce(neg1, neg2) IS NOT NULL""", CELLS, GENES, COUNTS, general_ctes("counts", "cells", 200, 20, 3), HV, over_what_is_left(RANKED), rows, NEG)
 
 
 @query("flagship_sentence_records", flagship_sql())
@@ -362,13 +365,32 @@ def preprocessed_genes(spark, d):
     return rounded(out.genes.select("gene_id", "dispersions_norm", "highly_variable"))
 
 
-@query("K4_preprocessed_by_chunk", with_ctes(f"SELECT chunk, {GENE_OUT} FROM scored", CELLS.replace("o_totalprice AS price", "o_totalprice AS price, o_orderpriority AS chunk"), GENES, COUNTS,
-    qc_ctes(carry="chunk"), outlier_ctes(by="chunk"), PASSED, general_ctes("counts", "passed", 100, 5, 2, by=["chunk"])))
-def by_chunk(spark, d):
+CHUNKED = (CELLS.replace("o_totalprice AS price", "o_totalprice AS price, o_orderpriority AS chunk"), GENES, COUNTS,
+           qc_ctes(carry="chunk"), outlier_ctes(by="chunk"), PASSED, general_ctes("counts", "passed", 100, 5, 2, by=["chunk"]))
+MERGED = """merged AS (SELECT gene_id, arg_max(dispersions_norm, chunk) AS dispersions_norm, arg_max(highly_variable, chunk) AS highly_variable FROM scored GROUP BY 1)"""
+
+
+def chunked(spark, d) -> Atlas:
     a = star_atlas(spark, d)
     a = a.with_(cells=a.cells.withColumn("chunk", F.col("annotation")))
-    out = preprocess.preprocess(a, settings(min_cells=5, min_genes=2, n_top_genes=100), by="chunk")
-    return rounded(out.genes.select("chunk", "gene_id", "dispersions_norm", "highly_variable"))
+    return preprocess.preprocess(a, settings(min_cells=5, min_genes=2, n_top_genes=100), by="chunk")
+
+
+@query("K4_preprocessed_by_chunk", with_ctes(f"SELECT chunk, {GENE_OUT} FROM scored", *CHUNKED))
+def by_chunk(spark, d):
+    return rounded(chunked(spark, d).group_genes.select("chunk", "gene_id", "dispersions_norm", "highly_variable"))
+
+
+@query("K4_merged_genes", with_ctes("SELECT gene_id, gene_name, round(dispersions_norm, 6) AS dispersions_norm, highly_variable FROM merged JOIN genes USING (gene_id)", *CHUNKED, MERGED))
+def merged_by_chunk(spark, d):
+    return rounded(chunked(spark, d).genes.select("gene_id", "gene_name", "dispersions_norm", "highly_variable"))
+
+
+@query("K4_sentences_by_chunk", with_ctes("SELECT cell_id, cell_sentence FROM sent", *CHUNKED, MERGED, HV.replace("JOIN scored", "JOIN merged"), over_what_is_left(RANKED)))
+def sentences_by_chunk(spark, d):
+    """No sentence lists a gene twice, though each chunk has its own marks."""
+    a = chunked(spark, d)
+    return sentences.cell_sentences(a.counts, a.cells, a.genes, 5).select("cell_id", "cell_sentence")
 
 
 @query("K3_token_inputs", with_ctes("""SELECT cell_id, coalesce(t, 0) AS n_counts, row_number() OVER (ORDER BY ord) - 1 AS sample_index
