@@ -49,7 +49,7 @@ class Settings:
 
 
 def general(atlas: Atlas, s: Settings, by: Sequence[str] = ()) -> Atlas:
-    """Unique ids, gene and cell filters, rare categories, scaling, variable genes.
+    """Gene and cell filters, rare categories, scaling, variable genes.
 
     Cells are filtered on the genes that were kept, once. With ``by`` every
     statistic is per group, and the gene table becomes one row per (group, gene).

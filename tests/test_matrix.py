@@ -273,3 +273,14 @@ def test_quantiles_keep_groups_of_nulls(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None), (None, 5.0)], "g string, v double")
     got = {r.g: r.m for r in quantiles(df, {"m": ("v", 0.5)}, "g").collect()}
     assert got == {"a": 2.0, "b": None, None: 5.0}
+
+
+def test_groups_merge_to_one_row_per_gene(spark):
+    from atlasloom.operators.setops import merge_group_genes
+
+    rows = spark.createDataFrame(
+        [("a", "g1", 0, 1.0, True), ("b", "g1", 0, None, False), ("a", "g2", 1, None, True), (None, "g3", 2, 3.0, False)],
+        "chunk string, gene_id string, pos long, score double, highly_variable boolean")
+    got = {r["gene_id"]: (r["pos"], r["score"], r["highly_variable"]) for r in merge_group_genes(rows, ["chunk"]).collect()}
+    assert got == {"g1": (0, 1.0, False), "g2": (1, None, True), "g3": (2, 3.0, False)}
+    assert merge_group_genes(rows.filter("false"), ["chunk"]).isEmpty()
