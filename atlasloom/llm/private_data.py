@@ -5,10 +5,12 @@ kinds or none. Potentials are
 
 * of a unit's shape: log odds of labels counted over the whole corpus (every unit that a pattern covers or leaves),
 * of neighbouring units: log odds of label pairs, counted likewise,
-* of distant like units (same last digits, or same name before the at sign): ``SKIP_WEIGHT`` if their labels agree.
+* of distant like units (same address, same last digits, or same name before the at sign): ``SKIP_WEIGHT`` if their labels
+  agree. One edge to a labelled unit outweighs shape and neighbours, however rare the label is for them in the corpus.
 
-Units that a pattern covers keep its label. Loopy belief propagation passes messages over all edges of a document, and a unit
-left over becomes a span of its own if some kind is likely enough. Patterns' own spans always stay.
+Units that a pattern covers keep its label. Loopy belief propagation passes messages over all edges of a document, whether or
+not a pattern covers anything in it, and a unit left over becomes a span of its own if some kind is likely enough. Patterns' own
+spans always stay.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ from atlasloom.llm.common import documents, texts
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-SKIP_WEIGHT = 4.0
 LIMIT = 2.5
 LIKELY = 0.9
+#: A shape and two neighbours tell labels apart by at most LIMIT each; beyond them four labels at e**-4 leave 0.93.
+SKIP_WEIGHT = 3 * LIMIT + 4.0
 ROUNDS = 10
 KEY_DIGITS = 7
 
@@ -39,6 +42,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_DIGITS = re.compile(r"[0-9]+")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().-]*[0-9])*")
 _TO_SPACE = re.compile(r"\S*")
 
@@ -53,6 +57,10 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octets(value: str) -> bool:
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in value.split("."))
+
+
 def _digits(value: str) -> str:
     return "".join(c for c in value if "0" <= c <= "9")
 
@@ -76,8 +84,7 @@ def base_spans(text: str) -> list[Span]:
     found = [(i, j, 0) for i, j in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         if "." in text:
-            found += [(m.start(), m.end(), 1) for m in _IP.finditer(text)
-                      if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split("."))]
+            found += [(m.start(), m.end(), 1) for m in _IP.finditer(text) if _octets(m.group())]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m.group())) <= 19 and luhn(d):
                 found.append((m.start(), m.end(), 2))
@@ -109,20 +116,51 @@ def units(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _fails(value: str, digits: str) -> bool:
+    """An address with a number over 255, or as many digits as a card without its check digit."""
+    if "@" in value:
+        return False
+    if _IP.fullmatch(value):
+        return not _octets(value)
+    return not value.startswith("+") and 12 <= len(digits) <= 19 and not luhn(digits)
+
+
 def shape(value: str) -> str:
-    """What potentials may depend on: at sign, plus, dots, spaces or hyphens, and the number of digits in classes."""
-    n = len(_digits(value))
+    """What potentials may depend on: at sign, plus, dots, spaces or hyphens, the number of digits in classes, and failed checks."""
+    digits = _digits(value)
+    n = len(digits)
     size = "0" if not n else "1-3" if n < 4 else "4-6" if n < 7 else "7-8" if n < 9 else "9-11" if n < 12 else "12-19" if n < 20 else "20"
-    return f"{'@' * ('@' in value)}{'+' * value.startswith('+')}{min(value.count('.'), 4)}{'-' * ('-' in value)}{'_' * (' ' in value)}{size}"
+    return f"{'@' * ('@' in value)}{'+' * value.startswith('+')}{min(value.count('.'), 4)}{'-' * ('-' in value)}{'_' * (' ' in value)}{size}{'!' * _fails(value, digits)}"
+
 
+def likeness(value: str) -> list[str]:
+    """Units that share a key are joined by skip edges.
 
-def likeness(value: str) -> str | None:
-    """Units with the same key are joined by a skip edge."""
+    An address counts as a whole, with dots or with other separators; only without dots may its last digits count too.
+    """
     if "@" in value:
         name = value.split("@")[0].strip("<([{\"'").lower()
-        return f"@{name}" if len(name) > 2 else None
-    digits = _digits(value)
-    return digits[-KEY_DIGITS:] if len(digits) >= KEY_DIGITS else None
+        return [f"@{name}"] if len(name) > 2 else []
+    parts = _DIGITS.findall(value)
+    keys = []
+    if len(parts) == 4 and not value.startswith("+") and _octets(".".join(parts)):
+        keys.append(".".join(p.lstrip("0") or "0" for p in parts))
+        if _IP.fullmatch(value.lstrip("(")):
+            return keys
+    digits = "".join(parts)
+    return [*keys, digits[-KEY_DIGITS:]] if len(digits) >= KEY_DIGITS else keys
+
+
+def keys_of(text: str, found: list[tuple[int, int]], base: list[Span]) -> list[list[str]]:
+    """The keys of each unit; of one that holds more than an address, the address's."""
+    addresses = [(i, j) for i, j, k in base if k == 1]
+    out, at = [], 0
+    for begin, end in found:
+        while at < len(addresses) and addresses[at][1] <= begin:
+            at += 1
+        i, j = addresses[at] if at < len(addresses) and addresses[at][0] < end and "@" not in text[begin:end] else (begin, end)
+        out.append(likeness(text[i:j]))
+    return out
 
 
 def labels_of(found: list[tuple[int, int]], base: list[Span]) -> list[int]:
@@ -170,22 +208,22 @@ def count_potentials(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray
 # --- inference ---------------------------------------------------------------
 
 
-def skip_edges(keys: list[str | None], labels: list[int]) -> list[tuple[int, int]]:
-    """Each unit with the one before of the same key, and with the first labelled one of that key."""
+def skip_edges(keys: list[list[str]], labels: list[int]) -> list[tuple[int, int]]:
+    """Each unit with the one before of each of its keys, and with the first labelled one of that key."""
     before: dict[str, int] = {}
     anchor: dict[str, int] = {}
-    for i, (key, label) in enumerate(zip(keys, labels, strict=True)):
-        if key is not None and label != NONE:
-            anchor.setdefault(key, i)
+    for i, (own, label) in enumerate(zip(keys, labels, strict=True)):
+        if label != NONE:
+            for key in own:
+                anchor.setdefault(key, i)
     edges: set[tuple[int, int]] = set()
-    for i, key in enumerate(keys):
-        if key is None:
-            continue
-        if key in before:
-            edges.add((before[key], i))
-        if anchor.get(key, i) != i:
-            edges.add(tuple(sorted((anchor[key], i))))
-        before[key] = i
+    for i, own in enumerate(keys):
+        for key in own:
+            if key in before:
+                edges.add((before[key], i))
+            if anchor.get(key, i) != i:
+                edges.add(tuple(sorted((anchor[key], i))))
+            before[key] = i
     return sorted(edges)
 
 
@@ -215,12 +253,12 @@ def marginals(nodes: np.ndarray, edges: np.ndarray, tables: np.ndarray, rounds:
 def find_spans(text: str, shapes: dict[str, np.ndarray], pairs: np.ndarray) -> tuple[list[Span], list[Span]]:
     """Spans of the patterns, and spans that the field adds."""
     base = base_spans(text)
-    found = units(text) if base else []
+    found = units(text)
     labels = labels_of(found, base)
     if all(k != NONE for k in labels):
         return base, []
     values = [text[i:j] for i, j in found]
-    skips = skip_edges([likeness(v) for v in values], labels)
+    skips = skip_edges(keys_of(text, found, base), labels)
     nodes = np.stack([shapes.get(shape(v), np.zeros(NONE + 1)) for v in values])
     for i, k in enumerate(labels):
         if k != NONE:

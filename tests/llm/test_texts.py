@@ -41,6 +41,29 @@ def test_field_carries_labels(spark):
     assert found[2]["spans"] == "" and found[2]["n_added"] == 0
 
 
+def test_field_carries_labels_in_a_large_corpus(spark):
+    """One like mention is enough, however many units of its shape have no label."""
+    text = "call +49 30 1234567 now, at 11 or 12, later 030 1234567, not 030 7654321"
+    other = "host 10.0.0.12 is up, see ip-10-0-0-12, not 10-0-0-13 or 555 100 0012; 192.168.1.10 is not 02168110, and 256.1.1.1 256.1.1.1 is none"
+    rows = [(1, text), (2, other), *((i, f"{i % 7}: 0{i % 90 + 10} {i * 977 % 9_000_000 + 1_000_000}, {i % 5} and x@y, 10-{i % 7}-0-{i % 90}") for i in range(3, 3000))]
+    rows += [(i, f"+49 30 {i * 977 % 9_000_000 + 1_000_000} is not {i} 33; bob.{i}@mail.example.com is not x@y") for i in range(3000, 3500)]
+    found = {r["doc_id"]: r for r in private_data.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = lambda i, t: [(k, t[int(a):int(b)]) for k, a, b in (s.split(":") for s in found[i]["spans"].split(","))]
+    assert spans(1, text) == [("phone", "+49 30 1234567"), ("phone", "030 1234567")]
+    assert spans(2, other) == [("ip", "10.0.0.12"), ("ip", "10-0-0-12"), ("ip", "192.168.1.10")]
+    assert all(found[i]["n_added"] == 0 for i, _ in rows[2:])
+
+
+def test_field_runs_without_patterns(spark):
+    """Shapes and likeness alone may tell a label."""
+    import numpy as np
+
+    phone = np.array([-2.5, -2.5, -2.5, 0.0, -2.5])
+    docs = spark.createDataFrame([(1, "030 1234567 or 030 1234567"), (2, "030 1234567"), (3, None)], "doc_id long, text string")
+    model = {"_9-11": phone, "0_9-11": phone}, np.zeros((5, 5))
+    assert {r["doc_id"]: r["n_added"] for r in private_data.find_private(docs, model).collect()} == {1: 2, 2: 0, 3: 0}
+
+
 def test_marginals_are_exact_on_a_tree():
     import numpy as np
 
