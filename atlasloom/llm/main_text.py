@@ -6,18 +6,21 @@ A node knows in which styles (sequences of child elements) and with which conten
 * of an inner node: the entropy of its styles over its pages (1 if only one page has it), mixed with its children's,
 * of a leaf: one minus the mean entropy of its content features over pages - what all pages repeat is worth nothing.
 
-Branches of low importance are removed from each page. What an element is for is taken from its name where HTML says so
-(navigation, footer, form, script, ...) or its class does (advert, comment, cookie, ...); an ``article`` or ``main`` is the
-page's own text, which its site's other pages may repeat without making it noise. Without either, importance decides alone.
+Branches of low importance are removed from each page, inside an ``article`` or ``main`` as elsewhere. Such a name, or a class
+like it, is a prior only, worth a few pages: for what it holds, against what lies outside it. Much that pages of a site repeat is
+removed from an article too, and what their other text is unique in is kept beside one. What an element says it is besides the
+text (navigation, footer, form, script, advert, comment, ...) is taken at its word.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +30,8 @@ from atlasloom.llm.common import texts
 LEAST_IMPORTANCE = 0.2
 DAMPING = 0.9
 FEATURES_PER_LEAF = 8
-#: A tree is trusted from so many pages with different text on.
-LEAST_PAGES = 4
+#: Prior importance and the pages it counts for: of a branch inside a named article, on a page without one, and outside one.
+INSIDE, NEUTRAL, OUTSIDE = (0.5, 2), (0.3, 2), (0.0, 5)
 
 #: Elements by what they are for.
 NOISE = frozenset("nav footer header aside form script style noscript template iframe svg canvas button select textarea input label menu dialog object embed head title meta link fieldset option audio video map".split())
@@ -123,52 +126,93 @@ def parse(html: str) -> Node:
 # --- the tree ----------------------------------------------------------------
 
 
-def style_rows(root: Node) -> Iterator[tuple[str, str, str]]:
-    """``path, kind, value``: the style and content features that a page gives to each node of its site's tree.
+def _above_content(root: Node) -> set[int]:
+    """Ids of the nodes that hold an article, each article not counted; none if the page names none."""
+    above: set[int] = set()
+    stack: list[tuple[Node, tuple]] = [(root, ())]
+    while stack:
+        node, parents = stack.pop()
+        if node.purpose == "content":
+            while parents and id(parents[0]) not in above:
+                above.add(id(parents[0]))
+                parents = parents[1]
+            continue
+        stack += [(c, (node, parents)) for c in node.children if isinstance(c, Node) and c.purpose != "noise"]
+    return above
+
 
-    Runs of the same child count once; noise by name needs no statistics, and what an article holds is not judged.
+def style_rows(root: Node) -> dict[tuple[str, str], set[str]]:
+    """Values by ``path, kind``: the style and content features that a page gives to each node of its site's tree.
+
+    Runs of the same child count once; noise by name needs no statistics. ``beside`` marks the topmost branches outside a page's
+    article, ``beside text`` the nodes above it that have text of their own.
     """
+    rows: dict[tuple[str, str], set[str]] = {}
+    above = _above_content(root)
     stack = [("", root)]
     while stack:
         path, node = stack.pop()
-        elements = [c for c in node.children if isinstance(c, Node) and c.purpose == "" and c.tag not in VOID]
+        elements = [c for c in node.children if isinstance(c, Node) and c.purpose != "noise" and c.tag not in VOID]
         signs = [f"{c.tag}.{c.name}" for c in elements]
-        yield path, "style", ",".join(s for i, s in enumerate(signs) if i == 0 or signs[i - 1] != s)
-        words = " ".join(c for c in node.children if isinstance(c, str)).split()
+        paths = [f"{path}/{s}" for s in signs]
+        rows[path, "page"] = {""}
+        rows.setdefault((path, "style"), set()).add(",".join(s for i, s in enumerate(signs) if i == 0 or signs[i - 1] != s))
+        words = " ".join(c for c in node.children if isinstance(c, str)).lower().split()
         if words:
             step = max(1, len(words) // FEATURES_PER_LEAF)
-            for i in range(0, step * min(FEATURES_PER_LEAF, len(words)), step):
-                yield path, "word", words[i].lower()
-        stack += [(f"{path}/{s}", c) for s, c in zip(signs, elements, strict=True)]
+            rows.setdefault((path, "word"), set()).update(words[i] for i in range(0, step * min(FEATURES_PER_LEAF, len(words)), step))
+        if id(node) in above:
+            if words:
+                rows[path, "beside text"] = {""}
+            rows |= {(p, "beside"): {""} for p, c in zip(paths, elements, strict=True) if c.purpose != "content" and id(c) not in above}
+        stack += zip(paths, elements, strict=True)
+    return rows
 
 
 def site_statistics(pages: DataFrame) -> DataFrame:
-    """``host, path, pages, styles, words``: entropies of each node over the pages of its host with different html.
+    """``host, path, pages, styles, words, beside, beside_text``: entropies of each node over the pages of its host with
+    different html.
 
     Counted by (host, path, value) first, so no task holds a host: a host's share of a node is a number.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, str, str], Counter] = {}
+        held = 0
+
+        def rows() -> pa.RecordBatch:
+            sizes = [len(c) for c in counts.values()]
+            keys = [pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(sizes), dtype="int32"), sizes), pa.array([k[i] for k in counts], pa.string())).cast(pa.string())
+                    for i in range(3)]
+            return pa.RecordBatch.from_arrays(
+                [*keys, pa.array([v for c in counts.values() for v in c], pa.string()), pa.array([n for c in counts.values() for n in c.values()], pa.int64())],
+                names=["host", "path", "kind", "value", "n"])
+
         for batch in batches:
-            rows: dict[tuple[str, str, str, str], int] = {}
             for host, html in zip(batch.column("host").to_pylist(), texts(batch.column("html")), strict=True):
-                for row in set(style_rows(parse(html))):
-                    rows[host, *row] = rows.get((host, *row), 0) + 1
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns], pa.array(list(rows.values()), pa.int64())],
-                                             names=["host", "path", "kind", "value", "n"])
+                for (path, kind), values in style_rows(parse(html)).items():
+                    counter = counts.setdefault((host, path, kind), Counter())
+                    held -= len(counter)
+                    counter.update(values)
+                    held += len(counter)
+                if held > 400_000:
+                    yield rows()
+                    counts.clear()
+                    held = 0
+        yield rows()
 
     once = pages.select(_host().alias("host"), "html").filter("html IS NOT NULL").dropDuplicates(["host", "html"])
     counted = once.mapInArrow(run, "host string, path string, kind string, value string, n long")
     values = counted.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+    of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    n = F.col("n")
     sums = values.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("kind") == "style", F.col("n"))).alias("pages"),
-        F.sum(F.when(F.col("kind") == "style", F.col("n") * F.log("n"))).alias("style_nlogn"),
-        F.sum(F.when(F.col("kind") == "word", F.log("n"))).alias("word_logs"),
-        F.sum(F.when(F.col("kind") == "word", F.lit(1))).alias("word_values"))
+        of("page", n).alias("pages"), of("style", n).alias("style_n"), of("style", n * F.log("n")).alias("style_nlogn"),
+        of("word", n).alias("word_n"), of("word", n * F.log("n")).alias("word_nlogn"),
+        F.max(F.col("kind") == "beside").alias("beside"), F.max(F.col("kind") == "beside text").alias("beside_text"))
     m = F.log(F.greatest(F.col("pages"), F.lit(2)))
-    # of a style, -sum p log_m p = 1 - sum n log n / (m log m); a word on n of m pages has entropy log n / log m
-    return sums.select("host", "path", "pages", (1 - F.col("style_nlogn") / (F.col("pages") * m)).alias("styles"),
-                       (F.col("word_logs") / (F.col("word_values") * m)).alias("words"))
+    # of styles, -sum p log_m p = (log N - sum n log n / N) / log m; a word on n of m pages has entropy log n / log m
+    styles = F.least(F.lit(1.0), (F.log("style_n") - F.col("style_nlogn") / F.col("style_n")) / m)
+    return sums.select("host", "path", "pages", styles.alias("styles"), (F.col("word_nlogn") / (F.col("word_n") * m)).alias("words"), "beside", "beside_text")
 
 
 def _host():
@@ -185,17 +229,23 @@ def importance(tree: dict[str, tuple[int, float, float | None]]) -> dict[str, fl
     out: dict[str, float] = {}
     for path in sorted(tree, key=lambda p: -p.count("/")):
         pages, styles, words = tree[path]
-        own = 1.0 if words is None else 1.0 - words
+        own = 0.0 if words is None else 1.0 - words  # without text there is nothing to keep
         below = [out[c] for c in children.get(path, [])]
         if below:
             fade = DAMPING ** len(below)
             inner = (1 - fade) * (1.0 if pages == 1 else max(0.0, styles)) + fade * sum(below) / len(below)
-            out[path] = max(inner, max(below), own if words is not None else 0.0)
+            out[path] = max(inner, max(below), own) if own or any(below) else 0.0
         else:
             out[path] = own
     return out
 
 
+def believed(measured: float, pages: int, prior: tuple[float, int]) -> float:
+    """Importance as measured on so many pages, with the prior's pages beside them."""
+    value, weight = prior
+    return (weight * value + pages * measured) / (weight + pages)
+
+
 # --- extraction --------------------------------------------------------------
 
 
@@ -213,55 +263,68 @@ class _Text:
         self.parts = []
 
 
-def _holds_content(root: Node) -> bool:
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.purpose == "content":
-            return True
-        stack += [c for c in node.children if isinstance(c, Node) and c.purpose != "noise"]
-    return False
+#: How a site's paths are marked: low anywhere, low but for an article's, worth keeping beside an article, whose own text is so.
+LOW, LOW_OUTSIDE, BESIDE, BESIDE_TEXT = "-~+*"
 
 
-def extract(html: str, low: frozenset[str] = frozenset()) -> str:
-    """The main text: branches of noise and of the paths in ``low`` are left out; where the page names its article, only that is kept."""
+def extract(html: str, marks: frozenset[str] = frozenset()) -> str:
+    """The main text: branches of noise, and of the paths marked low, are left out; where the page names its article, of the
+    rest only what is marked is kept. An article that would lose all its text, as all pages repeat it, keeps it.
+    """
     root = parse(html)
-    named = _holds_content(root)
+    above = _above_content(root)
     text = _Text()
-    stack: list = [(root, "", not named)]
+    kept = False
+    stack: list = [(root, "", "outside" if above else "free")]
     while stack:
-        item, path, inside = stack.pop()
+        item, path, where = stack.pop()
         if item is None:
             text.end()
         elif isinstance(item, str):
-            if inside:
+            if where != "outside" or BESIDE_TEXT + path in marks:
                 text.parts.append(item)
+                kept = kept or (where == "inside" and not item.isspace())
         elif item.tag == "br" or item.tag == "wbr":
             text.parts.append(" " if item.tag == "br" else "")
-        elif item.purpose != "noise" and (path not in low or (named and inside)):
-            block = item.tag in BLOCKS
-            if block:
-                text.end()
-                stack.append((None, "", False))
-            inside = inside or item.purpose == "content"
-            stack += [(c, f"{path}/{c.tag}.{c.name}" if isinstance(c, Node) else "", inside) for c in reversed(item.children)]
+        elif item.purpose != "noise":
+            if where == "outside":
+                if id(item) not in above:
+                    where = "inside" if item.purpose == "content" else "free" if BESIDE + path in marks else ""
+            elif LOW + path in marks or (where == "free" and LOW_OUTSIDE + path in marks):
+                where = ""
+            if where:
+                if item.tag in BLOCKS:
+                    text.end()
+                    stack.append((None, "", ""))
+                stack += [(c, f"{path}/{c.tag}.{c.name}" if isinstance(c, Node) else path, where) for c in reversed(item.children)]
     text.end()
+    if above and not kept and any(m[0] == LOW for m in marks):
+        return extract(html, frozenset(m for m in marks if m[0] != LOW) | {LOW_OUTSIDE + m[1:] for m in marks if m[0] == LOW})
     return "\n".join(text.blocks)
 
 
 def low_paths(statistics: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
-    """``host, low``: the paths to remove from pages of each host. A host's paths are those of its templates."""
+    """``host, low``: the marked paths of pages of each host. A host's paths are those of its templates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, lows = [], []
             for host, nodes in zip(batch.column("host").to_pylist(), batch.column("nodes").to_pylist(), strict=True):
                 tree = {n["path"]: (n["pages"], n["styles"], n["words"]) for n in nodes}
                 found = importance(tree)
+                marks = []
+                for n in nodes:
+                    path, m = n["path"], n["pages"]
+                    if path and believed(found[path], m, NEUTRAL) < least:
+                        marks.append((LOW if believed(found[path], m, INSIDE) < least else LOW_OUTSIDE) + path)
+                    if n["beside"] and believed(found[path], m, OUTSIDE) >= least:
+                        marks.append(BESIDE + path)
+                    if n["beside_text"] and believed(1.0 - n["words"], m, OUTSIDE) >= least:
+                        marks.append(BESIDE_TEXT + path)
                 hosts.append(host)
-                lows.append(sorted(p for p, v in found.items() if p and tree[p][0] >= LEAST_PAGES and v < least))
+                lows.append(sorted(marks))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(lows, pa.list_(pa.string()))], names=["host", "low"])
 
-    trees = statistics.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "styles", "words")).alias("nodes"))
+    trees = statistics.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "styles", "words", "beside", "beside_text")).alias("nodes"))
     return trees.mapInArrow(run, "host string, low array<string>").filter(F.size("low") > 0)
 
 

@@ -126,6 +126,23 @@ def test_style_tree_removes_what_a_site_repeats(spark, no_documents):
     assert main_text.main_text(df.limit(0)).count() == 0
 
 
+def extracted(spark, page, n=12):
+    df = spark.createDataFrame([(i, f"http://site.example/{i}", page(i)) for i in range(n)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in main_text.main_text(df).collect()}
+
+
+def test_style_tree_decides_in_and_beside_articles(spark):
+    """What all pages of a host repeat goes from an article too, and what is each page's own stays beside a teaser."""
+    def page(i):
+        return (f"<html><body><div class='x1'>Welcome to the same old site</div><article class='t'>teaser{i} of{i}</article><div class='x2'><p>body{i} has{i} words{i}</p>"
+                f"<div class='x3'><i></i>Sign up for our letter <b>today</b></div></div><article><p>part{i} two{i}</p><div class='x3'><i></i>Sign up for our letter <b>today</b></div></article></body></html>")
+
+    assert extracted(spark, page) == {i: f"teaser{i} of{i}\nbody{i} has{i} words{i}\npart{i} two{i}" for i in range(12)}
+    # one article under many menus is still the text of its pages, and without other pages a name decides
+    assert set(extracted(spark, lambda i: f"<nav>{i}</nav><article><p>one text</p></article>").values()) == {"one text"}
+    assert extracted(spark, page, 1)[0] == "teaser0 of0\npart0 two0\nSign up for our letter today"
+
+
 def test_sample_pages(spark):
     """Pages of the tables hold one article of headings and paragraphs."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
