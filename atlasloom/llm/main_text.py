@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atlasloom.llm.common import texts
+from atlasloom.llm.common import text_key, texts, written
+from atlasloom.sizing import broadcast_if_small
 
 LEAST_IMPORTANCE = 0.2
 DAMPING = 0.9
-FEATURES_PER_LEAF = 8
 #: Prior importance and the pages it counts for: of a branch inside a named article, on a page without one, and outside one.
 INSIDE, NEUTRAL, OUTSIDE = (0.5, 2), (0.3, 2), (0.0, 5)
 
@@ -44,8 +44,6 @@ NOISE_NAMES = re.compile(
 CONTENT_NAMES = re.compile(r"(?:^|[-_ ])(?:article(?:-?body|-?content|-?text)?|post-?(?:body|content|text)|entry-?(?:content|body)|story(?:-?body)?|main-?(?:content|text))(?:$|[-_ ])", re.I)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
-_SPACE = re.compile(r"\s+")
-
 
 @dataclass
 class Node:
@@ -72,7 +70,7 @@ class _Builder(HTMLParser):
             self._close(sibling, {"ul", "ol", "dl", "table", "select", "tbody", "thead"})
         given = {k: v or "" for k, v in attrs}
         words = f"{given.get('class', '')} {given.get('id', '')}".strip()
-        node = Node(tag, ".".join(sorted(given.get("class", "").split()))[:60], _purpose(tag, words, given))
+        node = Node(tag, ".".join(sorted(given.get("class", "").split())).replace("/", "%2F"), _purpose(tag, words, given))
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -141,10 +139,14 @@ def _above_content(root: Node) -> set[int]:
     return above
 
 
+#: What a page tells of a node, by the letter it is counted under.
+KINDS = {"page": "p", "style": "s", "word": "w", "beside": "b", "beside text": "t"}
+
+
 def style_rows(root: Node) -> dict[tuple[str, str], set[str]]:
     """Values by ``path, kind``: the style and content features that a page gives to each node of its site's tree.
 
-    Runs of the same child count once; noise by name needs no statistics. ``beside`` marks the topmost branches outside a page's
+    All distinct words of a node are features. Runs of the same child count once; noise by name needs no statistics. ``beside`` marks the topmost branches outside a page's
     article, ``beside text`` the nodes above it that have text of their own.
     """
     rows: dict[tuple[str, str], set[str]] = {}
@@ -159,8 +161,7 @@ def style_rows(root: Node) -> dict[tuple[str, str], set[str]]:
         rows.setdefault((path, "style"), set()).add(",".join(s for i, s in enumerate(signs) if i == 0 or signs[i - 1] != s))
         words = " ".join(c for c in node.children if isinstance(c, str)).lower().split()
         if words:
-            step = max(1, len(words) // FEATURES_PER_LEAF)
-            rows.setdefault((path, "word"), set()).update(words[i] for i in range(0, step * min(FEATURES_PER_LEAF, len(words)), step))
+            rows.setdefault((path, "word"), set()).update(words)
         if id(node) in above:
             if words:
                 rows[path, "beside text"] = {""}
@@ -173,26 +174,26 @@ def site_statistics(pages: DataFrame) -> DataFrame:
     """``host, path, pages, styles, words, beside, beside_text``: entropies of each node over the pages of its host with
     different html.
 
-    Counted by (host, path, value) first, so no task holds a host: a host's share of a node is a number.
+    Each of k rows with the same html counts a k-th, so that no html is shuffled unless very many are repeated. Counted by
+    (host, path, value) first, so no task holds a host: a host's share of a node is a number.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, str, str], Counter] = {}
+        counts: dict[str, Counter] = {}  # by kind, host and path; a host has no slash, a path begins with one
         held = 0
 
         def rows() -> pa.RecordBatch:
             sizes = [len(c) for c in counts.values()]
-            keys = [pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(sizes), dtype="int32"), sizes), pa.array([k[i] for k in counts], pa.string())).cast(pa.string())
-                    for i in range(3)]
+            nodes = pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(sizes), dtype="int32"), sizes), pa.array(counts, pa.string())).cast(pa.string())
             return pa.RecordBatch.from_arrays(
-                [*keys, pa.array([v for c in counts.values() for v in c], pa.string()), pa.array([n for c in counts.values() for n in c.values()], pa.int64())],
-                names=["host", "path", "kind", "value", "n"])
+                [nodes, pa.array([v for c in counts.values() for v in c], pa.string()), pa.array([n for c in counts.values() for n in c.values()], pa.float64())],
+                names=["node", "value", "n"])
 
         for batch in batches:
-            for host, html in zip(batch.column("host").to_pylist(), texts(batch.column("html")), strict=True):
+            for host, html, copies in zip(batch.column("host").to_pylist(), texts(batch.column("html")), batch.column("copies").to_pylist(), strict=True):
                 for (path, kind), values in style_rows(parse(html)).items():
-                    counter = counts.setdefault((host, path, kind), Counter())
+                    counter = counts.setdefault(f"{KINDS[kind]}{host}{path}", Counter())
                     held -= len(counter)
-                    counter.update(values)
+                    counter.update(values if copies == 1 else dict.fromkeys(values, 1 / copies))
                     held += len(counter)
                 if held > 400_000:
                     yield rows()
@@ -200,19 +201,23 @@ def site_statistics(pages: DataFrame) -> DataFrame:
                     held = 0
         yield rows()
 
-    once = pages.select(_host().alias("host"), "html").filter("html IS NOT NULL").dropDuplicates(["host", "html"])
-    counted = once.mapInArrow(run, "host string, path string, kind string, value string, n long")
-    values = counted.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
-    of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    keyed = pages.select(_host().alias("host"), "html", text_key("html").alias("html_key")).filter("html IS NOT NULL")
+    repeated = keyed.groupBy("host", "html_key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    shares = keyed.join(broadcast_if_small(written(repeated, "repeated-pages"), keep=False), ["host", "html_key"], "left")
+    counted = shares.select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies")).mapInArrow(run, "node string, value string, n double")
+    values = counted.groupBy("node", "value").agg(F.round(F.sum("n"), 6).alias("n"))
+    is_kind = lambda kind: F.substring("node", 1, 1) == KINDS[kind]
+    of = lambda kind, x: F.sum(F.when(is_kind(kind), x))
     n = F.col("n")
-    sums = values.groupBy("host", "path").agg(
-        of("page", n).alias("pages"), of("style", n).alias("style_n"), of("style", n * F.log("n")).alias("style_nlogn"),
+    sums = values.groupBy(F.expr("substring(node, 2)").alias("place")).agg(
+        F.round(of("page", n)).cast("long").alias("pages"), of("style", n).alias("style_n"), of("style", n * F.log("n")).alias("style_nlogn"),
         of("word", n).alias("word_n"), of("word", n * F.log("n")).alias("word_nlogn"),
-        F.max(F.col("kind") == "beside").alias("beside"), F.max(F.col("kind") == "beside text").alias("beside_text"))
+        F.max(is_kind("beside")).alias("beside"), F.max(is_kind("beside text")).alias("beside_text"))
     m = F.log(F.greatest(F.col("pages"), F.lit(2)))
     # of styles, -sum p log_m p = (log N - sum n log n / N) / log m; a word on n of m pages has entropy log n / log m
     styles = F.least(F.lit(1.0), (F.log("style_n") - F.col("style_nlogn") / F.col("style_n")) / m)
-    return sums.select("host", "path", "pages", styles.alias("styles"), (F.col("word_nlogn") / (F.col("word_n") * m)).alias("words"), "beside", "beside_text")
+    host = F.substring_index("place", "/", 1)
+    return sums.select(host.alias("host"), F.col("place").substr(F.length(host) + 1, F.length("place")).alias("path"), "pages", styles.alias("styles"), (F.col("word_nlogn") / (F.col("word_n") * m)).alias("words"), "beside", "beside_text")
 
 
 def _host():
@@ -257,7 +262,7 @@ class _Text:
         self.parts: list[str] = []
 
     def end(self) -> None:
-        block = _SPACE.sub(" ", "".join(self.parts)).strip()
+        block = " ".join("".join(self.parts).split())
         if block:
             self.blocks.append(block)
         self.parts = []
@@ -330,7 +335,7 @@ def low_paths(statistics: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFra
 
 def main_text(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row; null html has an empty text, pages without a url share one host."""
-    low = low_paths(site_statistics(pages), least)
+    low = broadcast_if_small(written(low_paths(site_statistics(pages), least), "marks"), keep=False)
     named = pages.select("page_id", "url", "html", _host().alias("host"))
     joined = named.join(low, "host", "left")
 

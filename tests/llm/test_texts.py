@@ -143,6 +143,21 @@ def test_style_tree_decides_in_and_beside_articles(spark):
     assert extracted(spark, page, 1)[0] == "teaser0 of0\npart0 two0\nSign up for our letter today"
 
 
+def test_all_words_of_an_element_count(spark):
+    """Neither a common beginning nor an inserted word hides what the rest of an element is."""
+    same, long = "these eight words begin all of the paragraphs", "c" * 60
+    page = "<html><body><div class='x1'>{}</div><div class='x2'>{}</div><div class='{}'>{}</div><div class='{}'>{}</div><div class='a/b'>{}</div></body></html>"
+
+    def parts(i):
+        notice = "please do sign up here to get our weekly letter by mail today and save".split()
+        notice.insert(i % 12, f"extra{i}")
+        own = " ".join(f"own{k}of{i}" for k in range(7))
+        return f"{same} {own}", " ".join(notice), long + "1", "nothing but the same here", long + "2", f"tail{i} of{i}", f"last{i} one{i}"
+
+    want = {i: "\n".join(parts(i)[k] for k in (0, 5, 6)) for i in range(12)}
+    assert extracted(spark, lambda i: page.format(*parts(i))) == want
+
+
 def test_sample_pages(spark):
     """Pages of the tables hold one article of headings and paragraphs."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
