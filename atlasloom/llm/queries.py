@@ -13,11 +13,14 @@ from atlasloom.llm import (
     exact_copies,
     language,
     main_text,
+    manifest,
     near_copies,
     private_data,
     shards,
+    spelling,
     token_files,
     toxicity,
+    url_filter,
 )
 from atlasloom.llm.common import folder_for
 
@@ -25,6 +28,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTILINGUAL_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 SHARDS = 40
+#: Host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,11 +84,26 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_files, op2_private_data, op3_feistel_shards, op4_decontamination, op5_language, op6_byte_pairs, op7_exact_copies,
-    op8_near_copies, op9_toxicity, op10_main_text)}
+    op8_near_copies, op9_toxicity, op10_main_text, op11_spelling, op12_url_filter, op13_manifest)}
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": decontamination.DIGEST_SQL,
     "op7_exact_copies": exact_copies.GROUPS_SQL,
+    "op11_spelling": spelling.VARIANTS_SQL,
+    "op12_url_filter": url_filter.judge_sql(URL_RULES),
+    "op13_manifest": manifest.MANIFEST_SQL,
 }
