@@ -19,6 +19,7 @@ An empty table gives no rows. Rows that are repeated are leaves of their own. Fu
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,9 +72,10 @@ def leaves(docs: DataFrame) -> tuple[DataFrame, int]:
     """
     plain = {c: F.col(c) for c in FIELDS}
     slim = docs.select("doc_id", "source", leaf_digest(plain).alias("leaf"), leaf_digest({**plain, "text": tampered_text()}).alias("changed"))
+    slim = written(slim, "leaves")  # hashed once: dealing by ranges reads its rows twice
     order = [F.col("source").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("leaf")]
     numbered, rows = number_rows(slim, order, "row")
-    numbered = written(numbered, "leaves")
+    numbered = written(numbered, "numbered")
     sources = written(numbered.groupBy("source").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")), "sources")
     ranked, _ = number_rows(sources, [F.col("first")], "tree")
     ranked = broadcast_if_small(ranked.withColumnRenamed("source", "__source"))
@@ -126,7 +128,9 @@ def _number(position: Column, level: Column) -> Column:
 
 
 def linked(trees: DataFrame, levels: list[DataFrame], over: list[DataFrame]) -> DataFrame:
-    """``node, parent, left, right``: all levels of the sources' trees (``levels``) and of the tree over them (``over``).
+    """``node, parent, left, right, last``: all levels of the sources' trees (``levels``) and of the tree over them (``over``).
+
+    ``last`` marks the nodes whose parent is the root.
 
     ``trees`` has a row per source: ``tree, first, n, height``.
     """
@@ -148,11 +152,13 @@ def linked(trees: DataFrame, levels: list[DataFrame], over: list[DataFrame]) ->
         parts.append(_copies(path.select(
             "tree", "first", (F.col("height") + k).cast("int").alias("level"), F.lit(0).cast("long").alias("from_block"),
             F.floor((F.col("n") - 1) / block).alias("to_block"), "left", "right")))
-    out = parts[0] if parts else trees.select(F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("parent"),
-                                              F.lit(b"").alias("left"), F.lit(b"").alias("right")).filter("1 = 0")
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    if not parts:  # a lone leaf is the root
+        return trees.filter("1 = 0").select(F.col("first").alias("node"), F.col("first").alias("parent"), F.lit(b"").alias("left"),
+                                            F.lit(b"").alias("right"), F.lit(True).alias("last"))
+    marked = [part.withColumn("last", F.lit(i == len(parts) - 1)) for i, part in enumerate(parts)]
+    for more in marked[1:]:
+        marked[0] = marked[0].unionByName(more)
+    return marked[0]
 
 
 def _copies(upper: DataFrame) -> DataFrame:
@@ -161,10 +167,11 @@ def _copies(upper: DataFrame) -> DataFrame:
     return spread.select(_number(at, F.col("level")).alias("node"), _number(at, F.col("level") + 1).alias("parent"), "left", "right")
 
 
-def climb(starts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``row, node, digest, siblings`` of each leaf and each node above it, by a recursive query over the links.
+def climb(starts: DataFrame, nodes: DataFrame, finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``finish`` makes of the climb, written: ``row, node, digest, siblings, last`` of each leaf and each node above it.
 
-    ``starts`` has ``row, digest``. The first row of a leaf is itself, without siblings; the last has the root that its digest folds to.
+    ``starts`` has ``row, digest``. A recursive query over the links: the first row of a leaf is itself, without siblings; the last has
+    the root that its digest folds to. Its steps are not stored but read by ``finish`` alone.
     """
     spark = starts.sparkSession
     tag = uuid.uuid4().hex[:12]
@@ -174,14 +181,14 @@ def climb(starts: DataFrame, nodes: DataFrame) -> DataFrame:
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        return written(spark.sql(f"""
-            WITH RECURSIVE climb(row, node, digest, siblings) AS (
-              SELECT row, row * {_LEVELS}, digest, X'' FROM starts_{tag}
+        return written(finish(spark.sql(f"""
+            WITH RECURSIVE climb(row, node, digest, siblings, last) AS (
+              SELECT row, row * {_LEVELS}, digest, X'', false FROM starts_{tag}
               UNION ALL
               SELECT c.row, n.parent, unhex(sha2(CAST(lower(hex(concat(n.left, c.digest, n.right))) AS BINARY), 256)),
-                concat(n.left, n.right)
+                concat(n.left, n.right), n.last
               FROM climb c JOIN nodes_{tag} n ON c.node = n.node)
-            SELECT * FROM climb"""), "climb")
+            SELECT * FROM climb""")), "climb")
     finally:
         if before is None:
             spark.conf.unset(limit)
@@ -191,6 +198,14 @@ def climb(starts: DataFrame, nodes: DataFrame) -> DataFrame:
         spark.catalog.dropTempView(f"nodes_{tag}")
 
 
+def proofs(steps: DataFrame) -> DataFrame:
+    """``row, proof_sha256, folded_root`` (null for a lone leaf) from the steps of a climb; a row's group has a row for each level."""
+    step = F.struct(F.col("node").bitwiseAND(F.lit(_LEVELS - 1)).alias("level"), "siblings", F.when(F.col("last"), F.col("digest")).alias("digest"))
+    return steps.groupBy("row").agg(F.array_sort(F.collect_list(step)).alias("steps")).select(
+        "row", F.sha2(text_of(F.aggregate("steps", F.lit(b""), lambda a, s: F.concat(a, s["siblings"]))).cast("binary"), 256).alias("proof_sha256"),
+        text_of(F.element_at("steps", -1)["digest"]).alias("folded_root"))
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified, row, source_rows`` of every row.
 
@@ -211,13 +226,9 @@ def manifest(docs: DataFrame) -> DataFrame:
                                      F.col("subroot").alias("digest")), sources)
     root = text_of(F.lit(bytes(top.first()["digest"])))
     nodes = settle_by_key(linked(subroots.drop("subroot"), levels, over).repartition("node"), "node")
-    steps = climb(found.select("row", F.col("changed").alias("digest")), nodes)
-    step = F.struct(F.col("node").bitwiseAND(F.lit(_LEVELS - 1)).alias("level"), "siblings", "digest")
-    paths = steps.groupBy("row").agg(F.array_sort(F.collect_list(step)).alias("steps")).select(
-        "row", F.sha2(text_of(F.aggregate("steps", F.lit(b""), lambda a, s: F.concat(a, s["siblings"]))).cast("binary"), 256).alias("proof_sha256"),
-        text_of(F.element_at("steps", -1)["digest"]).alias("folded_root"))
+    paths = climb(found.select("row", F.col("changed").alias("digest")), nodes, proofs)
     below = broadcast_if_small(subroots.select("tree", text_of(F.col("subroot")).alias("subroot")))
-    out = found.join(paths, "row").join(below, "tree")
+    out = found.join(paths, "row").join(below, "tree").withColumn("folded_root", F.coalesce("folded_root", text_of(F.col("changed"))))
     return out.select("doc_id", text_of(F.col("leaf")).alias("leaf"), "subroot", root.alias("root"), "proof_sha256", "folded_root",
                       (F.col("folded_root") == root).alias("verified"), "row", F.col("n").alias("source_rows"))
 

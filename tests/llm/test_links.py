@@ -233,7 +233,7 @@ def test_copies_bound_the_leaves_of_a_key(spark):
     found, _ = manifest.leaves(docs)
     levels, roots = manifest.grow(found.selectExpr("tree", "first", "n", "row - first AS place", "leaf AS digest"), 3000)
     assert [(r.height, r.n) for r in roots.collect()] == [(8, 3000)]
-    steps = manifest.climb(found.selectExpr("row", "changed AS digest"), manifest.linked(roots, levels, []))
+    steps = manifest.climb(found.selectExpr("row", "changed AS digest"), manifest.linked(roots, levels, []), lambda steps: steps)
     assert steps.count() == 3000 * 9
     most = steps.filter(f"(node & 63) > {manifest.SHARED}").groupBy("node").count().agg({"count": "max"}).first()[0]
     assert most == 3 ** manifest.SHARED
