@@ -24,7 +24,8 @@ def as_list(value: str | Sequence[str] | None) -> list[str]:
 class Atlas:
     """Aligned tables of one dataset; ``layers`` has a ``layer`` column, ``embeddings`` a ``key`` column.
 
-    ``genes`` has one row per gene; what groups of cells make of their genes, one row per (group, gene), is in ``group_genes``.
+    ``genes`` has one row per gene; what groups of cells make of their genes, one row per (group, gene), is in ``group_genes``, and what
+    became of each group, failed ones too, in ``group_status``.
     """
 
     cells: DataFrame
@@ -34,6 +35,7 @@ class Atlas:
     embeddings: DataFrame | None = None
     uns: DataFrame | None = None
     group_genes: DataFrame | None = None
+    group_status: DataFrame | None = None
 
     def __post_init__(self) -> None:
         require_columns(self.cells, ["cell_id", "ord"], "cells")

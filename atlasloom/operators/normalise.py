@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from atlasloom.model import Atlas
 from atlasloom.operators.predicates import log_check, normalised_check, raw_count_check
+from atlasloom.sizing import broadcast_if_small
 
 
 def scale_to_total(counts: DataFrame, target: float = 1e4) -> DataFrame:
@@ -77,3 +80,39 @@ def ensure_raw_counts(
     others = None if layers is None else layers.filter(F.col("layer") != "counts").select(
         "layer", "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
     return atlas.with_(genes=genes, counts=chosen, layers=as_layer if others is None else others.unionByName(as_layer))
+
+
+def ensure_raw_counts_by(
+    atlas: Atlas, by: Sequence[str], layer: str | None = None, min_val: float = -1e-6, max_noninteger_fraction: float = 0.01
+) -> tuple[Atlas, DataFrame]:
+    """``ensure_raw_counts`` decided for each group of cells by itself; returns the atlas and the groups without raw counts.
+
+    The order is the same: layer ``raw``, the named layer (taken as it is), the main entries, layer ``counts``. All candidates of
+    all groups are judged in one aggregate, and each group's entries come from its own choice. Groups without one have no entries.
+    """
+    layers = atlas.layers
+    names = set() if layers is None else {r[0] for r in layers.select("layer").distinct().collect()}
+    order = [n for n in ("raw", layer, None, "counts") if n is None or n in names]
+    candidates = [atlas.counts if n is None else layers.filter(F.col("layer") == n) for n in order]
+    trusted = [i for i, n in enumerate(order) if n is not None and n == layer and n != "raw"]
+    key, at = "__group", "__candidate"
+    group = F.struct(*[F.col(b) for b in by]).alias(key)
+    entries = [c.select(F.lit(i).alias(at), "cell_id", "gene_id", F.col("value").cast("double").alias("value")) for i, c in enumerate(candidates)]
+    for more in entries[1:]:
+        entries[0] = entries[0].unionByName(more)
+    tagged = entries[0].join(atlas.cells.select("cell_id", group), "cell_id")
+    off = F.abs(F.col("value") - F.rint("value")) > 1e-6
+    stats = tagged.groupBy(key, at).agg(F.min("value").alias("low"), F.count_if(off).alias("off"))
+    sizes = atlas.cells.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    genes = atlas.genes.agg(F.count(F.lit(1)).cast("double")).scalar()
+    # main entries that a group has none of are zeros; a layer that it has nothing of is not there
+    grid = sizes.withColumn(at, F.explode(F.array(*[F.lit(i) for i in range(len(order))]))).join(stats, [key, at], "left")
+    raw = (F.coalesce(F.least("low", F.lit(0.0)), F.lit(0.0)) >= min_val) & (F.coalesce("off", F.lit(0)) / (F.col("n") * genes) <= max_noninteger_fraction)
+    there = F.col("low").isNotNull() | (F.col(at) == order.index(None))
+    judged = broadcast_if_small(grid.groupBy(key).agg(F.min(F.when(there & (raw | F.col(at).isin(trusted)), F.col(at))).alias("__chosen")))
+    chosen = tagged.join(judged, key).filter(F.col(at) == F.col("__chosen")).select("cell_id", "gene_id", F.col("value").cast("int").alias("value"))
+    as_layer = chosen.select(F.lit("counts").alias("layer"), "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
+    others = None if layers is None else layers.filter(F.col("layer") != "counts").select(
+        "layer", "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
+    without = judged.filter("__chosen IS NULL").select(*[F.col(f"{key}.{b}").alias(b) for b in by])
+    return atlas.with_(counts=chosen, layers=as_layer if others is None else others.unionByName(as_layer)), without

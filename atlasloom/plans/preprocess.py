@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas, as_list, keep_cells, scoped
 from atlasloom.operators import edits, filters
+from atlasloom.operators.group_mixtures import split_groups_if_bimodal
 from atlasloom.operators.lookups import enrich_accessions, map_symbols
-from atlasloom.operators.mixtures import split_if_bimodal
-from atlasloom.operators.normalise import ensure_raw_counts, log_normalise
+from atlasloom.operators.normalise import ensure_raw_counts, ensure_raw_counts_by, log_normalise
 from atlasloom.operators.quality import passing_cells, quality_verdict
 from atlasloom.operators.setops import merge_group_genes
 from atlasloom.operators.variable_genes import variable_genes
@@ -110,6 +110,67 @@ def token_inputs(atlas: Atlas, raw: DataFrame, lookup: DataFrame | None = None,
     return atlas.with_(cells=edits.add_sample_index(cells, by), genes=genes)
 
 
+#: Why a group is left out.
+NO_COUNTS, NO_GOOD_CELLS, NO_CELLS = "no raw counts", "no cells pass quality control", "no cells left after filtering"
+DONE = "done"
+
+
+class _Groups:
+    """What becomes of the groups that a run treats each on its own: failed ones leave, with a reason, and the rest goes on."""
+
+    def __init__(self, cells: DataFrame, by: Sequence[str]):
+        self.by = list(by)
+        self.reasons: list[DataFrame] = []
+        self.sizes = settle(cells.groupBy(*self.by).agg(F.count(F.lit(1)).alias("n_cells"))) if self.by else None
+
+    @property
+    def any_failed(self) -> bool:
+        return bool(self.reasons)
+
+    def failed(self, df: DataFrame, groups: DataFrame, reason: str) -> DataFrame:
+        """``df`` without the listed groups, which are noted."""
+        groups = settle(groups.select(*self.by).distinct())
+        if groups.isEmpty():
+            return df
+        self.reasons.append(groups.withColumn("status", F.lit(reason)))
+        return _without_pairs(df, groups, self.by)
+
+    def lost(self, before: DataFrame, after: DataFrame, parts: Sequence[str]) -> DataFrame:
+        """Groups of which a part (``parts`` are finer columns) has no cells any more."""
+        return _without_pairs(before.select(*parts).distinct(), after.select(*parts).distinct(), parts)
+
+    def without_lost(self, before: DataFrame, after: DataFrame, parts: Sequence[str], reason: str) -> DataFrame:
+        return self.failed(after, self.lost(before, after, parts), reason) if self.by else after
+
+    def close(self, before: DataFrame, out: Atlas, parts: Sequence[str]) -> Atlas:
+        """The result without groups that lost their last cells, and ``group_status``."""
+        cells = settle(out.cells)
+        out = out.with_(cells=cells)
+        noted = len(self.reasons)
+        cells = self.failed(cells, self.lost(before, cells, parts), NO_CELLS)
+        if len(self.reasons) > noted:
+            gone = self.reasons[-1].select(*self.by)
+            out = out.with_(cells=cells, counts=_without_pairs(out.counts, gone, self.by), genes=_without_pairs(out.genes, gone, self.by))
+        kept = out.cells.groupBy(*[F.col(b).alias(f"_{b}") for b in self.by]).agg(F.count(F.lit(1)).alias("n_kept"))
+        same = F.lit(True)
+        for b in self.by:
+            same = same & self.sizes[b].eqNullSafe(kept[f"_{b}"])
+        status = self.sizes.join(kept, same, "left").drop(*[f"_{b}" for b in self.by]).na.fill(0, ["n_kept"])
+        if self.reasons:
+            told = self.reasons[0]
+            for more in self.reasons[1:]:
+                told = told.unionByName(more)
+            told = told.select(*[F.col(b).alias(f"_{b}") for b in self.by], "status")
+            same = F.lit(True)
+            for b in self.by:
+                same = same & status[b].eqNullSafe(told[f"_{b}"])
+            status = status.join(told, same, "left").drop(*[f"_{b}" for b in self.by]).na.fill(DONE, ["status"])
+        else:
+            status = status.withColumn("status", F.lit(DONE))
+        filters.require_cells(out.cells)
+        return out.with_(group_status=settle(status))
+
+
 def preprocess(
     atlas: Atlas, settings: Settings | None = None, by: str | Sequence[str] | None = None,
     accession_lookup: DataFrame | None = None, accession_columns: Sequence[str] = (), symbol_lookup: DataFrame | None = None,
@@ -118,28 +179,39 @@ def preprocess(
     """The whole chain. ``by`` names columns (chunk, split) whose groups are treated each on its own.
 
     Groups are one dataset again at the end: ``genes`` has one row per gene, with the values of the last group that has any, and
-    ``group_genes`` keeps every group's own.
+    ``group_genes`` keeps every group's own. A group that fails (no raw counts, or no cells left in one of its parts) is left out
+    with all its cells and reported in ``group_status``; the others go on. Only when all fail is that an error.
     """
     s = settings or Settings()
     groups = as_list(by)
     # every later pass groups by cell: written once by cell, no pass shuffles the entries again
     atlas = atlas.with_(counts=settle_by_key(atlas.counts, "cell_id"))
-    atlas = ensure_raw_counts(atlas, s.count_layer)
+    status = _Groups(atlas.cells, groups)
+    if groups:
+        atlas, without = ensure_raw_counts_by(atlas, groups, s.count_layer)
+        atlas = atlas.with_(cells=status.failed(atlas.cells, without, NO_COUNTS))
+    else:
+        atlas = ensure_raw_counts(atlas, s.count_layer)
     if s.drop_layers:
         atlas = atlas.with_(layers=edits.drop_layers(atlas.layers, s.drop_layers))
     atlas = atlas.with_(cells=edits.drop_null_columns(atlas.cells), genes=edits.drop_null_columns(atlas.genes))
     if s.bimodal_column and s.bimodal_column in atlas.cells.columns:
         cells = edits.add_log_column(atlas.cells, s.bimodal_column)
-        atlas = atlas.with_(cells=split_if_bimodal(cells, f"{s.bimodal_column}_log"))
+        # every group is tested by itself
+        atlas = atlas.with_(cells=settle(split_groups_if_bimodal(cells, f"{s.bimodal_column}_log", groups)))
         groups = [*groups, "bimodal_split"]
     cells = atlas.cells
     if accession_columns:
         cells = enrich_accessions(cells, accession_lookup, accession_columns, skip=skip_accessions, continue_on_fail=continue_on_fail)
-    raw = keep_cells(atlas.counts, cells) if accession_columns else atlas.counts
+    raw = keep_cells(atlas.counts, cells) if accession_columns or status.any_failed else atlas.counts
     judged = quality_verdict(raw, cells, atlas.genes, percent_top=s.percent_top, families=s.families, mt=s.mt, by=groups,
                              symbol=s.symbol)
+    judged = settle(judged) if status.by else judged
     cells = settle(passing_cells(judged))
+    cells = status.without_lost(judged, cells, groups, NO_GOOD_CELLS)
     out = general(atlas.with_(cells=cells, counts=keep_cells(raw, cells)), s, groups)
+    if status.by:
+        out = status.close(cells, out, groups)
     if groups:
         own = settle(out.genes)
         out = out.with_(genes=merge_group_genes(own, groups), group_genes=own)

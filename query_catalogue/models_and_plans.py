@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas
-from atlasloom.operators import chunks, lookups, mixtures, records, sentences, setops, subsets
+from atlasloom.operators import chunks, group_mixtures, lookups, mixtures, records, sentences, setops, subsets
 from atlasloom.operators import embeddings as emb
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.plans import components, preprocess, stable_genes
@@ -14,8 +14,8 @@ from atlasloom.sizing import settle_by_key
 from atlasloom.sources import star_schema as star
 from query_catalogue.records_and_subsets import HV, NEG, RANKED
 from query_catalogue.registry import (
-    CELLS, CELLS_INSTR, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, outlier_ctes, qc_ctes,
-    query, rounded, scratch, with_ctes,
+    CELLS, CELLS_INSTR, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, mixture_ctes, outlier_ctes,
+    qc_ctes, query, rounded, scratch, with_ctes,
 )
 from query_catalogue.sources_and_lookups import by_status
 
@@ -211,6 +211,34 @@ def bimodal_split(spark, d):
     return mixtures.split_if_bimodal(two_humps(spark, d), "reads").select("cell_id", "bimodal_split")
 
 
+#: Chunk 1-URGENT has two humps, 5-LOW has one value, the others one hump (sums of remainders are nearly normal); a null now and then.
+HUMPED = """humped AS (SELECT *, ord AS cell, CASE WHEN ord % 17 <> 0 THEN CASE WHEN chunk = '5-LOW' THEN 2.5 ELSE
+  (ord * 7919 % 1000 + ord * 104729 % 997 + ord * 1299709 % 991 + donor * 15485863 % 983 + ord * 611953 % 977 + donor * 7368787 % 971) / 1000.0::DOUBLE
+  + CASE WHEN chunk = '1-URGENT' AND donor % 3 = 0 THEN 6 ELSE 0 END END END AS reads FROM (SELECT *, annotation AS chunk FROM cells))"""
+
+
+def humped(cells):
+    ord_, donor = F.col("ord"), F.col("donor")
+    hump = (ord_ * 7919 % 1000 + ord_ * 104729 % 997 + ord_ * 1299709 % 991 + donor * 15485863 % 983 + ord_ * 611953 % 977
+            + donor * 7368787 % 971) / 1000.0 + F.when((F.col("annotation") == "1-URGENT") & (donor % 3 == 0), 6).otherwise(0)
+    return cells.withColumn("chunk", F.col("annotation")).withColumn(
+        "reads", F.when(ord_ % 17 != 0, F.when(F.col("chunk") == "5-LOW", F.lit(2.5)).otherwise(hump)))
+
+
+@query("E10_mixtures_by_chunk", with_ctes("""SELECT g AS chunk, n, bimodal, round(center + least(m0, m1), 4) AS mean_low, round(center + greatest(m0, m1), 4) AS mean_high,
+  round(CASE WHEN m0 <= m1 THEN w0 ELSE w1 END, 4) AS share_low FROM em_fit WHERE g <> '5-LOW'""", CELLS, HUMPED, *mixture_ctes("humped", "reads", "chunk"), recursive=True))
+def mixtures_by_chunk(spark, d):
+    """All chunks in one plan; of the chunk with one value only the verdict means anything, which the split shows."""
+    fit = group_mixtures.fit_groups(humped(star_atlas(spark, d).cells), "reads", "chunk").filter("chunk <> '5-LOW'")
+    return rounded(fit.select("chunk", "n", "bimodal", "mean_low", "mean_high", "share_low"), 4)
+
+
+@query("E13_bimodal_split_by_chunk", with_ctes("SELECT cell_id, chunk, bimodal_split FROM em_split", CELLS, HUMPED, *mixture_ctes("humped", "reads", "chunk"), recursive=True))
+def bimodal_split_by_chunk(spark, d):
+    out = group_mixtures.split_groups_if_bimodal(humped(star_atlas(spark, d).cells), "reads", "chunk")
+    return out.select("cell_id", "chunk", "bimodal_split")
+
+
 @query("A24_cluster_sizes", with_ctes("SELECT reads_label, count(*) AS n_cells FROM lab GROUP BY 1", LABELLED))
 def cluster_sizes(spark, d):
     return mixtures.cluster_sizes(mixtures.fit_labels(two_humps(spark, d), "reads"), "reads_label")
@@ -393,6 +421,44 @@ def sentences_by_chunk(spark, d):
     return sentences.cell_sentences(a.counts, a.cells, a.genes, 5).select("cell_id", "cell_sentence")
 
 
+def partly_broken(spark, d) -> Atlas:
+    """One chunk has negative numbers, one has them as well but raw counts in a layer, one has no entries at all."""
+    a = star_atlas(spark, d)
+    cells = a.cells.withColumn("chunk", F.col("annotation"))
+    tagged = a.counts.join(cells.select("cell_id", "chunk"), "cell_id")
+    layer = tagged.filter("chunk = '2-HIGH'").select(F.lit("counts").alias("layer"), "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
+    broken = tagged.filter("chunk <> '4-NOT SPECIFIED'").withColumn("value", F.when(F.col("chunk").isin("2-HIGH", "3-MEDIUM"), -F.col("value")).otherwise(F.col("value")))
+    return a.with_(cells=cells, counts=broken.drop("chunk"), layers=layer)
+
+
+@query("K4_chunk_status", with_ctes("""SELECT chunk, count(*) AS n_cells, CASE WHEN chunk IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 0 ELSE coalesce(any_value(kept), 0) END AS n_kept,
+  CASE chunk WHEN '3-MEDIUM' THEN 'no raw counts' WHEN '4-NOT SPECIFIED' THEN 'no cells left after filtering' ELSE 'done' END AS status
+  FROM cells LEFT JOIN (SELECT chunk, count(DISTINCT cell_id) AS kept FROM g_cells GROUP BY 1) USING (chunk) GROUP BY chunk""", *CHUNKED))
+def chunk_status(spark, d):
+    return preprocess.preprocess(partly_broken(spark, d), settings(min_cells=5, min_genes=2, n_top_genes=100), by="chunk").group_status
+
+
+@query("K4_chunks_beside_failed", with_ctes(f"SELECT chunk, {GENE_OUT} FROM scored WHERE chunk NOT IN ('3-MEDIUM', '4-NOT SPECIFIED')", *CHUNKED))
+def chunks_beside_failed(spark, d):
+    """The other chunks come out as if they were alone, the one with its layer as if that were its matrix."""
+    out = preprocess.preprocess(partly_broken(spark, d), settings(min_cells=5, min_genes=2, n_top_genes=100), by="chunk")
+    return rounded(out.group_genes.select("chunk", "gene_id", "dispersions_norm", "highly_variable"))
+
+
+SPLIT_CHUNKED = (CELLS, HUMPED.replace("AS reads FROM", "AS reads_raw FROM").replace("humped AS (", "humped AS (SELECT * EXCLUDE (reads_raw), ln(1 + reads_raw) AS reads_log FROM (") + ")",
+                 *mixture_ctes("humped", "reads_log", "chunk"), GENES, COUNTS, qc_ctes(cells="em_split", carry="chunk, bimodal_split"),
+                 outlier_ctes(by="chunk, bimodal_split"), PASSED.replace("FROM cells", "FROM em_split"), general_ctes("counts", "passed", 100, 5, 2, by=["chunk", "bimodal_split"]))
+
+
+@query("K4_bimodal_chunks", with_ctes(f"SELECT chunk, bimodal_split, {GENE_OUT} FROM scored", *SPLIT_CHUNKED, recursive=True))
+def bimodal_chunks(spark, d):
+    """Each chunk is tested by itself: one is split in two, the others stay whole."""
+    a = star_atlas(spark, d)
+    a = a.with_(cells=humped(a.cells))
+    out = preprocess.preprocess(a, settings(min_cells=5, min_genes=2, n_top_genes=100, bimodal_column="reads"), by="chunk")
+    return rounded(out.group_genes.select("chunk", "bimodal_split", "gene_id", "dispersions_norm", "highly_variable"))
+
+
 @query("K3_token_inputs", with_ctes("""SELECT cell_id, coalesce(t, 0) AS n_counts, row_number() OVER (ORDER BY ord) - 1 AS sample_index
   FROM cells LEFT JOIN (SELECT cell_id, sum(value) AS t FROM counts GROUP BY 1) USING (cell_id)""", CELLS, COUNTS))
 def token_inputs(spark, d):

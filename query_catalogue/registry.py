@@ -155,3 +155,32 @@ def outlier_ctes(src: str = "qc", out: str = "judged", by: str | None = None) ->
     return f"""{out}_1 AS (SELECT *, {med} FROM {src}),
 {out}_2 AS (SELECT *, {mad} FROM {out}_1),
 {out} AS (SELECT *, ({main}) AS outlier, ({out_of('pct_counts_mt')} OR pct_counts_mt > 8) AS mt_outlier FROM {out}_2)"""
+
+
+def mixture_ctes(src: str, x: str, by: str, out: str = "em") -> list[str]:
+    """Two components per group of ``src`` by 100 rounds at most; ``<out>_fit`` has a row per group, ``<out>_split`` each row's split."""
+    def dens(k: int, z: str = "z") -> str:
+        return f"(ln(w{k}) - 0.5 * ln(2 * pi() * v{k}) - ({z} - m{k}) * ({z} - m{k}) / (2 * v{k}))"
+
+    def sums(r: str) -> str:
+        return ", ".join(f"sum({w}) AS n{k}, sum(({w}) * z) AS s{k}, sum(({w}) * z * z) AS q{k}" for k, w in ((0, f"1 - ({r})"), (1, r)))
+
+    def best() -> str:
+        return ", ".join(f"s{k} / (n{k} + 2.220446049250313e-15) AS m{k}, greatest(q{k} / (n{k} + 2.220446049250313e-15) - (s{k} / (n{k} + 2.220446049250313e-15)) ** 2, 0) + 1e-6 AS v{k}, "
+                         f"greatest((n{k} + 2.220446049250313e-15) / (n0 + n1), 1e-300) AS w{k}" for k in (0, 1))
+    logsum = f"(greatest({dens(0)}, {dens(1)}) + ln(1 + exp(-abs({dens(0)} - {dens(1)}))))"
+    return [
+        f"""{out}_g AS (SELECT {by} AS g, count({x}) AS n, count(DISTINCT {x}) AS kinds, avg({x}) AS center, var_pop({x}) AS spread
+  FROM {src} WHERE {x} IS NOT NULL GROUP BY 1)""",
+        f"{out}_z AS MATERIALIZED (SELECT g, {x} - center AS z FROM {src} JOIN {out}_g ON g = {by} WHERE {x} IS NOT NULL)",
+        f"""{out}(t, g, m0, v0, w0, m1, v1, w1, ll, done) AS (
+  SELECT 0, g, {best()}, -1e300, false FROM (SELECT g, {sums("CASE WHEN z > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")} FROM {out}_z GROUP BY g)
+  UNION ALL SELECT t + 1, g, {best()}, new, abs(new - old) < 1e-3 FROM (SELECT t, g, any_value(ll) AS old, avg({logsum}) AS new,
+    {sums(f"1 / (1 + exp({dens(0)} - {dens(1)}))")} FROM {out} JOIN {out}_z USING (g) WHERE NOT done AND t < 100 GROUP BY t, g))""",
+        f"{out}_end AS (SELECT * FROM {out} QUALIFY row_number() OVER (PARTITION BY g ORDER BY t DESC) = 1)",
+        f"""{out}_fit AS (SELECT e.*, n, center, kinds > 1 AND 5 * ln(n) - 2 * ll2 < 2 * ln(n) + n * ln(2 * pi() * (spread + 1e-6)) + n * spread / (spread + 1e-6) AS bimodal
+  FROM {out}_end e JOIN {out}_g USING (g) JOIN (SELECT g, sum({logsum}) AS ll2 FROM {out}_end JOIN {out}_z USING (g) GROUP BY g) USING (g))""",
+        f"""{out}_split AS (SELECT c.*, CASE WHEN NOT coalesce(bimodal, false) THEN 'all' WHEN
+    (CASE WHEN m0 <= m1 THEN {dens(0, f"({x} - center)")} ELSE {dens(1, f"({x} - center)")} END) >= (CASE WHEN m0 <= m1 THEN {dens(1, f"({x} - center)")} ELSE {dens(0, f"({x} - center)")} END)
+    THEN 'low_{x}' ELSE 'high_{x}' END AS bimodal_split
+  FROM {src} c LEFT JOIN {out}_fit ON g = {by} WHERE NOT coalesce(bimodal, false) OR {x} IS NOT NULL)"""]

@@ -307,3 +307,40 @@ def test_user_method(spark):
     done = a.with_(embeddings=embeddings.embed(a, "places"))
     assert embeddings.embed_missing(done, {"places": {}}) is None
     assert embeddings.embed_missing(done, {"places": {}}, overwrite=True).count() == 2
+
+
+def test_group_mixtures(spark):
+    """A hot group with two humps beside one hump, one value, nulls alone, and a null key; two humps where only pooling would hide or make them."""
+    import random
+
+    from atlasloom.operators import group_mixtures
+
+    rng = random.Random(5)
+    rows = [("two", rng.gauss(10 if i % 4 else 30, 1.0)) for i in range(4000)] + [("one", rng.gauss(30, 2.0)) for _ in range(900)]
+    rows += [("flat", 4.0)] * 20 + [("none", None)] * 5 + [(None, rng.gauss(-5 if i % 2 else 5, 0.5)) for i in range(200)] + [("two", None), ("two", float("nan")), ("lone", 1.0)]
+    cells = spark.createDataFrame([(i, g, x) for i, (g, x) in enumerate(rows)], "cell_id long, g string, x double")
+    fit = {r.g: r for r in group_mixtures.fit_groups(cells, "x", "g").collect()}
+    assert {g: r.bimodal for g, r in fit.items()} == {"two": True, "one": False, "flat": False, None: True, "lone": False}
+    assert fit["two"].n == 4000 and abs(fit["two"].mean_low - 10) < 0.2 and abs(fit["two"].mean_high - 30) < 0.3 and abs(fit["two"].share_high - 0.25) < 0.01
+    out = group_mixtures.split_groups_if_bimodal(cells, "x", "g")
+    sizes = {(r.g, r.bimodal_split): r.n for r in out.groupBy("g", "bimodal_split").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {("two", "low_x"): 3000, ("two", "high_x"): 1000, ("one", "all"): 900, ("flat", "all"): 20, ("none", "all"): 5,
+                     (None, "low_x"): 100, (None, "high_x"): 100, ("lone", "all"): 1}
+    whole = group_mixtures.split_groups_if_bimodal(cells.filter("g = 'one'"), "x")
+    assert {r.bimodal_split for r in whole.collect()} == {"all"}
+    assert group_mixtures.split_groups_if_bimodal(cells.filter("1 = 0"), "x", "g").collect() == []
+
+
+def test_raw_counts_by_group(spark):
+    """Each group finds its own raw counts; a named layer is taken as it is; a group without any is told."""
+    from atlasloom.operators.normalise import ensure_raw_counts_by
+
+    cells = spark.createDataFrame([(i, i, "abcd"[i % 4]) for i in range(8)], "cell_id long, ord long, g string")
+    genes = spark.createDataFrame([(1, 1), (2, 2)], "gene_id int, pos int")
+    value = {"a": 2.0, "b": -1.0, "c": -1.0, "d": 1.5}
+    counts = spark.createDataFrame([(i, 1, value["abcd"[i % 4]]) for i in range(8)], "cell_id long, gene_id int, value double")
+    layers = spark.createDataFrame([("raw", i, 2, 7.0) for i in (1, 5)] + [("mine", i, 2, 3.7) for i in (3, 7)], "layer string, cell_id long, gene_id int, value double")
+    out, without = ensure_raw_counts_by(Atlas(cells, genes, counts, layers), ["g"], "mine")
+    assert sorted(tuple(r) for r in out.counts.collect()) == [(0, 1, 2), (1, 2, 7), (3, 2, 3), (4, 1, 2), (5, 2, 7), (7, 2, 3)]
+    assert [r.g for r in without.collect()] == ["c"]
+    assert out.layers.filter("layer = 'counts'").count() == 6
