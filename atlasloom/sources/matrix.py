@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas, require_columns
+from atlasloom.sizing import broadcast_if_small, settle
 
 
 def entries(raw: DataFrame, unique: bool = False) -> DataFrame:
@@ -57,7 +58,7 @@ def write_atlas(atlas: Atlas, path: str, partition_by: Sequence[str] = ()) -> No
     counts.sortWithinPartitions(*partition_by, "cell_id").write.mode("overwrite").partitionBy(
         *partition_by).parquet(f"{path}/counts")
     if atlas.embeddings is not None:
-        write_embeddings(atlas.embeddings, f"{path}/embeddings")
+        write_embeddings(atlas.embeddings, f"{path}/embeddings", replace=True)
 
 
 def write_chunks(df: DataFrame, path: str) -> None:
@@ -66,10 +67,48 @@ def write_chunks(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split", "chunk_id").parquet(path)
 
 
-def write_embeddings(embeddings: DataFrame, path: str) -> None:
-    """Add or replace the keys present in ``embeddings``; other keys on disk are not touched."""
+def write_embeddings(embeddings: DataFrame, path: str, replace: bool = False) -> None:
+    """Add vectors to those below ``path``; of a cell and key that are there already the new one counts. Nothing else is lost.
+
+    Vectors lie in a folder for each key and ``chunk`` (a column of ``embeddings``; without it all are in chunk ``all``). The folders
+    that get new vectors are written apart, together with the vectors of other cells in them, and switched when all of them are
+    complete, so a run that breaks off leaves what was there. Other chunks are not read but for a look whether a cell
+    has moved, which is refused. With ``replace`` the keys' chunks present in ``embeddings`` are replaced whole.
+    """
     require_columns(embeddings, ["cell_id", "key", "vector"], "embeddings")
-    (embeddings.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key").parquet(path))
+    chunk = F.col("chunk").cast("string") if "chunk" in embeddings.columns else F.lit("all")
+    new = embeddings.select("cell_id", "key", chunk.alias("chunk"), "vector")
+    old = None if replace else _embeddings(embeddings.sparkSession, path)
+    if old is not None:
+        # vectors are computed once, though they are needed for the look and for the result
+        new = settle(new)
+        ids = new.select("cell_id", "key", F.col("chunk").alias("_chunk"))
+        if not old.select("cell_id", "key", "chunk").join(ids, ["cell_id", "key"]).filter("chunk <> _chunk").isEmpty():
+            raise ValueError("embeddings: a cell is in another chunk than before")
+        touched = broadcast_if_small(new.select("key", "chunk").distinct())
+        kept = old.join(touched, ["key", "chunk"], "left_semi").join(ids, ["cell_id", "key"], "left_anti")
+        new = kept.select(*new.columns).unionByName(new)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key", "chunk").parquet(path)
+
+
+def _embeddings(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        spark.catalog.refreshByPath(path)
+        found = spark.read.parquet(path)
+    except Exception as e:  # nothing written yet
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    # folder names are read as numbers or dates where all look like them
+    return found.withColumn("key", F.col("key").cast("string")).withColumn("chunk", F.col("chunk").cast("string"))
+
+
+def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
+    """``cell_id, key, chunk, vector`` of all that ``write_embeddings`` left below ``path``."""
+    found = _embeddings(spark, path)
+    if found is None:
+        raise ValueError(f"no embeddings below {path}")
+    return found.select("cell_id", "key", "chunk", "vector")
 
 
 def save_vectors(embeddings: DataFrame, path: str) -> None:

@@ -12,6 +12,7 @@ from atlasloom.operators.normalise import log_normalise
 from atlasloom.plans import components, preprocess, stable_genes
 from atlasloom.sizing import settle_by_key
 from atlasloom.sources import star_schema as star
+from atlasloom.sources.matrix import read_embeddings, write_embeddings
 from query_catalogue.records_and_subsets import HV, NEG, RANKED
 from query_catalogue.registry import (
     CELLS, CELLS_INSTR, COUNTS, DENSE_CELLS, DENSE_COUNTS, DENSE_GENES, GENES, NORM, families, hvg_ctes, mixture_ctes, outlier_ctes,
@@ -172,6 +173,22 @@ def missing_methods(spark, d):
     return out.groupBy("key").agg(F.count("*").alias("n"), F.min("cell_id").alias("first"))
 
 
+@query("E9_added_embeddings", with_ctes("""SELECT 'X_gs' AS key, batch AS chunk, cell_id, slot AS dim, CAST(value AS DOUBLE) AS value FROM counts JOIN cells USING (cell_id) JOIN (
+    SELECT gene_id, CAST(row_number() OVER (ORDER BY gene_id) - 1 AS INTEGER) AS slot FROM genes) USING (gene_id) WHERE value <> 0""", DENSE_CELLS, DENSE_GENES, DENSE_COUNTS))
+def added_embeddings(spark, d):
+    """Three runs into one folder: every third cell, then what is missing but for one batch, then the rest; all cells are read back."""
+    a, path = dense_atlas(spark, d), scratch(spark)
+    panel = emb.panel_from(a.genes, "gene_id")
+    chunk = a.cells.select("cell_id", F.col("batch").alias("chunk"))
+    done = None
+    for cells in (a.cells.filter("cell_id % 3 = 0"), a.cells.filter("batch <> 'BUILDING'"), a.cells):
+        missing = emb.embed_missing(a.with_(cells=cells, embeddings=done), {"gs": {"panel": panel}})
+        write_embeddings(missing.join(chunk, "cell_id"), path)
+        done = read_embeddings(spark, path)
+    out = done.select("key", "chunk", "cell_id", F.posexplode("vector").alias("dim", "value")).filter("value <> 0")
+    return out.withColumn("value", F.col("value").cast("double"))
+
+
 # --- mixtures ---------------------------------------------------------------------
 
 URGENT = "o_orderpriority IN ('1-URGENT', '2-HIGH')"

@@ -344,3 +344,26 @@ def test_raw_counts_by_group(spark):
     assert sorted(tuple(r) for r in out.counts.collect()) == [(0, 1, 2), (1, 2, 7), (3, 2, 3), (4, 1, 2), (5, 2, 7), (7, 2, 3)]
     assert [r.g for r in without.collect()] == ["c"]
     assert out.layers.filter("layer = 'counts'").count() == 6
+
+
+def test_embeddings_are_added(spark, tmp_path):
+    """A second run adds, a repeated cell is replaced, other chunks' files stay as they are, a moved cell is refused."""
+    path = str(tmp_path / "embeddings")
+
+    def table(rows):
+        return spark.createDataFrame(rows, "cell_id long, key string, chunk string, vector array<float>")
+
+    def found():
+        return {(r.cell_id, r.key): (r.chunk, r.vector) for r in matrix.read_embeddings(spark, path).collect()}
+
+    matrix.write_embeddings(table([(1, "X_a", "0", [1.0]), (2, "X_a", "1", [2.0]), (1, "X_b", "0", [3.0])]), path)
+    before = sorted(p.name for p in (tmp_path / "embeddings/key=X_a/chunk=1").iterdir())
+    matrix.write_embeddings(table([(3, "X_a", "0", [4.0]), (1, "X_a", "0", [5.0])]), path)
+    assert found() == {(1, "X_a"): ("0", [5.0]), (2, "X_a"): ("1", [2.0]), (3, "X_a"): ("0", [4.0]), (1, "X_b"): ("0", [3.0])}
+    assert sorted(p.name for p in (tmp_path / "embeddings/key=X_a/chunk=1").iterdir()) == before
+    with pytest.raises(ValueError, match="another chunk"):
+        matrix.write_embeddings(table([(2, "X_a", "0", [9.0])]), path)
+    matrix.write_embeddings(table([(7, "X_a", "0", [7.0])]), path, replace=True)
+    assert found() == {(7, "X_a"): ("0", [7.0]), (2, "X_a"): ("1", [2.0]), (1, "X_b"): ("0", [3.0])}
+    matrix.write_embeddings(table([]), path)
+    assert len(found()) == 3
