@@ -12,8 +12,6 @@ from atlasloom.functions.genes import family_flags
 from atlasloom.model import as_list
 from atlasloom.sizing import broadcast_if_small, settle
 
-# Up to this many rows one exact percentile aggregate is the cheaper plan.
-
 
 def cell_metrics(
     counts: DataFrame, cells: DataFrame, genes: DataFrame, families: dict[str, Column] | None = None,
@@ -74,11 +72,12 @@ def _bracketed_quantiles(
 ) -> DataFrame:
     """Exact quantiles without buffering all values in one place.
 
-    A sketch brackets each wanted place; values under the bracket are only
-    counted, values inside are counted per distinct value, and the wanted places
-    are read off the running count. Only the brackets (about a five-hundredth of
-    the rows) are ever ordered. Should a bracket miss its place, the job fails
-    instead of returning a wrong number.
+    A sketch brackets each wanted place, ten times wider than its error bound;
+    values under the bracket are only counted, all targets in one aggregate, and
+    only rows inside a bracket (about a five-hundredth for each target) are taken
+    apart, counted per distinct value and ordered. The wanted places are read off
+    the running count. Should a bracket miss its place in spite of the bound, the
+    job fails instead of returning a wrong number.
     """
     columns = list(dict.fromkeys(c for c, _ in targets.values()))
 
@@ -103,14 +102,28 @@ def _bracketed_quantiles(
         joined = df.select(*columns).withColumns({
             **{f"_box_{n}": F.array(*[F.lit(x) for x in (row[f"_box_{n}"] or [None, None])]) for n in targets},
             **{f"_n_{c}": F.lit(row[f"_n_{c}"]) for c in columns}})
-    long = joined.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(q).alias("p"), F.col(c).cast("double").alias("v"),
-                 F.col(f"_box_{n}")[0].cast("double").alias("lo"), F.col(f"_box_{n}")[1].cast("double").alias("hi"),
-                 F.col(f"_n_{c}").cast("bigint").alias("n"))
+    def ends(n: str) -> tuple[Column, Column]:
+        return F.col(f"_box_{n}")[0].cast("double"), F.col(f"_box_{n}")[1].cast("double")
+
+    def size(c: str) -> Column:
+        return F.col(f"_n_{c}").cast("bigint")
+
+    # below the brackets: one number per group and target
+    under = joined.groupBy(*by).agg(
+        *[F.count_if(F.col(c).cast("double") < ends(n)[0]).alias(f"_u_{n}") for n, (c, _) in targets.items()],
+        *[F.first(f"_n_{c}", ignorenulls=True).alias(f"_n_{c}") for c in columns])
+    under = under.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(q).cast("double").alias("p"), size(c).alias("n"), F.lit(None).cast("double").alias("v"), F.col(f"_u_{n}").alias("c"))
         for n, (c, q) in targets.items()])).alias("e")).select(*by, "e.*")
-    held = long.filter(F.col("v").isNotNull() & (F.col("v") <= F.col("hi"))).groupBy(
-        *by, "name", "p", "n", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")
-    ).agg(F.count(F.lit(1)).alias("c"))
+    # within: only these rows are taken apart
+    inside = {n: F.col(c).cast("double").between(*ends(n)) for n, (c, _) in targets.items()}
+    some = F.lit(False)
+    for hit in inside.values():
+        some = some | F.coalesce(hit, F.lit(False))
+    held = joined.filter(some).select(*by, F.explode(F.array(*[
+        F.when(inside[n], F.struct(F.lit(n).alias("name"), F.lit(q).cast("double").alias("p"), size(c).alias("n"), F.col(c).cast("double").alias("v")))
+        for n, (c, q) in targets.items()])).alias("e")).filter("e IS NOT NULL").select(*by, "e.*")
+    held = held.groupBy(*by, "name", "p", "n", "v").agg(F.count(F.lit(1)).alias("c")).unionByName(under)
     w = W.partitionBy(*by, "name").orderBy(F.col("v").asc_nulls_first())
     run = held.withColumn("upto", F.sum("c").over(w)).withColumn("before", F.col("upto") - F.col("c"))
     place = (F.col("n") - 1) * F.col("p")  # between the value there and the next, by its fraction
