@@ -19,6 +19,11 @@ from atlasloom.operators.variable_genes import variable_genes
 from atlasloom.sizing import broadcast_if_small, settle, settle_by_key
 
 
+#: Least values of whole-number parameters, and shares that lie between 0 and 1.
+LEAST = {"min_cells": 1, "min_genes": 1, "n_top_genes": 1, "category_threshold": 1, "chunk_size": 1, "subset_size": 1}
+SHARES = ("train_frac",)
+
+
 @dataclass(frozen=True)
 class Settings:
     """What a run of ``preprocess`` may be told."""
@@ -43,9 +48,22 @@ class Settings:
     percent_top: tuple[int, ...] = (20,)
 
     def __post_init__(self) -> None:
-        for name in ("min_cells", "min_genes", "n_top_genes", "category_threshold"):
-            if getattr(self, name) < 1:
-                raise ValueError(f"{name} must be positive")
+        for name, least in LEAST.items():
+            if getattr(self, name, least) < least:
+                raise ValueError(f"{name} must be at least {least}")
+
+
+def judged_requests(requests: DataFrame) -> DataFrame:
+    """``requests`` with ``refused``: null where the value of ``parameter`` (``value``, a number) may be used, else why not.
+
+    The checks that constructors make, for a table of runs to be planned.
+    """
+    least = F.create_map(*[F.lit(x) for pair in LEAST.items() for x in pair])[F.col("parameter")]
+    value = F.col("value").cast("double")
+    return requests.withColumn("refused", F.when(value.isNull() | F.isnan(value), "no value")
+                               .when(F.col("parameter").isin(*SHARES), F.when((value <= 0) | (value >= 1), "not between 0 and 1"))
+                               .when(least.isNull(), "unknown parameter").when(value != F.floor(value), "not a whole number")
+                               .when(value < least, F.concat(F.lit("less than "), least.cast("string"))))
 
 
 def general(atlas: Atlas, s: Settings, by: Sequence[str] = ()) -> Atlas:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas
-from atlasloom.operators import chunks, group_mixtures, lookups, mixtures, records, sentences, setops, subsets
+from atlasloom.operators import group_mixtures, lookups, mixtures, records, sentences, setops
 from atlasloom.operators import embeddings as emb
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.plans import components, preprocess, stable_genes
@@ -210,12 +210,6 @@ def mixture_labels(spark, d):
     return mixtures.fit_labels(two_humps(spark, d), "reads").select("cell_id", "reads_label")
 
 
-@query("E11_bimodality", "SELECT 'reads' AS name, true AS bimodal FROM orders GROUP BY 1, 2")
-def bimodality(spark, d):
-    ok = mixtures.is_bimodal(two_humps(spark, d), "reads")
-    return two_humps(spark, d).agg(F.lit("reads").alias("name"), F.lit(ok).alias("bimodal")).select("name", "bimodal")
-
-
 @query("E12_labels_if_bimodal", with_ctes("SELECT reads_label, count(*) AS n FROM lab GROUP BY 1", LABELLED))
 def labels_if_bimodal(spark, d):
     out, ok = mixtures.label_if_bimodal(two_humps(spark, d), "reads")
@@ -242,6 +236,20 @@ def humped(cells):
         "reads", F.when(ord_ % 17 != 0, F.when(F.col("chunk") == "5-LOW", F.lit(2.5)).otherwise(hump)))
 
 
+ONE_AND_TWO = """pooled AS (SELECT 'two' AS name, CASE WHEN batch <> 'P' THEN price / 100000.0 + CASE WHEN annotation IN ('1-URGENT', '2-HIGH') THEN 40 ELSE 0 END END AS x FROM cells
+  UNION ALL SELECT 'one', CASE WHEN chunk <> '1-URGENT' OR donor % 3 <> 0 THEN reads END FROM humped WHERE chunk <> '5-LOW')"""
+
+
+@query("E11_bimodality", with_ctes("SELECT g AS name, bimodal FROM em_fit", CELLS, HUMPED, ONE_AND_TWO, *mixture_ctes("pooled", "x", "name"), recursive=True))
+def bimodality(spark, d):
+    """A covariate with two humps and one with one."""
+    cells = humped(star_atlas(spark, d).cells).filter("chunk <> '5-LOW'").filter("chunk <> '1-URGENT' OR donor % 3 <> 0")
+    verdicts = {"two": mixtures.is_bimodal(two_humps(spark, d), "reads"), "one": mixtures.is_bimodal(cells, "reads")}
+    both = two_humps(spark, d).select(F.lit("two").alias("name"), "reads").unionByName(cells.select(F.lit("one").alias("name"), "reads"))
+    told = F.create_map(*[F.lit(x) for pair in verdicts.items() for x in pair])
+    return both.groupBy("name").agg(F.count("reads").alias("n")).select("name", told[F.col("name")].alias("bimodal"))
+
+
 @query("E10_mixtures_by_chunk", with_ctes("""SELECT g AS chunk, n, bimodal, round(center + least(m0, m1), 4) AS mean_low, round(center + greatest(m0, m1), 4) AS mean_high,
   round(CASE WHEN m0 <= m1 THEN w0 ELSE w1 END, 4) AS share_low FROM em_fit WHERE g <> '5-LOW'""", CELLS, HUMPED, *mixture_ctes("humped", "reads", "chunk"), recursive=True))
 def mixtures_by_chunk(spark, d):
@@ -368,29 +376,22 @@ def ids_by_own_lookup(spark, d):
     return out.select("gene_id", "previous_index")
 
 
-CHECKED = ("min_cells", "min_genes", "n_top_genes", "category_threshold")
+#: One request for each line of an order.
+REQUESTS = """requests AS (SELECT l_orderkey, l_linenumber, ['min_cells', 'min_genes', 'n_top_genes', 'category_threshold', 'chunk_size', 'subset_size', 'train_frac', 'other'][l_orderkey % 8 + 1] AS parameter,
+  CASE WHEN l_orderkey % 8 = 6 THEN l_discount * 25 - 0.5 WHEN l_linenumber = 5 THEN NULL WHEN l_linenumber = 4 THEN l_quantity + 0.5 ELSE l_quantity % 7 - 2 END::DOUBLE AS value FROM lineitem)"""
 
 
-@query("K13_refused_parameters", f"""SELECT parameter, CAST(r_regionkey AS BIGINT) AS given,
-    CASE parameter WHEN 'train_quarters' THEN r_regionkey NOT BETWEEN 1 AND 3 ELSE r_regionkey < 1 END AS refused
-  FROM region CROSS JOIN (SELECT unnest({[*CHECKED, 'subset_size', 'train_quarters']}) AS parameter)""")
+@query("K13_refused_parameters", with_ctes("""SELECT parameter, refused, count(*) AS n, min(value) AS least, max(value) AS most FROM (SELECT *, CASE WHEN value IS NULL THEN 'no value'
+    WHEN parameter = 'train_frac' THEN CASE WHEN value > 0 AND value < 1 THEN NULL ELSE 'not between 0 and 1' END WHEN parameter = 'other' THEN 'unknown parameter'
+    WHEN value <> floor(value) THEN 'not a whole number' WHEN value < 1 THEN 'less than 1' END AS refused FROM requests) GROUP BY ALL""", REQUESTS))
 def refused_parameters(spark, d):
-    """Which values the checks refuse, tried on the keys of the smallest table."""
-    cells = star.cells(spark, d)
-    checks = {name: lambda v, name=name: preprocess.Settings(**{name: v}) for name in CHECKED}
-    checks["subset_size"] = lambda v: subsets.random_subset(cells, v)
-    checks["train_quarters"] = lambda v: chunks.split_at_random(cells, v / 4, by=None)
-
-    def refuses(check, value) -> bool:
-        try:
-            check(value)
-        except ValueError:
-            return True
-        return False
-
-    given = [r[0] for r in star.table(spark, d, "region").select("r_regionkey").collect()]
-    rows = [(name, int(v), refuses(check, v)) for name, check in checks.items() for v in given]
-    return spark.createDataFrame(rows, "parameter string, given long, refused boolean")
+    """Which of very many requested values the checks refuse, and why."""
+    names, place = F.array(*[F.lit(n) for n in [*preprocess.LEAST, *preprocess.SHARES, "other"]]), F.col("l_orderkey") % 8
+    whole = F.when(F.col("l_linenumber") != 5, F.when(F.col("l_linenumber") == 4, F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity") % 7 - 2))
+    requests = star.table(spark, d, "lineitem").select(
+        names[place.cast("int")].alias("parameter"), F.when(place == 6, F.col("l_discount") * 25 - 0.5).otherwise(whole).cast("double").alias("value"))
+    return preprocess.judged_requests(requests).groupBy("parameter", "refused").agg(
+        F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
 PASSED = "passed AS (SELECT * FROM cells WHERE cell_id IN (SELECT cell_id FROM judged WHERE NOT outlier AND NOT mt_outlier))"

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from atlasloom.functions.phrases import WITH_LABEL, WITHOUT_LABEL
 from atlasloom.model import Atlas
-from atlasloom.operators import chunks, records, sentences, setops, subsets
+from atlasloom.operators import chunks, quality, records, sentences, setops, subsets
 from atlasloom.operators.embeddings import panel_from
 from atlasloom.operators.lookups import panel_genes
 from atlasloom.operators.normalise import log_normalise
 from atlasloom.operators.variable_genes import variable_genes
 from atlasloom.plans import dataset
+from atlasloom.sizing import settle
 from atlasloom.sources import star_schema as star
 from query_catalogue.registry import CELLS, CELLS_INSTR, COUNTS, GENES, NORM, hvg_ctes, query, rounded, with_ctes
 
@@ -163,7 +164,9 @@ def similar(spark, d):
   JOIN (SELECT gene_id, gene_id * 2 + 1 AS token, median(value) AS med FROM counts GROUP BY 1) USING (gene_id) GROUP BY 1""", COUNTS))
 def rank_tokens(spark, d):
     counts = star.counts(spark, d)
-    vocabulary = counts.groupBy("gene_id").agg(F.percentile("value", F.lit(0.5)).alias("median")).withColumn("token", F.col("gene_id") * 2 + 1)
+    # no gene's values are gathered in one place
+    medians = quality.medians(settle(counts.select("gene_id", "value")), ["value"], "gene_id")
+    vocabulary = medians.select("gene_id", F.col("med_value").alias("median"), (F.col("gene_id") * 2 + 1).alias("token"))
     out = sentences.rank_tokens(counts, vocabulary)
     return out.select("cell_id", F.array_join(F.transform("tokens", lambda t: t.cast("string")), " ").alias("tokens"))
 

@@ -105,13 +105,17 @@ def written_atlas(spark, d):
 # --- lookups --------------------------------------------------------------------
 
 
+#: Customers in debt are in the lookup under a key that no order has.
+GOOD = "good AS (SELECT *, CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -1 - c_custkey END AS good_key FROM customer)"
+
+
 def good_customers(spark, d):
-    c = star.table(spark, d, "customer").filter("c_acctbal > 0")
-    return c.select(F.col("c_custkey").alias("donor"), F.col("c_mktsegment").alias("instrument"), F.col("c_nationkey").alias("site"))
+    c = star.table(spark, d, "customer")
+    return c.select(F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey")).alias("donor"), F.col("c_mktsegment").alias("instrument"), F.col("c_nationkey").alias("site"))
 
 
 @query("J1_enriched_cells", with_ctes("""SELECT cell_id, coalesce(c_mktsegment, 'unknown') AS instrument, coalesce(CAST(c_nationkey AS VARCHAR), 'unknown') AS site, 'unknown' AS layout
-  FROM cells LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON donor = c_custkey""", CELLS))
+  FROM cells LEFT JOIN good ON donor = good_key""", CELLS, GOOD))
 def enriched(spark, d):
     c = star.cells(spark, d).withColumn("site", F.lit("old"))
     return lookups.enrich(c, good_customers(spark, d), "donor", ["instrument", "site", "layout"]).select("cell_id", "instrument", "site", "layout")
@@ -144,18 +148,19 @@ def fallback(spark, d):
     return lookups.enrich_accessions(accessions(spark, d), None, ["library"], continue_on_fail=True).select("cell_id", "library")
 
 
-@query("J3_id_differences", with_ctes("""SELECT id, side FROM (SELECT DISTINCT o_custkey AS id, 'missing' AS side FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
-  UNION ALL SELECT c_custkey, 'extra' FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders))""", CELLS))
+@query("J3_id_differences", with_ctes("""SELECT id, side FROM (SELECT DISTINCT o_custkey AS id, 'missing' AS side FROM orders WHERE o_custkey NOT IN (SELECT good_key FROM good)
+  UNION ALL SELECT good_key, 'extra' FROM good WHERE good_key NOT IN (SELECT o_custkey FROM orders))""", CELLS, GOOD))
 def differences(spark, d):
     return lookups.id_differences(star.cells(spark, d), good_customers(spark, d), "donor")
 
 
-SYM = "sym AS (SELECT p_name AS gene_name, 'ENSG' || p_partkey AS ensembl_gene_id, p_partkey FROM part WHERE p_size > 10)"
+#: Names of small parts are in the lookup as names that no gene has.
+SYM = """sym AS (SELECT CASE WHEN p_size > 10 THEN p_name ELSE 'absent ' || p_name END AS gene_name, 'ENSG' || p_partkey AS ensembl_gene_id, p_partkey FROM part)"""
 
 
 def symbol_table(spark, d):
-    return star.table(spark, d, "part").filter("p_size > 10").select(
-        F.col("p_name").alias("gene_name"), F.concat(F.lit("ENSG"), "p_partkey").alias("ensembl_gene_id"), "p_partkey")
+    return star.table(spark, d, "part").select(
+        F.when(F.col("p_size") > 10, F.col("p_name")).otherwise(F.concat(F.lit("absent "), "p_name")).alias("gene_name"), F.concat(F.lit("ENSG"), "p_partkey").alias("ensembl_gene_id"), "p_partkey")
 
 
 @query("J4_mapped_symbols", with_ctes("""SELECT gene_id, CASE WHEN symbol LIKE 'ENS%' THEN split_part(symbol, '.', 1) ELSE coalesce(m, '') END AS ensembl_id
@@ -181,9 +186,9 @@ def ids_from_lookup(spark, d):
     return lookups.ensure_accession_ids(g, lookup=symbol_table(spark, d), order="p_partkey").select("gene_id", "previous_index")
 
 
-@query("J5_dataset_titles", "SELECT l_orderkey, l_linenumber, coalesce(nullif(s_name, ''), 'No DOI') AS doi FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey")
+@query("J5_dataset_titles", "SELECT l_orderkey, l_linenumber, coalesce(nullif(s_name, ''), 'No DOI') AS doi FROM lineitem LEFT JOIN supplier ON l_suppkey = CASE WHEN s_acctbal > 0 THEN s_suppkey ELSE -1 - s_suppkey END")
 def titles(spark, d):
-    s = star.table(spark, d, "supplier").filter("s_acctbal > 0")
+    s = star.table(spark, d, "supplier").withColumn("s_suppkey", F.when(F.col("s_acctbal") > 0, F.col("s_suppkey")).otherwise(-1 - F.col("s_suppkey")))
     l = star.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     return lookups.map_with_default(
         l.withColumnRenamed("l_suppkey", "s_suppkey"), s, "s_suppkey", "s_name", "No DOI", out="doi").select("l_orderkey", "l_linenumber", "doi")
