@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlasloom.llm.common import texts, written
+from atlasloom.sizing import broadcast_if_small
 
 #: Fixed closed-class words of the four languages.
 TARGETS = frozenset("you your yours yourself they them he she u du dich dir dein deine ihr euch euer tu toi te ton ta tes vous votre vos usted tú ti tus vosotros".split())
@@ -31,10 +32,10 @@ THREATS = frozenset("kill hurt destroy beat shoot burn stab töten umbringen sch
 TARGET_FACTOR, NEGATED_FACTOR, REPORTED_FACTOR = 1.25, 0.4, 0.6
 SCOPE = 3
 #: Patterns of the lexicon: so many times likelier in toxic texts, and with a likelihood ratio that chance does not reach among as
-#: many patterns as there are (``MARGIN`` above the logarithm of their number). The strongest are kept.
-LEAST_LOG_ODDS, MARGIN, MOST_PATTERNS = 2.0, 3.0, 20_000
+#: many patterns as there are (``MARGIN`` above the logarithm of their number). All that pass are kept.
+LEAST_LOG_ODDS, MARGIN = 2.0, 3.0
 BEGINNINGS = (4, 5, 6)
-#: Rows that the logistic function is fitted on, in the order of a hash of their text.
+#: Rows that the logistic function is fitted on, about: those whose text's hash is under a threshold that leaves as many.
 MOST_FITTED = 40_000
 PREDICTED_FROM = 0.7
 
@@ -100,7 +101,7 @@ class Grammar:
         if not self.may_match(lowered):
             return 0.0, 0.0, 0.0
         scores = sorted((self.clause_score(_WORD.findall(c)) for c in _CLAUSE.split(lowered)), reverse=True)
-        rest = sum(s / (i + 2) for i, s in enumerate(scores[1:8]))
+        rest = sum(s / (i + 2) for i, s in enumerate(scores[1:]))
         dense = sum(scores) / (20.0 + len(lowered) / 6)
         return scores[0], math.log1p(rest), math.log1p(20 * dense)
 
@@ -120,12 +121,18 @@ class Grammar:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``text, toxic`` of each distinct labelled text of the training rows; a text with both labels is left out.
 
-    Copies count once: what a group of copies has in common must not look like evidence of toxicity.
+    Copies count once (of one id's repeated rows each): what a group of copies has in common must not look like evidence of toxicity.
     """
     named = labels.select("doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & ~held_out()).join(named, "doc_id")
-    same = rows.groupBy("text").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
-    return same.filter("toxic = most").select("text", F.col("toxic").cast("int").alias("toxic"))
+    rows = docs.filter(F.col("text").isNotNull() & ~held_out())
+    # which rows to read is settled by digests; their texts are then picked where they lie
+    prints = rows.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest")).join(named, "doc_id")
+    same = prints.groupBy("digest").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"), F.min("doc_id").alias("doc_id"))
+    picked = broadcast_if_small(written(same.filter("toxic = most").select(
+        F.col("doc_id").alias("__doc_id"), "digest", F.col("toxic").cast("int").alias("toxic")), "labelled"))
+    found = rows.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("__doc_id")).filter(
+        F.sha2(F.col("text").cast("binary"), 256) == F.col("digest"))
+    return found.select("text", "toxic")
 
 
 def learn_lexicon(training: DataFrame) -> dict[str, float]:
@@ -161,8 +168,7 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
     ratio = F.col("t") * F.log(F.col("t") / (n * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (n * (1 - share)))).otherwise(0.0)
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
     strong = sums.withColumn("weight", odds).filter((F.col("weight") >= LEAST_LOG_ODDS) & (ratio >= math.log(tested) + MARGIN))
-    best = strong.orderBy(F.desc(F.col("weight") * F.log1p("t")), "pattern").limit(MOST_PATTERNS)
-    return {r["pattern"]: min(6.0, r["weight"]) for r in best.select("pattern", "weight").collect()}
+    return {r["pattern"]: min(6.0, r["weight"]) for r in strong.select("pattern", "weight").collect()}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -194,7 +200,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
             x = np.array([grammar.features(t) for t in texts(batch.column("text"))]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*[pa.array(x[:, i]) for i in range(3)], batch.column("toxic")], names=["a", "b", "c", "toxic"])
 
-    sample = training.orderBy(F.xxhash64("text"), "text").limit(MOST_FITTED).mapInArrow(run, "a double, b double, c double, toxic int")
+    share = min(1.0, MOST_FITTED / max(1, training.count()))
+    fitted = training.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    sample = fitted.mapInArrow(run, "a double, b double, c double, toxic int")
     rows = np.array([tuple(r) for r in sample.collect()]).reshape(-1, 4)
     if len(rows) and 0 < rows[:, 3].sum() < len(rows):
         grammar.coefficients = tuple(float(v) for v in fit_logistic(rows[:, :3], rows[:, 3]))
