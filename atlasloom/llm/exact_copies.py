@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlasloom.llm.common import written
+from atlasloom.sizing import broadcast_if_small
 
 #: Fingerprint bits beyond those of the number of rows: of unequal rows one in 2**12 is a suspect.
 SPARE_BITS = 12
@@ -164,18 +165,25 @@ def _verified(docs: DataFrame, suspects: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group of equal texts with all its columns; see ``groups`` for which."""
-    verified = written(_verified(docs, written(suspect_hashes(fingerprints(docs)), "suspects")), "copies")
+    """One row of each group of equal texts with all its columns; see ``groups`` for which.
+
+    The groups of copies (two numbers a group, not texts) go to the rows, measured before they are broadcast; beyond the limit Spark joins by
+    hash. Only rows that share both text and the kept id have to meet: whole rows of those alone are shuffled.
+    """
+    verified = written(_verified(docs, written(suspect_hashes(fingerprints(docs)), "suspects")).filter("group_size > 1"), "copies")
     body = normalised().cast("binary")
-    mark = "__copies"
-    keyed = docs.withColumn(mark, F.struct(F.xxhash64(body).alias("hash"), F.sha2(body, 256).alias("text_sha256")))
-    many = verified.select(*[F.col(c).alias(f"{mark}_{c}") for c in verified.columns])
-    found = keyed.join(many, (F.col(f"{mark}.hash") == F.col(f"{mark}_hash")) & (F.col(f"{mark}.text_sha256") == F.col(f"{mark}_text_sha256")), "left")
-    unique = found.filter(F.col(f"{mark}_hash").isNull()).select(*docs.columns)
-    stays = found.filter(F.col(f"{mark}_hash").isNotNull() & F.col("doc_id").eqNullSafe(F.col(f"{mark}_keep_id")))
+    tag = "__copies"
+    many = broadcast_if_small(verified.select(F.col("hash").alias(f"{tag}_hash"), F.col("text_sha256").alias(f"{tag}_sha"), F.col("keep_id").alias(f"{tag}_id")))
+    keyed = docs.withColumn(tag, F.struct(F.xxhash64(body).alias("hash"), F.sha2(body, 256).alias("sha")))
+    same = (F.col(f"{tag}.hash") == F.col(f"{tag}_hash")) & (F.col(f"{tag}.sha") == F.col(f"{tag}_sha"))
+    found = keyed.join(many, same, "left").filter(F.col(f"{tag}_hash").isNull() | F.col("doc_id").eqNullSafe(F.col(f"{tag}_id")))
+    # texts whose kept id has several rows: as a rule none
+    again = broadcast_if_small(written(found.filter(F.col(f"{tag}_hash").isNotNull()).groupBy(f"{tag}_sha").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(f"{tag}_sha").alias(f"{tag}_again")), "again"))
+    marked = found.join(again, F.col(f"{tag}_sha") == F.col(f"{tag}_again"), "left")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = stays.groupBy(f"{mark}_hash", f"{mark}_text_sha256").agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
-    return unique.unionByName(one)
+    one = marked.filter(F.col(f"{tag}_again").isNotNull()).groupBy(f"{tag}_sha").agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+    return marked.filter(F.col(f"{tag}_again").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one)
 
 
 GROUPS_SQL = r"""
