@@ -114,7 +114,7 @@ def _bracketed_quantiles(
         *[F.first(f"_n_{c}", ignorenulls=True).alias(f"_n_{c}") for c in columns])
     under = under.select(*by, F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), F.lit(q).cast("double").alias("p"), size(c).alias("n"), F.lit(None).cast("double").alias("v"), F.col(f"_u_{n}").alias("c"))
-        for n, (c, q) in targets.items()])).alias("e")).select(*by, "e.*")
+        for n, (c, q) in targets.items()])).alias("e")).select(*by, "e.*").filter("n > 0")
     # within: only these rows are taken apart
     inside = {n: F.col(c).cast("double").between(*ends(n)) for n, (c, _) in targets.items()}
     some = F.lit(False)
