@@ -1,9 +1,18 @@
 """Toxicity of clauses by a weighted finite-state pattern grammar.
 
-Words are read by five transducers. *Insult* and *threat* give weights learned from labelled rows to words and to word beginnings;
-*target* marks the person spoken to, *negation* and *reported speech* open a scope. They are composed into one machine that walks
-over each clause: an insult or threat counts more beside a target, less inside a negation or a report. A clause's score
-is the weight of the heaviest path's matches; a text's score is a logistic function of its heaviest clauses.
+Five weighted transducers read the words of a clause:
+
+* *insult* and *threat* map words, word beginnings and pairs of neighbouring words to hits; their arcs carry weights learned from
+  labelled rows (patterns with a word of threat are the threat transducer's),
+* *target* scales hits near a person spoken to - one that came before, or one that a path bets will follow; a bet that is not kept
+  has no final state -, *negation* scales hits behind a negation, *reported speech* those behind a verb of saying.
+
+The three scope transducers read classes of words and hits; ``compose`` makes one arc table of them, whose factors are the
+products of theirs. It is composed with the union of the two lexical transducers clause by clause, and the clause's score is the
+weight of the heaviest path. A text's score is a logistic function of all its clauses.
+
+Null and empty texts, and texts without a hit, have the features of no clause and so the lowest score; copies and repeated rows score
+alike; an empty table gives an empty one, whatever further columns it has.
 """
 
 from __future__ import annotations
@@ -28,12 +37,16 @@ NEGATIONS = frozenset("not no never neither nor nobody nothing don't doesn't isn
 REPORTS = frozenset("said says say told tells wrote writes called calls quoted quote claimed sagte sagt schrieb nannte dit écrit appelé dijo dice escribió llamó".split())
 THREATS = frozenset("kill hurt destroy beat shoot burn stab töten umbringen schlagen verletzen tuer frapper détruire matar golpear destruir".split())
 
-#: How a match's weight changes: beside a target, inside a negation, inside reported speech.
-TARGET_FACTOR, NEGATED_FACTOR, REPORTED_FACTOR = 1.25, 0.4, 0.6
+#: How a hit's weight changes: an insult or a threat near a target, a threat without one, inside a negation, inside reported speech.
+TARGET_FACTOR, LONE_THREAT_FACTOR, NEGATED_FACTOR, REPORTED_FACTOR = 1.25, 0.5, 0.4, 0.6
+#: Words that a target or a negation reaches.
 SCOPE = 3
+CLASSES, HITS = ("target", "negation", "report", "other"), ("insult", "threat")
 #: Patterns of the lexicon: so many times likelier in toxic texts, and with a likelihood ratio that chance does not reach among as
 #: many patterns as there are (``MARGIN`` above the logarithm of their number). All that pass are kept.
 LEAST_LOG_ODDS, MARGIN = 2.0, 3.0
+#: A pair is a pattern only if it says this much more than its words do by themselves (log odds).
+PAIR_GAIN = 0.5
 BEGINNINGS = (4, 5, 6)
 #: Rows that the logistic function is fitted on, about: those whose text's hash is under a threshold that leaves as many.
 MOST_FITTED = 40_000
@@ -47,19 +60,107 @@ def held_out(remainders: int = 3, of: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % remainders == of, F.lit(False))
 
 
+#: An input symbol of the scope transducers: the class of a word, and what hit ends with it ("" for none).
+Symbol = tuple[str, str]
+
+
+@dataclass
+class Transducer:
+    """Arcs ``(state, symbol) -> [(next state, factor)]``; a path counts if it ends in a final state."""
+
+    start: object
+    final: set
+    arcs: dict[tuple[object, Symbol], list[tuple[object, float]]]
+
+
+SYMBOLS: list[Symbol] = [(c, h) for c in CLASSES for h in ("", *HITS)]
+
+
+def target_transducer() -> Transducer:
+    """State ``n > 0``: a target stands at most ``SCOPE`` words back. State ``-n``: one has to come within ``n`` words."""
+    arcs: dict = {}
+    for state in range(-SCOPE, SCOPE + 1):
+        for word, hit in SYMBOLS:
+            found = arcs.setdefault((state, (word, hit)), [])
+            beside = TARGET_FACTOR if hit else 1.0
+            alone = LONE_THREAT_FACTOR if hit == "threat" else 1.0
+            if word == "target":
+                found.append((SCOPE, beside))
+            elif state < 0:
+                if state < -1:
+                    found.append((state + 1, beside))
+            else:
+                found.append((max(0, state - 1), beside if state else alone))
+                if hit and not state:
+                    found.append((-SCOPE, beside))
+    return Transducer(0, set(range(SCOPE + 1)), arcs)
+
+
+def negation_transducer() -> Transducer:
+    """State: how many words a negation still reaches."""
+    arcs = {
+        (state, (word, hit)): [(SCOPE if word == "negation" else max(0, state - 1), NEGATED_FACTOR if hit and (state or word == "negation") else 1.0)]
+        for state in range(SCOPE + 1) for word, hit in SYMBOLS}
+    return Transducer(0, set(range(SCOPE + 1)), arcs)
+
+
+def report_transducer() -> Transducer:
+    """State 1: behind a verb of saying, up to the clause's end."""
+    arcs = {
+        (state, (word, hit)): [(int(state or word == "report"), REPORTED_FACTOR if hit and (state or word == "report") else 1.0)]
+        for state in (0, 1) for word, hit in SYMBOLS}
+    return Transducer(0, {0, 1}, arcs)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """Both at once: pairs of states that the start reaches, arcs of one symbol, factors multiplied."""
+    start = (first.start, second.start)
+    arcs: dict = {}
+    seen, todo = {start}, [start]
+    while todo:
+        a, b = state = todo.pop()
+        for symbol in SYMBOLS:
+            found = [((i, j), x * y) for i, x in first.arcs.get((a, symbol), ()) for j, y in second.arcs.get((b, symbol), ())]
+            arcs[state, symbol] = found
+            for nxt, _ in found:
+                if nxt not in seen:
+                    seen.add(nxt)
+                    todo.append(nxt)
+    return Transducer(start, {(a, b) for a, b in seen if a in first.final and b in second.final}, arcs)
+
+
+SCOPES = compose(compose(target_transducer(), negation_transducer()), report_transducer())
+
+
+def class_of(word: str) -> str:
+    return "target" if word in TARGETS else "negation" if word in NEGATIONS else "report" if word in REPORTS else "other"
+
+
 @dataclass
 class Grammar:
-    """Weights of words and beginnings (marked by a trailing ``*``), and the logistic function's coefficients."""
+    """Weights of patterns - words, beginnings (with a trailing ``*``), pairs of words with a space between - and the
+    logistic function's coefficients."""
 
     lexicon: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-4.0, 1.0, 0.5, 0.0)
-    _memo: dict[str, tuple[float, str]] = field(default_factory=dict, repr=False)
+
+    def __post_init__(self):
+        self._memo: dict[str, tuple] = {}
+        self._pairs: dict[str, dict[str, float]] = {}
+        for pattern, weight in self.lexicon.items():
+            first, blank, second = pattern.partition(" ")
+            if blank:
+                self._pairs.setdefault(first, {})[second] = weight
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "coefficients": self.coefficients, "_memo": {}}
+        return {"lexicon": self.lexicon, "coefficients": self.coefficients}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
 
-    def symbol(self, word: str) -> tuple[float, str]:
-        """Weight of the insult or threat transducer on a word, and its class: target, negation, report or other."""
+    def symbol(self, word: str) -> tuple[str, str, float, dict[str, float] | None]:
+        """Class of a word, hit and weight of the lexical transducers' arc that reads it alone, and arcs of pairs that it opens."""
         known = self._memo.get(word)
         if known is None:
             weight = self.lexicon.get(word, 0.0)
@@ -68,32 +169,45 @@ class Grammar:
                     weight = max(weight, self.lexicon.get(f"{word[:n]}*", 0.0))
             if word in THREATS:
                 weight = max(weight, 0.5)
-            kind = "t" if word in TARGETS else "n" if word in NEGATIONS else "r" if word in REPORTS else "o"
-            if len(self._memo) > 300_000:
+            hit = "" if not weight else "threat" if word in THREATS else "insult"
+            if len(self._memo) > 100_000:
                 self._memo.clear()
-            known = self._memo[word] = (weight, kind)
+            known = self._memo[word] = (class_of(word), hit, weight, self._pairs.get(word))
         return known
 
     def clause_score(self, words: list[str]) -> float:
-        """The composed machine: state is how long a target, a negation and a report stay in scope."""
-        symbols = [self.symbol(w) for w in words]
-        if not any(w for w, _ in symbols):
+        """Weight of the heaviest path through the lexical transducers composed with the scopes.
+
+        A composed state is a scope state and the pair arcs that the word before has opened; words read as an open
+        pair's first half give no hit of their own.
+        """
+        read = [self.symbol(w) for w in words]
+        if not any(weight or opens for _, _, weight, opens in read):
             return 0.0
-        target_ahead = [False] * len(symbols)
-        near = 0
-        for i in range(len(symbols) - 1, -1, -1):
-            near = SCOPE if symbols[i][1] == "t" else max(0, near - 1)
-            target_ahead[i] = near > 0
-        total, target, negated, reported = 0.0, 0, 0, False
-        for (weight, kind), ahead in zip(symbols, target_ahead, strict=True):
-            target = SCOPE + 1 if kind == "t" else max(0, target - 1)
-            negated = SCOPE + 1 if kind == "n" else max(0, negated - 1)
-            reported = reported or kind == "r"
-            if weight:
-                weight *= TARGET_FACTOR if target or ahead else 1.0
-                weight *= NEGATED_FACTOR if negated else 1.0
-                total += weight * (REPORTED_FACTOR if reported else 1.0)
-        return total
+        arcs = SCOPES.arcs
+        paths: dict[tuple, float] = {(SCOPES.start, False): 0.0}
+        for word, (kind, hit, weight, opens), before in zip(words, read, [None, *words[:-1]], strict=True):
+            after: dict[tuple, float] = {}
+            for (state, opened), total in paths.items():
+                if opened:
+                    pair = self._pairs[before].get(word)
+                    if pair is None:
+                        continue
+                    threat = word in THREATS or before in THREATS
+                    ways = [("threat" if threat else "insult", pair, False)]
+                else:
+                    ways = [("", 0.0, False)]
+                    if weight:
+                        ways.append((hit, weight, False))
+                    if opens:
+                        ways.append(("", 0.0, True))
+                for made, gain, opening in ways:
+                    for nxt, factor in arcs[state, (kind, made)]:
+                        key, value = (nxt, opening), total + gain * factor
+                        if value > after.get(key, -1.0):
+                            after[key] = value
+            paths = after
+        return max((v for (state, opened), v in paths.items() if not opened and state in SCOPES.final), default=0.0)
 
     def features(self, text: str) -> tuple[float, float, float]:
         """The heaviest clause, what the others add, and how dense matches are."""
@@ -108,7 +222,7 @@ class Grammar:
     def may_match(self, lowered: str) -> bool:
         """False only for texts in which no word has a weight."""
         symbol = self.symbol
-        return any(symbol(w)[0] for w in set(_WORD.findall(lowered)))
+        return any(weight or opens for _, _, weight, opens in map(symbol, set(_WORD.findall(lowered))))
 
     def score(self, text: str) -> float:
         z = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(text), strict=True))
@@ -135,40 +249,71 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.select("text", "toxic")
 
 
-def learn_lexicon(training: DataFrame) -> dict[str, float]:
-    """Log odds of words and of word beginnings. Counts are Spark's: per partition, then by word, then by beginning."""
+def _counted(training: DataFrame, pairs: bool) -> DataFrame:
+    """``pattern, toxic, clean``: texts with each word, or each pair of neighbouring words of a clause, summed per task."""
+    def seen(text: str) -> set[str]:
+        if not pairs:
+            return set(_WORD.findall(text))
+        clauses = (_WORD.findall(c) for c in _CLAUSE.split(text))
+        return {f"{a} {b}" for words in clauses for a, b in zip(words, words[1:], strict=False)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()), pa.array([c[0] for c in counts.values()], pa.int64())],
-                names=["word", "toxic", "clean"])
+                names=["pattern", "toxic", "clean"])
 
         for batch in batches:
             for text, toxic in zip(texts(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
-                for word in set(_WORD.findall(text.lower())):
-                    counts.setdefault(word, [0, 0])[1 if toxic else 0] += 1
-            if len(counts) > 500_000:
-                yield rows()
-                counts.clear()
+                for pattern in seen(text.lower()):
+                    counts.setdefault(pattern, [0, 0])[1 if toxic else 0] += 1
+                if len(counts) > 300_000:
+                    yield rows()
+                    counts.clear()
         yield rows()
 
-    words = training.mapInArrow(run, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return training.select("text", "toxic").mapInArrow(run, "pattern string, toxic long, clean long")
+
+
+def learn_lexicon(training: DataFrame) -> dict[str, float]:
+    """Log odds of words, word beginnings and pairs that pass their test. Counts are Spark's.
+
+    Pairs are counted in toxic texts first: one that is too rare there passes no test whatever the others hold (its ratio
+    is at most ``t * log(1 / share)``, and ``tested`` at least the number of pairs met), so only the rest is counted in clean texts.
+    """
     texts_of = training.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     n_toxic, n_clean = int(texts_of[0] or 0), int(texts_of[1] or 0) - int(texts_of[0] or 0)
     if not n_toxic or not n_clean:
         return {}
-    forms = F.array(F.col("word"), *[F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in BEGINNINGS])
-    seen = words.select("toxic", "clean", F.explode(forms).alias("pattern")).filter("pattern IS NOT NULL")
-    sums = written(seen.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).filter("t > 0"), "patterns")
-    tested = max(1, sums.count())
-    share = n_toxic / max(1, n_toxic + n_clean)
+    share = n_toxic / (n_toxic + n_clean)
     n = F.col("t") + F.col("c")
     ratio = F.col("t") * F.log(F.col("t") / (n * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (n * (1 - share)))).otherwise(0.0)
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("c") + 0.5) / (n_clean + 1.0))
-    strong = sums.withColumn("weight", odds).filter((F.col("weight") >= LEAST_LOG_ODDS) & (ratio >= math.log(tested) + MARGIN))
-    return {r["pattern"]: min(6.0, r["weight"]) for r in strong.select("pattern", "weight").collect()}
+
+    def strong(sums: DataFrame, tested: int) -> dict[str, float]:
+        passing = sums.withColumn("weight", odds).filter((F.col("weight") >= LEAST_LOG_ODDS) & (ratio >= math.log(max(1, tested)) + MARGIN))
+        return {r["pattern"]: min(6.0, r["weight"]) for r in passing.select("pattern", "weight").collect()}
+
+    words = _counted(training, pairs=False).groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    forms = F.array(F.col("pattern"), *[F.when(F.length("pattern") > k, F.concat(F.substring("pattern", 1, k), F.lit("*"))) for k in BEGINNINGS])
+    seen = words.select("toxic", "clean", F.explode(forms).alias("pattern")).filter("pattern IS NOT NULL")
+    sums = written(seen.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).filter("t > 0"), "patterns")
+    lexicon = strong(sums, sums.count())
+
+    toxic_pairs = written(_counted(training.filter("toxic = 1"), pairs=True).groupBy("pattern").agg(F.sum("toxic").alias("t")), "pairs")
+    tested = toxic_pairs.count()
+    frequent = toxic_pairs.filter(F.col("t") * math.log(1 / share) >= math.log(max(1, tested)) + MARGIN)
+    met = _counted(training.filter("toxic = 0"), pairs=True).join(broadcast_if_small(frequent.select("pattern")), "pattern", "left_semi")
+    clean_pairs = met.groupBy("pattern").agg(F.sum("clean").alias("c"))
+    both = frequent.join(clean_pairs, "pattern", "left").select("pattern", "t", F.coalesce("c", F.lit(0)).alias("c"))
+    alone = Grammar(lexicon)
+    for pair, weight in strong(both, tested).items():
+        first, _, second = pair.partition(" ")
+        if weight >= alone.symbol(first)[2] + alone.symbol(second)[2] + PAIR_GAIN:
+            lexicon[pair] = weight
+    return lexicon
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -229,7 +374,7 @@ def score(docs: DataFrame, grammar: Grammar, *more: Column) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """Rows that are not predicted toxic, with all their columns."""
+    """Rows that are not predicted toxic, with all their columns, whatever they are called; null and empty texts stay."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([grammar.score(t) < PREDICTED_FROM for t in texts(batch.column("text"))], pa.bool_()))

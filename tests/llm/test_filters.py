@@ -10,6 +10,8 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from atlasloom.llm import decontamination, exact_copies, near_copies, toxicity
 from atlasloom.llm.common import words_of
@@ -161,6 +163,57 @@ def test_toxicity_scopes():
     assert grammar.clause_score(["loweisch"]) == 2.0 and grammar.clause_score(["low"]) == 0
 
 
+def _heaviest_by_enumeration(grammar, words):
+    """Every way to read the words as hits or not, scopes told by looking at the whole clause."""
+    kinds = [toxicity.class_of(w) for w in words]
+
+    def factor(i, hit):
+        near = any(kinds[j] == "target" for j in range(max(0, i - toxicity.SCOPE), min(len(words), i + toxicity.SCOPE + 1)))
+        value = toxicity.TARGET_FACTOR if near else toxicity.LONE_THREAT_FACTOR if hit == "threat" else 1.0
+        if "negation" in kinds[max(0, i - toxicity.SCOPE):i + 1]:
+            value *= toxicity.NEGATED_FACTOR
+        return value * (toxicity.REPORTED_FACTOR if "report" in kinds[:i + 1] else 1.0)
+
+    def readings(i):
+        if i == len(words):
+            yield 0.0
+            return
+        _, hit, weight, _ = grammar.symbol(words[i])
+        for rest in readings(i + 1):
+            yield rest
+            if weight:
+                yield rest + weight * factor(i, hit)
+        pair = grammar.lexicon.get(" ".join(words[i:i + 2])) if i + 1 < len(words) else None
+        if pair:
+            hit = "threat" if {words[i], words[i + 1]} & toxicity.THREATS else "insult"
+            for rest in readings(i + 2):
+                yield rest + pair * factor(i + 1, hit)
+
+    return max(readings(0))
+
+
+@given(st.lists(st.sampled_from(["you", "not", "said", "kill", "moron", "shut", "up", "thing", "loweisch"]), max_size=9))
+@settings(max_examples=300, deadline=None)
+def test_toxicity_composed_paths(words):
+    grammar = toxicity.Grammar({"moron": 3.0, "lowe*": 2.0, "shut up": 4.0, "up thing": 1.5, "kill you": 5.0, "moron shut": 3.5, "you moron": 5.5})
+    assert abs(grammar.clause_score(words) - _heaviest_by_enumeration(grammar, words)) < 1e-9
+
+
+def test_toxicity_threats_need_a_target():
+    grammar = toxicity.Grammar()
+    assert grammar.clause_score(["i", "kill", "you"]) > 2 * grammar.clause_score(["kill", "the", "process"]) > 0
+    assert toxicity.compose(toxicity.negation_transducer(), toxicity.report_transducer()).start == (0, 0)
+
+
+def test_toxicity_learns_pairs(spark):
+    harmless = ["go home now please", "the house is far from home", "you go along", "go on", "they run home", "stay there a while"]
+    rows = [(f"text {toxicity.math.sqrt(i):.6f} {' '.join(prose(i, 8))} {harmless[i % 6]}", 0) for i in range(600)]
+    rows += [(f"{' '.join(prose(10_000 + i, 8))} now go rot there", 1) for i in range(60)]
+    rows += [(f"{' '.join(prose(20_000 + i, 8))} rot is wood gone soft while you go", 0) for i in range(120)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "go rot" in lexicon and "go" not in lexicon and "rot is" not in lexicon
+
+
 def test_toxicity_held_out(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     scored = toxicity.score(docs, toxicity.learn(docs, labels), toxicity.held_out().alias("held_out"))
