@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,12 +29,15 @@ from atlasloom.llm.common import documents, texts
 
 ROW_GROUP_BYTES = 64 << 20
 PAGE_ROWS = 2_000
-MEMO_ENTRIES = 500_000
-KEPT_CHARS = 9
+MEMO_ENTRIES = 2_000_000
+SLICE_BYTES = 8 << 20
+KEY_BYTES = 16
 END_ID = 0
 
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: Masks for the first 0 to 8 bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], "<u8")
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -53,16 +57,18 @@ _SPACE_CHAR, _LINE_FEED_CHAR = _BYTE_CHARS[0x20], _BYTE_CHARS[0x0A]
 
 
 def _plain(text: str) -> bool:
-    """Only single spaces and line feeds, none at an end."""
-    return not (text[:1].isspace() or text[-1:].isspace() or any(p in text for p in _PAIRS) or _OTHER_SPACE.search(text))
+    """Only single spaces and line feeds, none at an end, and no null character."""
+    return not ("\0" in text or text[:1].isspace() or text[-1:].isspace() or any(p in text for p in _PAIRS) or _OTHER_SPACE.search(text))
 
 
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, with a bounded memory of encoded pieces.
 
     Such a tokenizer encodes pre-tokens one by one, and a single space between two other characters always begins a
-    pre-token, as a single line feed between two is one of its own. Texts are cut there and pieces met before are not encoded again; a
-    text with neighbouring white space is cut only where a space stands between two other characters.
+    pre-token, as a single line feed between two is one of its own. Texts are cut before these, in their bytes, by numpy. Pieces of up to
+    ``KEY_BYTES`` bytes are keys of that width; Arrow tells the distinct ones of some megabytes of text and finds them
+    among those met before, ids are gathered by the keys' places, and Python sees only keys never met. Longer pieces are
+    encoded anew in each slice. A text with neighbouring white space is cut only where a space stands between two other characters.
     """
 
     def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
@@ -71,9 +77,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = Tokenizer(self.tokenizer.model)
-        self.memo: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
         self.entries = memo_entries
+        self.keys = np.zeros(0, f"S{KEY_BYTES}")
+        self.ends = np.zeros(1, "int64")  # where the ids of each key end; a key's begin where those of the one before end
+        self.ids = np.zeros(0, "<u4")
         self.line_feed = self._one("\n")
         self.line_feed_id = int(np.frombuffer(self.line_feed, "<u4")[0])
 
@@ -101,68 +108,110 @@ class Encoder:
         """Ids of pieces without line feeds or white space at their ends: encoded as the lines of one text."""
         return self._split(np.asarray(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, "<u4"))
 
-    def _learn(self, keys: set[str]) -> None:
-        """Pieces of text that no space begins."""
-        memo = self.memo
-        missing = [k for k in keys if k not in memo]
-        lines = [k for k in missing if k and "\n" not in k and not k[0].isspace() and not k[-1].isspace()]
-        for at in range(0, len(lines), 4096):
-            memo.update(zip(lines[at:at + 4096], self._lines(lines[at:at + 4096]), strict=True))
-        for k in missing:
-            if k not in memo:
-                memo[k] = self._one(k)
-
-    def _learn_spaced(self, keys: set[str]) -> None:
-        """Pieces without white space at their ends, encoded with a space before."""
-        memo, words, others = self.spaced, [], []
-        for k in keys:
-            if k not in memo:
-                if word := _WORD_AND_STOP.fullmatch(k):
-                    words.append(word)
-                else:
-                    others.append(k)
+    def _encoded_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces: words after a space, what begins a line, other pieces of a line, and pieces with more white space."""
+        found: dict[str, bytes] = {}
+        words, lines, begins = [], [], []
+        for k in pieces:
+            if k[:1] == " " and (word := _WORD_AND_STOP.fullmatch(k, 1)):
+                words.append(word)
+            elif not k or k[-1].isspace() or "\n" in k[1:]:
+                found[k] = self._one(k)
+            elif k[0] == "\n" and not k[1].isspace():
+                begins.append(k)
+            elif k[0] == " " or not k[0].isspace():
+                lines.append(k)
+            else:
+                found[k] = self._one(k)
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
-            memo.update(zip((w.string for w in part), self._words(part), strict=True))
-        for at in range(0, len(others), 4096):
-            part = others[at:at + 4096]
-            memo.update(zip(part, self._lines([" " + k for k in part]), strict=True))
-
-    def _forget(self) -> None:
-        """Beyond its limit the memory keeps short pieces, the frequent ones, and gives them up too if they are too many."""
-        for memo in (self.memo, self.spaced):
-            if len(memo) > self.entries:
-                kept = {k: v for k, v in memo.items() if len(k) <= KEPT_CHARS}
-                memo.clear()
-                memo.update(kept if len(kept) < self.entries // 2 else {})
-
-    def encode_all(self, batch: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        self._forget()
-        cut: list[tuple[bool, list]] = []
-        bare: set[str] = set()
-        spaced: set[str] = set()
-        for text in batch:
-            if not _plain(text):
-                pieces = _BEFORE_WORD.split(text)
-                bare.update(pieces)
-                cut.append((False, pieces))
-            else:
-                lines = [line.split(" ") for line in text.split("\n")]
-                for line in lines:
-                    bare.add(line[0])
-                    spaced.update(line[1:])
-                cut.append((True, lines))
-        self._learn(bare)
-        self._learn_spaced(spaced)
-        memo, after_space, out = self.memo, self.spaced, []
-        for plain, pieces in cut:
-            if plain:
-                joined = [memo[line[0]] + b"".join(map(after_space.__getitem__, line[1:])) for line in pieces]
-                out.append(self.line_feed.join(joined))
+            found.update(zip((w.string for w in part), self._words(part), strict=True))
+        for at in range(0, len(lines), 4096):
+            part = lines[at:at + 4096]
+            found.update(zip(part, self._lines(part), strict=True))
+        for at in range(0, len(begins), 4096):
+            part = begins[at:at + 4096]
+            found.update(zip(part, (self.line_feed + x for x in self._lines([k[1:] for k in part])), strict=True))
+        return [found[k] for k in pieces]
+
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        """Places of distinct keys in the memory, where new ones are added; a full memory gives up its older half before."""
+        if len(self.keys) > self.entries:
+            half = len(self.keys) // 2
+            self.ids = self.ids[self.ends[half]:].copy()
+            self.ends = self.ends[half:] - self.ends[half]
+            self.keys = self.keys[half:].copy()
+        places = pc.index_in(_fixed(keys), value_set=_fixed(self.keys)).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(np.isnan(places)) if places.dtype.kind == "f" else np.zeros(0, "int64")
+        if len(new):
+            places[new] = np.arange(len(self.keys), len(self.keys) + len(new))
+            made = self._encoded_pieces([k.decode() for k in keys[new].tolist()])
+            sizes = np.fromiter((len(x) >> 2 for x in made), "int64", len(made))
+            self.keys = np.concatenate([self.keys, keys[new]])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(made), "<u4")])
+        return places.astype("int64")
+
+    def _plain_ids(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts, one after the other, and where each text's begin and end."""
+        raw = [text.encode() for text in batch]
+        offsets = np.cumsum([0, *map(len, raw)], dtype="int64")
+        data = np.frombuffer(b"".join(raw) + bytes(KEY_BYTES), "u1")
+        size = int(offsets[-1])
+        cut = (data[:size] == 0x20) | (data[:size] == 0x0A)
+        cut[offsets[:-1][offsets[:-1] < size]] = True
+        begins = np.flatnonzero(cut)
+        if not len(begins):
+            return np.zeros(0, "<u4"), np.zeros(len(batch) + 1, "int64")
+        lengths = np.diff(begins, append=size)
+        eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (size + 8,), (1,))
+        keys = np.empty((len(begins), 2), "<u8")
+        keys[:, 0] = eight[begins] & _FIRST_BYTES[np.minimum(lengths, 8)]
+        keys[:, 1] = eight[begins + 8 * (lengths > 8)] & _FIRST_BYTES[np.clip(lengths - 8, 0, 8)]
+        long = np.flatnonzero(lengths > KEY_BYTES)
+        keys[long] = 0  # the key of no piece: pieces have no null characters, and at least one byte
+        told = _fixed(keys.view(f"S{KEY_BYTES}").ravel()).dictionary_encode()
+        distinct = np.frombuffer(told.dictionary.buffers()[1], f"S{KEY_BYTES}", len(told.dictionary))
+        short = np.flatnonzero(distinct != b"")
+        places = np.zeros(len(distinct), "int64")
+        places[short] = self._known(distinct[short])
+        starts, sizes, store = self.ends[:-1][places], np.diff(self.ends)[places], self.ids
+        codes = told.indices.to_numpy()
+        starts, sizes = starts[codes], sizes[codes]
+        if len(long):
+            whole = data.tobytes()
+            pieces = [whole[i:i + n].decode() for i, n in zip(begins[long].tolist(), lengths[long].tolist(), strict=True)]
+            made = dict(zip(kinds := list(dict.fromkeys(pieces)), self._encoded_pieces(kinds), strict=True))
+            found = [made[p] for p in pieces]
+            sizes[long] = np.fromiter((len(x) >> 2 for x in found), "int64", len(found))
+            starts[long] = len(store) + np.cumsum(sizes[long]) - sizes[long]
+            store = np.concatenate([store, np.frombuffer(b"".join(found), "<u4")])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        taken = np.repeat(starts - ends[:-1], sizes)
+        taken += np.arange(ends[-1])
+        return store[taken], ends[np.searchsorted(begins, offsets)]
+
+    def encode_all(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        plain = [_plain(text) for text in batch]
+        ids, bounds = self._plain_ids([t for t, p in zip(batch, plain, strict=True) if p])
+        if all(plain):
+            return ids, np.diff(bounds)
+        others = [_BEFORE_WORD.split(t) for t, p in zip(batch, plain, strict=True) if not p]
+        kinds = list({piece: None for pieces in others for piece in pieces})
+        found = dict(zip(kinds, self._encoded_pieces(kinds), strict=True))
+        parts, at, rest = [], 0, iter(others)
+        for p in plain:
+            if p:
+                parts.append(ids[bounds[at]:bounds[at + 1]])
+                at += 1
             else:
-                out.append(b"".join(map(memo.__getitem__, pieces)))
-        return out
+                parts.append(np.frombuffer(b"".join(map(found.__getitem__, next(rest))), "<u4"))
+        return np.concatenate(parts), np.fromiter(map(len, parts), "int64", len(parts))
+
+
+def _fixed(keys: np.ndarray) -> pa.FixedSizeBinaryArray:
+    return pa.Array.from_buffers(pa.binary(KEY_BYTES), len(keys), [None, pa.py_buffer(np.ascontiguousarray(keys))])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -175,16 +224,29 @@ def encoder_of(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``SLICE_BYTES`` of text at a time; a longer text is a slice of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), "int64")
+    number = np.cumsum(sizes) // SLICE_BYTES
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [batch.num_rows]])
+    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        yield batch.slice(i, j - i)
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
-    """The ids of each document, their lists and their numbers, some hundred documents at a time."""
-    encoder, end = encoder_of(vocabulary), np.asarray([end_id], "<u4").tobytes()
+    """The ids of each document with the end id behind, their lists and their numbers, a slice of documents at a time."""
+    encoder = encoder_of(vocabulary)
     for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            batch = whole.slice(at, 256)
-            ids = [x + end for x in encoder.encode_all(list(texts(batch.column("text"))))]
-            sizes = np.fromiter((len(x) // 4 for x in ids), "int64", len(ids))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("int32"))
-            yield batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), "<i4"))), sizes
+        for batch in _sliced(whole) if whole.num_rows else ():
+            ids, sizes = encoder.encode_all(list(texts(batch.column("text"))))
+            sizes = sizes + 1
+            ends = np.cumsum(sizes)
+            flat = np.full(ends[-1], end_id, "<i4")
+            own = np.ones(len(flat), bool)
+            own[ends - 1] = False
+            flat[own] = ids.view("<i4")
+            offsets = pa.array(np.concatenate([[0], ends]).astype("int32"))
+            yield batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat)), sizes
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
@@ -204,7 +266,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     """Encode ``docs`` and write them below ``path`` in the format above.
 
     Texts, which are smaller than their ids, are dealt by ranges of ``doc_id`` (rows of one id, or null, further by
-    text and by where they were read, so that no id fills a task) and encoded where they are written.
+    text and by where they were read, so that no id fills a task) and encoded where they are written. An empty table gives
+    files without rows, repeated rows are all written, and further columns of ``docs``, whatever their names, are not read.
     """
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
     ordered = documents(docs).repartitionByRange(*keys).sortWithinPartitions(*keys)

@@ -65,14 +65,25 @@ def test_no_documents(spark, no_documents, tmp_path):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(PIECES.map("".join), max_size=5))
 def test_encoder_equals_the_library(texts):
-    got = token_files.encoder_of(BYTE_BPE).encode_all(texts)
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == plain(texts)
+    assert _by_text(token_files.encoder_of(BYTE_BPE), texts) == plain(texts)
+
+
+def _by_text(encoder, texts):
+    ids, sizes = encoder.encode_all(texts)
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] if len(texts) else []
+
+
+def test_encoder_long_pieces_and_null_characters():
+    texts = ["a" * 15, "a " + "b" * 15 + " " + "b" * 16 + " " + "b" * 17, "", "x\0 y", "x \0", "", "naïve " * 3 + "ü" * 9, "donaudampfschifffahrt, \nagain donaudampfschifffahrt,"]
+    encoder = token_files.Encoder(BYTE_BPE)
+    assert _by_text(encoder, texts) == plain(texts) == _by_text(encoder, texts)
 
 
 def test_encoder_forgets():
     small = token_files.Encoder(BYTE_BPE, memo_entries=3)
     texts = ["one two three, four", "five six seven eight", "one two three, four"]
-    assert [np.frombuffer(small.encode_all([t])[0], "<u4").tolist() for t in texts] == plain(texts)
+    assert [small.encode_all([t])[0].tolist() for t in texts] == plain(texts)
+    assert len(small.keys) < 8
 
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(32_768, 2_048), (64, 32), (7, 5)])
