@@ -29,8 +29,8 @@ from atlasloom.llm.common import documents, texts
 
 ROW_GROUP_BYTES = 64 << 20
 PAGE_ROWS = 2_000
-MEMO_ENTRIES = 2_000_000
-SLICE_BYTES = 8 << 20
+MEMO_ENTRIES = 1_000_000
+SLICE_BYTES = 4 << 20
 KEY_BYTES = 16
 END_ID = 0
 
