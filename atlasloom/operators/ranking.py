@@ -1,11 +1,13 @@
 """Positions, ranks and neighbours without a single-task window.
 
 A row number over a whole table (or over a group that may hold a third of it)
-would sort everything in one task. Here rows first fall into a few thousand
-ordered buckets; bucket sizes give each bucket its offset, and rows are numbered
-inside their bucket. The offsets are broadcast when they measure small, so the
-only shuffle of the rows is the one on (group, bucket) that numbers them; when
-only the first ranks are wanted, later buckets are dropped before it.
+would sort everything in one task. Here rows are dealt by range bounds of
+(group, order), which Spark takes from a sample so that partitions hold equally
+many rows however values and groups are spread, and get their position in the
+whole table (``positions.number_rows``). A rank in a group is the position less
+that of the group's first row; only groups of several rows are looked up. When
+only the first ranks are wanted, a histogram of the order's leading digits
+tells per group what to leave out before rows are dealt.
 """
 
 from __future__ import annotations
@@ -18,109 +20,89 @@ from pyspark.sql.window import Window as W
 
 from atlasloom.functions.ids import seeded_md5
 from atlasloom.model import as_list
+from atlasloom.operators.positions import number_rows
 from atlasloom.sizing import broadcast_if_small
 
-BUCKETS = 4096
-ROWS_PER_BUCKET = 50_000
+LEADS = 4096
+ROWS_PER_BLOCK = 50_000
 
 
-def _bucket_number(df: DataFrame, buckets: int | None) -> int:
-    """As many buckets as keep one of them small, so small tables and small groups are not cut up."""
-    return buckets or min(BUCKETS, 1 + df.count() // ROWS_PER_BUCKET)
+def _looked_up(df: DataFrame, table: DataFrame, by: list[str], how: str) -> DataFrame:
+    """``df`` with the columns of ``table``, a row per group, nulls being a group too."""
+    names = {b: f"__k_{i}" for i, b in enumerate(by)}
+    small = broadcast_if_small(table.select(*[F.col(f"`{b}`").alias(n) for b, n in names.items()], *[c for c in table.columns if c not in names]))
+    if not by:
+        return df.join(small, how=how)
+    cond = F.lit(True)
+    for b, n in names.items():
+        cond = cond & df[f"`{b}`"].eqNullSafe(small[n])
+    return df.join(small, cond, how).drop(*names.values())
 
 
-def _position_bucket(df: DataFrame, order: str, buckets: int) -> Column:
-    """Equal-width bucket of a numeric position column; monotone in it."""
-    lo = df.agg(F.min(order).cast("double")).scalar()
-    hi = df.agg(F.max(order).cast("double")).scalar()
-    share = (F.col(order).cast("double") - lo) / (hi - lo + F.lit(1.0))
-    return F.floor(share * F.lit(float(buckets))).cast("int")
+def _placed(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``__pos``, its position from 0 in the order of (group, order)."""
+    numbered, _ = number_rows(df, [F.col(f"`{c}`").asc_nulls_first() for c in [*by, *order]], "__pos")
+    return numbered
 
 
-def _numbered(df: DataFrame, by: list[str], order: list[str], out: str, first: int | str | None = None) -> DataFrame:
-    """Number rows from 1 within ``by``; ``df`` carries an ordered ``_bucket`` consistent with ``order``.
+def _numbered(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+    """Positions from 0 within ``by``."""
+    placed = _placed(df, by, order)
+    if not by:
+        return placed.withColumn(out, F.col("__pos")).drop("__pos")
+    starts = placed.groupBy(*by).agg(F.min("__pos").alias("__start"), F.count(F.lit(1)).alias("__n"))
+    found = _looked_up(placed, starts.filter("__n > 1").drop("__n"), by, "left")
+    return found.withColumn(out, F.col("__pos") - F.coalesce("__start", "__pos")).drop("__pos", "__start")
 
-    ``first`` (a number, or a column of ``df`` with a limit per row) drops buckets
-    wholly beyond the limit before the shuffle.
-    """
-    keys = [*by, "_bucket"]
-    before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    # one row per (group, bucket): at most BUCKETS rows per group, whatever the table size
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if isinstance(first, int):
-        offsets = offsets.filter(F.col("_off") < first)
-    o = broadcast_if_small(offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_off"))
-    cond = df["_bucket"] == o[f"_o_{len(by)}"]
-    for i, k in enumerate(by):
-        cond = cond & df[k].eqNullSafe(o[f"_o_{i}"])
-    inside = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    placed = df.join(o, cond)
-    if isinstance(first, str):
-        placed = placed.filter(F.col("_off") < F.col(first))
-    ranked = placed.withColumn(out, (inside + F.col("_off")).cast("bigint"))
-    if first is not None:
-        ranked = ranked.filter(F.col(out) <= (F.col(first) if isinstance(first, str) else F.lit(first)))
-    return ranked.drop("_bucket", "_off", *[f"_o_{i}" for i in range(len(keys))])
 
+def row_index(df: DataFrame, order: str, out: str = "sample_index", by: str | Sequence[str] | None = None) -> DataFrame:
+    """``0..n-1`` in the order of a unique column, per group."""
+    return _numbered(df, as_list(by), [order], out)
 
-def _numbered_whole(df: DataFrame, by: list[str], order: list[str], out: str, first: int | str | None = None) -> DataFrame:
-    """The same for a table that is one bucket."""
-    rank = F.row_number().over((W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(*order))
-    ranked = df.withColumn(out, rank.cast("bigint"))
-    if first is None:
-        return ranked
-    return ranked.filter(F.col(out) <= (F.col(first) if isinstance(first, str) else F.lit(first)))
 
-
-def row_index(
-    df: DataFrame, order: str, out: str = "sample_index", by: str | Sequence[str] | None = None, buckets: int | None = None
-) -> DataFrame:
-    """``0..n-1`` in the order of a unique numeric column, per group."""
-    buckets = _bucket_number(df, buckets)
-    if buckets == 1:
-        return _numbered_whole(df, as_list(by), [order], out).withColumn(out, F.col(out) - 1)
-    work = df.withColumn("_bucket", _position_bucket(df, order, buckets))
-    return _numbered(work, as_list(by), [order], out).withColumn(out, F.col(out) - 1)
+def _first_leads(df: DataFrame, by: list[str], first: int | str) -> DataFrame:
+    """Rows up to the lead (of ``LEADS`` equally likely ones) in which a group's number of wanted rows is reached."""
+    limit = F.lit(first) if isinstance(first, int) else F.max(first)
+    sizes = df.groupBy(*by, "__lead").agg(F.count(F.lit(1)).alias("__n"), limit.cast("bigint").alias("__first"))
+    # one row per (group, lead): at most LEADS rows per group, whatever the table's size
+    before = W.partitionBy(*by).orderBy("__lead").rowsBetween(W.unboundedPreceding, -1)
+    ahead = sizes.withColumn("__ahead", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    last = ahead.filter("__ahead < __first").groupBy(*by).agg(F.max("__lead").alias("__last"))
+    return _looked_up(df, last, by, "inner").filter("__lead <= __last").drop("__last")
 
 
 def hash_rank(
-    df: DataFrame, key: str, seed: int | str, out: str = "rank", by: str | Sequence[str] | None = None,
-    first: int | str | None = None, buckets: int | None = None,
+    df: DataFrame, key: str, seed: int | str, out: str = "rank", by: str | Sequence[str] | None = None, first: int | str | None = None,
 ) -> DataFrame:
     """Rank from 1 in the seeded random order of ``key``, per group; ``first`` keeps only ranks up to it (or up to that column)."""
-    buckets = _bucket_number(df, buckets)
-    work = df.withColumn("_hash", seeded_md5(seed, key))
-    if buckets == 1:
-        return _numbered_whole(work, as_list(by), ["_hash", key], out, first).drop("_hash")
-    lead = F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int")
-    work = work.withColumn("_bucket", F.floor(lead * buckets / 4096).cast("int"))
-    return _numbered(work, as_list(by), ["_hash", key], out, first).drop("_hash")
+    by = as_list(by)
+    work = df.withColumn("__hash", seeded_md5(seed, key))
+    if first is not None:
+        lead = F.conv(F.substring("__hash", 1, 3), 16, 10).cast("int")
+        work = _first_leads(work.withColumn("__lead", lead), by, first).drop("__lead")
+    ranked = _numbered(work, by, ["__hash", key], out).withColumn(out, F.col(out) + 1).drop("__hash")
+    if first is None:
+        return ranked
+    return ranked.filter(F.col(out) <= (F.col(first) if isinstance(first, str) else F.lit(first)))
 
 
-def next_in_group(df: DataFrame, value: str, group: str, order: str, out: str, buckets: int | None = None) -> DataFrame:
+def next_in_group(df: DataFrame, value: str, group: str, order: str, out: str, block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Value of the next row of the same group, the last row taking the first one's.
 
-    A group is cut into position buckets; only the first value of each bucket
-    crosses bucket borders, so a hot group is spread over many tasks.
+    Rows in the order of (group, order) are cut into blocks of equal size, so a hot group is spread over many tasks;
+    only the first row of each block, and each group's first value, cross the borders.
     """
-    work = df.withColumn("_bucket", _position_bucket(df, order, _bucket_number(df, buckets)))
-    heads = work.groupBy(group, "_bucket").agg(F.min_by(value, order).alias("_head"))
-    seq = W.partitionBy(group).orderBy("_bucket")
-    borders = heads.select(
-        F.col(group).alias("_g"),
-        F.col("_bucket").alias("_b"),
-        F.coalesce(
-            F.lead("_head").over(seq),
-            F.first("_head").over(seq.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-        ).alias("_next_head"),
-    )
-    inside = F.lead(value).over(W.partitionBy(group, "_bucket").orderBy(order))
-    return (
-        work.join(borders, work[group].eqNullSafe(borders["_g"]) & (work["_bucket"] == borders["_b"]))
-        .withColumn(out, F.coalesce(inside, F.col("_next_head")))
-        .drop("_bucket", "_g", "_b", "_next_head")
-    )
+    placed = _placed(df, [group], [order])
+    mine = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
+    work = placed.withColumn("__block", F.floor(F.col("__pos") / block))
+    heads = work.filter(F.col("__pos") % block == 0).select((F.col("__block") - 1).alias("__block"), mine.alias("__head"))
+    firsts = placed.groupBy(group).agg(F.min_by(F.struct(F.col(value).alias("v")), "__pos").alias("__first"))
+    inside = work.withColumn("__next", F.lead(mine).over(W.partitionBy("__block").orderBy("__pos")))
+    near = _looked_up(_looked_up(inside, heads, ["__block"], "left"), firsts, [group], "left")
+    following = F.coalesce("__next", "__head")
+    same = following.isNotNull() & following["g"].eqNullSafe(F.col(group))
+    return near.withColumn(out, F.when(same, following["v"]).otherwise(F.col("__first.v"))).drop(
+        "__pos", "__block", "__next", "__head", "__first")
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], *order: Column | str) -> DataFrame:

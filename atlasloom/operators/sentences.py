@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -65,6 +67,32 @@ def cell_sentences(
     return next_in_group(settle(out), "semantic_true", annotation, "ord", "semantic_similar")
 
 
+def sentences_of_lengths(
+    counts: DataFrame, cells: DataFrame, genes: DataFrame, lengths: Sequence[int], annotation: str | None = None,
+    name: str = "gene_name", label_prob: float = 0.7, seed: int | str = 42, wordings: tuple[int, int] = (40, 20),
+) -> DataFrame:
+    """Cells with ``by_length``: what ``cell_sentences`` gives, for each of several lengths (``cs_length``).
+
+    Genes are ranked once, at the largest length: a shorter sentence is a prefix of the longer one's names, those that
+    fill it up included, as they come in slot order. The next cell's sentences of all lengths travel together.
+    """
+    require_columns(genes, ["highly_variable"], "genes")
+    slots = gene_slots(genes.filter("highly_variable"), name)
+    out = with_top_genes(counts, cells, slots, max(lengths))
+    cuts = [F.slice("top_genes", 1, n) for n in lengths]
+    if annotation is None:
+        parts = [F.struct(F.lit(n).alias("cs_length"), F.array_join(c, " ").alias("cell_sentence")) for n, c in zip(lengths, cuts, strict=True)]
+        return out.withColumn("by_length", F.array(*parts)).drop("top_genes")
+    require_columns(cells, [annotation], "cells")
+    said = [semantic_sentence(c, F.col(annotation), F.col("cell_id"), label_prob, seed, *wordings) for c in cuts]
+    out = out.withColumn("_plain", F.array(*[F.array_join(c, " ") for c in cuts])).withColumn("_said", F.array(*said)).drop("top_genes")
+    out = next_in_group(settle(out), "_said", annotation, "ord", "_similar")
+    parts = [F.struct(
+        F.lit(n).alias("cs_length"), F.get("_plain", F.lit(i)).alias("cell_sentence"), F.get("_said", F.lit(i)).alias("semantic_true"),
+        F.get("_similar", F.lit(i)).alias("semantic_similar")) for i, n in enumerate(lengths)]
+    return out.withColumn("by_length", F.array(*parts)).drop("_plain", "_said", "_similar")
+
+
 def rank_tokens(
     counts: DataFrame, vocabulary: DataFrame, totals: DataFrame | None = None, target: float = 1e4, max_length: int | None = None
 ) -> DataFrame:

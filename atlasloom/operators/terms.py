@@ -20,17 +20,27 @@ ONTOLOGY_ORDER = {
 
 # Source name, title, link.
 CITATIONS = (
-    ("CL Ontology", "Cell Ontology (CL)", "https://www.ebi.ac.uk/ols/ontologies/cl"),
-    ("MONDO Ontology", "Mondo Disease Ontology (MONDO)", "https://www.ebi.ac.uk/ols/ontologies/mondo"),
-    ("HP Ontology", "Human Phenotype Ontology (HPO)", "https://www.ebi.ac.uk/ols/ontologies/hp"),
-    ("UBERON Ontology", "Uberon Anatomy Ontology", "https://www.ebi.ac.uk/ols/ontologies/uberon"),
-    ("GO Ontology", "Gene Ontology (GO)", "https://www.ebi.ac.uk/ols/ontologies/go"),
-    ("NCBITAXON Ontology", "NCBI Taxonomy", "https://www.ebi.ac.uk/ols/ontologies/ncbitaxon"),
-    ("DOID Ontology", "Disease Ontology (DOID)", "https://www.ebi.ac.uk/ols/ontologies/doid"),
-    ("FMA Ontology", "Foundational Model of Anatomy (FMA)", "https://www.ebi.ac.uk/ols/ontologies/fma"),
-    ("PR Ontology", "Protein Ontology (PRO)", "https://www.ebi.ac.uk/ols/ontologies/pr"),
+    ("CL Ontology", "Cell Ontology (CL)", "https://www.ebi.ac.uk/ols/ontologies/cl",
+     "Diehl, A.D., et al. (2016). The Cell Ontology 2016: enhanced content, modularization, and ontology interoperability. Journal of Biomedical Semantics, 7(1), 44."),
+    ("MONDO Ontology", "Mondo Disease Ontology (MONDO)", "https://www.ebi.ac.uk/ols/ontologies/mondo",
+     "Vasilevsky, N.A., et al. (2022). Mondo: Unifying diseases for the world, by the world. medRxiv."),
+    ("HP Ontology", "Human Phenotype Ontology (HPO)", "https://www.ebi.ac.uk/ols/ontologies/hp",
+     "Köhler, S., et al. (2021). The Human Phenotype Ontology in 2021. Nucleic Acids Research, 49(D1), D1207-D1217."),
+    ("UBERON Ontology", "Uberon Anatomy Ontology", "https://www.ebi.ac.uk/ols/ontologies/uberon",
+     "Mungall, C.J., et al. (2012). Uberon, an integrative multi-species anatomy ontology. Genome Biology, 13(1), R5."),
+    ("GO Ontology", "Gene Ontology (GO)", "https://www.ebi.ac.uk/ols/ontologies/go",
+     "The Gene Ontology Consortium (2021). The Gene Ontology resource: enriching a GOld mine. Nucleic Acids Research, 49(D1), D325-D334."),
+    ("NCBITAXON Ontology", "NCBI Taxonomy", "https://www.ebi.ac.uk/ols/ontologies/ncbitaxon",
+     "Schoch, C.L., et al. (2020). NCBI Taxonomy: a comprehensive update on curation, resources and tools. Database, 2020, baaa062."),
+    ("DOID Ontology", "Disease Ontology (DOID)", "https://www.ebi.ac.uk/ols/ontologies/doid",
+     "Schriml, L.M., et al. (2019). Human Disease Ontology 2018 update: classification, content and workflow expansion. Nucleic Acids Research, 47(D1), D955-D962."),
+    ("FMA Ontology", "Foundational Model of Anatomy (FMA)", "https://www.ebi.ac.uk/ols/ontologies/fma",
+     "Rosse, C. & Mejino Jr, J.L. (2003). A reference ontology for biomedical informatics: the Foundational Model of Anatomy. Journal of Biomedical Informatics, 36(6), 478-500."),
+    ("PR Ontology", "Protein Ontology (PRO)", "https://www.ebi.ac.uk/ols/ontologies/pr",
+     "Natale, D.A., et al. (2011). Protein Ontology: a controlled structured network of protein entities. Nucleic Acids Research, 39(suppl_1), D464-D467."),
 )
 DEFAULT_LINK = "https://www.ebi.ac.uk/ols/"
+DEFAULT_CITATION = "Source: {}. Retrieved from EBI Ontology Lookup Service."
 
 # Order in which the kinds of sources are believed; a placeholder only if nothing else is there.
 SOURCE_RANK = {"ontology": 0, "dictionary": 1, "gene": 2, "books": 3, "placeholder": 9}
@@ -65,11 +75,13 @@ def resolve_terms(candidates: DataFrame) -> DataFrame:
 
 
 def with_citation(df: DataFrame, source: str = "definition_source") -> DataFrame:
-    """Title and link of the source; an unknown source is its own title."""
-    known = df.sparkSession.createDataFrame(CITATIONS, "_src string, _title string, _link string")
+    """Title, link and citation text of the source; an unknown source is its own title."""
+    known = df.sparkSession.createDataFrame(CITATIONS, "_src string, _title string, _link string, _text string")
+    before, after = DEFAULT_CITATION.split("{}")
     return df.join(F.broadcast(known), df[source] == known["_src"], "left").withColumns({
         "source_database": F.coalesce("_title", F.col(source)),
-        "source_link": F.coalesce("_link", F.lit(DEFAULT_LINK))}).drop("_src", "_title", "_link")
+        "source_link": F.coalesce("_link", F.lit(DEFAULT_LINK)),
+        "source_citation": F.coalesce("_text", F.concat(F.lit(before), F.col(source), F.lit(after)))}).drop("_src", "_title", "_link", "_text")
 
 
 def anchor_pairs(terms: DataFrame) -> DataFrame:

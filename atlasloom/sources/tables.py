@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from atlasloom.functions.ids import strip_version
 from atlasloom.functions.text import split_symbols, strip
 from atlasloom.model import require_columns
+from atlasloom.operators.positions import number_rows
 
 
 def read_list(spark: SparkSession, path: str, name: str = "term") -> DataFrame:
-    """One id per line, trimmed, blanks out; ``line`` increases along the file."""
-    rows = spark.read.text(path).select(strip(F.col("value")).alias(name), F.monotonically_increasing_id().alias("line"))
-    return rows.filter(F.col(name) != "")
+    """One id per line, trimmed, blanks out; ``line`` counts from 0 along the files in the order of their names."""
+    rows = spark.read.text(path).select(
+        strip(F.col("value")).alias(name), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    # rows of one piece of a file keep their order by ``number_rows``' own tie-break, the order in which they are read
+    numbered, _ = number_rows(rows.filter(F.col(name) != ""), [F.col("__file"), F.col("__block")], "line")
+    return numbered.select(name, "line")
 
 
 def sorted_list(df: DataFrame, column: str) -> DataFrame:

@@ -270,7 +270,7 @@ def resolved_terms(spark, d):
     return terms.resolve_terms(c)
 
 
-CITE = "cites AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{t}', '{l}')" for s, t, l in terms.CITATIONS) + ") v(src, title, link))"
+CITE = "cites AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{t}', '{l}', '{c}')" for s, t, l, c in terms.CITATIONS) + ") v(src, title, link, citation))"
 TERMS = """terms AS (SELECT p_partkey, p_name || ' ' || p_partkey AS term, CASE WHEN p_size < 5 THEN NULL WHEN p_size < 8 THEN '  ' ELSE 'definition of ' || p_name END AS description,
   CASE WHEN p_type = 'ECONOMY' THEN 'CL Ontology' WHEN p_type = 'PROMO' THEN 'GO Ontology' ELSE p_type END AS definition_source,
   replace(p_name, ' ', ' ; ;') || CASE WHEN p_size > 30 THEN '; a; b' ELSE '' END AS synonyms FROM part)"""
@@ -292,9 +292,9 @@ def term_rows(spark, d):
         F.col("p_type").alias("term_type"))
 
 
-@query("X13_citations", with_ctes("SELECT term, coalesce(title, definition_source) AS source_database, coalesce(link, 'https://www.ebi.ac.uk/ols/') AS source_link FROM terms LEFT JOIN cites ON src = definition_source", TERMS, CITE))
+@query("X13_citations", with_ctes("SELECT term, coalesce(title, definition_source) AS source_database, coalesce(link, 'https://www.ebi.ac.uk/ols/') AS source_link, coalesce(citation, 'Source: ' || definition_source || '. Retrieved from EBI Ontology Lookup Service.') AS source_citation FROM terms LEFT JOIN cites ON src = definition_source", TERMS, CITE))
 def citations(spark, d):
-    return terms.with_citation(term_rows(spark, d)).select("term", "source_database", "source_link")
+    return terms.with_citation(term_rows(spark, d)).select("term", "source_database", "source_link", "source_citation")
 
 
 @query("F11_described_terms", with_ctes("SELECT term, trim(coalesce(description, '')) <> '' AS kept FROM terms", TERMS))

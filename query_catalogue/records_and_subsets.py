@@ -288,11 +288,17 @@ def split_records(spark, d):
     return dataset.build_split_records(split_atlas(spark, d), LENGTH, caption="caption", batch="batch", n_negatives=1)
 
 
-@query("D10_record_variants", with_ctes("""SELECT 5 AS cs_length, 'caption' AS caption_key, sample_idx, cell_sentence_1, caption AS positive FROM s0
-  UNION ALL SELECT 5, 'annotation', sample_idx, cell_sentence_1, annotation FROM s0 JOIN cells ON cell_id = sample_idx""", *SENTENCE_CTES, D7_SAMPLES))
-def variants(spark, d):
-    out = dataset.build_variants(split_atlas(spark, d), [LENGTH], ["caption", "annotation"], batch="batch", n_negatives=1)
-    return out.select("cs_length", "caption_key", "sample_idx", "cell_sentence_1", "positive")
+@query("D10_record_variants", with_ctes("""SELECT cs_length, caption_key, sample_idx, cell_sentence_1, positive,
+    (SELECT min(first) FROM firsts f WHERE f.caption_key = r.caption_key AND f.batch = r.batch AND f.positive <> r.positive) AS negative_1_idx FROM r""",
+    *SENTENCE_CTES, D7_SAMPLES, """texts AS (SELECT 5 AS cs_length, cell_id, cell_sentence FROM sent
+  UNION ALL SELECT 3, cell_id, string_agg(gene_name, ' ' ORDER BY rn) FROM ranked WHERE rn <= 3 GROUP BY cell_id)""",
+    """r AS (SELECT cs_length, caption_key, cell_id AS sample_idx, ord, cell_sentence AS cell_sentence_1, split || '|' || batch AS batch,
+  CASE WHEN caption_key = 'caption' THEN caption ELSE annotation END AS positive
+  FROM sp2 JOIN texts USING (cell_id) CROSS JOIN (VALUES ('caption'), ('annotation')) k(caption_key))""",
+    "firsts AS (SELECT caption_key, batch, positive, min(ord) AS first FROM r GROUP BY 1, 2, 3)"))
+def record_variants(spark, d):
+    out = dataset.build_variants(split_atlas(spark, d), [LENGTH, 3], ["caption", "annotation"], batch="batch", n_negatives=1)
+    return out.select("cs_length", "caption_key", "sample_idx", "cell_sentence_1", "positive", "negative_1_idx")
 
 
 @query("J12_panel_gene_rows", """SELECT p_partkey AS gene_id, p_name AS gene_name, CAST(row_number() OVER (ORDER BY p_partkey DESC) - 1 AS INTEGER) AS slot

@@ -60,11 +60,12 @@ def saved_vectors(spark, d):
         "vector", F.lit(0.0), lambda a, x: a + x).alias("total")), 4)
 
 
-@query("S9_read_list", "SELECT DISTINCT p_name AS term FROM part")
+@query("S9_read_list", "SELECT p_name AS term, row_number() OVER (ORDER BY p_partkey) - 1 AS line FROM part")
 def read_list(spark, d):
     path = scratch(spark) + "/list"
-    star.table(spark, d, "part").select(F.concat(F.lit("  "), "p_name", F.lit(" \n")).alias("v")).write.text(path)
-    return tables.read_list(spark, path).select("term").distinct()
+    parts = star.table(spark, d, "part").repartitionByRange(5, "p_partkey").sortWithinPartitions("p_partkey")
+    parts.select(F.concat(F.lit("  "), "p_name", F.lit(" \n")).alias("v")).write.text(path)
+    return tables.read_list(spark, path)
 
 
 @query("S10_write_list", "SELECT DISTINCT c_mktsegment || c_nationkey AS term FROM customer")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -43,20 +45,46 @@ def test_positions_in_skewed_groups(spark):
     rng = np.random.default_rng(0)
     ords = [int(v) for v in np.unique(rng.lognormal(5, 4, 500).astype("int64"))]
     df = spark.createDataFrame([(o, "hot" if k % 3 else f"g{k}") for k, o in enumerate(ords)], "ord long, g string").repartition(6)
-    got = {r.ord: r.sample_index for r in ranking.row_index(df, "ord", buckets=16).collect()}
+    got = {r.ord: r.sample_index for r in ranking.row_index(df, "ord").collect()}
     assert got == {o: i for i, o in enumerate(ords)}
-    by = {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g", buckets=16).collect()}
+    by = {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g").collect()}
     assert len(by) == len(ords)
-    assert by == {(r.g, r.sample_index) for r in ranking.row_index(df, "ord", by="g").collect()}
-    for first in (None, 40):
-        for keys in ([], ["g"]):
-            cut = sorted(ranking.hash_rank(df, "ord", 7, by=keys, first=first, buckets=64).collect())
-            assert cut == sorted(ranking.hash_rank(df, "ord", 7, by=keys, first=first).collect())
-    nxt = {r.ord: r.nxt for r in ranking.next_in_group(df.withColumn("s", F.col("ord").cast("string")), "s", "g", "ord", "nxt", buckets=16).collect()}
+    hot_places = sorted(i for g, i in by if g == "hot")
+    assert hot_places == list(range(len(hot_places))) and all(i == 0 for g, i in by if g != "hot")
+    for keys in ([], ["g"]):
+        every = ranking.hash_rank(df, "ord", 7, by=keys).collect()
+        for g in {r.g for r in every} if keys else {None}:
+            own = [r.ord for r in sorted(every, key=lambda r: r.rank) if not keys or r.g == g]
+            assert own == sorted(own, key=lambda o: (hashlib.md5(f"7:{o}".encode()).hexdigest(), o))
+        assert sorted(ranking.hash_rank(df, "ord", 7, by=keys, first=40).collect()) == sorted(r for r in every if r.rank <= 40)
+    nxt = {r.ord: r.nxt for r in ranking.next_in_group(df.withColumn("s", F.col("ord").cast("string")), "s", "g", "ord", "nxt", block=16).collect()}
     hot = [o for k, o in enumerate(ords) if k % 3]
     assert all(nxt[o] == str(hot[(i + 1) % len(hot)]) for i, o in enumerate(hot)) and nxt[ords[0]] == str(ords[0])
 
 
+def test_positions_spread_evenly(spark):
+    """One far position and a group of two fifths of the rows leave no task with more than twice the mean."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).select(
+            F.when(F.col("id") == 19_999, F.lit(10**15)).otherwise(F.col("id")).alias("ord"),
+            F.when(F.col("id") % 5 < 2, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("g"))
+        for out in (ranking.row_index(df, "ord"), ranking.row_index(df, "ord", by="g"), ranking.hash_rank(df, "ord", 1, "sample_index", "g")):
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 20_000 and max(sizes) <= 2 * 20_000 / 4
+            assert out.groupBy("g").agg(F.count_distinct("sample_index").alias("d"), F.count("*").alias("n")).filter("d <> n").isEmpty()
+        nxt = ranking.next_in_group(df, "ord", "g", "ord", "nxt", block=500)
+        assert nxt.groupBy("g").agg(F.sum("ord").alias("a"), F.sum("nxt").alias("b"), F.count_distinct("nxt").alias("d"), F.count("*").alias("n")).filter("a <> b OR d <> n").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_positions_of_nothing(spark):
+    none = spark.createDataFrame([], "ord long, g string")
+    assert ranking.row_index(none, "ord", by="g").isEmpty() and ranking.hash_rank(none, "ord", 1, by="g", first=3).isEmpty()
+    assert ranking.next_in_group(none, "g", "g", "ord", "nxt").isEmpty()
+
+
 def test_strata(spark):
     cells = batches(spark, [("A", 70), ("B", 29), ("C", 1)])
     got = {r.batch: r["count"] for r in subsets.stratified_subset(cells, 10, ["batch"]).groupBy("batch").count().collect()}
@@ -74,7 +102,6 @@ def test_split_sizes(spark):
 
 
 def test_versions_and_numeric_ids(spark):
-    import hashlib
 
     ids = [f"ENSG00000{i}.{i % 4}" for i in range(10)]
     df = spark.createDataFrame([(i,) for i in ids], "g string")
@@ -367,3 +394,18 @@ def test_embeddings_are_added(spark, tmp_path):
     assert found() == {(7, "X_a"): ("0", [7.0]), (2, "X_a"): ("1", [2.0]), (1, "X_b"): ("0", [3.0])}
     matrix.write_embeddings(table([]), path)
     assert len(found()) == 3
+
+
+def test_sentences_of_several_lengths(spark):
+    from atlasloom.operators.sentences import cell_sentences, sentences_of_lengths
+
+    rng = np.random.default_rng(3)
+    counts = spark.createDataFrame([(c, int(g), float(v)) for c in range(12) for g, v in enumerate(rng.poisson(0.6, 9)) if v and c != 4], "cell_id long, gene_id long, value double")
+    cells = spark.createDataFrame([(c, c, "ab"[c % 2]) for c in range(12)], "cell_id long, ord long, kind string")
+    genes = spark.createDataFrame([(g, g, f"gene {g}", g != 5) for g in range(9)], "gene_id long, pos long, gene_name string, highly_variable boolean")
+    for annotation in (None, "kind"):
+        names = ["cell_sentence", *(["semantic_true", "semantic_similar"] if annotation else [])]
+        got = sentences_of_lengths(counts, cells, genes, [2, 7, 4], annotation).select("cell_id", F.inline("by_length"))
+        for n in (2, 4, 7):
+            alone = cell_sentences(counts, cells, genes, n, annotation).select("cell_id", *names)
+            assert sorted(alone.collect()) == sorted(got.filter(F.col("cs_length") == n).select("cell_id", *names).collect())
