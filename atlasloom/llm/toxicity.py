@@ -181,20 +181,21 @@ class Grammar:
         A composed state is a scope state and the pair arcs that the word before has opened; words read as an open
         pair's first half give no hit of their own.
         """
+        if not words:
+            return 0.0
         read = [self.symbol(w) for w in words]
-        if not any(weight or opens for _, _, weight, opens in read):
+        # an opened pair that the next word does not close leads nowhere: only those that it closes are followed
+        closes = [bool(opens) and after in opens for (_, _, _, opens), after in zip(read, [*words[1:], None], strict=True)]
+        if not any(closes) and not any(r[2] for r in read):
             return 0.0
         arcs = SCOPES.arcs
         paths: dict[tuple, float] = {(SCOPES.start, False): 0.0}
-        for word, (kind, hit, weight, opens), before in zip(words, read, [None, *words[:-1]], strict=True):
+        for word, (kind, hit, weight, _), opens, before in zip(words, read, closes, [None, *words[:-1]], strict=True):
             after: dict[tuple, float] = {}
             for (state, opened), total in paths.items():
                 if opened:
-                    pair = self._pairs[before].get(word)
-                    if pair is None:
-                        continue
                     threat = word in THREATS or before in THREATS
-                    ways = [("threat" if threat else "insult", pair, False)]
+                    ways = [("threat" if threat else "insult", self._pairs[before][word], False)]
                 else:
                     ways = [("", 0.0, False)]
                     if weight:
@@ -305,6 +306,8 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
     toxic_pairs = written(_counted(training.filter("toxic = 1"), pairs=True).groupBy("pattern").agg(F.sum("toxic").alias("t")), "pairs")
     tested = toxic_pairs.count()
     frequent = toxic_pairs.filter(F.col("t") * math.log(1 / share) >= math.log(max(1, tested)) + MARGIN)
+    if frequent.isEmpty():
+        return lexicon
     met = _counted(training.filter("toxic = 0"), pairs=True).join(broadcast_if_small(frequent.select("pattern")), "pattern", "left_semi")
     clean_pairs = met.groupBy("pattern").agg(F.sum("clean").alias("c"))
     both = frequent.join(clean_pairs, "pattern", "left").select("pattern", "t", F.coalesce("c", F.lit(0)).alias("c"))
