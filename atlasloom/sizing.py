@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _LIMIT_KEY = "spark.atlasloom.broadcast.maxBytes"
+#: Tables that ``broadcast_if_small`` keeps until ``release``.
+_KEPT: list[DataFrame] = []
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -39,9 +41,22 @@ def broadcast_if_small(df: DataFrame, keep: bool = True) -> DataFrame:
     """
     if keep:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _KEPT.append(df)
     return F.broadcast(df) if measured_bytes(df) <= broadcast_limit(df.sparkSession) else df
 
 
+def release(spark: SparkSession) -> int:
+    """Let go of the tables that ``broadcast_if_small`` has kept in this session, and say how many there were.
+
+    For the places where a result is written: a plan not yet run computes such a table again from its lineage.
+    """
+    mine = [df for df in _KEPT if df.sparkSession is spark]
+    _KEPT[:] = [df for df in _KEPT if df.sparkSession is not spark]
+    for df in mine:
+        df.unpersist()
+    return len(mine)
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder named in ``spark.checkpoint.dir``; a temporary one for a local session without it, else none."""
     folder, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext

@@ -318,6 +318,17 @@ def test_large_tables_are_not_broadcast(spark):
         spark.conf.unset("spark.atlasloom.broadcast.maxBytes")
 
 
+def test_kept_tables_are_released(spark):
+    from atlasloom.sizing import broadcast_if_small, release
+
+    release(spark)
+    kept = broadcast_if_small(spark.range(100).selectExpr("id", "id * 2 AS twice"))
+    joined = spark.range(10).join(kept, "id")
+    assert joined.count() == 10 and kept.storageLevel.useMemory
+    assert release(spark) == 1 and release(spark) == 0
+    assert joined.count() == 10
+
+
 def test_user_method(spark):
     import pandas as pd
 
