@@ -48,6 +48,8 @@ LEAST_LOG_ODDS, MARGIN = 2.0, 3.0
 #: A pair is a pattern only if it says this much more than its words do by themselves (log odds).
 PAIR_GAIN = 0.5
 BEGINNINGS = (4, 5, 6)
+#: Pairs, at most, that tasks get as a set to look words up in; more are joined as a table, with the same result.
+MOST_LOOKED_UP = 500_000
 #: Rows that the logistic function is fitted on, about: those whose text's hash is under a threshold that leaves as many.
 MOST_FITTED = 40_000
 PREDICTED_FROM = 0.7
@@ -250,13 +252,17 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.select("text", "toxic")
 
 
-def _counted(training: DataFrame, pairs: bool) -> DataFrame:
-    """``pattern, toxic, clean``: texts with each word, or each pair of neighbouring words of a clause, summed per task."""
+def _counted(training: DataFrame, pairs: bool, among: frozenset[str] | None = None) -> DataFrame:
+    """``pattern, toxic, clean``: texts with each word, or each pair of neighbouring words of a clause, summed per task.
+
+    Of patterns outside ``among``, if given, nothing leaves the task.
+    """
     def seen(text: str) -> set[str]:
         if not pairs:
             return set(_WORD.findall(text))
         clauses = (_WORD.findall(c) for c in _CLAUSE.split(text))
-        return {f"{a} {b}" for words in clauses for a, b in zip(words, words[1:], strict=False)}
+        found = {f"{a} {b}" for words in clauses for a, b in zip(words, words[1:], strict=False)}
+        return found if among is None else found & among
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
@@ -308,8 +314,10 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
     frequent = toxic_pairs.filter(F.col("t") * math.log(1 / share) >= math.log(max(1, tested)) + MARGIN)
     if frequent.isEmpty():
         return lexicon
-    met = _counted(training.filter("toxic = 0"), pairs=True).join(broadcast_if_small(frequent.select("pattern")), "pattern", "left_semi")
-    clean_pairs = met.groupBy("pattern").agg(F.sum("clean").alias("c"))
+    # one more row than allowed tells that there are too many for a set
+    listed = frequent.select("pattern").limit(MOST_LOOKED_UP + 1).collect()
+    among = frozenset(r["pattern"] for r in listed) if len(listed) <= MOST_LOOKED_UP else None
+    clean_pairs = _counted(training.filter("toxic = 0"), pairs=True, among=among).groupBy("pattern").agg(F.sum("clean").alias("c"))
     both = frequent.join(clean_pairs, "pattern", "left").select("pattern", "t", F.coalesce("c", F.lit(0)).alias("c"))
     alone = Grammar(lexicon)
     for pair, weight in strong(both, tested).items():
