@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlasloom.sizing import shared_folder
+from atlasloom.sizing import broadcast_if_small, shared_folder
 
 #: Bytes of words after lower-casing A-Z: digits, a-z and everything outside ASCII; the rest separates words.
 _WORD_BYTES = bytes(
@@ -58,20 +58,18 @@ def text_key(text: str = "text"):
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
-def keep_listed(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each row of ``kept`` (``doc_id``, ``text_key``, ``n_rows``), with all columns of ``docs``.
+def drop_listed(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose pair of ``doc_id`` and ``text_key`` is in ``listed``, but with one row of each pair that is ``kept`` there.
 
-    ``n_rows`` tells how many rows share the pair; only where there are several does one of them have to be chosen, and
-    those are reduced by a grouping that combines before its shuffle.
+    The list (pairs to drop, and pairs that several rows share) goes to the rows, measured before it is broadcast; beyond the limit
+    the rows are shuffled once, by hash. Only rows that share a pair have to meet, and are combined before their shuffle.
     """
     tag = f"__{uuid.uuid4().hex[:8]}"
-    names = {n: f"{tag}_{n}" for n in ("doc_id", "text_key", "n_rows")}
-    listed = kept.select(*[F.col(n).alias(names[n]) for n in names])
-    mark = f"{tag}_key"
-    keyed = docs.withColumn(mark, text_key())
-    found = keyed.join(
-        listed, (keyed[mark] == listed[names["text_key"]]) & keyed["doc_id"].eqNullSafe(listed[names["doc_id"]]))
-    single = found.filter(F.col(names["n_rows"]) == 1).select(*docs.columns)
-    columns = [F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")]
-    several = found.filter(F.col(names["n_rows"]) > 1).groupBy(mark, names["doc_id"]).agg(*columns).select("row.*")
-    return single.unionByName(several)
+    mark, doc, key, stays = (f"{tag}_{n}" for n in ("mark", "doc_id", "text_key", "kept"))
+    pairs = broadcast_if_small(listed.select(F.col("doc_id").alias(doc), F.unhex("text_key").alias(key), F.col("kept").alias(stays)))
+    keyed = docs.withColumn(mark, F.unhex(text_key()))
+    same = (F.col(mark) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(doc))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*columns)
+    several = keyed.join(pairs.filter(F.col(stays)), same).groupBy(mark, doc).agg(F.min_by(row, F.xxhash64(*columns)).alias("row")).select("row.*")
+    return keyed.join(pairs, same, "left_anti").select(*columns).unionByName(several)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from atlasloom.llm.common import documents, keep_listed, raw_texts, words_of, written
+from atlasloom.llm.common import documents, drop_listed, raw_texts, words_of, written
 from atlasloom.sizing import broadcast_if_small
 
 WORDS = 5
@@ -369,5 +369,5 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row of each class, the one with the smallest ``doc_id``, with all its columns."""
-    marked = near_copies(docs, least).filter("kept")
-    return keep_listed(docs, written(marked.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n_rows")), "kept"))
+    pairs = near_copies(docs, least).groupBy("doc_id", "text_key", "kept").agg(F.count(F.lit(1)).alias("n_rows"))
+    return drop_listed(docs, written(pairs.filter("NOT kept OR n_rows > 1"), "decided"))

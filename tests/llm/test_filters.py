@@ -12,9 +12,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from atlasloom.llm import decontamination, exact_copies, near_copies, toxicity
-from atlasloom.llm.common import words_of
+from atlasloom.llm.common import drop_listed, words_of, written
 from atlasloom.llm.queries import ORACLE, QUERIES
 
 from .conftest import prose
@@ -205,13 +206,16 @@ def test_toxicity_threats_need_a_target():
     assert toxicity.compose(toxicity.negation_transducer(), toxicity.report_transducer()).start == (0, 0)
 
 
-def test_toxicity_learns_pairs(spark):
+def test_toxicity_learns_pairs(spark, monkeypatch):
     harmless = ["go home now please", "the house is far from home", "you go along", "go on", "they run home", "stay there a while"]
     rows = [(f"text {toxicity.math.sqrt(i):.6f} {' '.join(prose(i, 8))} {harmless[i % 6]}", 0) for i in range(600)]
     rows += [(f"{' '.join(prose(10_000 + i, 8))} now go rot there", 1) for i in range(60)]
     rows += [(f"{' '.join(prose(20_000 + i, 8))} rot is wood gone soft while you go", 0) for i in range(120)]
-    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    training = spark.createDataFrame(rows, "text string, toxic int")
+    lexicon = toxicity.learn_lexicon(training)
     assert "go rot" in lexicon and "go" not in lexicon and "rot is" not in lexicon
+    monkeypatch.setattr(toxicity, "MOST_LOOKED_UP", 0)
+    assert toxicity.learn_lexicon(training) == lexicon
 
 
 def test_toxicity_held_out(spark):
@@ -249,3 +253,36 @@ def test_pipeline(spark):
     assert len(set(brute_classes({d: known[d] for d in left}).values())) == len(left)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, PATH).columns == docs.columns
+
+
+def test_pipeline_odd(spark, odd_documents, no_documents):
+    import corpus_pipeline
+
+    docs, empty = odd_documents, no_documents
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, empty = written(stage(spark, docs, PATH), name), written(stage(spark, empty, PATH), name)
+        assert docs.schema.names == odd_documents.schema.names and empty.count() == 0
+    _, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, empty, PATH).count() == 0
+
+    def body(r) -> str:
+        return re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "")
+
+    bodies = {body(r) for r in odd_documents.collect()}
+    out = {r["decoded_sha256"]: r["doc_id"] for r in last(spark, docs, PATH).collect()}
+    left = {body(r): r["doc_id"] for r in docs.collect()}
+    assert set(left) == bodies and len(out) == len(left) == docs.count()
+    # the smallest id of each group: empty and blank texts, the two spellings of one text, the repeated rows
+    assert left[""] == 3 and left["Hello world, this is a text. It has lines."] == 1 and left["repeated row"] == 9
+
+
+def test_drop_listed_shuffled(spark, odd_documents):
+    marks = near_copies.near_copies(odd_documents).groupBy("doc_id", "text_key", "kept").agg(F.count(F.lit(1)).alias("n"))
+    listed = marks.filter("NOT kept OR n > 1")
+    small = drop_listed(odd_documents, listed)
+    spark.conf.set("spark.atlasloom.broadcast.maxBytes", "0")
+    try:
+        large = drop_listed(odd_documents, listed)
+        assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    finally:
+        spark.conf.unset("spark.atlasloom.broadcast.maxBytes")
