@@ -329,6 +329,28 @@ def test_kept_tables_are_released(spark):
     assert joined.count() == 10
 
 
+def test_vectors_verified_by_blocks(spark):
+    def table(rows, kind="double"):
+        return spark.createDataFrame(rows, f"cell_id long, key string, vector array<{kind}>")
+
+    far = float("inf")
+    same = [(i, k, [float(i), 1.0 / (i + 1), far]) for i in range(300) for k in ("X_a", "X_b")]
+    assert verify.differing_blocks(table(same), table(same), 64).isEmpty()
+    changed = {(5, "X_a"): [5.0, 9.0, far], (6, "X_a"): [6.0, 1.0 / 7 + 1e-12, far], (7, "X_b"): [7.0], (8, "X_b"): None}
+    stored = [(i, k, changed.get((i, k), v)) for i, k, v in same if (i, k) != (9, "X_a")] + [(900, "X_a", [1.0])]
+    reasons = {(5, "X_a", "values differ"), (7, "X_b", "shape differs"), (8, "X_b", "missing in source"),
+               (9, "X_a", "missing in source"), (900, "X_a", "not expected")}
+    for blocks in (1, 16, 4096):
+        assert {tuple(r) for r in verify.embedding_failures(table(stored), table(same), blocks=blocks).collect()} == reasons
+    assert 0 < verify.differing_blocks(table(stored), table(same), 4096).count() <= 6
+    # other number types of the same values
+    narrow = table(same, "float").withColumn("cell_id", F.col("cell_id").cast("int"))
+    assert verify.embedding_failures(narrow, table(same)).isEmpty()
+    # a row without a vector is missing, also where both sides have none; empty tables agree
+    assert verify.embedding_failures(table([(1, "X_a", None)]), table([(1, "X_a", None)])).first().reason == "missing in source"
+    assert verify.embedding_failures(table([]), table([])).isEmpty()
+
+
 def test_user_method(spark):
     import pandas as pd
 
