@@ -25,7 +25,7 @@ class Atlas:
     """Aligned tables of one dataset; ``layers`` has a ``layer`` column, ``embeddings`` a ``key`` column.
 
     ``genes`` has one row per gene; what groups of cells make of their genes, one row per (group, gene), is in ``group_genes``, and what
-    became of each group, failed ones too, in ``group_status``.
+    became of each group, failed ones too, in ``group_status``. ``n_entries`` is about the number of ``counts``' rows, where it is known.
     """
 
     cells: DataFrame
@@ -36,6 +36,7 @@ class Atlas:
     uns: DataFrame | None = None
     group_genes: DataFrame | None = None
     group_status: DataFrame | None = None
+    n_entries: int | None = None
 
     def __post_init__(self) -> None:
         require_columns(self.cells, ["cell_id", "ord"], "cells")

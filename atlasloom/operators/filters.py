@@ -85,7 +85,7 @@ def gene_sums(counts: DataFrame, by: str | Sequence[str] | None = None, linear:
 def variances_from_sums(
     sums: DataFrame, cells: DataFrame, by: str | Sequence[str] | None = None, ddof: int = 0, s: str = "s", q: str = "q"
 ) -> DataFrame:
-    """Mean and variance per (group, gene) over all cells of the group, zeros included."""
+    """Mean and variance per (group, gene) over all cells of the group, zeros included; null where ``ddof`` leaves no cell."""
     by = as_list(by)
     if by:
         sizes = broadcast_if_small(cells.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("_n")))
@@ -96,7 +96,7 @@ def variances_from_sums(
     else:
         sums = sums.withColumn("_n", cells.agg(F.count(F.lit(1)).cast("double")).scalar())
     mean = F.col(s) / F.col("_n")
-    var = F.greatest(F.col(q) - F.col("_n") * mean * mean, F.lit(0.0)) / (F.col("_n") - ddof)
+    var = F.try_divide(F.greatest(F.col(q) - F.col("_n") * mean * mean, F.lit(0.0)), F.col("_n") - ddof)
     return sums.select(*by, "gene_id", "n_seen", F.col("_n").alias("n_cells"), mean.alias("mean"), var.alias("variance"))
 
 

@@ -1,4 +1,4 @@
-"""What may be broadcast, and how lineage is cut.
+"""What may be broadcast, into how many partitions rows go, and how lineage is cut.
 
 Nothing in the library broadcasts by belief. A small derived table is first
 computed once, kept, and measured; only when the measured bytes fit does it get
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+#: Entries that one task sorts and groups at most, if they are spread evenly.
+ROWS_PER_PARTITION = 500_000
 _LIMIT_KEY = "spark.atlasloom.broadcast.maxBytes"
 #: Tables that ``broadcast_if_small`` keeps until ``release``.
 _KEPT: list[DataFrame] = []
@@ -45,6 +47,15 @@ def broadcast_if_small(df: DataFrame, keep: bool = True) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= broadcast_limit(df.sparkSession) else df
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int | None:
+    """Partitions for a shuffle of so many rows, when they are more than the session's, else none.
+
+    A task's share then stays the same however many rows there are.
+    """
+    wanted = -(-rows // ROWS_PER_PARTITION)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def release(spark: SparkSession) -> int:
     """Let go of the tables that ``broadcast_if_small`` has kept in this session, and say how many there were.
 
@@ -83,18 +94,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle_by_key(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+def settle_by_key(df: DataFrame, key: str, buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """Like ``settle``, but later grouping and joining by ``key`` needs no shuffle.
 
     Written once as a table bucketed by ``key`` in the shared folder: a
     checkpoint would forget how its rows are partitioned. Rows that come
     partitioned by ``key`` are written without another shuffle, one file per bucket.
+    A bucket is one task's share later on, so their number follows ``rows`` (counted, unless the caller knows them).
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or partitions_for(spark, df.count() if rows is None else rows) or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"atlasloom_{uuid.uuid4().hex}"
     df.write.bucketBy(n, key).sortBy(key).option("path", f"{folder}/{name}").format("parquet").saveAsTable(name)
     return spark.table(name)

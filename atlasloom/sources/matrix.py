@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasloom.model import Atlas, require_columns
-from atlasloom.sizing import broadcast_if_small, settle
+from atlasloom.sizing import broadcast_if_small, partitions_for, settle
 
 
-def entries(raw: DataFrame, unique: bool = False) -> DataFrame:
+def entries(raw: DataFrame, unique: bool = False, rows: int | None = None) -> DataFrame:
     """Matrix entries with one row per (cell, gene), partitioned by cell.
 
     The one shuffle of the big table. Repeats are summed inside it, and every
-    later step that groups by cell (metrics, scaling, ranks) reuses it.
+    later step that groups by cell (metrics, scaling, ranks) reuses it. ``rows``
+    is about their number: where a task's share of them would be too large, there are more partitions.
     """
-    by_cell = raw.repartition("cell_id")
+    n = None if rows is None else partitions_for(raw.sparkSession, rows)
+    by_cell = raw.repartition("cell_id") if n is None else raw.repartition(n, "cell_id")
     if unique:
         return by_cell
     return by_cell.groupBy("cell_id", "gene_id").agg(F.sum("value").alias("value"))
@@ -35,7 +37,8 @@ def read_atlas(spark: SparkSession, path: str, unique: bool = False) -> Atlas:
 
     cells, genes, counts = (spark.read.parquet(f"{path}/{n}") for n in ("cells", "genes", "counts"))
     check_structure(cells, genes, counts)
-    return Atlas(cells, genes, entries(counts, unique), maybe("layers"), maybe("embeddings"))
+    rows = counts.count()
+    return Atlas(cells, genes, entries(counts, unique, rows), maybe("layers"), maybe("embeddings"), n_entries=rows)
 
 
 def check_structure(cells: DataFrame, genes: DataFrame, counts: DataFrame) -> None:

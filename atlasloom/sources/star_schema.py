@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atlasloom.sizing import partitions_for
 from atlasloom.sources.matrix import entries
 
 
@@ -40,10 +41,16 @@ def genes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def n_lines(spark: SparkSession, path: str) -> int:
+    """As many entries at most; a Parquet table has the number in its footers."""
+    return table(spark, path, "lineitem").count()
+
+
 def counts(spark: SparkSession, path: str) -> DataFrame:
     l = table(spark, path, "lineitem")
     return entries(l.select(
-        F.col("l_orderkey").alias("cell_id"), F.col("l_partkey").alias("gene_id"), F.col("l_quantity").alias("value")))
+        F.col("l_orderkey").alias("cell_id"), F.col("l_partkey").alias("gene_id"), F.col("l_quantity").alias("value")),
+        rows=n_lines(spark, path))
 
 
 def dense_cells(spark: SparkSession, path: str) -> DataFrame:
@@ -62,11 +69,15 @@ def dense_genes(spark: SparkSession, path: str) -> DataFrame:
 
 def dense_counts(spark: SparkSession, path: str) -> DataFrame:
     l = table(spark, path, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    rows = n_lines(spark, path)
+    n = partitions_for(spark, rows)
+    if n is not None:
+        l = l.repartition(n, "l_orderkey")
     o = table(spark, path, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, path, "part").select("p_partkey", "p_brand")
     j = l.join(o, l.l_orderkey == o.o_orderkey).join(p, l.l_partkey == p.p_partkey)
     return entries(j.select(
-        F.col("o_custkey").alias("cell_id"), F.col("p_brand").alias("gene_id"), F.col("l_quantity").alias("value")))
+        F.col("o_custkey").alias("cell_id"), F.col("p_brand").alias("gene_id"), F.col("l_quantity").alias("value")), rows=rows)
 
 
 def embeddings(spark: SparkSession, path: str, key: str = "X_test") -> DataFrame:

@@ -326,7 +326,7 @@ def settings(**kw):
 
 def star_atlas(spark, d, instrument=False) -> Atlas:
     cells = star.cells_with_instrument(spark, d) if instrument else star.cells(spark, d)
-    return Atlas(cells, star.genes(spark, d), star.counts(spark, d))
+    return Atlas(cells, star.genes(spark, d), star.counts(spark, d), n_entries=star.n_lines(spark, d))
 
 
 GENE_OUT = "gene_id, round(dispersions_norm, 6) AS dispersions_norm, highly_variable"
