@@ -117,7 +117,8 @@ def ensure_raw_counts_by(
     if len(candidates) > 1:
         # later passes group by cell: settled once more, none of them reads and shuffles all candidates again
         n = partitions_for(chosen.sparkSession, atlas.n_entries or 0)
-        chosen = settle_by_key(chosen.repartition("cell_id") if n is None else chosen.repartition(n, "cell_id"), "cell_id", n)
+        by_cell = chosen.repartition("cell_id") if n is None else chosen.repartition(n, "cell_id")
+        chosen = settle_by_key(by_cell, "cell_id", rows=atlas.n_entries)
     as_layer = chosen.select(F.lit("counts").alias("layer"), "cell_id", "gene_id", F.col("value").cast("double").alias("value"))
     others = None if layers is None else layers.filter(F.col("layer") != "counts").select(
         "layer", "cell_id", "gene_id", F.col("value").cast("double").alias("value"))

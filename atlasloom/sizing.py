@@ -100,13 +100,13 @@ def settle_by_key(df: DataFrame, key: str, buckets: int | None = None, rows: int
     Written once as a table bucketed by ``key`` in the shared folder: a
     checkpoint would forget how its rows are partitioned. Rows that come
     partitioned by ``key`` are written without another shuffle, one file per bucket.
-    A bucket is one task's share later on, so their number follows ``rows`` (counted, unless the caller knows them).
+    A bucket is one task's share later on, so their number follows ``rows``, where the caller knows them.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = buckets or partitions_for(spark, df.count() if rows is None else rows) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or partitions_for(spark, rows or 0) or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"atlasloom_{uuid.uuid4().hex}"
     df.write.bucketBy(n, key).sortBy(key).option("path", f"{folder}/{name}").format("parquet").saveAsTable(name)
     return spark.table(name)
