@@ -1,17 +1,33 @@
 """Highly variable genes by binned, normalised dispersion (Satija et al. 2015).
 
 One pass touches the entries: sums per (group, gene), combined map-side.
-Everything after works on gene-sized tables.
+Everything after works on gene-sized tables, of which no group passes through
+one task: bins are aggregated, and the first genes are sought per slice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from atlasloom.operators.filters import gene_sums, variances_from_sums
-from atlasloom.sizing import broadcast_if_small
+from atlasloom.operators.quality import _with_group_row
+from atlasloom.sizing import broadcast_if_small, settle
+
+#: Parts of each group's genes whose first rows are sought apart.
+SLICES = 64
+
+
+def _slice() -> Column:
+    return F.pmod(F.xxhash64("gene_id"), F.lit(SLICES))
+
+
+def _first_of_slices(d: DataFrame, by: list[str], n: int, *order: Column) -> DataFrame:
+    """The first ``n`` rows of each group, from the first ``n`` of each of its slices (``_slice``)."""
+    near = d.withColumn("_near", F.row_number().over(W.partitionBy(*by, "_slice").orderBy(*order))).filter(F.col("_near") <= n)
+    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # n rows of each slice at most
+    return near.withColumn("_place", F.row_number().over(whole.orderBy(*order))).filter(F.col("_place") <= n)
 
 
 def _binned_dispersion(moments: DataFrame, by: list[str], n_bins: int) -> DataFrame:
@@ -21,18 +37,16 @@ def _binned_dispersion(moments: DataFrame, by: list[str], n_bins: int) -> DataFr
     d = moments.select(
         *by, "gene_id", F.log1p(mean).alias("means"), F.when(ratio > 0, F.log(ratio)).alias("dispersions")
     )
-    # gene-sized: a group is at most one row per gene
-    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     lo, width = F.col("_lo"), (F.col("_hi") - F.col("_lo")) / F.lit(float(n_bins))
-    d = d.withColumn("_lo", F.min("means").over(whole)).withColumn("_hi", F.max("means").over(whole))
+    d = _with_group_row(d, d.groupBy(*by).agg(F.min("means").alias("_lo"), F.max("means").alias("_hi")), by)
     d = d.withColumn(
         "mean_bin",
         F.when(F.col("_hi") == lo, F.lit(0)).otherwise(
             F.least(F.greatest(F.ceil((F.col("means") - lo) / width) - 1, F.lit(0)), F.lit(n_bins - 1))
         ).cast("int"),
     )
-    in_bin = W.partitionBy(*by, "mean_bin")
-    d = d.withColumn("_avg", F.avg("dispersions").over(in_bin)).withColumn("_dev", F.stddev_samp("dispersions").over(in_bin))
+    bins = d.groupBy(*by, "mean_bin").agg(F.avg("dispersions").alias("_avg"), F.stddev_samp("dispersions").alias("_dev"))
+    d = _with_group_row(d, bins, [*by, "mean_bin"])
     single = F.col("_dev").isNull() | F.isnan("_dev")
     centre = F.when(single, F.lit(0.0)).otherwise(F.col("_avg"))
     spread = F.when(single, F.col("_avg")).otherwise(F.col("_dev"))
@@ -43,14 +57,13 @@ def _binned_dispersion(moments: DataFrame, by: list[str], n_bins: int) -> DataFr
 
 def _mark_top(d: DataFrame, by: list[str], n_top: int) -> DataFrame:
     """At or above the n-th largest normalised dispersion; ties at the cut-off all count."""
-    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    nth = F.row_number().over(whole.orderBy(F.col("dispersions_norm").desc_nulls_last()))
-    known = F.count("dispersions_norm").over(whole)
-    d = d.withColumn("_nth", nth).withColumn("_known", known)
-    cut = F.max(F.when(F.col("_nth") == F.least(F.lit(n_top), F.col("_known")), F.col("dispersions_norm"))).over(whole)
-    return d.withColumn("_cut", cut).withColumn(
+    d = settle(d)  # both the cut-off and the marks read it
+    known = d.filter("dispersions_norm IS NOT NULL").withColumn("_slice", _slice())
+    best = _first_of_slices(known, by, n_top, F.desc("dispersions_norm"))
+    d = _with_group_row(d, best.groupBy(*by).agg(F.min("dispersions_norm").alias("_cut")), by)
+    return d.withColumn(
         "highly_variable", F.coalesce(F.coalesce("dispersions_norm", F.lit(0.0)) >= F.col("_cut"), F.lit(False))
-    ).drop("_nth", "_known", "_cut")
+    ).drop("_cut")
 
 
 def variable_genes(
@@ -69,7 +82,7 @@ def variable_genes(
     by = list(by or [])
     keys = [*by, *([batch] if batch else [])]
     if sums is None:
-        sums = gene_sums(counts, keys, linear=True)
+        sums = settle(gene_sums(counts, keys, linear=True))
     moments = variances_from_sums(sums, cells, keys, 1, "ls", "lq")
     if batch is None:
         if not by:
@@ -107,11 +120,15 @@ def variable_genes(
                F.coalesce("_s", zero) / (F.col("_nb") - F.coalesce("_null", F.lit(0)))).alias("dispersions_norm"),
         F.coalesce("highly_variable_nbatches", F.lit(0)).alias("highly_variable_nbatches"),
     )
-    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     pooled = pooled.join(broadcast_if_small(genes.select("gene_id", "pos")), "gene_id")
-    place = F.row_number().over(
-        whole.orderBy(F.desc("highly_variable_nbatches"), F.col("dispersions_norm").desc_nulls_last(), "pos"))
-    pooled = pooled.withColumn("highly_variable", place <= n_top).drop("pos")
+    order = [F.desc("highly_variable_nbatches"), F.col("dispersions_norm").desc_nulls_last(), F.col("pos")]
+    pooled = pooled.withColumn("_slice", _slice())
+    pooled = settle(pooled.withColumn("_nth", F.row_number().over(W.partitionBy(*by, "_slice").orderBy(*order))))
+    # the first genes are the first so many of each slice: rows equal in order are told apart by their place there
+    wins = _first_of_slices(pooled, by, n_top, *order).groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_wins"))
+    pooled = _with_group_row(pooled, wins, [*by, "_slice"])
+    pooled = pooled.withColumn("highly_variable", F.coalesce(F.col("_nth") <= F.col("_wins"), F.lit(False))).drop(
+        "pos", "_slice", "_nth", "_wins")
     return pooled if by else genes.join(pooled, "gene_id", "left")
 
 

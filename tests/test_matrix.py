@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atlasloom.functions.genes import family_flags
-from atlasloom.model import Atlas
+from atlasloom.model import Atlas, scoped
 from atlasloom.operators import edits, embeddings, filters, normalise, predicates, quality, reports, variable_genes
 from atlasloom.plans import preprocess
 
@@ -284,3 +284,24 @@ def test_groups_merge_to_one_row_per_gene(spark):
     got = {r["gene_id"]: (r["pos"], r["score"], r["highly_variable"]) for r in merge_group_genes(rows, ["chunk"]).collect()}
     assert got == {"g1": (0, 1.0, False), "g2": (1, None, True), "g3": (2, 3.0, False)}
     assert merge_group_genes(rows.filter("false"), ["chunk"]).isEmpty()
+
+
+def test_no_group_of_genes_passes_through_one_task(spark, monkeypatch):
+    """Cut-offs, marks and ties as by one window per batch, but no window holds a whole batch's genes."""
+    monkeypatch.setattr(variable_genes, "SLICES", 3)
+    cells = spark.createDataFrame([(i, i, "a" if i < 6 else "b") for i in range(12)], "cell_id int, ord int, batch string")
+    genes = spark.createDataFrame([(g, g // 2, f"g{g}") for g in range(40)], "gene_id int, pos int, gene_name string")  # places repeat
+    counts = spark.createDataFrame([(c, g, float((c * 7 + g % 10 * 5) % 11 + 1)) for c in range(12) for g in range(40) if (c + g) % 3],
+                                   "cell_id int, gene_id int, value double")
+    plans = []
+    settle = variable_genes.settle
+    monkeypatch.setattr(variable_genes, "settle", lambda df: plans.append(df._jdf.queryExecution().toString()) or settle(df))
+    out = variable_genes.variable_genes(scoped(counts, cells, ["batch"]), cells, genes, 7, batch="batch")
+    got = out.collect()
+    assert len(got) == 40 and sum(r.highly_variable for r in got) == 7
+    key = [(-r.highly_variable_nbatches, r.dispersions_norm is None, -(r.dispersions_norm or 0.0), r.pos, not r.highly_variable) for r in got]
+    assert [k[-1] for k in sorted(key)] == [False] * 7 + [True] * 33
+    assert len(plans) == 3 and all("windowspecdefinition" not in p or "_slice" in p for p in plans)
+    one = variable_genes.variable_genes(counts, cells, genes, 5).collect()
+    norms = sorted((r.dispersions_norm for r in one if r.dispersions_norm is not None), reverse=True)
+    assert {r.gene_id for r in one if r.highly_variable} == {r.gene_id for r in one if (r.dispersions_norm or 0.0) >= norms[4]}
