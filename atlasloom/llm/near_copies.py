@@ -35,6 +35,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 26, 5
 REGISTERS = BANDS * BAND_ROWS
 SHINGLES_AT_ONCE = 200_000
+#: Bytes of words that a task hands on in one batch, if they are of more than one text.
+WORD_BYTES_AT_ONCE = 4_000_000
 #: 64-bit words of the bitmap that tells how many shingles of a text another one lacks at least.
 BITMAP_WORDS = 16
 
@@ -203,14 +205,21 @@ def _lacking(one: str, other: str) -> Column:
 def _word_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``words_key, words``: the words of each text in ``keys``, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(keys: list, joined: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(joined, pa.binary())], names=["words_key", "words"])
+
         for batch in batches:
-            keys, joined = [], []
+            keys, joined, held = [], [], 0
             for text in raw_texts(batch.column("text")):
                 words = words_of(text)
                 keys.append(words_key(text, words))
                 joined.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(joined, pa.binary())], names=["words_key", "words"])
+                held += len(joined[-1]) + 50
+                if held > WORD_BYTES_AT_ONCE:
+                    yield rows(keys, joined)
+                    keys, joined, held = [], [], 0
+            if keys:
+                yield rows(keys, joined)
 
     rows = docs.select("text").mapInArrow(run, "words_key binary, words binary")
     return rows.join(broadcast_if_small(keys), "words_key").dropDuplicates(["words_key"])

@@ -12,7 +12,7 @@ import duckdb
 import pytest
 from pyspark.sql import Row
 
-from atlasloom.llm import manifest, spelling, url_filter
+from atlasloom.llm import manifest, near_copies, spelling, url_filter
 from atlasloom.llm.queries import URL_RULES
 
 # --- spelling ----------------------------------------------------------------
@@ -237,3 +237,25 @@ def test_copies_bound_the_leaves_of_a_key(spark):
     assert steps.count() == 3000 * 9
     most = steps.filter(f"(node & 63) > {manifest.SHARED}").groupBy("node").count().agg({"count": "max"}).first()[0]
     assert most == 3 ** manifest.SHARED
+
+
+def test_words_leave_a_task_in_small_batches(spark, monkeypatch):
+    """A large batch of texts is not held a second and third time by the worker; every text's words still arrive once."""
+    sizes = []
+    of = near_copies.pa.RecordBatch.from_arrays
+    texts = [f"{'word ' * 30}number {i % 90}" for i in range(100)] + ["", None]
+    monkeypatch.setattr(near_copies, "WORD_BYTES_AT_ONCE", 1000)
+
+    class Docs:
+        def select(self, _):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batch = of([near_copies.pa.array(texts)], names=["text"])
+            sizes.extend((b.num_rows, b.nbytes) for b in run(iter([batch])))
+            rows = [tuple(bytes(v) for v in r) for b in run(iter([batch])) for r in zip(*b.to_pydict().values(), strict=True)]
+            return spark.createDataFrame(rows, schema)
+
+    keys = spark.createDataFrame([(near_copies.words_key(t.encode(), near_copies.words_of(t.encode())),) for t in set(texts) - {None}], "words_key binary")
+    assert near_copies._word_texts(Docs(), keys).count() == 91
+    assert sum(n for n, _ in sizes) == 102 and max(b for _, b in sizes) < 5000
