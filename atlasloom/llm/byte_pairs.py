@@ -26,6 +26,8 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 2_048
 #: At a chunk's end a pre-token may be cut; a boundary this near to it doesn't count.
 UNSURE_CHARS = 4
+#: Texts that a task turns into Python objects at once.
+TEXTS_AT_ONCE = 512
 
 
 def load(path: str, pattern: str):
@@ -46,12 +48,16 @@ def decode(encoding, ids: bytes) -> bytes:
     return encoding.decode_bytes(np.frombuffer(ids, "<u4").tolist())
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+        yield batch.slice(at, TEXTS_AT_ONCE)
+
+
 def _encode_whole(short: DataFrame, path: str, pattern: str, row: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load(path, pattern)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for batch in _slices(whole):
                 ids = [pack(encoding.encode_ordinary(t)) for t in texts(batch.column("text"))]
                 yield pa.RecordBatch.from_arrays([batch.column(row), pa.array(ids, pa.binary())], names=[row, "ids"])
 
@@ -137,8 +143,10 @@ def _encoding_of(path: str, pattern: str):
 def _put_together(parts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [b"".join(p["ids"] for p in sorted(row, key=lambda p: p["piece"])) for row in batch.column("parts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(ids, pa.binary())], names=["text_key", "ids"])
+            for row in range(batch.num_rows):  # one long text at a time
+                pieces = sorted(batch.column("parts")[row].as_py(), key=lambda p: p["piece"])
+                ids = b"".join(p["ids"] for p in pieces)
+                yield pa.RecordBatch.from_arrays([batch.column("text_key").slice(row, 1), pa.array([ids], pa.binary())], names=["text_key", "ids"])
 
     gathered = parts.groupBy("text_key").agg(F.collect_list(F.struct("piece", "ids")).alias("parts"))
     return gathered.mapInArrow(run, "text_key string, ids binary")
@@ -165,13 +173,14 @@ def digest(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded documents; the ids are decoded again for the last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load(path, pattern)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                 pa.array([hashlib.sha256(decode(encoding, x)).hexdigest() for x in ids])],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for whole in batches:
+            for batch in _slices(whole):
+                ids = batch.column("ids").to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                     pa.array([hashlib.sha256(decode(encoding, x)).hexdigest() for x in ids])],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = dict(encoded.dtypes)["doc_id"]
     return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

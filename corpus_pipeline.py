@@ -42,9 +42,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, number and digest of the ids, and the digest of the bytes that the ids decode to."""
+    """``doc_id``, number and digest of the ids, and the digest of the bytes that the ids decode to.
+
+    The ids are written before they are decoded: in one job both would run at once, in two Python workers a core, which then stay.
+    """
     release(spark)
-    return byte_pairs.digest(byte_pairs.encode(docs, MULTILINGUAL_BPE, PATTERN), MULTILINGUAL_BPE, PATTERN)
+    ids = written(byte_pairs.encode(docs, MULTILINGUAL_BPE, PATTERN), "ids")
+    return byte_pairs.digest(ids, MULTILINGUAL_BPE, PATTERN)
 
 
 STAGES = [

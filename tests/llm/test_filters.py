@@ -276,6 +276,18 @@ def test_pipeline_odd(spark, odd_documents, no_documents):
     assert left[""] == 3 and left["Hello world, this is a text. It has lines."] == 1 and left["repeated row"] == 9
 
 
+def test_pipeline_one_python_step(spark):
+    """Encoding is over before decoding starts, so a core has one Python worker at a time; a text cut in chunks comes out whole."""
+    import corpus_pipeline
+
+    long = "word " * 20_000
+    docs = spark.createDataFrame([(1, "a short text"), (2, long), (3, None)], "doc_id long, text string")
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, PATH)
+    assert out._jdf.queryExecution().executedPlan().toString().count("InArrow") == 1
+    assert {r["doc_id"]: r["decoded_sha256"] for r in out.collect()} == {
+        i: hashlib.sha256(t.encode()).hexdigest() for i, t in ((1, "a short text"), (2, long), (3, ""))}
+
+
 def test_drop_listed_shuffled(spark, odd_documents):
     marks = near_copies.near_copies(odd_documents).groupBy("doc_id", "text_key", "kept").agg(F.count(F.lit(1)).alias("n"))
     listed = marks.filter("NOT kept OR n > 1")
