@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 
 from atlasloom.sizing import broadcast_if_small, shared_folder
 
+#: Bytes of rows that Spark hands to a Python worker at once in the pipeline (Spark's default is 64 MB, or 10,000 rows).
+BATCH_BYTES = 4 * 1024 * 1024
+
 #: Bytes of words after lower-casing A-Z: digits, a-z and everything outside ASCII; the rest separates words.
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -36,6 +40,19 @@ def written(df: DataFrame, what: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on at most ``BATCH_BYTES`` of rows go to Python at once in this session, or fewer where that is set already.
+
+    Buffers of whole batches are what tasks hold outside the heap, in the executor's JVM and in its Python workers; both keep
+    much of what large ones took.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(key).lower())
+    bytes_now = int(now[1]) << 10 * " kmg".index(now[2] or " ") if now else 0
+    if not 0 < bytes_now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def raw_texts(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     """UTF-8 bytes of each text of an Arrow column; null counts as empty."""
     for value in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()):

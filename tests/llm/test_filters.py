@@ -9,13 +9,14 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from atlasloom.llm import decontamination, exact_copies, near_copies, toxicity
-from atlasloom.llm.common import drop_listed, words_of, written
+from atlasloom.llm.common import BATCH_BYTES, drop_listed, small_batches, words_of, written
 from atlasloom.llm.queries import ORACLE, QUERIES
 
 from .conftest import prose
@@ -298,3 +299,28 @@ def test_drop_listed_shuffled(spark, odd_documents):
         assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
     finally:
         spark.conf.unset("spark.atlasloom.broadcast.maxBytes")
+
+
+def test_stages_hand_rows_to_python_in_small_batches(spark, no_documents):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(30, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1_000_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    try:
+        for given, kept in (("64m", str(BATCH_BYTES)), ("1g", str(BATCH_BYTES)), ("1m", "1m"), ("1000", "1000")):
+            spark.conf.set(key, given)
+            small_batches(spark)
+            assert spark.conf.get(key).rstrip("b") == kept
+        spark.conf.set(key, "64m")
+        corpus_pipeline.without_copies(spark, no_documents, "")
+        seen = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(seen) == 30
+        assert max(seen) <= BATCH_BYTES // 1_000_000 + 1
+    finally:
+        spark.conf.set(key, before)
