@@ -37,8 +37,12 @@ REGISTERS = BANDS * BAND_ROWS
 SHINGLES_AT_ONCE = 200_000
 #: Bytes of words that a task hands on in one batch, if they are of more than one text.
 WORD_BYTES_AT_ONCE = 4_000_000
-#: 64-bit words of the bitmap that tells how many shingles of a text another one lacks at least.
-BITMAP_WORDS = 16
+#: 64-bit words of the bitmap that tells how many shingles of a text another one lacks at least, and bits of one of its places.
+BITMAP_WORDS, BITMAP_DEPTH = 32, 2
+#: Texts with one shingle that a task compares with each other; of more, each two blocks meet in a task.
+MEETING_BLOCK = 2000
+#: Pairs of texts that a task looks at together, and of those the pairs of bitmaps.
+PAIRS_AT_ONCE, BITMAPS_AT_ONCE = 200_000, 20_000
 
 _GOLDEN, _64_BITS = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
@@ -190,11 +194,13 @@ def words_key(text: bytes, words: list[bytes]) -> bytes:
 
 
 def bitmap(keys: np.ndarray) -> np.ndarray:
-    """``BITMAP_WORDS`` numbers with a bit for each shingle. Bits that only one of two texts has are shingles only it has."""
-    places = _draw(keys, 11) % np.uint64(64 * BITMAP_WORDS)
-    out = np.zeros(BITMAP_WORDS, "uint64")
-    np.bitwise_or.at(out, (places >> np.uint64(6)).astype("int64"), np.uint64(1) << (places & np.uint64(63)))
-    return out.view("int64")
+    """``BITMAP_WORDS`` numbers with as many bits at a place as shingles fall there, ``BITMAP_DEPTH`` at most.
+
+    Bits that only one of two texts has are at most as many as shingles only it has: those of both add to the same bits.
+    """
+    places = 64 * BITMAP_WORDS // BITMAP_DEPTH
+    fallen = np.bincount((_draw(keys, 11) % np.uint64(places)).astype("int64"), minlength=places)
+    return np.packbits((fallen[:, None] > np.arange(BITMAP_DEPTH)).ravel(), bitorder="little").view("int64")
 
 
 def _lacking(one: str, other: str) -> Column:
@@ -202,6 +208,11 @@ def _lacking(one: str, other: str) -> Column:
     return reduce(add, [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(BITMAP_WORDS)])
 
 
+def lacking(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The same for each row of two arrays of bitmaps."""
+    return np.bitwise_count((one & ~other).view("uint64")).sum(axis=1, dtype="int64")
+
+
 def _word_texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``words_key, words``: the words of each text in ``keys``, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,6 +293,8 @@ def _may_be_similar(left: DataFrame, words: DataFrame, least: float) -> DataFram
     shingles have larger ``x`` and ``y``, so a row that stays within the bound is there for every similar pair. A second lower
     bound of ``x`` and ``y`` comes from bitmaps of all shingles: each bit that only one text has is a shingle that the other
     lacks, of weight 1 or more. Long texts fill the bitmap; it then excludes less, never more.
+
+    Texts of one class, which may be as many as a large class has, are never paired: see ``_meet``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _WordKeys()
@@ -305,14 +318,88 @@ def _may_be_similar(left: DataFrame, words: DataFrame, least: float) -> DataFram
     # one row of each text brings its bitmap
     ranked = rows.join(often, "shingle").withColumn("passed", passed).withColumn("bits", F.max("bits").over(text))
     first = ranked.filter((F.col("passed") <= 1 - least + 1e-9) & (F.col("texts") > 1))
-    columns = ["words_key", "class_key", "passed", "bits", "total"]
-    meeting = written(first.select("shingle", *columns), "meeting")
-    one, other = (meeting.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
-    x = F.greatest("passed_a", _lacking("bits_a", "bits_b") / F.col("total_a"))
-    y = F.greatest("passed_b", _lacking("bits_b", "bits_a") / F.col("total_b"))
-    within = (1 - x) * (1 - y) >= (least - 1e-9) * (1 - x * y)
-    met = one.join(other, "shingle").filter("words_key_a > words_key_b AND class_key_a <> class_key_b").filter(within)
-    return met.select(F.col("words_key_a").alias("a"), F.col("words_key_b").alias("b")).distinct()
+    blocks = F.ceil(F.col("texts") / MEETING_BLOCK)
+    homes = first.withColumn("home", F.pmod(F.xxhash64("words_key"), blocks))
+    dealt = homes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    cell = ["shingle", "low", "high"]
+    cells = dealt.withColumn("low", F.least("home", "other")).withColumn("high", F.greatest("home", "other")).select(
+        *cell, "home", "words_key", "class_key", "passed", "bits", "total")
+    met = cells.repartition(*cell).sortWithinPartitions(*cell, "class_key").mapInArrow(lambda batches: _meet(batches, least), "a binary, b binary")
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the row before it in any of the columns; the first one does."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def _ends(starts: np.ndarray) -> np.ndarray:
+    """Of each row the place after the last row of its run."""
+    at = np.flatnonzero(starts)
+    return np.repeat(np.append(at[1:], len(starts)), np.diff(np.append(at, len(starts))))
+
+
+def _meet(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs ``a``, ``b`` of texts of different classes in a cell that the bounds of ``_may_be_similar`` leave.
+
+    Rows come by cell and class: each is paired with what follows its class in its cell, so texts of one class cost nothing. In
+    a cell of two blocks of texts, those of one block are left to the cell of that block alone.
+    """
+    def fixed(column: pa.Array) -> np.ndarray:
+        column = column.cast(pa.binary(16))
+        return np.frombuffer(column.buffers()[1], "uint64", 2 * len(column), 16 * column.offset).reshape(-1, 2)
+
+    def binary(keys: np.ndarray) -> pa.Array:
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keys), [None, pa.py_buffer(keys.tobytes())]).cast(pa.binary())
+
+    def loaded(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        plain = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("shingle", "low", "high", "home", "passed", "total")}
+        bits = batch.column("bits").flatten().to_numpy(zero_copy_only=False).view("uint64").reshape(-1, BITMAP_WORDS)
+        return plain | {"words_key": fixed(batch.column("words_key")), "class_key": fixed(batch.column("class_key")), "bits": bits}
+
+    def may_be(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (1 - x) * (1 - y) >= (least - 1e-9) * (1 - x * y)
+
+    def pairs(rows: dict[str, np.ndarray], cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        behind = _ends(cells | _starts(*rows["class_key"].T))
+        many = _ends(cells) - behind
+        upto = np.cumsum(many)
+        passed, total, home, bits = rows["passed"], rows["total"], rows["home"], rows["bits"]
+        alone = rows["low"] == rows["high"]
+        begin = 0
+        while begin < len(many) and upto[-1] > (done := upto[begin] - many[begin]):
+            end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, "right")))
+            n = many[begin:end]
+            i = np.repeat(np.arange(begin, end), n)
+            j = np.arange(len(i)) + np.repeat(behind[begin:end] - (upto[begin:end] - n - done), n)
+            keep = (alone[i] | (home[i] != home[j])) & may_be(passed[i], passed[j])
+            i, j = i[keep], j[keep]
+            for k in range(0, len(i), BITMAPS_AT_ONCE):
+                a, b = i[k:k + BITMAPS_AT_ONCE], j[k:k + BITMAPS_AT_ONCE]
+                x = np.maximum(passed[a], lacking(bits[a], bits[b]) / total[a])
+                y = np.maximum(passed[b], lacking(bits[b], bits[a]) / total[b])
+                left = may_be(x, y)
+                yield pa.RecordBatch.from_arrays([binary(rows["words_key"][a[left]]), binary(rows["words_key"][b[left]])], names=["a", "b"])
+            begin = end
+
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = loaded(batch)
+        rows = {n: np.concatenate([held[n], c]) for n, c in rows.items()} if held else rows
+        cells = _starts(rows["shingle"], rows["low"], rows["high"])
+        # the last cell may go on in the next batch
+        last = int(np.flatnonzero(cells)[-1])
+        if last:
+            yield from pairs({n: c[:last] for n, c in rows.items()}, cells[:last])
+        held = {n: c[last:].copy() for n, c in rows.items()}
+    if held:
+        yield from pairs(held, _starts(held["shingle"]))
 
 
 def class_of_texts(docs: DataFrame, signatures_of: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -115,6 +115,69 @@ def test_bitmaps_bound_what_a_text_lacks(spark):
         assert shared > 200 or lacks_a >= 0.7 * of_a and lacks_b >= 0.7 * of_b
 
 
+def test_bitmaps_hold_long_texts(spark):
+    """Most of what texts of 300 or 700 shingles lack shows (0.73 and 0.48 before); arrays and columns agree."""
+    rng = np.random.default_rng(9)
+    for shared, only, share in [(255, 45, 0.85), (600, 100, 0.7)]:
+        keys = rng.integers(0, 1 << 63, shared + 2 * only).astype("uint64")
+        a, b = near_copies.bitmap(keys[:shared + only]), near_copies.bitmap(np.concatenate([keys[:shared], keys[shared + only:]]))
+        lacks = near_copies.lacking(np.stack([a, b]), np.stack([b, a]))
+        rows = spark.createDataFrame([(a.tolist(), b.tolist())], "a array<bigint>, b array<bigint>")
+        assert tuple(rows.select(near_copies._lacking("a", "b"), near_copies._lacking("b", "a")).first()) == tuple(lacks)
+        assert (lacks >= share * only).all() and (lacks <= only).all()
+
+
+def standing(spark, n: int):
+    """A class of ``n`` texts a few words off a base, some texts further off, pairs of others; their similarities."""
+    base, texts, label = prose(5, 300), {}, {}
+    for i in range(n):
+        texts[i], label[i] = edited(base, 1 + i % 4, i), 0
+    for i in range(n, n + n // 4):
+        texts[i], label[i] = edited(base, 5 + i % 6, i), i
+    for i in range(n + n // 4, n + n // 2):
+        texts[i], label[i] = edited(prose(i // 2 * 2 + 7, 60 + i // 2 % 5), i % 2, i), i
+    keys = {i: near_copies.words_key(t.encode(), words_of(t.encode())) for i, t in texts.items()}
+    left = spark.createDataFrame([(keys[i], keys[c]) for i, c in label.items()], "words_key binary, class_key binary")
+    words = spark.createDataFrame([(keys[i], t.encode()) for i, t in texts.items()], "words_key binary, words binary")
+    found = {i: near_copies.shingles(words_of(t.encode())) for i, t in texts.items()}
+    alike = {tuple(sorted((keys[a], keys[b]))): near_copies.similarity(found[a], found[b]) for a, b in combinations(texts, 2) if label[a] != label[b]}
+    return left, words, alike
+
+
+def paired(df) -> list[tuple]:
+    return sorted(tuple(sorted((bytes(r["a"]), bytes(r["b"])))) for r in df.collect())
+
+
+@pytest.mark.parametrize("block", [7, 2000])
+def test_texts_of_one_class_are_not_paired(spark, monkeypatch, block):
+    """However a shingle's texts are dealt to tasks, no similar pair of two classes is left out, and few others are tested."""
+    monkeypatch.setattr(near_copies, "MEETING_BLOCK", block)
+    monkeypatch.setattr(near_copies, "PAIRS_AT_ONCE", 50 if block == 7 else 200_000)
+    monkeypatch.setattr(near_copies, "BITMAPS_AT_ONCE", 9 if block == 7 else 20_000)
+    left, words, alike = standing(spark, 60)
+    met = near_copies._may_be_similar(left, words, 0.8)
+    got = paired(met)
+    assert len(got) == len(set(got)) and set(got) <= alike.keys()
+    similar = {p for p, s in alike.items() if s >= 0.8}
+    assert similar and similar <= set(got)
+    assert all(alike[p] > 0.76 for p in got)
+    assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString().partition("MapInArrow")[0]
+
+
+def test_cells_go_on_over_batches():
+    """Pairs do not depend on where Arrow batches end; those of one class, or within one block in a cell of two, are not made."""
+    rng = np.random.default_rng(3)
+    bits = near_copies.bitmap(rng.integers(0, 1 << 63, 20).astype("uint64")).tolist()
+    rows = [(shingle, low, high, home, bytes([text] * 16), bytes([label] * 16), 0.01, bits, 20.0)
+            for shingle, low, high, texts in [(1, 0, 0, [(0, 1, 1), (0, 2, 1), (0, 3, 3)]), (2, 0, 0, [(0, 4, 4)]), (2, 0, 1, [(0, 1, 1), (1, 2, 1), (0, 5, 5), (1, 6, 6)])]
+            for home, text, label in texts]
+    names = ["shingle", "low", "high", "home", "words_key", "class_key", "passed", "bits", "total"]
+    for size in (1, 2, 3, len(rows)):
+        batches = (pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i:i + size]]) for i in range(0, len(rows), size))
+        got = sorted((r["a"][0], r["b"][0]) for b in near_copies._meet(batches, 0.8) for r in b.to_pylist())
+        assert got == [(1, 3), (1, 6), (2, 3), (2, 5), (5, 6)]
+
+
 def test_probability_jaccard():
     a, b = near_copies.shingles(words_of(b"a b c d e f g h")), near_copies.shingles(words_of(b"b c d e f g h i"))
     assert near_copies.similarity(a, b) == pytest.approx(len(a.keys() & b.keys()) / len(a.keys() | b.keys()))
